@@ -71,50 +71,47 @@ def edge(frame: DataFrame) -> DataFrame:
     return frame.select(*columns)
 
 
-def spread(inputs: Inputs) -> dict[str, DataFrame]:
-    """The curated tables the marts are built from."""
-    return {
-        "dim_date": dims.calendar_covering(inputs.orders(), "order_date"),
-        "dim_country": dims.dim_country(inputs.customers()),
-        "dim_customers": dims.dim_customers(inputs.customers()),
-        "dim_products": dims.dim_products(inputs.products()),
-        "fct_orders": facts.fct_orders(inputs.orders()),
-        "fct_order_items": facts.fct_order_items(inputs.order_items()),
-        "fct_payments": facts.fct_payments(inputs.payments()),
-    }
-
-
-def mart(inputs: Inputs, name: str) -> DataFrame:
-    t = spread(inputs)
-    if name == "mart_daily_sales":
-        return marts.mart_daily_sales(t["fct_orders"], t["fct_payments"])
-    if name == "mart_monthly_revenue":
-        return marts.mart_monthly_revenue(t["fct_orders"])
-    if name == "mart_customer_lifetime_value":
-        return marts.mart_customer_lifetime_value(t["fct_orders"])
-    if name == "mart_product_performance":
-        return marts.mart_product_performance(
-            t["fct_order_items"], t["dim_products"], t["fct_orders"]
-        )
-    return marts.mart_customer_segments(t["fct_orders"], t["dim_customers"])
+class Curated:
+    """Dimensions, facts and marts over the inputs, each built when it is asked for."""
+
+    def __init__(self, inputs: Inputs):
+        i = inputs
+        self._make: dict[str, Callable[[], DataFrame]] = {
+            "dim_date": lambda: dims.calendar_covering(i.orders(), "order_date"),
+            "dim_country": lambda: dims.dim_country(i.customers()),
+            "dim_customers": lambda: dims.dim_customers(i.customers()),
+            "dim_products": lambda: dims.dim_products(i.products()),
+            "fct_orders": lambda: facts.fct_orders(i.orders()),
+            "fct_order_items": lambda: facts.fct_order_items(i.order_items()),
+            "fct_payments": lambda: facts.fct_payments(i.payments()),
+            "mart_daily_sales": lambda: marts.mart_daily_sales(
+                self["fct_orders"], self["fct_payments"]
+            ),
+            "mart_monthly_revenue": lambda: marts.mart_monthly_revenue(self["fct_orders"]),
+            "mart_customer_lifetime_value": lambda: marts.mart_customer_lifetime_value(
+                self["fct_orders"]
+            ),
+            "mart_product_performance": lambda: marts.mart_product_performance(
+                self["fct_order_items"], self["dim_products"], self["fct_orders"]
+            ),
+            "mart_customer_segments": lambda: marts.mart_customer_segments(
+                self["fct_orders"], self["dim_customers"]
+            ),
+        }
 
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._make[name]()
 
-def curated_and_marts(inputs: Inputs) -> dict[str, DataFrame]:
-    tables = spread(inputs)
-    return {
-        name: tables[name] if name in tables else mart(inputs, name) for name in TABLES
-    }
+    def all(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in TABLES}
 
 
 # --- dimensions, facts, marts -------------------------------------------------------------------
 
 
 def _register_tables() -> None:
-    for name, contract in TABLES.items():
-        if contract.layer == "marts":
-            QUERIES[name] = lambda s, d, name=name: edge(mart(Inputs(s, d), name))
-        else:
-            QUERIES[name] = lambda s, d, name=name: edge(spread(Inputs(s, d))[name])
+    for name in TABLES:
+        QUERIES[name] = lambda spark, folder, name=name: edge(Curated(Inputs(spark, folder))[name])
 
 
 _register_tables()
@@ -122,12 +119,12 @@ _register_tables()
 
 @query
 def category_revenue_rollup(inputs: Inputs) -> DataFrame:
-    return edge(marts.category_revenue(mart(inputs, "mart_product_performance")))
+    return edge(marts.category_revenue(Curated(inputs)["mart_product_performance"]))
 
 
 @query
 def segment_country_revenue_cube(inputs: Inputs) -> DataFrame:
-    return edge(marts.segment_country_revenue(mart(inputs, "mart_customer_segments")))
+    return edge(marts.segment_country_revenue(Curated(inputs)["mart_customer_segments"]))
 
 
 @query
@@ -170,13 +167,13 @@ def fct_orders_null_status(inputs: Inputs) -> DataFrame:
 
 @query
 def int_orders_enriched(inputs: Inputs) -> DataFrame:
-    t = spread(inputs)
+    t = Curated(inputs)
     return edge(marts.orders_enriched(t["fct_orders"], t["dim_customers"]))
 
 
 @query
 def int_order_items_enriched(inputs: Inputs) -> DataFrame:
-    t = spread(inputs)
+    t = Curated(inputs)
     return edge(
         marts.order_items_enriched(t["fct_order_items"], t["fct_orders"], t["dim_products"])
     )
@@ -184,21 +181,23 @@ def int_order_items_enriched(inputs: Inputs) -> DataFrame:
 
 @query
 def int_orders_daily(inputs: Inputs) -> DataFrame:
-    return edge(marts.orders_daily(spread(inputs)["fct_orders"]))
+    return edge(marts.orders_daily(Curated(inputs)["fct_orders"]))
 
 
 @query
 def int_payments_daily(inputs: Inputs) -> DataFrame:
-    return edge(marts.payments_daily(spread(inputs)["fct_payments"]))
+    return edge(marts.payments_daily(Curated(inputs)["fct_payments"]))
 
 
 @query
 def int_customer_first_order(inputs: Inputs) -> DataFrame:
-    return marts.first_orders(spread(inputs)["fct_orders"])
+    return marts.first_orders(Curated(inputs)["fct_orders"])
 
 
 def _sql_model(inputs: Inputs, name: str) -> DataFrame:
-    sqlmodels.create_views(inputs.spark, spread(inputs))
+    t = Curated(inputs)
+    tables = {table: t[table] for table in sqlmodels.tables_behind(name)}
+    sqlmodels.create_views(inputs.spark, tables, only=name)
     return edge(inputs.spark.table(name))
 
 
@@ -221,12 +220,15 @@ _register_models()
 def mart_parity(inputs: Inputs) -> DataFrame:
     """Days that only one of the two daily-sales builds has, after the later year is withheld
     from the SQL build; equal builds would give no rows to compare."""
-    t = spread(inputs)
+    t = Curated(inputs)
     cut = F.lit("2001-01-01").cast("timestamp_ntz")
+    shorter = t["fct_orders"].where(F.col("order_timestamp") < cut)
     sqlmodels.create_views(
-        inputs.spark, {**t, "fct_orders": t["fct_orders"].where(F.col("order_timestamp") < cut)}
+        inputs.spark,
+        {"fct_orders": shorter, "fct_payments": t["fct_payments"]},
+        only="sql_mart_daily_sales",
     )
-    built = mart(inputs, "mart_daily_sales").select("sale_date")
+    built = Curated(inputs)["mart_daily_sales"].select("sale_date")
     modelled = inputs.spark.table("sql_mart_daily_sales").select("sale_date")
     return checks.only_in_one(built, modelled)
 
@@ -234,12 +236,13 @@ def mart_parity(inputs: Inputs) -> DataFrame:
 @query
 def mart_parity_all(inputs: Inputs) -> DataFrame:
     """Rows in which any mart differs between the DataFrame and the SQL build."""
-    sqlmodels.create_views(inputs.spark, spread(inputs))
+    t = Curated(inputs)
+    sqlmodels.create_views(inputs.spark, {table: t[table] for table in sqlmodels.STAGED})
     compared = []
     for name, contract in TABLES.items():
         if contract.layer == "marts":
             modelled = edge(inputs.spark.table(f"sql_{name}"))
-            compared.append(checks.difference(name, edge(mart(inputs, name)), modelled))
+            compared.append(checks.difference(name, edge(Curated(inputs)[name]), modelled))
     return checks.report(compared)
 
 
@@ -430,7 +433,7 @@ def upsert_snapshot(inputs: Inputs) -> DataFrame:
         {"product_id": F.col("product_id") * 1000000, "sku": F.concat("sku", F.lit("-NEW"))}
     )
     state = snapshots.upsert(changed.unionByName(copies), path, ["product_id"])
-    return edge(state)
+    return edge(state.state)
 
 
 @query
@@ -447,7 +450,7 @@ def upsert_newest_only(inputs: Inputs) -> DataFrame:
             ).otherwise(F.col("updated_at") + F.expr("interval 1 day")),
         }
     )
-    return snapshots.upsert(old, path, ["order_id"], newer_by=("updated_at",))
+    return snapshots.upsert(old, path, ["order_id"], newer_by=("updated_at",)).state
 
 
 @query
@@ -625,7 +628,7 @@ def table_counts(inputs: Inputs) -> DataFrame:
 
 @query
 def test_unique(inputs: Inputs) -> DataFrame:
-    t = spread(inputs)
+    t = Curated(inputs)
     return checks.report(
         [
             checks.unique("orders", t["fct_orders"], "order_key"),
@@ -638,7 +641,7 @@ def test_unique(inputs: Inputs) -> DataFrame:
 
 @query
 def test_not_null(inputs: Inputs) -> DataFrame:
-    t = spread(inputs)
+    t = Curated(inputs)
     events = inputs.website_events()
     return checks.report(
         [
@@ -651,7 +654,7 @@ def test_not_null(inputs: Inputs) -> DataFrame:
 
 @query
 def test_relationships(inputs: Inputs) -> DataFrame:
-    t = spread(inputs)
+    t = Curated(inputs)
     known = t["dim_customers"].where("is_active")
     open_orders = t["fct_orders"].where("not is_completed")
     sometimes = t["fct_orders"].withColumn(
@@ -672,8 +675,8 @@ def test_relationships(inputs: Inputs) -> DataFrame:
 
 @query
 def test_unique_combination(inputs: Inputs) -> DataFrame:
-    products = mart(inputs, "mart_product_performance")
-    segments = mart(inputs, "mart_customer_segments")
+    products = Curated(inputs)["mart_product_performance"]
+    segments = Curated(inputs)["mart_customer_segments"]
     lines = inputs.raw("lineitem")
     return checks.report(
         [
@@ -688,7 +691,7 @@ def test_unique_combination(inputs: Inputs) -> DataFrame:
 def curated_tests(inputs: Inputs) -> DataFrame:
     """Every declared table test, over curated tables written once."""
     curated = {
-        name: written(frame, name) for name, frame in curated_and_marts(inputs).items()
+        name: written(frame, name) for name, frame in Curated(inputs).all().items()
     }
     return jobs.data_tests(curated)
 
@@ -744,7 +747,7 @@ def latest_manifest(inputs: Inputs) -> DataFrame:
 @query
 def schema_check(inputs: Inputs) -> DataFrame:
     """Curated tables have their audit column, marts also their metrics; one lost its dates."""
-    tables = curated_and_marts(inputs)
+    tables = Curated(inputs).all()
     tables["fct_orders"] = tables["fct_orders"].drop("order_timestamp")
     wanted = {
         name: MART_METRICS.get(name, TABLES[name].columns) + (LOADED_AT,) for name in tables
@@ -760,7 +763,7 @@ def published_tables(inputs: Inputs) -> DataFrame:
     location = work_folder(spark, "warehouse")
     database = "shop_" + location.rsplit("-", 1)[1]
     spark.sql(f"create database {database} location '{location}'")
-    t = spread(inputs)
+    t = Curated(inputs)
     counts = {}
     for name, mode in (("dim_country", "append"), ("dim_customers", "overwrite"),
                        ("fct_payments", "overwrite")):
@@ -778,7 +781,7 @@ def published_customers(inputs: Inputs) -> DataFrame:
     location = work_folder(spark, "warehouse")
     database = "shop_" + location.rsplit("-", 1)[1]
     spark.sql(f"create database {database} location '{location}'")
-    jobs.publish_table(spark, spread(inputs)["dim_customers"], f"{database}.dim_customers")
+    jobs.publish_table(spark, Curated(inputs)["dim_customers"], f"{database}.dim_customers")
     return spark.table(f"{database}.dim_customers").drop(LOADED_AT.upper())
 
 

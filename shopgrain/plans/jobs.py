@@ -160,24 +160,19 @@ def run_silver(
         rows = landing.read_landed(
             spark, paths.bronze, rules, schema, None if all_batches else batch_id
         )
-        checked = check_rows(spark, rows, entity, paths.silver_table, duplicate_scope)
-        valid, rejected = checked
-        newest_rows = latest_per_key(valid, list(rules.identity))
-        state = snapshots.upsert(
-            written(newest_rows, f"{entity}-latest"),
+        valid, rejected = check_rows(spark, rows, entity, paths.silver_table, duplicate_scope)
+        merged = snapshots.upsert(
+            latest_per_key(valid, list(rules.identity)),
             paths.silver_table(entity),
             [rules.key],
             verify=False,
         )
-        where = snapshots.append_rejected(
+        aside = snapshots.append_rejected(
             rejected, paths.rejected(entity), batch_id, ingestion_date
         )
         run.tables.append(
             TableRun(
-                entity,
-                valid.count() if state is not None else 0,
-                rejected.count() if where else 0,
-                paths.silver_table(entity),
+                entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
             )
         )
     manifests.write_manifest(spark, paths.silver, "silver", batch_id, ingestion_date, run.tables)
@@ -234,10 +229,7 @@ def run_gold(
     def store(table: str, frame: DataFrame) -> DataFrame:
         path = paths.gold_table(table)
         if mode == "merge" and table != "mart_customer_segments":
-            state = snapshots.upsert(frame, path, list(TABLES[table].key), verify=False)
-        elif frame.isEmpty():
-            known = snapshots.has_snapshot(spark, path)
-            state = snapshots.read_snapshot(spark, path) if known else None
+            state = snapshots.upsert(frame, path, list(TABLES[table].key), verify=False).state
         else:
             state = snapshots.overwrite(frame, path)
         rows = 0 if state is None else state.count()

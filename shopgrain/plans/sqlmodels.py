@@ -200,22 +200,42 @@ MARTS: dict[str, str] = {
 }
 
 
-def create_views(spark: SparkSession, curated: dict[str, DataFrame]) -> list[str]:
-    """Register staging, intermediate and mart views over the curated tables, as temporary views."""
+def create_views(
+    spark: SparkSession, curated: dict[str, DataFrame], only: str | None = None
+) -> list[str]:
+    """Register staging, intermediate and mart views over the curated tables, as temporary views.
+
+    Views whose tables are not in `curated` are left out; `only` registers one view and those
+    it reads.
+    """
+    wanted = None if only is None else {only, *_all_reads(only)}
     created = []
     for table in STAGED:
-        if table not in curated:
+        name = f"stg_{table}"
+        if table not in curated or (wanted is not None and name not in wanted):
             continue
         curated[table].createOrReplaceTempView(f"raw_{table}")
-        _view(spark, f"stg_{table}", staging_sql(table, f"raw_{table}"))
-        created.append(f"stg_{table}")
+        _view(spark, name, staging_sql(table, f"raw_{table}"))
+        created.append(name)
     for name, query in {**INTERMEDIATE, **MARTS}.items():
+        if wanted is not None and name not in wanted:
+            continue
         if all(part in created for part in _reads(query)):
             _view(spark, name, query)
             created.append(name)
     return created
 
 
+def tables_behind(name: str) -> list[str]:
+    """Curated tables a view is built from."""
+    return [table for table in STAGED if f"stg_{table}" in {name, *_all_reads(name)}]
+
+
+def _all_reads(name: str) -> set[str]:
+    direct = _reads({**INTERMEDIATE, **MARTS}.get(name, ""))
+    return direct.union(*[_all_reads(part) for part in direct])
+
+
 def materialise_marts(spark: SparkSession, database: str) -> list[str]:
     """Save the mart views as tables of a database; staging and intermediate stay views."""
     spark.sql(f"create database if not exists {database}")

@@ -23,5 +23,10 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in store.listStatus(jvm_path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    jvm_path, store = _path(spark, path)
+    store.delete(jvm_path, True)
+
+
 def join(*parts: str) -> str:
     return "/".join(part.strip("/") if i else part.rstrip("/") for i, part in enumerate(parts))

@@ -8,17 +8,28 @@ row-level operations, `merge_into` uses those.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.sources.files import exists, join, names
+from shopgrain.runtime import written
+from shopgrain.sources.files import delete, exists, join, names
 
 
 class DuplicateKeys(ValueError):
     """The rows to upsert hold a key more than once."""
 
 
+@dataclass(frozen=True)
+class Upserted:
+    """The state after an upsert, None if there has never been a row, and the rows it took in."""
+
+    state: DataFrame | None
+    rows: int
+
+
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Complete versions, oldest first."""
     return [
@@ -39,13 +50,22 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(complete[-1])
 
 
-def overwrite(frame: DataFrame, path: str) -> DataFrame:
-    """Write a new version and return it. Readers of the previous version are not disturbed."""
+def overwrite(frame: DataFrame, path: str) -> DataFrame | None:
+    """Write a new version and return the current state; rows of the old one are replaced.
+
+    A frame without rows changes nothing: its version is taken back after the write, which costs
+    less than running the whole plan once more beforehand to see whether it yields anything.
+    Readers of the previous version are not disturbed.
+    """
     spark = frame.sparkSession
     taken = [int(name[1:]) for name in names(spark, path) if name[1:].isdigit()]
     target = join(path, f"v{max(taken, default=0) + 1:08d}")
     frame.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+    state = spark.read.schema(frame.schema).parquet(target)
+    if state.isEmpty():
+        delete(spark, target)
+        return read_snapshot(spark, path) if has_snapshot(spark, path) else None
+    return state
 
 
 def merged(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
@@ -60,27 +80,35 @@ def upsert(
     key: list[str],
     newer_by: tuple[str, ...] = (),
     verify: bool = True,
-) -> DataFrame | None:
-    """Update rows by key and insert new ones; returns the new state.
+) -> Upserted:
+    """Update rows by key and insert new ones.
 
     An empty source changes nothing. `newer_by` keeps a stored row that is newer than the incoming
     one. `verify` refuses a source that repeats a key; skip it for a source that was
-    deduplicated on that key.
+    deduplicated on that key. A merge reads the source more than once, so the source is written
+    once first.
     """
     spark = source.sparkSession
-    if source.isEmpty():
-        return read_snapshot(spark, path) if has_snapshot(spark, path) else None
-    if verify and not (
-        source.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").isEmpty()
-    ):
+    stored = has_snapshot(spark, path)
+    if stored or verify:
+        source = written(source, "upsert")
+    if verify and not repeated_rows(source, key).isEmpty():
         raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
-    if not has_snapshot(spark, path):
-        return overwrite(source, path)
+    if not stored:
+        state = overwrite(source, path)
+        return Upserted(state, 0 if state is None else state.count())
+    rows = source.count()
     current = read_snapshot(spark, path)
+    if not rows:
+        return Upserted(current, 0)
     if newer_by:
         both = current.unionByName(source, allowMissingColumns=True)
-        return overwrite(latest_per_key(both, key, newer_by), path)
-    return overwrite(merged(current, source, key), path)
+        return Upserted(overwrite(latest_per_key(both, key, newer_by), path), rows)
+    return Upserted(overwrite(merged(current, source, key), path), rows)
+
+
+def repeated_rows(frame: DataFrame, key: list[str]) -> DataFrame:
+    return frame.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
 
 
 def merge_into(source: DataFrame, table: str, key: list[str]) -> None:
