@@ -742,18 +742,69 @@ ORACLES["daily_run_sales"] = sql(
     f_payments="select * from (" + BASE["f_payments"] + ") where order_key in "
                "(select order_id from e_orders where subtotal_amount >= 0)",
 )
-ORACLES["daily_run_counts"] = sql("""
-    select 'customers' as table_name, count(*) as row_count, cast(0 as bigint) as rejected_count
-    from e_customers
-    union all select 'products', count(*), 0 from e_products
-    union all select 'orders', count(*) filter (where subtotal_amount >= 0),
-                     count(*) filter (where subtotal_amount < 0) from e_orders
-    union all select 'order_items', count(*) filter (where ok), count(*) filter (where not ok)
-    from (select count(*) over (partition by order_item_id) = 1 and order_id in
-                 (select order_id from e_orders where subtotal_amount >= 0) as ok from e_items)
-    union all select 'payments', count(*) filter (where subtotal_amount >= 0),
-                     count(*) filter (where subtotal_amount < 0) from e_orders
+_KEPT = "(select * from e_orders where subtotal_amount >= 0)"
+_KEPT_ITEMS = f"""(select * from
+    (select *, count(*) over (partition by order_item_id) as copies from e_items)
+    where copies = 1 and order_id in (select order_id from {_KEPT}))"""
+_RUN_COUNTS = {
+    ("bronze", "customers"): ("select count(*) from customer", "select 0"),
+    ("bronze", "products"): ("select count(*) from part", "select 0"),
+    ("bronze", "orders"): ("select count(*) from orders", "select 0"),
+    ("bronze", "order_items"): ("select count(*) from lineitem", "select 0"),
+    ("bronze", "payments"): ("select count(*) from orders", "select 0"),
+    ("silver", "customers"): ("select count(*) from customer", "select 0"),
+    ("silver", "products"): ("select count(*) from part", "select 0"),
+    ("silver", "orders"): (
+        f"select count(*) from {_KEPT}",
+        "select count(*) from e_orders where subtotal_amount < 0",
+    ),
+    ("silver", "order_items"): (
+        f"select count(*) from {_KEPT_ITEMS}",
+        f"select (select count(*) from lineitem) - (select count(*) from {_KEPT_ITEMS})",
+    ),
+    ("silver", "payments"): (
+        f"select count(*) from {_KEPT}",
+        "select count(*) from e_orders where subtotal_amount < 0",
+    ),
+    ("gold", "dim_country"): ("select count(distinct country_code) from e_customers", "select 0"),
+    ("gold", "dim_customers"): ("select count(*) from customer", "select 0"),
+    ("gold", "dim_products"): ("select count(*) from part", "select 0"),
+    ("gold", "fct_orders"): (f"select count(*) from {_KEPT}", "select 0"),
+    ("gold", "fct_order_items"): (f"select count(*) from {_KEPT_ITEMS}", "select 0"),
+    ("gold", "fct_payments"): (f"select count(*) from {_KEPT}", "select 0"),
+    ("gold", "mart_daily_sales"): (
+        f"select count(distinct cast(order_date as date)) from {_KEPT}", "select 0"),
+    ("gold", "mart_monthly_revenue"): (
+        f"select count(distinct strftime(order_date,'%Y-%m')) from {_KEPT}", "select 0"),
+    ("gold", "mart_customer_lifetime_value"): (
+        f"select count(distinct customer_id) from {_KEPT}", "select 0"),
+    ("gold", "mart_product_performance"): (
+        f"select count(distinct product_id) from {_KEPT_ITEMS}", "select 0"),
+    ("gold", "mart_customer_segments"): (
+        "select count(*) from (select distinct customer_segment, country_code, country_name "
+        f"from e_customers where customer_id in (select customer_id from {_KEPT}))", "select 0"),
+}
+ORACLES["daily_run_counts"] = sql(" union all ".join(
+    f"select '{layer}' as layer, '{table}' as table_name, cast(({rows}) as bigint) as row_count, "
+    f"cast(({rejected}) as bigint) as rejected_count"
+    for (layer, table), (rows, rejected) in _RUN_COUNTS.items()
+))
+ORACLES["daily_run_issues"] = f"""
+    select 'customers' as entity,
+           'customers: source=' || {_ALL_CUSTOMERS} || ' bronze=' || {_ACTIVE} as issue
+    union all select 'gold', 'gold: missing no manifest'
+"""
+ORACLES["daily_run_quarantine"] = sql(f"""
+    select order_id, customer_id, case when subtotal_amount < 0 then 'below_min_subtotal_amount'
+           else 'orphan_customer_id_references_customers.customer_id' end as rejection_reason,
+           'retail_first' as batch_id, '2024-01-01' as ingestion_date
+    from e_orders where subtotal_amount < 0 or customer_id not in {_KNOWN}
 """)
+ORACLES["landed_matches_source"] = f"""
+    select 'customers' as table_name, {_ALL_CUSTOMERS} as left_rows, {_ACTIVE} as right_rows,
+           {_ALL_CUSTOMERS} = {_ACTIVE} as same_rows, '' as missing_columns
+    union all select 'orders', {_ALL_ORDERS}, {_ALL_ORDERS}, true, 'source_file'
+"""
 ORACLES["event_stream_dedupe"] = sql("""
     select event_id, event_type,
            case when event_type='error' then 'invalid_event_type' end as rejection_reason

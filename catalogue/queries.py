@@ -813,10 +813,68 @@ def daily_run_sales(inputs: Inputs) -> DataFrame:
 
 @query
 def daily_run_counts(inputs: Inputs) -> DataFrame:
-    """Accepted and rejected rows per entity of a whole silver run."""
+    """Rows per layer and table of a whole run, with the rejected ones."""
     paths = _daily_run(inputs)
-    silver = manifests.latest_counts(inputs.spark, paths.silver, "silver")
-    return silver.select("table_name", "row_count", "rejected_count")
+    parts = [
+        manifests.latest_counts(inputs.spark, root, layer)
+        for layer, root in (("bronze", paths.bronze), ("silver", paths.silver),
+                            ("gold", paths.gold))
+    ]
+    counts = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    # The calendar of the run is configured, not taken from the tables.
+    return counts.where(F.col("table_name") != "dim_date").select(
+        "layer", "table_name", "row_count", "rejected_count"
+    )
+
+
+@query
+def daily_run_issues(inputs: Inputs) -> DataFrame:
+    """Reconciliation after a run in which one landed customer table was cut short."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    landed = {
+        "customers": inputs.customers().where("is_active"),
+        "products": inputs.products(),
+        "orders": inputs.orders(),
+    }
+    run = jobs.run_ingest(spark, paths, landed)
+    jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date)
+    _, issues = jobs.run_reconcile(
+        spark, paths, {**landed, "customers": inputs.customers()}, batch_id=run.batch_id
+    )
+    return issues
+
+
+@query
+def daily_run_quarantine(inputs: Inputs) -> DataFrame:
+    """Rejected rows of a run in which orders of unknown customers were landed."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    run = jobs.run_ingest(
+        spark,
+        paths,
+        {"customers": inputs.customers().where("is_active"), "orders": inputs.orders()},
+        batch=FIRST,
+    )
+    jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date)
+    rejected = snapshots.read_rejected(spark, paths.rejected("orders"))
+    return rejected.select("order_id", "customer_id", REASON, "batch_id", "ingestion_date")
+
+
+@query
+def landed_matches_source(inputs: Inputs) -> DataFrame:
+    """Rows landed against rows at the source, and lineage columns that are absent."""
+    spark, root = inputs.spark, work_folder(inputs.spark, "landed")
+    source = {"customers": inputs.customers(), "orders": inputs.orders()}
+    short = {"customers": inputs.customers().where("is_active"), "orders": inputs.orders()}
+    back = {}
+    for name, frame in short.items():
+        landing.land(landing.with_lineage(frame, FIRST, "shop", name), root, ENTITIES[name])
+        back[name] = landing.read_landed(spark, root, ENTITIES[name])
+    back["orders"] = back["orders"].drop("source_file")
+    rows = checks.same_counts(checks.table_counts(source), checks.table_counts(back))
+    lineage = checks.schema_report(back, {name: LINEAGE_COLUMNS for name in back})
+    return rows.withColumnRenamed("passed", "same_rows").join(
+        lineage.select("table_name", "missing_columns"), "table_name"
+    )
 
 
 @query

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgrain.runtime import literal_rows
 from shopgrain.sources.manifests import latest_counts
 
 LAYERS = ("source", "bronze", "silver", "gold", "warehouse")
@@ -35,13 +36,13 @@ def layer_counts(layer: str, tables: dict[str, DataFrame | None]) -> DataFrame:
     absent = [(layer, name, None, "missing", "") for name, frame in tables.items() if frame is None]
     if absent or not parts:
         session = SparkSession.active()
-        parts.append(session.createDataFrame(absent, COUNT_SCHEMA))
+        parts.append(literal_rows(session, absent, COUNT_SCHEMA))
     return reduce(DataFrame.unionAll, parts)
 
 
 def unavailable(spark: SparkSession, layer: str, status: str, detail: str) -> DataFrame:
     """A layer that could not be read at all: `error`, `missing` or `skipped`."""
-    return spark.createDataFrame([(layer, layer, None, status, detail)], COUNT_SCHEMA)
+    return literal_rows(spark, [(layer, layer, None, status, detail)], COUNT_SCHEMA)
 
 
 def manifest_counts(spark: SparkSession, root: str, layer: str) -> DataFrame:

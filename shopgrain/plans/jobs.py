@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopgrain.functions.expressions import upper_names
 from shopgrain.operators import reconcile as rec
@@ -21,6 +22,7 @@ from shopgrain.operators.quality import annotate, mark_orphans
 from shopgrain.plans import dims, facts, marts, sqlmodels
 from shopgrain.rules import (
     ENTITIES,
+    ENTITY_GROUPS,
     LOADED_AT,
     REASON,
     SOURCE_FEEDS,
@@ -29,7 +31,7 @@ from shopgrain.rules import (
     TABLES,
     BusinessRules,
 )
-from shopgrain.runtime import written
+from shopgrain.runtime import for_each_table, written
 from shopgrain.schemas import entity_schema
 from shopgrain.sources import feeds, landing, manifests, snapshots
 from shopgrain.sources.files import exists, join
@@ -89,23 +91,27 @@ def run_ingest(
     """
     batch = batch or Batch.start()
     run = Run(batch.batch_id, batch.ingestion_date)
+    tables, feed_folders = tables or {}, feed_folders or {}
     marks = manifests.stored_watermarks(spark, paths.bronze) if watermarks is None else watermarks
-    for entity, frame in (tables or {}).items():
-        rules = landing.rules_of(entity)
-        changed = landing.changed_since(frame, entity, marks.get(entity))
-        enriched = landing.with_lineage(changed, batch, TABLE_SOURCE_SYSTEM, entity)
-        landing.land(enriched, paths.bronze, rules)
-        run.tables.append(_landed(spark, paths, entity, batch, marks.get(entity)))
-    for entity, folder in (feed_folders or {}).items():
+
+    def land_one(entity: str) -> TableRun:
         rules = landing.rules_of(entity)
-        system, pattern = SOURCE_FEEDS[entity]
-        feeds.require_files(spark, folder, pattern)
-        if rules.file_format == "csv":
-            frame = feeds.with_file_name(feeds.read_csv(spark, folder, pattern))
+        if entity in tables:
+            changed = landing.changed_since(tables[entity], entity, marks.get(entity))
+            enriched = landing.with_lineage(changed, batch, TABLE_SOURCE_SYSTEM, entity)
         else:
-            frame = feeds.read_json(spark, folder, entity_schema(entity), pattern)
-        landing.land(landing.with_lineage(frame, batch, system), paths.bronze, rules)
-        run.tables.append(_landed(spark, paths, entity, batch, None))
+            system, pattern = SOURCE_FEEDS[entity]
+            folder = feed_folders[entity]
+            feeds.require_files(spark, folder, pattern)
+            if rules.file_format == "csv":
+                frame = feeds.with_file_name(feeds.read_csv(spark, folder, pattern))
+            else:
+                frame = feeds.read_json(spark, folder, entity_schema(entity), pattern)
+            enriched = landing.with_lineage(frame, batch, system)
+        landing.land(enriched, paths.bronze, rules)
+        return _landed(spark, paths, entity, enriched.schema, batch, marks.get(entity))
+
+    run.tables = for_each_table(spark, land_one, [*tables, *feed_folders])
     manifests.write_manifest(
         spark, paths.bronze, "bronze", run.batch_id, run.ingestion_date, run.tables
     )
@@ -113,13 +119,18 @@ def run_ingest(
 
 
 def _landed(
-    spark: SparkSession, paths: Paths, entity: str, batch: Batch, old_mark: str | None
+    spark: SparkSession,
+    paths: Paths,
+    entity: str,
+    schema: StructType,
+    batch: Batch,
+    old_mark: str | None,
 ) -> TableRun:
+    """Rows and highest watermark of what the batch landed, from one pass over one column."""
     rules = ENTITIES[entity]
     path = landing.entity_path(paths.bronze, rules.source_type, entity)
     if not exists(spark, path):
         return TableRun(entity, 0, path=path, watermark=old_mark)
-    schema = entity_schema(entity) if rules.source_type == "file" else None
     rows = landing.read_landed(spark, paths.bronze, rules, schema, batch.batch_id)
     column = SOURCE_TABLES.get(entity, ("full", None))[1]
     if column is None or column not in rows.columns:
@@ -149,11 +160,12 @@ def run_silver(
         newest = manifests.newest_batch(spark, paths.bronze)
         batch_id, ingestion_date = batch_id or newest[0], ingestion_date or newest[1]
     run = Run(batch_id, ingestion_date)
-    wanted = list(ENTITIES) if entities is None else entities
-    for entity in wanted:
-        rules = landing.rules_of(entity)
+    wanted = [rules.name for rules in map(landing.rules_of, entities or ENTITIES)]
+
+    def refine(entity: str) -> TableRun | None:
+        rules = ENTITIES[entity]
         if not landing.is_landed(spark, paths.bronze, rules):
-            continue
+            return None
         schema = (schemas or {}).get(entity)
         if schema is None and rules.source_type == "file":
             schema = entity_schema(entity)
@@ -170,11 +182,13 @@ def run_silver(
         aside = snapshots.append_rejected(
             rejected, paths.rejected(entity), batch_id, ingestion_date
         )
-        run.tables.append(
-            TableRun(
-                entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
-            )
+        return TableRun(
+            entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
         )
+
+    for group in ENTITY_GROUPS:
+        results = for_each_table(spark, refine, [name for name in group if name in wanted])
+        run.tables += [result for result in results if result is not None]
     manifests.write_manifest(spark, paths.silver, "silver", batch_id, ingestion_date, run.tables)
     return run
 
@@ -232,22 +246,43 @@ def run_gold(
             state = snapshots.upsert(frame, path, list(TABLES[table].key), verify=False).state
         else:
             state = snapshots.overwrite(frame, path)
-        rows = 0 if state is None else state.count()
-        run.tables.append(TableRun(table, rows, path=path))
         return frame if state is None else state
 
-    store("dim_date", dims.dim_date(spark, rules))
-    customers = store("dim_customers", dims.dim_customers(silver["customers"]))
-    products = store("dim_products", dims.dim_products(silver["products"]))
-    store("dim_country", dims.dim_country(silver["customers"]))
-    orders = store("fct_orders", facts.fct_orders(silver["orders"], rules))
-    items = store("fct_order_items", facts.fct_order_items(silver["order_items"]))
-    payments = store("fct_payments", facts.fct_payments(silver["payments"], rules))
-    store("mart_daily_sales", marts.mart_daily_sales(orders, payments))
-    store("mart_monthly_revenue", marts.mart_monthly_revenue(orders))
-    store("mart_customer_lifetime_value", marts.mart_customer_lifetime_value(orders))
-    store("mart_product_performance", marts.mart_product_performance(items, products, orders))
-    store("mart_customer_segments", marts.mart_customer_segments(orders, customers))
+    def build_all(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        states = for_each_table(
+            spark, lambda table: store(table, builders[table]()), list(builders)
+        )
+        return dict(zip(builders, states))
+
+    base = build_all(
+        {
+            "dim_date": lambda: dims.dim_date(spark, rules),
+            "dim_country": lambda: dims.dim_country(silver["customers"]),
+            "dim_customers": lambda: dims.dim_customers(silver["customers"]),
+            "dim_products": lambda: dims.dim_products(silver["products"]),
+            "fct_orders": lambda: facts.fct_orders(silver["orders"], rules),
+            "fct_order_items": lambda: facts.fct_order_items(silver["order_items"]),
+            "fct_payments": lambda: facts.fct_payments(silver["payments"], rules),
+        }
+    )
+    orders = base["fct_orders"]
+    built = base | build_all(
+        {
+            "mart_daily_sales": lambda: marts.mart_daily_sales(orders, base["fct_payments"]),
+            "mart_monthly_revenue": lambda: marts.mart_monthly_revenue(orders),
+            "mart_customer_lifetime_value": lambda: marts.mart_customer_lifetime_value(orders),
+            "mart_product_performance": lambda: marts.mart_product_performance(
+                base["fct_order_items"], base["dim_products"], orders
+            ),
+            "mart_customer_segments": lambda: marts.mart_customer_segments(
+                orders, base["dim_customers"]
+            ),
+        }
+    )
+    counts = for_each_table(spark, lambda table: built[table].count(), list(built))
+    run.tables = [
+        TableRun(table, rows, path=paths.gold_table(table)) for table, rows in zip(built, counts)
+    ]
     manifests.write_manifest(spark, paths.gold, "gold", run.batch_id, "", run.tables)
     return run
 

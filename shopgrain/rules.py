@@ -174,6 +174,13 @@ ENTITIES: dict[str, EntityRules] = {
     )
 }
 
+# Entities of one group need only parents from earlier groups (fixed values).
+ENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
+    ("customers", "products"),
+    ("orders", "product_updates", "website_events"),
+    ("order_items", "payments"),
+)
+
 # --- Source tables: load mode and watermark column (fixed values) ---------------
 
 SOURCE_TABLES: dict[str, tuple[str, str | None]] = {

@@ -4,8 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+T = TypeVar("T")
+R = TypeVar("R")
+
+# Independent tables worked on at the same time.
+TABLES_AT_ONCE = 5
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -80,3 +92,35 @@ def fits_broadcast(frame: DataFrame) -> bool:
     """Whether the planner itself would broadcast `frame` in a join."""
     size = planned_bytes(frame)
     return size is not None and size <= broadcast_limit(frame.sparkSession)
+
+
+def for_each_table(
+    spark: SparkSession, work: Callable[[T], R], tables: Iterable[T], at_once: int = TABLES_AT_ONCE
+) -> list[R]:
+    """Run `work` for independent tables, a few at a time; results come in the order of `tables`.
+
+    Spark runs jobs submitted from several threads side by side, so a small table does not leave
+    the executors idle while the next one waits. The first failure is raised.
+    """
+    target = inheritable_thread_target(spark)(work)
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(target, list(tables)))
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small frame of literals that needs no Python worker to read."""
+    schema = StructType.fromDDL(ddl)
+    if not rows:
+        return spark.range(0).select(
+            *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+        )
+    structs = [
+        F.struct(
+            *[
+                F.lit(value).cast(field.dataType).alias(field.name)
+                for field, value in zip(schema.fields, row, strict=True)
+            ]
+        )
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,29 +54,30 @@ def read_json(
     opened = lines.where(F.ltrim("value").startswith("[") & ~F.rtrim("value").endswith("]"))
     found = opened.select(F.col("_metadata.file_path").alias("path")).distinct()
     arrays = {row.path for row in found.collect()}
-    # Metadata columns and inputFiles() spell the same location differently.
-    spelled = {_bare(path) for path in arrays}
-    plain = [path for path in lines.inputFiles() if _bare(path) not in spelled]
+    listed = {_plain_path(path) for path in lines.inputFiles()}
+    arrays = {_plain_path(path) for path in arrays}
     parts = []
-    if plain:
-        parts.append(with_file_name(spark.read.schema(schema).json(plain)))
+    if listed - arrays:
+        parts.append(with_file_name(spark.read.schema(schema).json(sorted(listed - arrays))))
     if arrays:
-        parts.append(
-            with_file_name(spark.read.schema(schema).option("multiLine", True).json(sorted(arrays)))
-        )
+        whole = spark.read.schema(schema).option("multiLine", True)
+        parts.append(with_file_name(whole.json(sorted(arrays))))
     if not parts:
-        return spark.createDataFrame([], schema).withColumn("source_file", F.lit(""))
+        return with_file_name(spark.read.schema(schema).json([]))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _bare(path: str) -> str:
-    return path.removeprefix("file:").lstrip("/")
+def _plain_path(uri: str) -> str:
+    """A listed URI as a path; both spellings of a local file become one."""
+    path = unquote(uri)
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
 
 
 def with_file_name(frame: DataFrame) -> DataFrame:
     """Name the input file of every row; `frame` must come straight from a file scan."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return frame.withColumn("source_file", name)
+    # The name comes URI-encoded; a plus sign in it is a plus sign, not a blank.
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return frame.withColumn("source_file", F.url_decode(encoded))
 
 
 def write_json_lines(frame: DataFrame, folder: str) -> None:

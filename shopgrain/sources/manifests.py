@@ -8,13 +8,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgrain.runtime import literal_rows
 from shopgrain.sources.files import exists, join
 
-SCHEMA = (
-    "layer string, batch_id string, ingestion_date string, written_at string, total_rows bigint, "
-    "tables array<struct<table_name: string, row_count: bigint, rejected_count: bigint, "
-    "path: string, watermark: string>>"
+RUN_DDL = (
+    "layer string, batch_id string, ingestion_date string, written_at string, total_rows bigint"
 )
+TABLE_DDL = (
+    "table_name string, row_count bigint, rejected_count bigint, path string, watermark string"
+)
+SCHEMA = f"{RUN_DDL}, tables array<struct<{TABLE_DDL}>>"
 
 
 @dataclass(frozen=True)
@@ -36,13 +39,21 @@ def write_manifest(
     ingestion_date: str,
     tables: list[TableRun],
 ) -> None:
-    rows = [(t.table_name, t.row_count, t.rejected_count, t.path, t.watermark) for t in tables]
     written_at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
     total = sum(t.row_count for t in tables)
-    frame = spark.createDataFrame(
-        [(layer, batch_id, ingestion_date, written_at, total, rows)], SCHEMA
-    )
-    frame.coalesce(1).write.mode("append").json(_folder(root))
+    rows = [(t.table_name, t.row_count, t.rejected_count, t.path, t.watermark) for t in tables]
+    entries = literal_rows(spark, rows, TABLE_DDL)
+    listed = entries.agg(F.collect_list(F.struct(*entries.columns)).alias("tables"))
+    run = {
+        "layer": layer,
+        "batch_id": batch_id,
+        "ingestion_date": ingestion_date,
+        "written_at": written_at,
+        "total_rows": total,
+    }
+    listed.select(*[F.lit(value).alias(name) for name, value in run.items()], "tables").write.mode(
+        "append"
+    ).json(_folder(root))
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
