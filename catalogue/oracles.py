@@ -183,24 +183,24 @@ BASE: dict[str, str] = {
         select sale_date, cast(gross_revenue as double) as gross_revenue,
                cast(net_revenue as double) as net_revenue, order_count, cancelled_order_count,
                refunded_order_count, payment_failure_count, payment_attempt_count,
-               round(cast(net_revenue as double)/order_count,6) as average_order_value,
-               round(case when payment_attempt_count>0
-                          then cast(payment_failure_count as double)/payment_attempt_count
-                          else 0 end,6) as payment_failure_rate,
-               round(cast(cancelled_order_count as double)/order_count,6) as cancellation_rate
+               cast(net_revenue as double)/order_count as average_order_value,
+               case when payment_attempt_count>0
+                    then cast(payment_failure_count as double)/payment_attempt_count
+                    else 0 end as payment_failure_rate,
+               cast(cancelled_order_count as double)/order_count as cancellation_rate
         from m_daily
     """,
     "m_monthly_out": """
         select year_month, cast(gross_revenue as double) as gross_revenue,
                cast(net_revenue as double) as net_revenue, order_count, monthly_active_customers,
                new_customers, returning_customers,
-               round(cast(net_revenue as double)/order_count,6) as average_order_value
+               cast(net_revenue as double)/order_count as average_order_value
         from m_monthly
     """,
     "m_clv_out": """
         select customer_key, total_orders, cast(total_revenue as double) as total_revenue,
                cast(net_revenue as double) as net_revenue, first_order_date, last_order_date,
-               round(cast(net_revenue as double)/total_orders,6) as avg_order_value,
+               cast(net_revenue as double)/total_orders as avg_order_value,
                case when total_orders>1 then cast(1 as double) else 0 end as repeat_purchase_rate
         from m_clv
     """,
@@ -208,8 +208,8 @@ BASE: dict[str, str] = {
         select product_id, category, subcategory, product_name, total_quantity_sold,
                cast(gross_revenue as double) as gross_revenue,
                cast(net_revenue as double) as net_revenue, order_count,
-               round(case when total_quantity_sold>0
-                          then cast(net_revenue as double)/total_quantity_sold else 0 end,6)
+               case when total_quantity_sold>0
+                    then cast(net_revenue as double)/total_quantity_sold else 0 end
                    as avg_unit_revenue
         from m_products
     """,
@@ -218,10 +218,10 @@ BASE: dict[str, str] = {
                cast(total_revenue as double) as total_revenue,
                cast(net_revenue as double) as net_revenue, order_count, cancelled_orders,
                ordering_customers, repeat_customers, customers_with_orders,
-               round(cast(net_revenue as double)/order_count,6) as avg_order_value,
-               round(cast(repeat_customers as double)/customers_with_orders,6)
+               cast(net_revenue as double)/order_count as avg_order_value,
+               cast(repeat_customers as double)/customers_with_orders
                    as repeat_purchase_rate,
-               round(cast(cancelled_orders as double)/order_count,6) as cancellation_rate
+               cast(cancelled_orders as double)/order_count as cancellation_rate
         from m_segments
     """,
 }

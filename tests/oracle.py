@@ -78,6 +78,8 @@ def main(folder: str, names: list[str]) -> int:
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        # -1 sends every join through the shuffle path a large table would take.
+        spark__sql__autoBroadcastJoinThreshold=os.environ.get("BROADCAST_BYTES", "10485760"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, failed = connect(folder), oracle_sql(), 0
