@@ -493,6 +493,12 @@ ORACLES["upsert_snapshot"] = sql("""
              cast(unit_price+5 as double), cast(unit_cost as double), is_active from u where big)
     select * from shown
 """.replace("with u as", "select * from (with u as") + ")")
+ORACLES["upsert_by_month"] = sql("""
+    select order_id, case when order_status='refunded' and month(order_date)=12
+                          then order_date + interval 40 days else order_date end as order_date,
+           case when order_status='refunded' then 'closed' else order_status end as order_status
+    from e_orders
+""")
 ORACLES["upsert_newest_only"] = sql("""
     select order_id, case when order_status='completed' then order_status else 'restored' end
                as order_status,
@@ -719,6 +725,17 @@ def _schema_check() -> str:
 
 
 ORACLES["schema_check"] = _schema_check()
+ORACLES["silver_schema_check"] = f"""
+    select 'customers' as table_name, '' as missing_columns, {_ALL_CUSTOMERS} as row_count,
+           true as passed
+    union all select 'orders', '', {_ALL_ORDERS}, true
+    union all select 'products', 'sku,unit_cost', (select count(*) from part), false
+"""
+ORACLES["published_matches_curated"] = f"""
+    select 'dim_products' as table_name, (select count(*) from part) as left_rows,
+           2*(select count(*) from part) as right_rows, false as passed
+    union all select 'fct_payments', {_ALL_ORDERS}, {_ALL_ORDERS}, true
+"""
 ORACLES["published_tables"] = sql("""
     select 'dim_country' as table_name, 2*count(distinct country_code) as row_count from e_customers
     union all select 'dim_customers', count(*) from customer

@@ -33,7 +33,7 @@ from shopgrain.rules import (
     EntityRules,
 )
 from shopgrain.runtime import work_folder, written
-from shopgrain.schemas import bind_by_name, entity_schema
+from shopgrain.schemas import entity_schema
 from shopgrain.sources import feeds, landing, manifests, snapshots
 from shopgrain.sources.landing import Batch
 from shopgrain.sources.manifests import TableRun
@@ -362,7 +362,9 @@ def _with_orphans(inputs: Inputs) -> DataFrame:
     """Orders checked against only those customers that have a positive balance."""
     orders, known = inputs.orders(), inputs.customers().where("is_active")
     annotated = annotate(orders, ORDERS, settle=_settle("orders-repeated"))
-    return mark_orphans(annotated, ORDERS.foreign_keys[0], known, key_source=orders)
+    return mark_orphans(
+        annotated, ORDERS.foreign_keys[0], known, key_source=orders, settle=_settle("orphans")
+    )
 
 
 @query
@@ -382,8 +384,11 @@ def fk_every_orphan(inputs: Inputs) -> DataFrame:
     orders = inputs.orders().where(F.col("order_status") == "completed")
     products = inputs.products().where("is_active")
     by_order, by_product = ORDER_ITEMS.foreign_keys
-    marked = mark_orphans(items, by_order, orders, every_orphan=True, key_source=items)
-    marked = mark_orphans(marked, by_product, products, every_orphan=True, key_source=items)
+    marked = items
+    for key, parent in ((by_order, orders), (by_product, products)):
+        marked = mark_orphans(
+            marked, key, parent, every_orphan=True, key_source=items, settle=_settle("orphans")
+        )
     return edge(marked.select("order_item_id", "product_id", "line_total", REASON))
 
 
@@ -430,6 +435,24 @@ def upsert_snapshot(inputs: Inputs) -> DataFrame:
     return edge(state.state)
 
 
+@query
+def upsert_by_month(inputs: Inputs) -> DataFrame:
+    """Refunds change orders of some months, and some of those orders move to another month."""
+    path = work_folder(inputs.spark, "upsert-month")
+    orders = inputs.orders().select("order_id", "order_date", "order_status")
+    by_month = {"month_of": "order_date", "divide_above": 0}
+    snapshots.upsert(orders, path, ["order_id"], verify=False, **by_month)
+    refunded = orders.where("order_status = 'refunded'").withColumns(
+        {
+            "order_status": F.lit("closed"),
+            "order_date": F.when(
+                F.month("order_date") == 12, F.col("order_date") + F.expr("interval 40 days")
+            ).otherwise(F.col("order_date")),
+        }
+    )
+    return snapshots.upsert(refunded, path, ["order_id"], **by_month).state
+
+
 @query
 def upsert_newest_only(inputs: Inputs) -> DataFrame:
     """An older delivery does not overwrite newer rows."""
@@ -501,7 +524,8 @@ def csv_tables_by_name(inputs: Inputs) -> DataFrame:
     folder = work_folder(spark, "csv-tables")
     reordered = inputs.customers().select(*reversed(inputs.customers().columns))
     feeds.export_csv({"customers": reordered}, folder)
-    typed = bind_by_name(feeds.read_csv(spark, f"{folder}/customers"), entity_schema("customers"))
+    schemas = {"customers": entity_schema("customers")}
+    typed = feeds.read_csv_tables(spark, folder, schemas)["customers"]
     return typed.select(*inputs.customers().columns)
 
 
@@ -750,6 +774,34 @@ def schema_check(inputs: Inputs) -> DataFrame:
     return checks.schema_report(tables, wanted)
 
 
+@query
+def silver_schema_check(inputs: Inputs) -> DataFrame:
+    """Checked rows carry every required column and the processing time; products lost theirs."""
+    frames = {
+        "customers": annotate(inputs.customers(), CUSTOMERS),
+        "orders": annotate(inputs.orders(), ORDERS),
+        "products": annotate(inputs.products().drop("sku", "unit_cost"), PRODUCTS),
+    }
+    wanted = {name: (*ENTITIES[name].required, PROCESSED_AT) for name in frames}
+    return checks.schema_report(frames, wanted)
+
+
+@query
+def published_matches_curated(inputs: Inputs) -> DataFrame:
+    """Rows of published tables against the rows of the tables they were loaded from."""
+    spark = inputs.spark
+    location = work_folder(spark, "warehouse")
+    database = "shop_" + location.rsplit("-", 1)[1]
+    spark.sql(f"create database {database} location '{location}'")
+    t = Curated(inputs)
+    curated = {name: t[name] for name in ("dim_products", "fct_payments")}
+    for name, frame in curated.items():
+        jobs.publish_table(spark, frame, f"{database}.{name}", "append")
+    jobs.publish_table(spark, curated["dim_products"], f"{database}.dim_products", "append")
+    loaded = {name: spark.table(f"{database}.{name}") for name in curated}
+    return checks.same_counts(checks.table_counts(curated), checks.table_counts(loaded))
+
+
 @query
 def published_tables(inputs: Inputs) -> DataFrame:
     """Dimensions loaded into a catalog database: overwritten twice, the countries appended twice."""

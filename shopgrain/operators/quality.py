@@ -110,6 +110,7 @@ def mark_duplicates(
             repeated.withColumn(_DUPLICATE, F.lit(True)),
             [_KEY],
             "left",
+            key_source=frame.select(F.struct(*keys).alias(_KEY)),
         )
         .withColumn(_DUPLICATE, F.coalesce(F.col(_DUPLICATE), F.lit(False)))
         .drop(_KEY)
@@ -141,26 +142,42 @@ def annotate(
     return clean.withColumn(REASON, F.nullif(joined, F.lit(""))).drop(_DUPLICATE)
 
 
+def orphan_keys(child: DataFrame, foreign_key: ForeignKey, parent: DataFrame) -> DataFrame:
+    """Values of the child's foreign key that no parent has.
+
+    Only the key column travels, and each value once: a key with a third of the child's rows is
+    one row per map task.
+    """
+    column = foreign_key.column
+    known = parent.select(
+        F.col(foreign_key.parent_column).cast(child.schema[column].dataType).alias(column)
+    )
+    return child.where(F.col(column).isNotNull()).select(column).distinct().join(
+        known, column, "left_anti"
+    )
+
+
 def mark_orphans(
     annotated: DataFrame,
     foreign_key: ForeignKey,
     parent: DataFrame,
     every_orphan: bool = False,
     key_source: DataFrame | None = None,
+    settle: Settle | None = None,
 ) -> DataFrame:
     """Give valid rows whose foreign key has no parent the orphan reason.
 
     Rows that already have a reason keep it, so only the first failing key is named, unless
     `every_orphan` asks for all of them. A null key has no parent. `key_source` is a cheaper frame
-    with the same foreign keys, such as the landed rows.
+    with the same foreign keys, such as the standardised rows before any join. As with repeated
+    keys, `settle` may write the orphan keys first: few of them are broadcast, and the rows stay
+    where they are.
     """
-    child_type = annotated.schema[foreign_key.column].dataType
-    parents = (
-        parent.select(F.col(foreign_key.parent_column).cast(child_type).alias(foreign_key.column))
-        .distinct()
-        .withColumn(_FOUND, F.lit(True))
-    )
-    orphan = F.col(_FOUND).isNull()
+    source = annotated if key_source is None else key_source
+    lost = orphan_keys(source, foreign_key, parent)
+    if settle is not None:
+        lost = settle(lost)
+    orphan = F.col(_FOUND).isNotNull() | F.col(foreign_key.column).isNull()
     already = F.col(REASON)
     if every_orphan:
         named = F.when(orphan, F.lit(foreign_key.reason))
@@ -172,7 +189,13 @@ def mark_orphans(
         verdict = F.coalesce(already, F.when(orphan, F.lit(foreign_key.reason)))
     columns = annotated.columns
     return (
-        lookup_join(annotated, parents, [foreign_key.column], "left", key_source)
+        lookup_join(
+            annotated,
+            lost.withColumn(_FOUND, F.lit(True)),
+            [foreign_key.column],
+            "left",
+            key_source=source,
+        )
         .withColumn(REASON, verdict)
         .select(*columns)
     )

@@ -18,12 +18,13 @@ from shopgrain.functions.expressions import upper_names
 from shopgrain.operators import reconcile as rec
 from shopgrain.operators.checks import not_null, orphans, report, unique
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.operators.quality import annotate, mark_orphans
+from shopgrain.operators.quality import annotate, mark_orphans, standardise
 from shopgrain.plans import dims, facts, marts, sqlmodels
 from shopgrain.rules import (
     ENTITIES,
     ENTITY_GROUPS,
     LOADED_AT,
+    MONTH_OF,
     REASON,
     SOURCE_FEEDS,
     SOURCE_TABLES,
@@ -149,12 +150,14 @@ def run_silver(
     entities: list[str] | None = None,
     all_batches: bool = False,
     duplicate_scope: str = "batch",
-    schemas: dict[str, object] | None = None,
+    schemas: dict[str, StructType] | None = None,
+    divide_above: int = snapshots.DIVIDE_ABOVE,
 ) -> Run:
     """Check the landed rows, set rejected ones aside and upsert the rest by key.
 
     Entities run parents first. By default only the run's batch is read, through partition pruning.
-    Entities that were never landed are skipped.
+    Entities that were never landed are skipped. Orders and payments beyond `divide_above` bytes are
+    stored by month.
     """
     if not (batch_id and ingestion_date):
         newest = manifests.newest_batch(spark, paths.bronze)
@@ -173,11 +176,16 @@ def run_silver(
             spark, paths.bronze, rules, schema, None if all_batches else batch_id
         )
         valid, rejected = check_rows(spark, rows, entity, paths.silver_table, duplicate_scope)
+        if all_batches and duplicate_scope == "batch":
+            # Only then can a key be left more than once; otherwise its copies were rejected.
+            valid = latest_per_key(valid, list(rules.identity))
         merged = snapshots.upsert(
-            latest_per_key(valid, list(rules.identity)),
+            valid,
             paths.silver_table(entity),
             [rules.key],
             verify=False,
+            month_of=MONTH_OF.get(entity),
+            divide_above=divide_above,
         )
         aside = snapshots.append_rejected(
             rejected, paths.rejected(entity), batch_id, ingestion_date
@@ -206,14 +214,20 @@ def check_rows(
     same run have already updated; a parent without any state is not checked.
     """
     rules = ENTITIES[entity]
+    clean = standardise(rows)
     annotated = annotate(
         rows, rules, duplicate_scope, settle=lambda keys: written(keys, f"{entity}-repeated")
     )
     for key in rules.foreign_keys:
         path = parent_path(key.parent)
         if key.column in annotated.columns and snapshots.has_snapshot(spark, path):
-            parent = snapshots.read_snapshot(spark, path)
-            annotated = mark_orphans(annotated, key, parent, key_source=rows)
+            annotated = mark_orphans(
+                annotated,
+                key,
+                snapshots.read_snapshot(spark, path),
+                key_source=clean,
+                settle=lambda keys: written(keys, f"{entity}-orphans"),
+            )
     settled = written(
         annotated.withColumn("accepted", F.col(REASON).isNull()), entity, ("accepted",)
     )

@@ -191,6 +191,10 @@ SOURCE_TABLES: dict[str, tuple[str, str | None]] = {
     "payments": ("incremental", "updated_at"),
 }
 
+# Entities whose stored state is divided by the month of a column, so that a day's changes rewrite
+# only the months they touch.
+MONTH_OF: dict[str, str] = {"orders": "order_date", "payments": "payment_date"}
+
 # Feed -> (source system, file pattern)
 SOURCE_FEEDS: dict[str, tuple[str, str]] = {
     "product_updates": ("retail_product_feed", "*.csv"),

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from shopgrain.schemas import bind_by_name
+from shopgrain.sources.files import exists
+
 
 def require_files(spark: SparkSession, folder: str, pattern: str) -> None:
     """Fail when a feed folder holds no file of the pattern."""
@@ -90,6 +93,20 @@ def json_lines(frame: DataFrame) -> DataFrame:
     return frame.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def read_csv_tables(
+    spark: SparkSession, folder: str, schemas: dict[str, StructType]
+) -> dict[str, DataFrame]:
+    """One frame per table from `<folder>/<table>.csv`, a file or a folder of files, bound by name."""
+    frames = {}
+    for name, schema in schemas.items():
+        base = f"{folder.rstrip('/')}/{name}"
+        path = base if exists(spark, base) else f"{base}.csv"
+        if not exists(spark, path):
+            raise FileNotFoundError(f"no CSV for {name} in {folder}")
+        frames[name] = bind_by_name(read_csv(spark, path), schema)
+    return frames
+
+
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
     """Each table as a folder of CSV files with a header."""
     for name, frame in tables.items():

@@ -1,9 +1,14 @@
 """Current-state tables: keyed upsert, overwrite and append on plain Parquet folders.
 
-A snapshot is a folder of versions; the current one is the highest that carries the `_SUCCESS`
-marker the write commits last. A new version is always written beside the one it reads from, so a
-failed or repeated write never damages the current state. Where the catalog has tables with
-row-level operations, `merge_into` uses those.
+A snapshot is one of two layouts:
+
+* a folder of versions, of which the current one is the highest that carries the `_SUCCESS` marker the
+  write commits last. A new version is written beside the one it reads from, so a failed or
+  repeated write never damages the current state. It suits small and fully rebuilt tables.
+* a folder divided by month, for large tables that change a little every day. An upsert rewrites
+  the months it touches and leaves the others alone.
+
+Where the catalog has tables with row-level operations, `merge_into` uses those.
 """
 
 from __future__ import annotations
@@ -14,10 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.runtime import written
+from shopgrain.runtime import planned_bytes, written
 from shopgrain.sources.files import delete, exists, join, names
 
 
+# Partition column of a snapshot divided by month; not part of the table's own columns.
+MONTH = "state_month"
+
+# Rewriting a table of this size for every batch is cheaper than keeping a folder per month.
+DIVIDE_ABOVE = 10 << 30
+
+
 class DuplicateKeys(ValueError):
     """The rows to upsert hold a key more than once."""
 
@@ -39,15 +51,23 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
+def months(spark: SparkSession, path: str) -> list[str]:
+    """Month values of a snapshot that is divided by month."""
+    prefix = f"{MONTH}="
+    return [n.removeprefix(prefix) for n in names(spark, path) if n.startswith(prefix)]
+
+
 def has_snapshot(spark: SparkSession, path: str) -> bool:
-    return bool(versions(spark, path))
+    return bool(versions(spark, path)) or bool(months(spark, path))
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     complete = versions(spark, path)
-    if not complete:
-        raise FileNotFoundError(f"no snapshot at {path}")
-    return spark.read.parquet(complete[-1])
+    if complete:
+        return spark.read.parquet(complete[-1])
+    if months(spark, path):
+        return spark.read.parquet(path).drop(MONTH)
+    raise FileNotFoundError(f"no snapshot at {path}")
 
 
 def overwrite(frame: DataFrame, path: str) -> DataFrame | None:
@@ -80,15 +100,25 @@ def upsert(
     key: list[str],
     newer_by: tuple[str, ...] = (),
     verify: bool = True,
+    month_of: str | None = None,
+    divide_above: int = DIVIDE_ABOVE,
 ) -> Upserted:
     """Update rows by key and insert new ones.
 
+    `month_of` names the date column that divides a table by month. The first load settles the
+    layout: a table is divided if its planned size exceeds `divide_above` bytes.
     An empty source changes nothing. `newer_by` keeps a stored row that is newer than the incoming
     one. `verify` refuses a source that repeats a key; skip it for a source that was
     deduplicated on that key. A merge reads the source more than once, so the source is written
     once first.
     """
     spark = source.sparkSession
+    if month_of is not None and _is_divided(source, path, divide_above):
+        if newer_by:
+            raise ValueError("newer_by needs a snapshot that is not divided by month")
+        if verify and not repeated_rows(source, key).isEmpty():
+            raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
+        return _upsert_months(source, path, key, month_of)
     stored = has_snapshot(spark, path)
     if stored or verify:
         source = written(source, "upsert")
@@ -107,6 +137,68 @@ def upsert(
     return Upserted(overwrite(merged(current, source, key), path), rows)
 
 
+def _is_divided(source: DataFrame, path: str, divide_above: int) -> bool:
+    spark = source.sparkSession
+    if has_snapshot(spark, path):
+        return not versions(spark, path)
+    size = planned_bytes(source)
+    return size is None or size > divide_above
+
+
+def _upsert_months(source: DataFrame, path: str, key: list[str], month_of: str) -> Upserted:
+    """Rewrite only the months that hold a changed row, or held it before its month changed.
+
+    Finding them reads two columns of the table; the months then read in full are pruned
+    partitions. The list of touched months is no longer than the folder listing.
+    """
+    spark = source.sparkSession
+    incoming = written(
+        # The letter keeps partition discovery from reading the value as a date.
+        source.withColumn(
+            MONTH, F.coalesce(F.date_format(month_of, "'m'yyyy-MM"), F.lit("none"))
+        ),
+        "upsert",
+    )
+    rows = incoming.count()
+    stored = months(spark, path)
+    if not rows:
+        return Upserted(read_snapshot(spark, path) if stored else None, 0)
+    fresh, emptied = incoming, set()
+    if stored:
+        current = spark.read.parquet(path)
+        keys = incoming.select(*key)
+        left_behind = current.select(*key, MONTH).join(keys, key, "left_semi").select(MONTH)
+        held = {row[0] for row in left_behind.distinct().collect()}
+        given = {row[0] for row in incoming.select(MONTH).distinct().collect()}
+        touched = current.where(F.col(MONTH).isin(sorted(held | given)))
+        fresh = merged(touched, incoming, key)
+        emptied = held - given
+    # Rebalancing gives each month files of even size and splits a month that holds most rows.
+    # The write goes to a staging folder first and replaces the months when it commits, so reading
+    # from them at the same time is safe.
+    (
+        fresh.hint("rebalance", MONTH)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MONTH)
+        .parquet(path)
+    )
+    if emptied:
+        _drop_moved(spark, path, sorted(emptied), incoming, key)
+    return Upserted(read_snapshot(spark, path), rows)
+
+
+def _drop_moved(
+    spark: SparkSession, path: str, emptied: list[str], incoming: DataFrame, key: list[str]
+) -> None:
+    """Months whose last rows moved elsewhere were not written, so their old rows are still there."""
+    for month in emptied:
+        folder = join(path, f"{MONTH}={month}")
+        stale = spark.read.parquet(folder).join(incoming.select(*key), key, "left_semi")
+        if not stale.isEmpty():
+            delete(spark, folder)
+
+
 def repeated_rows(frame: DataFrame, key: list[str]) -> DataFrame:
     return frame.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
 

@@ -103,6 +103,20 @@ def test_landing_again_changes_nothing(spark, lake):
     assert {r.batch_id for r in after.select("batch_id").distinct().collect()} == {again.batch_id}
 
 
+def test_orders_stored_by_month(spark, lake, tmp_path):
+    """The same state, whichever layout holds it."""
+    paths = jobs.Paths.under(str(tmp_path))
+    orders = lake["tables"]["orders"]
+    run = jobs.run_ingest(spark, paths, {"orders": orders})
+    for _ in range(2):
+        jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date, divide_above=0)
+    path = paths.silver_table("orders")
+    assert len(snapshots.months(spark, path)) > 12
+    valid = orders.where("subtotal_amount >= 0").select("order_id", "order_status")
+    stored = snapshots.read_snapshot(spark, path).select("order_id", "order_status")
+    assert stored.exceptAll(valid).isEmpty() and valid.exceptAll(stored).isEmpty()
+
+
 def test_scope_all_rejects_every_copy(spark, lake, tmp_path):
     paths = jobs.Paths.under(str(tmp_path))
     for name in ("b1", "b2"):

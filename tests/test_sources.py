@@ -1,6 +1,7 @@
 import pytest
 
 from shopgrain.rules import ENTITIES, LINEAGE_COLUMNS, ORDERS
+from shopgrain.runtime import written
 from shopgrain.schemas import bind_by_name, entity_schema
 from shopgrain.sources import feeds, jdbc, landing, manifests, snapshots
 from shopgrain.sources.landing import Batch
@@ -109,6 +110,44 @@ def test_upsert(spark, rows, tmp_path):
     assert snapshots.read_snapshot(spark, path).count() == 3
 
 
+def test_upsert_by_month(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k bigint, d string, v string"
+
+    def state():
+        return sorted(
+            map(tuple, snapshots.read_snapshot(spark, path).select("k", "d", "v").collect())
+        )
+
+    def put(*data):
+        return snapshots.upsert(rows(ddl, *data), path, ["k"], month_of="d", divide_above=0)
+
+    put((1, "2024-01-05", "a"), (2, "2024-02-05", "b"), (3, "2024-03-05", "c"), (4, None, "n"))
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("*=m2024-03/*.parquet")}
+    # Changed within its month; moved so that its old month is left empty; new without a date.
+    put((1, "2024-01-06", "A"), (2, "2024-01-07", "B"), (5, None, "m"))
+    assert state() == [
+        (1, "2024-01-06", "A"), (2, "2024-01-07", "B"), (3, "2024-03-05", "c"),
+        (4, None, "n"), (5, None, "m"),
+    ]
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("*=m2024-03/*.parquet")} == kept
+    assert snapshots.months(spark, path) == ["m2024-01", "m2024-03", "none"]
+    put((1, "2024-03-01", "x"))
+    assert [r for r in state() if r[0] == 1] == [(1, "2024-03-01", "x")]
+    assert len(state()) == 5
+    assert put().rows == 0 and len(state()) == 5
+    with pytest.raises(snapshots.DuplicateKeys):
+        put((7, "2024-01-01", "x"), (7, "2024-01-01", "y"))
+
+
+def test_small_tables_are_not_divided(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k bigint, d string"
+    for data in ((1, "2024-01-05"), (2, "2024-02-05")):
+        known_size = written(rows(ddl, data), "small")
+        snapshots.upsert(known_size, path, ["k"], month_of="d")
+    assert snapshots.months(spark, path) == [] and len(snapshots.versions(spark, path)) == 2
+    assert snapshots.read_snapshot(spark, path).count() == 2
+
+
 def test_upsert_refuses_repeated_keys(rows, tmp_path):
     with pytest.raises(snapshots.DuplicateKeys):
         snapshots.upsert(rows("k bigint, v string", (1, "a"), (1, "b")), str(tmp_path / "t"), ["k"])
@@ -181,6 +220,15 @@ def test_every_entity_schema_has_its_key():
         assert set(rules.required) <= set(entity_schema(name).names)
 
 
+def test_csv_tables(spark, tmp_path):
+    (tmp_path / "payments.csv").write_text("amount,payment_id\n12.50,7\n")
+    schemas = {"payments": entity_schema("payments")}
+    row = feeds.read_csv_tables(spark, str(tmp_path), schemas)["payments"].first()
+    assert (row.payment_id, str(row.amount)) == (7, "12.50")
+    with pytest.raises(FileNotFoundError):
+        feeds.read_csv_tables(spark, str(tmp_path), {"orders": entity_schema("orders")})
+
+
 def test_csv_export(spark, rows, tmp_path):
     feeds.export_csv({"t": rows("a string, b int", ("x,y", 1))}, str(tmp_path))
     assert feeds.read_csv(spark, str(tmp_path / "t")).first().a == "x,y"
