@@ -538,12 +538,13 @@ def json_feed_array_and_lines(inputs: Inputs) -> DataFrame:
     events = inputs.website_events()
     bought = F.col("event_type") == "purchase"
     feeds.write_json_lines(events.where(~bought), folder)
-    # Runs of 5000 event numbers share an array; one text row becomes one file.
-    number = F.floor(F.col("event_id").cast("bigint") / 5000)
+    # At most 5000 rows share an array; one text row becomes one file.
+    number = F.floor(F.monotonically_increasing_id() / 5000)
     record = F.to_json(F.struct(*events.columns))
     arrays = (
         events.where(bought)
-        .groupBy(number.alias("file"))
+        .withColumn("file", number)
+        .groupBy("file")
         .agg(F.array_join(F.collect_list(record), ",\n").alias("body"))
         .select(F.concat(F.lit("[\n"), "body", F.lit("\n]")).alias("value"))
     )

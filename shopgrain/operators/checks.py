@@ -25,6 +25,38 @@ def unique(name: str, frame: DataFrame, *keys: str) -> DataFrame:
     return _violations(name, counted, F.count_if(F.col("__rows") > 1))
 
 
+def _together(measures: dict[str, Column], frame: DataFrame) -> DataFrame:
+    """Several violation counts from one aggregate over `frame`."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.coalesce(measure, F.lit(0)).cast("bigint").alias("violations"),
+        )
+        for name, measure in measures.items()
+    ]
+    return frame.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def key_tests(table: str, frame: DataFrame, key: str) -> DataFrame:
+    """Uniqueness and presence of a key, from one grouping."""
+    per_key = frame.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    known = F.col(key).isNotNull()
+    return _together(
+        {
+            f"unique_{table}_{key}": F.count_if(known & (F.col("__rows") > 1)),
+            f"not_null_{table}_{key}": F.sum(F.when(~known, F.col("__rows"))),
+        },
+        per_key,
+    )
+
+
+def nulls(table: str, frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows without a value, per column, from one scan."""
+    return _together(
+        {f"not_null_{table}_{name}": F.count_if(F.col(name).isNull()) for name in columns}, frame
+    )
+
+
 def matching(name: str, frame: DataFrame, condition: Column) -> DataFrame:
     """How many rows meet a condition that no row should meet."""
     return _violations(name, frame, F.count_if(F.coalesce(condition, F.lit(False))))

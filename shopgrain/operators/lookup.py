@@ -1,11 +1,11 @@
 """Join rows to a table with one row per key, without letting a hot key fill one task.
 
-Three cases, chosen from sizes the planner already knows:
+Three cases:
 
 * the lookup is small enough to broadcast: a plain join, which Catalyst broadcasts;
-* otherwise the heavy keys of the row side are found with one bounded sketch, their rows are
-  cut into pieces, and only their lookup rows are repeated, once per piece;
-* keys that are not heavy take part in the same shuffle join, unsplit.
+* otherwise a bounded sketch looks for heavy keys on the row side; without any, a plain shuffle join;
+* with some, their rows are cut into pieces and only their lookup rows are repeated, once per
+  piece, while all other keys take part in the same join unsplit.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.runtime import fits_broadcast
+from shopgrain.runtime import fits_broadcast, written
 
 # The sketch reports at most this many keys, which bounds what is broadcast below.
 HEAVY_KEYS = 4096
@@ -43,7 +43,11 @@ def lookup_join(
             raise TypeError(f"{name}: {mine.simpleString()} does not match {theirs.simpleString()}")
     if broadcast_small and fits_broadcast(lookup):
         return rows.join(lookup, on, how)
-    heavy = heavy_keys(rows if key_source is None else key_source, on)
+    # The sketch is approximate and could come out differently if it ran again. Both sides must
+    # agree on the pieces, also when a task is repeated, so its result is written down once.
+    heavy = written(heavy_keys(rows if key_source is None else key_source, on), "heavy")
+    if heavy.isEmpty():
+        return rows.join(lookup, on, how)
     return _join_in_pieces(rows, lookup, on, how, F.broadcast(heavy))
 
 

@@ -16,14 +16,16 @@ from pyspark.sql.types import StructType
 
 from shopgrain.functions.expressions import upper_names
 from shopgrain.operators import reconcile as rec
-from shopgrain.operators.checks import not_null, orphans, report, unique
+from shopgrain.operators.checks import key_tests, nulls, orphans, report, unique
 from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, mark_orphans, standardise
 from shopgrain.plans import dims, facts, marts, sqlmodels
 from shopgrain.rules import (
     ENTITIES,
     ENTITY_GROUPS,
+    FOREIGN_KEY_TESTS,
     LOADED_AT,
+    MART_TESTS,
     MONTH_OF,
     REASON,
     SOURCE_FEEDS,
@@ -85,10 +87,12 @@ def run_ingest(
     feed_folders: dict[str, str] | None = None,
     watermarks: dict[str, str] | None = None,
     batch: Batch | None = None,
+    feed_shapes: dict[str, str] | None = None,
 ) -> Run:
     """Land source tables and file feeds with lineage columns under one batch id.
 
-    Incremental tables start at `watermarks`, or else at the marks earlier runs recorded.
+    Incremental tables start at `watermarks`, or else at the marks earlier runs recorded. A JSON
+    feed whose shape ("lines" or "arrays") is given is not scanned to find it out.
     """
     batch = batch or Batch.start()
     run = Run(batch.batch_id, batch.ingestion_date)
@@ -107,7 +111,8 @@ def run_ingest(
             if rules.file_format == "csv":
                 frame = feeds.with_file_name(feeds.read_csv(spark, folder, pattern))
             else:
-                frame = feeds.read_json(spark, folder, entity_schema(entity), pattern)
+                shape = (feed_shapes or {}).get(entity, "auto")
+                frame = feeds.read_json(spark, folder, entity_schema(entity), pattern, shape)
             enriched = landing.with_lineage(frame, batch, system)
         landing.land(enriched, paths.bronze, rules)
         return _landed(spark, paths, entity, enriched.schema, batch, marks.get(entity))
@@ -371,52 +376,26 @@ def run_sql_models(spark: SparkSession, paths: Paths, database: str | None = Non
 
 
 def data_tests(curated: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, violations) of every table test the curated layer declares."""
-    checks = []
+    """(check_name, violations) of every table test the curated layer declares.
+
+    Tests of one key share one grouping, tests for nulls in one table share one scan.
+    """
+    parts = []
     for name, contract in TABLES.items():
-        if name not in curated or contract.layer == "marts":
-            continue
-        key = contract.key[0]
-        checks.append(unique(f"unique_{name}_{key}", curated[name], key))
-        checks.append(not_null(f"not_null_{name}_{key}", curated[name], key))
-    for child, column, parent, parent_column in (
-        ("fct_orders", "customer_key", "dim_customers", "customer_key"),
-        ("fct_order_items", "order_key", "fct_orders", "order_key"),
-        ("fct_payments", "order_key", "fct_orders", "order_key"),
-    ):
+        if name in curated and contract.layer != "marts":
+            parts.append(key_tests(name, curated[name], contract.key[0]))
+    for child, column, parent in FOREIGN_KEY_TESTS:
         if child in curated and parent in curated:
-            checks.append(not_null(f"not_null_{child}_{column}", curated[child], column))
-            checks.append(
-                orphans(
-                    f"relationships_{child}_{column}",
-                    curated[child],
-                    column,
-                    curated[parent],
-                    parent_column,
-                    count_null=False,
-                )
+            parts.append(nulls(child, curated[child], (column,)))
+            name = f"relationships_{child}_{column}"
+            parts.append(
+                orphans(name, curated[child], column, curated[parent], column, count_null=False)
             )
-    # Mart -> (unique column sets, columns without nulls); fixed values.
-    mart_tests = {
-        "mart_daily_sales": ([("sale_date",)], ("sale_date", "gross_revenue", "net_revenue")),
-        "mart_monthly_revenue": ([("year_month",)], ("year_month",)),
-        "mart_customer_lifetime_value": ([("customer_key",)], ("customer_key",)),
-        "mart_product_performance": (
-            [("product_id", "category", "subcategory")],
-            ("product_id",),
-        ),
-        "mart_customer_segments": (
-            [("customer_segment", "country_code")],
-            ("customer_segment", "country_code"),
-        ),
-    }
-    for name, (key_sets, filled) in mart_tests.items():
+    for name, (keys, filled) in MART_TESTS.items():
         if name in curated:
-            for keys in key_sets:
-                checks.append(unique(f"unique_{name}_{'_'.join(keys)}", curated[name], *keys))
-            for column in filled:
-                checks.append(not_null(f"not_null_{name}_{column}", curated[name], column))
-    return report(checks)
+            parts.append(unique(f"unique_{name}_{'_'.join(keys)}", curated[name], *keys))
+            parts.append(nulls(name, curated[name], filled))
+    return report(parts)
 
 
 def run_reconcile(

@@ -321,3 +321,21 @@ MART_METRICS: dict[str, tuple[str, ...]] = {
     "mart_customer_segments": ("customer_count", "total_revenue", "net_revenue",
                                "repeat_purchase_rate", "cancellation_rate"),
 }
+
+# Table tests beyond keys (fixed values): (child, column, parent with the same column) ...
+FOREIGN_KEY_TESTS: tuple[tuple[str, str, str], ...] = (
+    ("fct_orders", "customer_key", "dim_customers"),
+    ("fct_order_items", "order_key", "fct_orders"),
+    ("fct_payments", "order_key", "fct_orders"),
+)
+# ... and mart -> (columns unique together, columns without nulls).
+MART_TESTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "mart_daily_sales": (("sale_date",), ("sale_date", "gross_revenue", "net_revenue")),
+    "mart_monthly_revenue": (("year_month",), ("year_month",)),
+    "mart_customer_lifetime_value": (("customer_key",), ("customer_key",)),
+    "mart_product_performance": (("product_id", "category", "subcategory"), ("product_id",)),
+    "mart_customer_segments": (
+        ("customer_segment", "country_code"),
+        ("customer_segment", "country_code"),
+    ),
+}

@@ -43,33 +43,50 @@ def read_csv(
 
 
 def read_json(
-    spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.json"
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    pattern: str = "*.json",
+    shape: str = "auto",
 ) -> DataFrame:
     """JSON files that hold one record per line, or one array written over many lines.
 
     Line files are split and read in parallel. Blank lines and empty files give no rows. An array
     that spans lines can only be parsed as a whole file, so exactly those files are read that way.
-    A scan of the text, filtered to lines that open an array without closing it, names them; the
-    list is never longer than the file listing the driver already has.
+    `shape` is "lines" or "arrays" for a feed known to hold only that, which saves a scan; "auto"
+    tells the files apart.
     """
-    base = spark.read.option("pathGlobFilter", pattern)
-    lines = base.text(folder)
-    opened = lines.where(F.ltrim("value").startswith("[") & ~F.rtrim("value").endswith("]"))
-    found = opened.select(F.col("_metadata.file_path").alias("path")).distinct()
-    arrays = {row.path for row in found.collect()}
-    listed = {_plain_path(path) for path in lines.inputFiles()}
-    arrays = {_plain_path(path) for path in arrays}
+    if shape not in ("auto", "lines", "arrays"):
+        raise ValueError(f"unknown feed shape: {shape}")
+    require_files(spark, folder, pattern)
+    reader = spark.read.schema(schema)
+    if shape != "auto":
+        given = reader.option("pathGlobFilter", pattern).option("multiLine", shape == "arrays")
+        return with_file_name(given.json(folder))
+    plain, arrays = _by_shape(spark, folder, pattern)
     parts = []
-    if listed - arrays:
-        parts.append(with_file_name(spark.read.schema(schema).json(sorted(listed - arrays))))
+    if plain:
+        parts.append(with_file_name(reader.json(plain)))
     if arrays:
         whole = spark.read.schema(schema).option("multiLine", True)
-        parts.append(with_file_name(whole.json(sorted(arrays))))
-    if not parts:
-        return with_file_name(spark.read.schema(schema).json([]))
+        parts.append(with_file_name(whole.json(arrays)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _by_shape(spark: SparkSession, folder: str, pattern: str) -> tuple[list[str], list[str]]:
+    """Files of line records, files of arrays over many lines.
+
+    A line that opens an array without closing it gives the latter away. The lists are never longer
+    than the file listing the driver already has.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    opened = lines.where(F.ltrim("value").startswith("[") & ~F.rtrim("value").endswith("]"))
+    found = opened.select(F.col("_metadata.file_path").alias("path")).distinct()
+    arrays = {_plain_path(row.path) for row in found.collect()}
+    listed = {_plain_path(path) for path in lines.inputFiles()}
+    return sorted(listed - arrays), sorted(arrays)
+
+
 def _plain_path(uri: str) -> str:
     """A listed URI as a path; both spellings of a local file become one."""
     path = unquote(uri)

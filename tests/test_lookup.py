@@ -62,6 +62,13 @@ def test_copies_of_one_row_are_spread(spark, names):
     assert joined.count() == 8000
 
 
+def test_even_keys_join_plainly(spark, names):
+    even = spark.range(0, 9000, numPartitions=8).select((F.col("id") % 900).alias("k"))
+    joined = lookup_join(even, names, ["k"], broadcast_small=False)
+    assert "__piece" not in joined._jdf.queryExecution().logical().toString()
+    assert joined.count() == 9000
+
+
 def test_empty_rows(skewed, names):
     assert lookup_join(skewed.limit(0), names, ["k"], broadcast_small=False).isEmpty()
 

@@ -80,6 +80,16 @@ def test_json_feed_shapes(spark, tmp_path):
     assert files["8"] == "half array.json"
 
 
+def test_json_feed_of_known_shape(spark, tmp_path):
+    schema = entity_schema("website_events")
+    (tmp_path / "a.json").write_text('{"event_id":"1"}\n{"event_id":"2"}\n')
+    (tmp_path / "b.txt").write_text('[\n{"event_id":"3"},\n{"event_id":"4"}\n]')
+    assert feeds.read_json(spark, str(tmp_path), schema, shape="lines").count() == 2
+    assert feeds.read_json(spark, str(tmp_path), schema, "*.txt", "arrays").count() == 2
+    with pytest.raises(ValueError):
+        feeds.read_json(spark, str(tmp_path), schema, shape="xml")
+
+
 def test_json_feed_of_empty_files(spark, tmp_path):
     (tmp_path / "a.json").write_text("")
     assert feeds.read_json(spark, str(tmp_path), entity_schema("website_events")).count() == 0
