@@ -37,8 +37,15 @@ def date_key(when: Column) -> Column:
     return (F.year(when) * 10000 + F.month(when) * 100 + F.dayofmonth(when)).cast("int")
 
 
-def year_month(when: Column) -> Column:
-    return F.date_format(when, "yyyy-MM")
+def month_number(when: Column) -> Column:
+    """202403 for a day in March 2024."""
+    return F.year(when) * 100 + F.month(when)
+
+
+def month_text(number: Column) -> Column:
+    """`2024-03` for 202403."""
+    digits = number.cast("string")
+    return F.concat(F.left(digits, F.lit(4)), F.lit("-"), F.right(digits, F.lit(2)))
 
 
 def status_in(status: Column, values: Iterable[str], ignore_case: bool = False) -> Column:
