@@ -34,7 +34,7 @@ from shopgrain.rules import (
     TABLES,
     BusinessRules,
 )
-from shopgrain.runtime import for_each_table, written
+from shopgrain.runtime import for_each_table, staging, written
 from shopgrain.schemas import entity_schema
 from shopgrain.sources import feeds, landing, manifests, snapshots
 from shopgrain.sources.files import exists, join
@@ -180,24 +180,27 @@ def run_silver(
         rows = landing.read_landed(
             spark, paths.bronze, rules, schema, None if all_batches else batch_id
         )
-        valid, rejected = check_rows(spark, rows, entity, paths.silver_table, duplicate_scope)
-        if all_batches and duplicate_scope == "batch":
-            # Only then can a key be left more than once; otherwise its copies were rejected.
-            valid = latest_per_key(valid, list(rules.identity))
-        merged = snapshots.upsert(
-            valid,
-            paths.silver_table(entity),
-            [rules.key],
-            verify=False,
-            month_of=MONTH_OF.get(entity),
-            divide_above=divide_above,
-        )
-        aside = snapshots.append_rejected(
-            rejected, paths.rejected(entity), batch_id, ingestion_date
-        )
-        return TableRun(
-            entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
-        )
+        with staging(spark, f"silver-{entity}") as folder:
+            valid, rejected = check_rows(
+                spark, rows, entity, paths.silver_table, folder, duplicate_scope
+            )
+            if all_batches and duplicate_scope == "batch":
+                # Only then can a key be left more than once; otherwise its copies were rejected.
+                valid = latest_per_key(valid, list(rules.identity))
+            merged = snapshots.upsert(
+                valid,
+                paths.silver_table(entity),
+                [rules.key],
+                verify=False,
+                month_of=MONTH_OF.get(entity),
+                divide_above=divide_above,
+            )
+            aside = snapshots.append_rejected(
+                rejected, paths.rejected(entity), batch_id, ingestion_date
+            )
+            return TableRun(
+                entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
+            )
 
     for group in ENTITY_GROUPS:
         results = for_each_table(spark, refine, [name for name in group if name in wanted])
@@ -211,9 +214,10 @@ def check_rows(
     rows: DataFrame,
     entity: str,
     parent_path: Callable[[str], str],
+    folder: str,
     duplicate_scope: str = "batch",
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows of one entity, both read back from one write.
+    """(valid, rejected) rows of one entity, both read back from one write below `folder`.
 
     Foreign keys are checked against the stored state of the parents, which earlier entities of the
     same run have already updated; a parent without any state is not checked.
@@ -221,7 +225,7 @@ def check_rows(
     rules = ENTITIES[entity]
     clean = standardise(rows)
     annotated = annotate(
-        rows, rules, duplicate_scope, settle=lambda keys: written(keys, f"{entity}-repeated")
+        rows, rules, duplicate_scope, lambda keys: written(keys, "repeated", under=folder)
     )
     for key in rules.foreign_keys:
         path = parent_path(key.parent)
@@ -231,10 +235,10 @@ def check_rows(
                 key,
                 snapshots.read_snapshot(spark, path),
                 key_source=clean,
-                settle=lambda keys: written(keys, f"{entity}-orphans"),
+                settle=lambda keys: written(keys, "orphans", under=folder),
             )
     settled = written(
-        annotated.withColumn("accepted", F.col(REASON).isNull()), entity, ("accepted",)
+        annotated.withColumn("accepted", F.col(REASON).isNull()), "checked", ("accepted",), folder
     )
     return (
         settled.where("accepted").drop("accepted"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopgrain.sources import files
+
 T = TypeVar("T")
 R = TypeVar("R")
 
@@ -62,14 +65,16 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/shopgrain/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def written(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def written(
+    frame: DataFrame, label: str, partition_by: tuple[str, ...] = (), under: str | None = None
+) -> DataFrame:
     """Write `frame` once to the work folder and continue from the files.
 
     Later steps neither recompute the plan nor depend on executors that may be lost, and the
-    planner knows the true size of what it reads.
+    planner knows the true size of what it reads. `under` is a folder of `staging`.
     """
     spark = frame.sparkSession
-    path = work_folder(spark, label)
+    path = work_folder(spark, label) if under is None else f"{under}/{label}-{uuid.uuid4().hex[:8]}"
     writer = frame.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -77,6 +82,16 @@ def written(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession, label: str) -> Iterator[str]:
+    """A work folder for the duration of a job step; its files are removed afterwards."""
+    folder = work_folder(spark, label)
+    try:
+        yield folder
+    finally:
+        files.delete(spark, folder)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """`spark.sql.autoBroadcastJoinThreshold` in bytes; -1 when broadcasting is off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()

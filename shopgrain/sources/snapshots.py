@@ -19,17 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.runtime import planned_bytes, written
+from shopgrain.runtime import planned_bytes, staging, written
 from shopgrain.sources.files import delete, exists, join, names
 
 
 # Partition column of a snapshot divided by month; not part of the table's own columns.
 MONTH = "state_month"
+# The letter keeps partition discovery from reading the value as a date.
+MONTH_FORMAT = "'m'yyyy-MM"
 
 # Rewriting a table of this size for every batch is cheaper than keeping a folder per month.
 DIVIDE_ABOVE = 10 << 30
 
 
+# The current version and the one before it, which running readers may still use.
+KEPT_VERSIONS = 2
+
+
 class DuplicateKeys(ValueError):
     """The rows to upsert hold a key more than once."""
 
@@ -85,6 +91,8 @@ def overwrite(frame: DataFrame, path: str) -> DataFrame | None:
     if state.isEmpty():
         delete(spark, target)
         return read_snapshot(spark, path) if has_snapshot(spark, path) else None
+    for old in versions(spark, path)[:-KEPT_VERSIONS]:
+        delete(spark, old)
     return state
 
 
@@ -112,29 +120,32 @@ def upsert(
     deduplicated on that key. A merge reads the source more than once, so the source is written
     once first.
     """
+    if newer_by and month_of is not None:
+        raise ValueError("newer_by is for snapshots that are not divided by month")
     spark = source.sparkSession
-    if month_of is not None and _is_divided(source, path, divide_above):
-        if newer_by:
-            raise ValueError("newer_by needs a snapshot that is not divided by month")
+    stored = bool(versions(spark, path))
+    divided = month_of is not None and _is_divided(source, path, divide_above)
+    with staging(spark, "upsert") as folder:
+        if divided:
+            dated = F.coalesce(F.date_format(month_of, MONTH_FORMAT), F.lit("none"))
+            source = source.withColumn(MONTH, dated)
+        if stored or divided or verify:
+            source = written(source, "source", under=folder)
         if verify and not repeated_rows(source, key).isEmpty():
             raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
-        return _upsert_months(source, path, key, month_of)
-    stored = has_snapshot(spark, path)
-    if stored or verify:
-        source = written(source, "upsert")
-    if verify and not repeated_rows(source, key).isEmpty():
-        raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
-    if not stored:
-        state = overwrite(source, path)
-        return Upserted(state, 0 if state is None else state.count())
-    rows = source.count()
-    current = read_snapshot(spark, path)
-    if not rows:
-        return Upserted(current, 0)
-    if newer_by:
-        both = current.unionByName(source, allowMissingColumns=True)
-        return Upserted(overwrite(latest_per_key(both, key, newer_by), path), rows)
-    return Upserted(overwrite(merged(current, source, key), path), rows)
+        if divided:
+            return _upsert_months(source, path, key)
+        if not stored:
+            state = overwrite(source, path)
+            return Upserted(state, 0 if state is None else state.count())
+        rows = source.count()
+        current = read_snapshot(spark, path)
+        if not rows:
+            return Upserted(current, 0)
+        if newer_by:
+            both = current.unionByName(source, allowMissingColumns=True)
+            return Upserted(overwrite(latest_per_key(both, key, newer_by), path), rows)
+        return Upserted(overwrite(merged(current, source, key), path), rows)
 
 
 def _is_divided(source: DataFrame, path: str, divide_above: int) -> bool:
@@ -145,20 +156,14 @@ def _is_divided(source: DataFrame, path: str, divide_above: int) -> bool:
     return size is None or size > divide_above
 
 
-def _upsert_months(source: DataFrame, path: str, key: list[str], month_of: str) -> Upserted:
+def _upsert_months(incoming: DataFrame, path: str, key: list[str]) -> Upserted:
     """Rewrite only the months that hold a changed row, or held it before its month changed.
 
     Finding them reads two columns of the table; the months then read in full are pruned
-    partitions. The list of touched months is no longer than the folder listing.
+    partitions. The list of touched months is no longer than the folder listing. Months are
+    replaced one after another; running the same batch again completes a commit that was cut short.
     """
-    spark = source.sparkSession
-    incoming = written(
-        # The letter keeps partition discovery from reading the value as a date.
-        source.withColumn(
-            MONTH, F.coalesce(F.date_format(month_of, "'m'yyyy-MM"), F.lit("none"))
-        ),
-        "upsert",
-    )
+    spark = incoming.sparkSession
     rows = incoming.count()
     stored = months(spark, path)
     if not rows:

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from shopgrain.rules import ENTITIES, LINEAGE_COLUMNS, ORDERS
@@ -149,6 +151,16 @@ def test_upsert_by_month(spark, rows, tmp_path):
         put((7, "2024-01-01", "x"), (7, "2024-01-01", "y"))
 
 
+def test_old_versions_and_staged_files_go(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for value in range(4):
+        state = snapshots.upsert(rows("k bigint, v int", (1, value), (9 + value, 0)), path, ["k"])
+    assert len(snapshots.versions(spark, path)) == snapshots.KEPT_VERSIONS
+    assert {r.k: r.v for r in state.state.collect()} == {1: 3, 9: 0, 10: 0, 11: 0, 12: 0}
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert not list(Path(shared, "shopgrain").glob("upsert-*"))
+
+
 def test_small_tables_are_not_divided(spark, rows, tmp_path):
     path, ddl = str(tmp_path / "t"), "k bigint, d string"
     for data in ((1, "2024-01-05"), (2, "2024-02-05")):
