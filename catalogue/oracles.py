@@ -333,7 +333,8 @@ ORACLES["segment_country_revenue_cube"] = sql("""
 """)
 ORACLES["orders_by_status_any_case"] = sql("""
     select s as order_status, count(*) filter (where s='completed') as exact_matches,
-           count(*) filter (where lower(s)='completed') as any_case_matches
+           count(*) filter (where lower(s)='completed') as any_case_matches,
+           count(*) filter (where lower(s)='completed') as sql_matches
     from (select case when total_amount > 100000 then upper(order_status) else order_status end as s
           from e_orders) group by 1
 """)

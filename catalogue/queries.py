@@ -136,6 +136,7 @@ def orders_by_status_any_case(inputs: Inputs) -> DataFrame:
         F.count_if(status_in(F.col("order_status"), wanted, ignore_case=True)).alias(
             "any_case_matches"
         ),
+        F.count_if(F.expr(sqlmodels.sql_status_in("order_status", wanted))).alias("sql_matches"),
     )
 
 
@@ -929,12 +930,12 @@ def event_stream_dedupe(inputs: Inputs) -> DataFrame:
     """The event file as a stream, delivered twice: each event is stored once."""
     spark = inputs.spark
     base = work_folder(spark, "stream")
-    events = inputs.website_events().withColumn(
-        "event_timestamp", F.try_to_timestamp("event_timestamp")
-    )
     for _ in range(2):
-        events.write.mode("append").parquet(f"{base}/in")
-    stream = feed.file_stream(spark, f"{base}/in", events.schema, "*.parquet", "parquet")
+        feeds.write_json_lines(inputs.website_events(), f"{base}/in")
+    schema = entity_schema("website_events")
+    stream = feed.as_event_time(
+        feed.file_stream(spark, f"{base}/in", schema, "*.json"), "event_timestamp"
+    )
     # All deliveries may come in any file order, so lateness covers the whole month.
     feed.ingest_available(
         stream, WEBSITE_EVENTS, f"{base}/valid", f"{base}/rejected", f"{base}/checkpoint",

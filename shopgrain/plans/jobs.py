@@ -24,7 +24,6 @@ from shopgrain.rules import (
     ENTITIES,
     ENTITY_GROUPS,
     FOREIGN_KEY_TESTS,
-    LOADED_AT,
     MART_TESTS,
     MONTH_OF,
     REASON,
@@ -451,8 +450,3 @@ def run_reconcile(
     if report_path:
         rec.write_report(counts, issues, report_path)
     return counts, issues
-
-
-def comparable(frame: DataFrame) -> DataFrame:
-    """A curated table without its audit time, for comparing two builds of it."""
-    return frame.drop(LOADED_AT)
