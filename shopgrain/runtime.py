@@ -29,9 +29,6 @@ SETTINGS = {
     # Split a skewed join even where an aggregate would have reused its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # State of the event stream lives on local disk with checkpoints, not on the executor heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Building a plan takes half the time without a Python stack trace per column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

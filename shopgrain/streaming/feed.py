@@ -1,21 +1,42 @@
-"""Incremental ingest of the event feed with Structured Streaming."""
+"""Incremental intake of the event feed with Structured Streaming.
+
+The stream itself keeps no state: each micro-batch is compared with the events stored before. So no
+event is too late to be taken in, and state does not grow with the history.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, split
 from shopgrain.rules import EntityRules
+from shopgrain.runtime import staging, written
+from shopgrain.sources.files import exists
 from shopgrain.sources.landing import Batch, with_lineage
+from shopgrain.sources.snapshots import MONTH, MONTH_FORMAT
 
 
-def new_events(
-    stream: DataFrame, key: str, event_time: str, lateness: str = "1 day"
-) -> DataFrame:
-    """Drop repeated deliveries. State is kept per key and expires with the watermark."""
-    return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
+def first_deliveries(rows: DataFrame, key: str, event_time: str) -> DataFrame:
+    """One row per event of a micro-batch; rows without a key all stay, to be rejected."""
+    keyed = latest_per_key(rows.where(F.col(key).isNotNull()), [key], (event_time,))
+    return keyed.unionByName(rows.where(F.col(key).isNull()))
+
+
+def stored_keys(
+    spark: SparkSession, path: str, key: StructField, months: list[str], before: int
+) -> DataFrame | None:
+    """Keys stored by earlier micro-batches in the given months, read through partition pruning.
+
+    A repeated delivery has the time of the first one, so no other month can hold it.
+    """
+    if not exists(spark, path):
+        return None
+    schema = StructType([key, StructField("epoch", LongType()), StructField(MONTH, StringType())])
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.where((F.col("epoch") < before) & F.col(MONTH).isin(months)).select(key.name)
 
 
 def ingest_available(
@@ -26,27 +47,37 @@ def ingest_available(
     checkpoint: str,
     source_system: str,
     event_time: str = "event_timestamp",
-    lateness: str = "1 day",
 ) -> None:
     """Take in every file that arrived since the last run, then stop.
 
     Each micro-batch goes through the same row rules as a batch run. It is written under its own
     `epoch=` folder, which a retried micro-batch replaces, so each event is stored once.
     """
-    columns = stream.schema.names
+    key = stream.schema[rules.key]
+    month = F.coalesce(F.date_format(event_time, MONTH_FORMAT), F.lit("none"))
 
     def store(rows: DataFrame, epoch: int) -> None:
-        batch = Batch.start()
-        landed = with_lineage(rows.select(*columns), batch, source_system, "stream")
-        annotated = annotate(landed, rules).persist()
-        valid, rejected = split(annotated)
-        valid.write.mode("overwrite").parquet(f"{accepted_path}/epoch={epoch}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/epoch={epoch}")
-        annotated.unpersist()
+        spark = rows.sparkSession
+        with staging(spark, "stream") as folder:
+            dated = first_deliveries(rows, rules.key, event_time).withColumn(MONTH, month)
+            arrived = written(dated, "arrived", under=folder)
+            months = [row[0] for row in arrived.select(MONTH).distinct().collect()]
+            for path in (accepted_path, rejected_path):
+                known = stored_keys(spark, path, key, months, epoch)
+                if known is not None:
+                    arrived = arrived.join(known, rules.key, "left_anti")
+            landed = with_lineage(arrived, Batch.start(), source_system, "stream")
+            checked = written(annotate(landed, rules), "checked", under=folder)
+            for part, path in zip(split(checked), (accepted_path, rejected_path)):
+                (
+                    part.write.mode("overwrite")
+                    .option("partitionOverwriteMode", "static")
+                    .partitionBy(MONTH)
+                    .parquet(f"{path}/epoch={epoch}")
+                )
 
     query = (
-        new_events(stream, rules.key, event_time, lateness)
-        .writeStream.option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(store)
         .start()
@@ -55,9 +86,17 @@ def ingest_available(
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, pattern: str, fmt: str = "json"
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    pattern: str,
+    fmt: str = "json",
+    files_at_once: int | None = None,
 ) -> DataFrame:
+    """Files of a folder as a stream; `files_at_once` limits a micro-batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern).format(fmt)
+    if files_at_once is not None:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
     return reader.load(folder)
 
 

@@ -190,13 +190,25 @@ def test_stream_stores_each_event_once(spark, tmp_path):
     def run():
         stream = feed.file_stream(spark, folder, events.schema, "*.parquet", "parquet")
         feed.ingest_available(
-            stream, WEBSITE_EVENTS, f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/state",
-            "web", lateness="60 days",
+            stream, WEBSITE_EVENTS, f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/state", "web"
         )
 
+    def stored():
+        parts = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("ok", "bad")]
+        return parts[0].unionByName(parts[1])
+
     events.coalesce(2).write.parquet(folder)
     run()
-    events.coalesce(1).write.mode("append").parquet(folder)
+    # Delivered again, with one event far older than all others and two without a key.
+    late = events.limit(1).withColumns(
+        {"event_id": F.lit("late"), "event_timestamp": F.lit("1999-01-01").cast("timestamp")}
+    )
+    nameless = events.limit(2).withColumn("event_id", F.lit(None).cast("string"))
+    again = events.unionByName(late).unionByName(nameless)
+    again.coalesce(1).write.mode("append").parquet(folder)
+    run()
     run()
-    stored = spark.read.parquet(f"{tmp_path}/ok").count() + spark.read.parquet(f"{tmp_path}/bad").count()
-    assert stored == events.count()
+    assert stored().count() == events.count() + 3
+    assert stored().where("event_id = 'late'").count() == 1
+    reasons = stored().where("event_id is null").select(REASON).collect()
+    assert len(reasons) == 2 and all("null_event_id" in r[REASON] for r in reasons)
