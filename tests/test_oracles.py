@@ -4,11 +4,12 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 from oracle import compare, connect
 
 FOLDER = os.environ.get("ORACLE_FOLDER", "/root/testdata/sf0.001")
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
