@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import mixing, pieces, simhash
+from shopgrain.llm import (
+    attribution,
+    digests,
+    linecrf,
+    mixing,
+    neighbours,
+    pieces,
+    recurrent,
+    simhash,
+    substrings,
+    toolcalls,
+)
+from shopgrain.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +43,164 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def rank_file() -> tuple[bytes, str]:
+    """The public byte-level vocabulary as ranks, and the pattern that goes with it."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+@query
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors with links at a cosine of 0.95 or more."""
+    return neighbours.near_duplicates(_table(spark, folder, "embeddings"), threshold=0.95)
+
+
+ORACLES["op1_neighbours"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), groups AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, vec_id = least AS kept
+FROM v JOIN groups g ON v.vec_id = g.a LEFT JOIN counts c ON v.vec_id = c.a
+"""
+
+
+@query
+def op2_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    found = digests.fingerprints(_table(spark, folder, "documents"))
+    text = lambda name: F.translate(F.base64(name), "\r\n", "").alias(name)
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", text("fingerprint"), text("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
+@query
+def op4_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = _table(spark, folder, "documents")
+    model = linecrf.trained(docs, _table(spark, folder, "labels"))
+    return linecrf.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+ASK, SETUP = "ask", "setup"
+TOOLS = {
+    ASK: {
+        "type": "object", "required": ["turn", "text"], "additionalProperties": False,
+        "properties": {
+            "turn": {"type": "integer", "minimum": 0},
+            "text": {"type": "string", "minLength": 1, "maxLength": 400},
+        },
+    },
+    SETUP: {
+        "type": "object", "required": ["text"], "additionalProperties": False,
+        "properties": {"text": {"type": "string"}},
+    },
+}
+
+
+@query
+def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as calls: what a user or the system says calls, the assistant's turn right
+    after is the result, and a call waits for the one two turns before."""
+    turns = _table(spark, folder, "conversations")
+
+    def name(turn):
+        return F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)
+
+    said = turns.where(F.col("role") != "assistant")
+    calls = said.select(
+        name(F.col("turn")).alias("id"), F.col("turn").alias("seq"),
+        F.when(F.col("role") == "user", ASK).otherwise(SETUP).alias("name"),
+        F.when(F.col("role") == "user", F.to_json(F.struct("turn", "text"))).otherwise(
+            F.to_json(F.struct("text"))
+        ).alias("arguments"),
+        F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("waits_for"),
+    )
+    results = turns.where(F.col("role") == "assistant").select(
+        name(F.col("turn") - 1).alias("id"), F.col("turn").alias("seq"),
+        F.col("text").alias("content"),
+    )
+    linked = toolcalls.link(calls, results, TOOLS)
+    return linked.withColumn("conv_id", F.split("id", "-")[1].cast("long"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document, encoded once as a whole."""
+    ranks, pattern = rank_file()
+    return attribution.token_counts(
+        _table(spark, folder, "documents"), ranks, pattern, rule="most"
+    )
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = _table(spark, folder, "documents")
+    model = recurrent.trained(docs, _table(spark, folder, "labels"))
+    return recurrent.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 100 bytes cover."""
+    found = substrings.without_repeats(_table(spark, folder, "documents"), width=100)
+    return found.select(
+        "doc_id", "n_bytes",
+        F.aggregate(
+            "spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]
+        ).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op10_substrings"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (
+    SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d WHERE length(h) >= 200
+),
+strings AS (SELECT doc_id, p, md5(substring(h, 2 * p + 1, 200)) AS w FROM places),
+firsts AS (SELECT w, min((doc_id, p)) AS f FROM strings GROUP BY w HAVING count(*) > 1),
+covered AS (SELECT doc_id, p FROM strings JOIN firsts USING (w) WHERE (doc_id, p) <> f),
+marked AS (
+    SELECT doc_id, p, CASE WHEN p > lag(p) OVER o + 100 THEN 1 ELSE 0 END AS fresh
+    FROM covered WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+),
+numbered AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM marked),
+spans AS (
+    SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, g
+),
+gaps AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
+    FROM spans
+),
+kept AS (
+    SELECT doc_id, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS k,
+        max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans
+    FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(k || substring(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash of 3-word shingles; groups at 2 bits or less."""

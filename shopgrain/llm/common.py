@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.runtime import work_folder
@@ -45,20 +45,23 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def unique_ids(docs: DataFrame, id_col: str, text_col: str, uid: str = "uid") -> DataFrame:
-    """`docs` with a unique, non-null long `uid` in the order of (id, text), null ids last.
+def unique_ids(
+    docs: DataFrame, id_col: str, text_col: str, uid: str = "uid"
+) -> tuple[DataFrame, bool]:
+    """`docs` with a unique, non-null long `uid` in the order of (id, text), null ids last; and
+    whether it is other than the id.
 
-    Usually that is the id itself. Only where ids repeat or are null are the rows sorted once by
-    range and numbered; rows equal in id and text are then numbered in any order.
+    Only where ids repeat or are null are the rows sorted once by range and numbered; rows equal
+    in id and text are then numbered in any order.
     """
     found = docs.agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct(F.col(id_col)).alias("ids")
     ).first()
     if found["n"] == found["ids"]:
-        return docs.withColumn(uid, F.col(id_col).cast("long"))
+        return docs.withColumn(uid, F.col(id_col).cast("long")), False
     order = [F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last()]
     ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    return staged(ranged.withColumn(uid, F.monotonically_increasing_id()), "numbered")
+    return staged(ranged.withColumn(uid, F.monotonically_increasing_id()), "numbered"), True
 
 
 # Arrow text as bytes
@@ -81,6 +84,46 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
+def text_steps(
+    batch: pa.RecordBatch, column: int, step: int = 8 << 20
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch with about `step` bytes of text each, their bytes and offsets; a longer
+    text is a slice of its own."""
+    data, offsets = byte_view(batch.column(column))
+    start = 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(offsets, offsets[start] + step, "right")) - 1
+        stop = min(max(stop, start + 1), batch.num_rows)
+        part = offsets[start:stop + 1]
+        yield batch.slice(start, stop - start), data[part[0]:part[-1]], part - part[0]
+        start = stop
+
+
+def held_out(id_column: Column) -> Column:
+    """Whether a document's label is kept from training: crc32 of the id as text, modulo 4, is 2."""
+    return F.crc32(id_column.cast("string").cast("binary")) % 4 == 2
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, most_chars: int = 1 << 20
+) -> list[tuple[str, int]]:
+    """(text, label) of at most `rows` documents that are not held out, by the order of a hash.
+
+    Texts of more than `most_chars` are passed over here, so the driver gets a bounded amount;
+    rows without a label, an id or a text are as well.
+    """
+    chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(
+        ~held_out(F.col("doc_id"))
+    ).select("doc_id", F.col(label).cast("int").alias("_y")).orderBy(
+        F.xxhash64("doc_id"), "doc_id", "_y"
+    ).limit(rows)
+    found = docs.select("doc_id", "text").where(
+        F.col("text").isNotNull() & (F.length("text") <= most_chars)
+    ).join(F.broadcast(chosen), "doc_id")
+    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
+    return [(r["text"], r["_y"]) for r in got]
+
+
 def word_spans(
     data: np.ndarray, offsets: np.ndarray, separator: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

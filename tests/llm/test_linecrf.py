@@ -1,0 +1,100 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from shopgrain.llm import linecrf as L
+from shopgrain.llm.common import RollingHash
+
+
+def buffer(texts):
+    return L._buffer([t.encode() for t in texts])
+
+
+def test_lines_of_texts():
+    texts = ["", "one two\nthree.\n", "\n\n", "THE END!", "x", ""]
+    data, offsets = buffer(texts)
+    features, size, first = L.line_features(data, offsets, RollingHash())
+    assert np.diff(first).tolist() == [1, 3, 3, 1, 1, 1]
+    assert size.tolist() == [0, 7, 6, 0, 0, 0, 0, 8, 1, 0]
+    k = len(L.KINDS)
+    assert features[1, k + 3] == pytest.approx(np.log1p(2))
+    assert features[:, k + 6].tolist() == [1, 0, 0, 1, 1, 1, 1, 0, 0, 1]
+    assert features[2, k + 5] == 1 and features[1, k + 5] == 0
+    assert features[7, 0] == pytest.approx(6 / 8)
+    again, _, _ = L.line_features(*buffer(["a a a b"]), RollingHash())
+    assert again[0, k] == pytest.approx(2 / 4) and again[0, k + 1] == pytest.approx(2 / 4)
+
+
+def test_a_text_has_the_same_lines_beside_others():
+    rng = random.Random(0)
+    texts = ["".join(rng.choices("ab \n!|É", k=rng.randint(0, 60))) for _ in range(80)]
+    together, _, first = L.line_features(*buffer(texts), RollingHash())
+    for i, text in enumerate(texts):
+        alone, _, _ = L.line_features(*buffer([text]), RollingHash())
+        assert np.allclose(alone, together[first[i]:first[i + 1]])
+
+
+def test_marginals_against_all_labellings():
+    rng = np.random.default_rng(1)
+    first = np.array([0, 1, 5, 8, 14])
+    emission, transition = rng.normal(size=14) * 2, rng.normal(size=(2, 2))
+    chance, joint = L.marginals(emission, transition, first, pairs=True)
+    at = 0
+    for a, b in zip(first, first[1:]):
+        n = b - a
+        good, pairs, total = np.zeros(n), np.zeros((max(n - 1, 0), 2, 2)), 0.0
+        for labels in itertools.product((0, 1), repeat=n):
+            weight = np.exp(sum(emission[a + i] * y for i, y in enumerate(labels))
+                            + sum(transition[x, y] for x, y in zip(labels, labels[1:])))
+            total += weight
+            good += weight * np.array(labels)
+            for i, (x, y) in enumerate(zip(labels, labels[1:])):
+                pairs[i, x, y] += weight
+        assert chance[a:b] == pytest.approx(good / total)
+        assert joint[at:at + n - 1] == pytest.approx(pairs / total)
+        at += n - 1
+
+
+def sample(n, seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghi", k=rng.randint(2, 8)))
+    rows = []
+    for _ in range(n):
+        bad = rng.random() < 0.3
+        kind = rng.choice(["pipes", "shout", "marks", "same"])
+        lines = []
+        for _ in range(rng.randint(1, 25)):
+            words = [word() for _ in range(rng.randint(1, 20))]
+            if bad and rng.random() < 0.8:
+                if kind == "pipes":
+                    words = " | ".join(words).split(" ")
+                elif kind == "shout":
+                    words = [w.upper() + "!!" for w in words]
+                elif kind == "marks":
+                    words = [w + rng.choice(["$$$", "###"]) for w in words]
+                else:
+                    words = [words[0]] * len(words)
+            lines.append(" ".join(words))
+        rows.append(("\n".join(lines), int(not bad)))
+    return rows
+
+
+def test_learns_and_holds_on_other_texts(spark):
+    model = L.train(sample(500, 1))
+    rows = [(i, t, y) for i, (t, y) in enumerate(sample(300, 2))]
+    rows += [(None, None, 1), (5, "", 1), (5, "", 1), (6, "fine words here\n" * 30_000, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, y int").selectExpr("*", "'x' as score", "1 as lines")
+    found = L.score(frame, model, keep=("doc_id", "text", "y"), lines=True).collect()
+    assert len(found) == len(rows) and all(0 <= r["score"] <= 1 for r in found)
+    assert all(len(r["lines"]) == (r["text"] or "").count("\n") + 1 for r in found)
+    tested = [r for r in found if r["text"] and len(r["text"]) < 100_000]
+    assert np.mean([(r["score"] >= 0.7) == bool(r["y"]) for r in tested]) > 0.93
+
+
+def test_no_rows_and_one_label(spark):
+    frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert L.score(frame, L.train([])).first()["score"] == 0.5
+    assert L.score(frame, L.train([("a", 1)])).first()["score"] > 0.9
+    assert L.score(frame.limit(0), L.train([])).collect() == []
