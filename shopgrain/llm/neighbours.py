@@ -32,7 +32,7 @@ class Settings(NamedTuple):
     cap_limit: int = 64  # length up to which a saturated list is enlarged
     orders: int = 8  # random-projection orders to start from
     rounds: int = 6  # refinements at most
-    settled: float = 0.002  # stop when fewer entries than this share change
+    near: float = 0.1  # refine until no entry this close to the threshold, or closer, is new
     audit: int = 256  # points compared with all others
     recall: float = 0.99  # wanted in the audit
     repeats: int = 3  # further orders at most
@@ -332,10 +332,12 @@ def neighbour_graph(
     for again in range(settings.repeats + 1):
         for _ in range(settings.rounds):
             graph = _refined(points, graph, settings, threshold)
-            changed, entries = graph.agg(
-                F.sum(F.size(F.filter("fresh", lambda f: f))), F.sum(F.size("fresh"))
-            ).first()
-            if (changed or 0) <= settings.settled * (entries or 0):
+            # Farther neighbours only lead to closer ones; they need not be the best there are.
+            fresh = F.exists(
+                F.arrays_zip("sims", "fresh"),
+                lambda e: e["fresh"] & (e["sims"] >= threshold - settings.near),
+            )
+            if not graph.where(fresh).head(1):
                 break
         recall = audit_recall(points, graph, settings, threshold)
         if recall >= settings.recall or again == settings.repeats:
