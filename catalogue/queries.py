@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, mark_orphans, split
 from shopgrain.plans import dims, facts, jobs, marts, sqlmodels
 from shopgrain.rules import (
+    CORRUPT,
     CUSTOMERS,
     ENTITIES,
     LINEAGE_COLUMNS,
@@ -441,7 +443,7 @@ def upsert_by_month(inputs: Inputs) -> DataFrame:
     """Refunds change orders of some months, and some of those orders move to another month."""
     path = work_folder(inputs.spark, "upsert-month")
     orders = inputs.orders().select("order_id", "order_date", "order_status")
-    by_month = {"month_of": "order_date", "divide_above": 0}
+    by_month = {"month_of": "order_date"}
     snapshots.upsert(orders, path, ["order_id"], verify=False, **by_month)
     refunded = orders.where("order_status = 'refunded'").withColumns(
         {
@@ -532,7 +534,7 @@ def csv_tables_by_name(inputs: Inputs) -> DataFrame:
 
 @query
 def json_feed_array_and_lines(inputs: Inputs) -> DataFrame:
-    """Event files of both shapes in one folder: purchases as arrays over many lines, the rest as
+    """Event files of both shapes, a folder each: purchases as arrays over many lines, the rest as
     one record per line."""
     spark = inputs.spark
     folder = work_folder(spark, "json-feed")
@@ -836,17 +838,20 @@ def published_customers(inputs: Inputs) -> DataFrame:
 # --- whole jobs ---------------------------------------------------------------------------------
 
 
-def _daily_run(inputs: Inputs) -> jobs.Paths:
-    """Ingest, silver and gold over all five tables."""
-    paths = jobs.Paths.under(work_folder(inputs.spark, "lake"))
-    tables = {
+def _source_tables(inputs: Inputs) -> dict[str, DataFrame]:
+    return {
         "customers": inputs.customers(),
         "products": inputs.products(),
         "orders": inputs.orders(),
         "order_items": inputs.order_items(),
         "payments": inputs.payments(),
     }
-    run = jobs.run_ingest(inputs.spark, paths, tables)
+
+
+def _daily_run(inputs: Inputs) -> jobs.Paths:
+    """Ingest, silver and gold over all five tables."""
+    paths = jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    run = jobs.run_ingest(inputs.spark, paths, _source_tables(inputs))
     jobs.run_silver(inputs.spark, paths, run.batch_id, run.ingestion_date)
     jobs.run_gold(inputs.spark, paths)
     return paths
@@ -926,19 +931,296 @@ def landed_matches_source(inputs: Inputs) -> DataFrame:
 
 
 @query
-def event_stream_dedupe(inputs: Inputs) -> DataFrame:
-    """The event file as a stream, delivered twice: each event is stored once."""
+def backlog_run(inputs: Inputs) -> DataFrame:
+    """Two batches of orders landed, then one silver run: where each order of both ended up."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    odd = F.col("order_id") % 2 == 1
+    first = {"customers": inputs.customers(), "orders": inputs.orders().where(~odd)}
+    jobs.run_ingest(spark, paths, first, watermarks={}, batch=FIRST)
+    jobs.run_ingest(spark, paths, {"orders": inputs.orders().where(odd)}, watermarks={}, batch=SECOND)
+    jobs.run_silver(spark, paths)
+    return _accepted_and_rejected(inputs, paths, "orders", "order_id")
+
+
+def _accepted_and_rejected(
+    inputs: Inputs, paths: jobs.Paths, entity: str, key: str
+) -> DataFrame:
+    stored = snapshots.read_snapshot(inputs.spark, paths.silver_table(entity))
+    found = stored.select(key, "batch_id", F.lit("accepted").alias("outcome"))
+    if not snapshots.has_rejected(inputs.spark, paths.rejected(entity)):
+        return found
+    aside = snapshots.read_rejected(inputs.spark, paths.rejected(entity))
+    return found.unionAll(aside.select(key, "batch_id", F.col(REASON)))
+
+
+@query
+def late_parent(inputs: Inputs) -> DataFrame:
+    """Orders landed a day before some of their customers: they come back from the rows set aside."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    early = {"customers": inputs.customers().where("is_active"), "orders": inputs.orders()}
+    jobs.run_ingest(spark, paths, early, watermarks={}, batch=FIRST)
+    jobs.run_silver(spark, paths)
+    jobs.run_ingest(spark, paths, {"customers": inputs.customers()}, watermarks={}, batch=SECOND)
+    jobs.run_silver(spark, paths)
+    return _accepted_and_rejected(inputs, paths, "orders", "order_id")
+
+
+@query
+def upsert_new_column(inputs: Inputs) -> DataFrame:
+    """A column that arrives with a later batch, in a table divided by month: older rows lack it."""
+    path = work_folder(inputs.spark, "upsert-column")
+    orders = inputs.orders().select("order_id", "order_date", "order_status")
+    snapshots.upsert(orders, path, ["order_id"], verify=False, month_of="order_date")
+    noted = orders.where("order_status = 'refunded' and month(order_date) = 5").withColumn(
+        "note", F.concat(F.lit("refund of "), F.col("order_id"))
+    )
+    snapshots.upsert(noted, path, ["order_id"], month_of="order_date")
+    return snapshots.read_snapshot(inputs.spark, path).select("order_id", "order_status", "note")
+
+
+@query
+def quarantine_rerun(inputs: Inputs) -> DataFrame:
+    """A batch landed with wrong statuses, then landed again as it should be, under a numeric id."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    batch = Batch("007", "2024-01-01", "2024-01-01T02:00:00+00:00")
+    for status in (F.lit("odd"), F.col("order_status")):
+        landed = {
+            "customers": inputs.customers(),
+            "orders": inputs.orders().withColumn("order_status", status),
+        }
+        jobs.run_ingest(spark, paths, landed, watermarks={}, batch=batch)
+        jobs.run_silver(spark, paths, batch.batch_id, batch.ingestion_date)
+    return _accepted_and_rejected(inputs, paths, "orders", "order_id")
+
+
+@query
+def csv_line_breaks(inputs: Inputs) -> DataFrame:
+    """A feed whose quoted fields hold line breaks, landed and read back."""
     spark = inputs.spark
-    base = work_folder(spark, "stream")
-    for _ in range(2):
-        feeds.write_json_lines(inputs.website_events(), f"{base}/in")
+    folder, root = work_folder(spark, "csv-breaks"), work_folder(spark, "csv-breaks-landed")
+    broken = inputs.product_updates().withColumn(
+        "new_value", F.concat("new_value", F.lit("\nper piece, \"net\""))
+    )
+    broken.write.option("header", True).option("escape", '"').csv(folder)
+    rules = replace(ENTITIES["product_updates"], multi_line=True)
+    read = feeds.read_csv(spark, folder, quote_escape='"', lines=True)
+    landing.land(
+        landing.with_lineage(feeds.with_file_name(read), FIRST, "retail_product_feed"), root, rules
+    )
+    back = landing.read_landed(
+        spark, root, rules, entity_schema("product_updates"), FIRST.batch_id
+    )
+    return back.select("update_id", "sku", "old_value", "new_value")
+
+
+@query
+def json_corrupt_records(inputs: Inputs) -> DataFrame:
+    """Events of which one kind was cut off in mid-record: those are rejected with their text."""
+    spark = inputs.spark
+    folder, root = work_folder(spark, "json-corrupt"), work_folder(spark, "json-corrupt-landed")
+    records = feeds.json_lines(inputs.website_events()).withColumn(
+        "value",
+        F.when(F.col("value").contains("checkout_start"), F.expr("left(value, 40)")).otherwise(
+            F.col("value")
+        ),
+    )
+    records.write.text(folder)
+    read = feeds.read_json(spark, folder, entity_schema("website_events"), "*.txt", "lines")
+    landing.land(landing.with_lineage(read, FIRST, "retail_web_analytics"), root, WEBSITE_EVENTS)
+    back = landing.read_landed(spark, root, WEBSITE_EVENTS, entity_schema("website_events"))
+    checked = annotate(back, WEBSITE_EVENTS, "none")
+    return checked.select(
+        "event_id", F.length(CORRUPT).cast("long").alias("kept_text"),
+        F.split(REASON, "[|]")[0].alias("first_reason"),
+    )
+
+
+@query
+def feeds_through_jobs(inputs: Inputs) -> DataFrame:
+    """Both feeds and their parents through ingest and silver: rows by outcome."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    base = work_folder(spark, "feeds")
+    feeds.export_csv({"updates": inputs.product_updates()}, base)
+    feeds.write_json_lines(inputs.website_events(), f"{base}/events")
+    parents = {"customers": inputs.customers().where("is_active"), "products": inputs.products()}
+    folders = {"product_updates": f"{base}/updates", "website_events": f"{base}/events"}
+    jobs.run_ingest(
+        spark, paths, parents, folders, watermarks={}, batch=FIRST,
+        feed_shapes={"website_events": "lines"},
+    )
+    jobs.run_silver(spark, paths)
+    events = _accepted_and_rejected(inputs, paths, "website_events", "event_id")
+    updates = snapshots.read_snapshot(spark, paths.silver_table("product_updates")).select(
+        F.col("update_id").cast("string"), "batch_id", F.lit("accepted")
+    )
+    return events.withColumn("entity", F.lit("website_events")).unionAll(
+        updates.withColumn("entity", F.lit("product_updates"))
+    ).withColumnRenamed("event_id", "id").select("entity", "id", "outcome")
+
+
+@query
+def layer_counts_unreadable(inputs: Inputs) -> DataFrame:
+    """A source that cannot be opened is reported, not raised; empty tables are told apart."""
+    spark = inputs.spark
+    nowhere = work_folder(spark, "nowhere")
+    counts = reconcile.layer_counts("source", {
+        "customers": lambda: spark.read.parquet(nowhere),
+        "orders": inputs.raw("orders"),
+        "products": inputs.raw("part").where("p_partkey < 0"),
+    })
+    root = work_folder(spark, "manifests")
+    manifests.write_manifest(spark, root, "silver", "b", "d", [
+        TableRun("customers", inputs.raw("customer").count()), TableRun("orders", 0),
+    ])
+    recorded = reconcile.manifest_counts(spark, root, "silver")
+    return counts.unionAll(recorded).select("layer", "entity", "row_count", "status")
+
+
+@query
+def silver_gold_issues(inputs: Inputs) -> DataFrame:
+    """Gold built before the rest of the customers came: what lags behind the silver state."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    tables = _source_tables(inputs)
+    some = tables | {"customers": inputs.customers().where("is_active")}
+    jobs.run_ingest(spark, paths, some, watermarks={})
+    jobs.run_silver(spark, paths)
+    jobs.run_gold(spark, paths)
+    late = {"customers": inputs.customers()}
+    jobs.run_ingest(spark, paths, late, watermarks={})
+    jobs.run_silver(spark, paths, entities=["customers", "orders"])
+    _, issues = jobs.run_reconcile(spark, paths, late)
+    return issues
+
+
+def _published(inputs: Inputs) -> tuple[jobs.Paths, str]:
+    paths = _daily_run(inputs)
+    location = work_folder(inputs.spark, "warehouse")
+    database = "shop_" + location.rsplit("-", 1)[1]
+    inputs.spark.sql(f"create database {database} location '{location}'")
+    jobs.run_publish(inputs.spark, paths, database)
+    return paths, database
+
+
+@query
+def published_run(inputs: Inputs) -> DataFrame:
+    """All curated tables of a run in the catalog, in load order, with their rows."""
+    paths, database = _published(inputs)
+    counts = checks.table_counts(
+        {name: inputs.spark.table(f"{database}.{name}") for name in TABLES}
+    )
+    order = F.element_at(F.map_from_arrays(
+        F.array(*map(F.lit, TABLES)), F.array(*[F.lit(n) for n in range(len(TABLES))])
+    ), F.col("table_name"))
+    # The calendar of the run is configured, not taken from the tables.
+    return counts.withColumn("place", order).where("table_name <> 'dim_date'")
+
+
+@query
+def sql_models_of_run(inputs: Inputs) -> DataFrame:
+    """The SQL layer over the curated tables of a run, and every declared table test."""
+    return jobs.run_sql_models(inputs.spark, _daily_run(inputs))
+
+
+@query
+def report_of_run(inputs: Inputs) -> DataFrame:
+    """The reconciliation report of a run with one customer too few at the source, read back."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    report = work_folder(spark, "report")
+    tables = {"customers": inputs.customers(), "products": inputs.products()}
+    jobs.run_ingest(spark, paths, tables, watermarks={})
+    jobs.run_silver(spark, paths)
+    cut = tables | {"customers": inputs.customers().where("is_active")}
+    jobs.run_reconcile(spark, paths, cut, report_path=report)
+    body = spark.read.schema(
+        "passed boolean, issues array<string>, "
+        "counts array<struct<layer string, entity string, row_count bigint>>"
+    ).json(report)
+    counted = body.select(
+        "passed", F.size("issues").alias("n_issues"), F.inline("counts")
+    )
+    return counted.where("row_count is not null")
+
+
+@query
+def missing_curated(inputs: Inputs) -> DataFrame:
+    """Curated tables still to be built when only those without faults are stored."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    t = Curated(inputs)
+    for name in ("dim_customers", "dim_products", "fct_orders"):
+        snapshots.overwrite(t[name], paths.gold_table(name))
+    absent = jobs.missing_tables(spark, paths)
+    stored = {
+        name: snapshots.read_snapshot(spark, paths.gold_table(name))
+        for name in TABLES if name not in absent
+    }
+    return checks.table_counts(stored).withColumn(
+        "missing", F.lit(len(absent)).cast("long")
+    )
+
+
+@query
+def order_amounts_by_quantity(inputs: Inputs) -> DataFrame:
+    """Header amounts from the true quantity of each line and a price per unit in cents."""
+    price = (F.col("l_tax").cast("decimal(5,2)") + F.lit("12.34").cast("decimal(5,2)")).cast(MONEY)
+    quantity = F.col("l_quantity").cast("int")
+    kept = F.lit(1) - F.col("l_discount").cast("decimal(5,2)")
+    lines = inputs.raw("lineitem").select(
+        F.col("l_orderkey").alias("order_id"), quantity.alias("quantity"),
+        price.alias("unit_price"),
+        (price * quantity * kept).cast("decimal(14,2)").alias("line_total"),
+    )
+    headers = inputs.orders().select("order_id", "customer_id", "shipping_amount")
+    return edge(order_amounts(headers, lines))
+
+
+def _streamed(inputs: Inputs, parts: list[DataFrame], parents: str | None = None) -> DataFrame:
+    """Each part as one delivery, taken in one after the other: what is stored in the end."""
+    spark, base = inputs.spark, work_folder(inputs.spark, "stream")
     schema = entity_schema("website_events")
-    # One file per micro-batch: the second delivery meets what the first one stored.
-    stream = feed.file_stream(spark, f"{base}/in", schema, "*.json", files_at_once=1)
-    feed.ingest_available(
-        feed.as_event_time(stream, "event_timestamp"), WEBSITE_EVENTS, f"{base}/valid",
-        f"{base}/rejected", f"{base}/checkpoint", "retail_web_analytics",
-    )
-    valid = spark.read.parquet(f"{base}/valid").select("event_id", "event_type", REASON)
-    rejected = spark.read.parquet(f"{base}/rejected").select("event_id", "event_type", REASON)
-    return valid.unionByName(rejected)
+    for part in parts:
+        feeds.write_json_lines(part, f"{base}/in")
+        feed.ingest_available(
+            feed.file_stream(spark, f"{base}/in", schema, "*.json"), WEBSITE_EVENTS,
+            f"{base}/valid", f"{base}/rejected", f"{base}/checkpoint", "retail_web_analytics",
+            parent_path=None if parents is None else lambda name: parents,
+        )
+    columns = ["event_id", "event_type", "event_timestamp", REASON]
+    found = snapshots.read_snapshot(spark, f"{base}/valid").select(*columns)
+    if snapshots.has_snapshot(spark, f"{base}/rejected"):
+        aside = snapshots.read_snapshot(spark, f"{base}/rejected")
+        found = found.unionByName(aside.select(*columns))
+    return found
+
+
+@query
+def event_stream_dedupe(inputs: Inputs) -> DataFrame:
+    """The event file as a stream, delivered twice: each event is stored once."""
+    events = inputs.website_events()
+    return _streamed(inputs, [events, events]).drop("event_timestamp")
+
+
+@query
+def event_stream_correction(inputs: Inputs) -> DataFrame:
+    """Events delivered with an unknown type and then corrected: all are stored in the end."""
+    events = inputs.website_events()
+    wrong = events.where("event_type <> 'error'").withColumn("event_type", F.lit("unheard_of"))
+    found = _streamed(inputs, [wrong, events])
+    return found.drop("event_timestamp")
+
+
+@query
+def event_stream_retimed(inputs: Inputs) -> DataFrame:
+    """Purchases delivered again with a time in another month: each is stored once, as corrected."""
+    events = inputs.website_events()
+    moved = events.where("event_type = 'purchase'").withColumn(
+        "event_timestamp", F.concat(F.lit("2031"), F.substring("event_timestamp", 5, 30))
+    )
+    return _streamed(inputs, [events, moved, events])
+
+
+@query
+def event_stream_orphans(inputs: Inputs) -> DataFrame:
+    """Streamed events against the stored customers, as in a batch run."""
+    parents = work_folder(inputs.spark, "stream-customers")
+    snapshots.overwrite(inputs.customers().where("is_active"), parents)
+    return _streamed(inputs, [inputs.website_events()], parents).drop("event_timestamp")

@@ -3,7 +3,7 @@
 Three cases:
 
 * the lookup is small enough to broadcast: a plain join, which Catalyst broadcasts;
-* otherwise a bounded sketch looks for heavy keys on the row side; without any, a plain shuffle join;
+* otherwise bounded sketches look for heavy keys on the row side; without any, a plain shuffle join;
 * with some, their rows are cut into pieces and only their lookup rows are repeated, once per
   piece, while all other keys take part in the same join unsplit.
 """
@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from shopgrain.runtime import fits_broadcast, written
 
-# The sketch reports at most this many keys, which bounds what is broadcast below.
-HEAVY_KEYS = 4096
-SKETCH_ITEMS = 65536
+# Keys are dealt to at most this many groups, each with a sketch of its own.
+GROUPS = 512
 
 _HASH, _PIECES, _PIECE = "__key_hash", "__pieces", "__piece"
 
@@ -29,11 +28,12 @@ def lookup_join(
     how: str = "inner",
     key_source: DataFrame | None = None,
     broadcast_small: bool = True,
+    under: str | None = None,
 ) -> DataFrame:
     """Equi-join of `rows` to `lookup`; both must have the `on` columns with equal types.
 
     `key_source` is a cheaper frame with the same keys, such as the scan `rows` was computed from,
-    to look for heavy keys in.
+    to look for heavy keys in. What is staged goes below `under`, a folder of `staging`, where given.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -45,32 +45,36 @@ def lookup_join(
         return rows.join(lookup, on, how)
     # The sketch is approximate and could come out differently if it ran again. Both sides must
     # agree on the pieces, also when a task is repeated, so its result is written down once.
-    heavy = written(heavy_keys(rows if key_source is None else key_source, on), "heavy")
+    source = rows if key_source is None else key_source
+    heavy = written(heavy_keys(source, on, under), "heavy", under=under)
     if heavy.isEmpty():
         return rows.join(lookup, on, how)
     return _join_in_pieces(rows, lookup, on, how, F.broadcast(heavy))
 
 
-def heavy_keys(rows: DataFrame, on: list[str]) -> DataFrame:
+def heavy_keys(rows: DataFrame, on: list[str], under: str | None = None) -> DataFrame:
     """Key hashes that hold more rows than a task's even share, with the pieces to cut them into.
 
-    One global sketch aggregate: every task sends a summary of fixed size, so nothing is
-    shuffled by key and the result never exceeds HEAVY_KEYS rows. The counts are estimates; they
-    decide only where rows travel, never which rows are in the result.
+    There are fewer of them than shuffle partitions, and a sketch keeps a multiple of that number,
+    so it finds them all. Every task sums up its rows in a sketch for each group of keys; sketches
+    of a group meet in one task, so no task gets a sketch from every other for all keys. The counts
+    are estimates; they decide only where rows travel, never which rows are in the result.
     """
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    summary = rows.select(F.xxhash64(*on).alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
+    spark = rows.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    items = 1 << max(4 * tasks, 64).bit_length()
+    hashed = rows.select(F.xxhash64(*on).alias(_HASH))
+    group = F.pmod(F.col(_HASH), F.lit(min(GROUPS, tasks))).alias("g")
+    sketches = hashed.groupBy(group).agg(
+        F.expr(f"approx_top_k({_HASH}, {tasks}, {items})").alias("top"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    share = F.col("count") * tasks / F.col("total")
-    return (
-        summary.select("total", F.inline("top"))
-        .where(share > 1)
-        .select(
-            F.col("item").alias(_HASH),
-            F.ceil(share * 2).cast("int").alias(_PIECES),
-        )
+    summary = written(sketches, "sketches", under=under)
+    total = summary.agg(F.sum("rows")).first()[0] or 0
+    share = F.col("count") * tasks / F.lit(max(total, 1))
+    return summary.select(F.inline("top")).where(share > 1).select(
+        F.col("item").alias(_HASH),
+        F.ceil(share * 2).cast("int").alias(_PIECES),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 
 from shopgrain.operators.lookup import lookup_join
 from shopgrain.rules import (
+    CORRUPT,
     PROCESSED_AT,
     REASON,
     REASON_SEPARATOR,
@@ -61,6 +62,7 @@ def row_reasons(columns: list[str], rules: EntityRules) -> list[Column]:
     do not apply. Comparisons with null are null, so only the required rule sees nulls.
     """
     present = set(columns)
+    unread = [F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))] if CORRUPT in present else []
     required = [
         F.when(F.col(name).isNull(), F.lit(f"null_{name}"))
         if name in present
@@ -78,7 +80,7 @@ def row_reasons(columns: list[str], rules: EntityRules) -> list[Column]:
         if bounds.column in present
         for reason in _bound_reasons(bounds)
     ]
-    return [*required, *accepted, *numeric]
+    return [*unread, *required, *accepted, *numeric]
 
 
 def repeated_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,7 +94,7 @@ def repeated_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mark_duplicates(
-    frame: DataFrame, keys: list[str], settle: Settle | None = None
+    frame: DataFrame, keys: list[str], settle: Settle | None = None, under: str | None = None
 ) -> DataFrame:
     """Add a flag that is true on every copy of a repeated key. Null keys equal each other.
 
@@ -111,6 +113,7 @@ def mark_duplicates(
             [_KEY],
             "left",
             key_source=frame.select(F.struct(*keys).alias(_KEY)),
+            under=under,
         )
         .withColumn(_DUPLICATE, F.coalesce(F.col(_DUPLICATE), F.lit(False)))
         .drop(_KEY)
@@ -122,21 +125,22 @@ def annotate(
     rules: EntityRules,
     duplicate_scope: str = "batch",
     settle: Settle | None = None,
+    under: str | None = None,
 ) -> DataFrame:
     """Standardised rows with `rejection_reason`: reasons joined in rule order, null when valid.
 
     `duplicate_scope="batch"` looks for repeated keys within a batch, so that landing a full table
-    again is no fault; `"all"` looks across everything in `frame`.
+    again is no fault; `"all"` looks across everything in `frame`, `"none"` at no keys.
     """
-    if duplicate_scope not in ("batch", "all"):
+    if duplicate_scope not in ("batch", "all", "none"):
         raise ValueError(f"unknown duplicate scope: {duplicate_scope}")
     clean = standardise(frame)
     reasons = row_reasons(clean.columns, rules)
     keys = list(rules.identity)
-    if all(name in clean.columns for name in keys):
+    if duplicate_scope != "none" and all(name in clean.columns for name in keys):
         if duplicate_scope == "batch" and "batch_id" in clean.columns:
             keys.append("batch_id")
-        clean = mark_duplicates(clean, keys, settle)
+        clean = mark_duplicates(clean, keys, settle, under)
         reasons.append(F.when(F.col(_DUPLICATE), F.lit(f"duplicate_{rules.key}")))
     joined = F.concat_ws(REASON_SEPARATOR, *reasons)
     return clean.withColumn(REASON, F.nullif(joined, F.lit(""))).drop(_DUPLICATE)
@@ -164,6 +168,7 @@ def mark_orphans(
     every_orphan: bool = False,
     key_source: DataFrame | None = None,
     settle: Settle | None = None,
+    under: str | None = None,
 ) -> DataFrame:
     """Give valid rows whose foreign key has no parent the orphan reason.
 
@@ -195,6 +200,7 @@ def mark_orphans(
             [foreign_key.column],
             "left",
             key_source=source,
+            under=under,
         )
         .withColumn(REASON, verdict)
         .select(*columns)

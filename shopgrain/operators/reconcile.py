@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.runtime import literal_rows
+from shopgrain.runtime import for_each_table, literal_rows
 from shopgrain.sources.manifests import latest_counts
 
 LAYERS = ("source", "bronze", "silver", "gold", "warehouse")
@@ -15,29 +15,33 @@ LAYERS = ("source", "bronze", "silver", "gold", "warehouse")
 COUNT_SCHEMA = "layer string, entity string, row_count bigint, status string, detail string"
 
 
-def layer_counts(layer: str, tables: dict[str, DataFrame | None]) -> DataFrame:
+Table = DataFrame | Callable[[], DataFrame | None] | None
+
+
+def layer_counts(
+    layer: str, tables: dict[str, Table], spark: SparkSession | None = None
+) -> DataFrame:
     """(layer, entity, row_count, status, detail) per table; None stands for a missing table.
 
-    Counting Parquet reads footers only, so live counts replace sampled files.
+    A table may be a function that opens it. Each is counted on its own, so that one that cannot
+    be read has the status `error`, with the first line of the message, and spoils nothing else.
+    Counting Parquet reads footers only.
     """
-    parts = []
-    for entity, frame in tables.items():
-        if frame is None:
-            continue
-        parts.append(
-            frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(layer).alias("layer"),
-                F.lit(entity).alias("entity"),
-                "row_count",
-                F.when(F.col("row_count") > 0, F.lit("ok")).otherwise("empty").alias("status"),
-                F.lit("").alias("detail"),
-            )
-        )
-    absent = [(layer, name, None, "missing", "") for name, frame in tables.items() if frame is None]
-    if absent or not parts:
-        session = SparkSession.active()
-        parts.append(literal_rows(session, absent, COUNT_SCHEMA))
-    return reduce(DataFrame.unionAll, parts)
+
+    def count(entity: str) -> tuple:
+        try:
+            table = tables[entity]
+            frame = table() if callable(table) else table
+            if frame is None:
+                return layer, entity, None, "missing", ""
+            rows = frame.count()
+        except Exception as error:  # whatever keeps a table from being read is what to report
+            lines = str(error).splitlines()
+            return layer, entity, None, "error", lines[0][:200] if lines else type(error).__name__
+        return layer, entity, rows, "ok" if rows else "empty", ""
+
+    session = spark or SparkSession.active()
+    return literal_rows(session, for_each_table(session, count, list(tables)), COUNT_SCHEMA)
 
 
 def unavailable(spark: SparkSession, layer: str, status: str, detail: str) -> DataFrame:
@@ -51,7 +55,7 @@ def manifest_counts(spark: SparkSession, root: str, layer: str) -> DataFrame:
         "layer",
         F.col("table_name").alias("entity"),
         "row_count",
-        F.lit("ok").alias("status"),
+        F.when(F.col("row_count") > 0, "ok").otherwise("empty").alias("status"),
         F.lit("manifest").alias("detail"),
     )
 

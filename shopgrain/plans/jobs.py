@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,17 +21,22 @@ from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, mark_orphans, standardise
 from shopgrain.plans import dims, facts, marts, sqlmodels
 from shopgrain.rules import (
+    CORRUPT,
     ENTITIES,
     ENTITY_GROUPS,
     FOREIGN_KEY_TESTS,
+    GOLD_OF,
+    LATEST_ORDER,
     MART_TESTS,
     MONTH_OF,
+    PROCESSED_AT,
     REASON,
     SOURCE_FEEDS,
     SOURCE_TABLES,
     TABLE_SOURCE_SYSTEM,
     TABLES,
     BusinessRules,
+    EntityRules,
 )
 from shopgrain.runtime import for_each_table, staging, written
 from shopgrain.schemas import entity_schema
@@ -91,7 +96,8 @@ def run_ingest(
     """Land source tables and file feeds with lineage columns under one batch id.
 
     Incremental tables start at `watermarks`, or else at the marks earlier runs recorded. A JSON
-    feed whose shape ("lines" or "arrays") is given is not scanned to find it out.
+    feed whose shape ("lines" or "arrays") its rules or `feed_shapes` give is not scanned to find
+    it out.
     """
     batch = batch or Batch.start()
     run = Run(batch.batch_id, batch.ingestion_date)
@@ -108,9 +114,11 @@ def run_ingest(
             folder = feed_folders[entity]
             feeds.require_files(spark, folder, pattern)
             if rules.file_format == "csv":
-                frame = feeds.with_file_name(feeds.read_csv(spark, folder, pattern))
+                frame = feeds.with_file_name(
+                    feeds.read_csv(spark, folder, pattern, lines=rules.multi_line)
+                )
             else:
-                shape = (feed_shapes or {}).get(entity, "auto")
+                shape = (feed_shapes or {}).get(entity, rules.shape)
                 frame = feeds.read_json(spark, folder, entity_schema(entity), pattern, shape)
             enriched = landing.with_lineage(frame, batch, system)
         landing.land(enriched, paths.bronze, rules)
@@ -155,17 +163,57 @@ def run_silver(
     all_batches: bool = False,
     duplicate_scope: str = "batch",
     schemas: dict[str, StructType] | None = None,
-    divide_above: int = snapshots.DIVIDE_ABOVE,
 ) -> Run:
     """Check the landed rows, set rejected ones aside and upsert the rest by key.
 
-    Entities run parents first. By default only the run's batch is read, through partition pruning.
-    Entities that were never landed are skipped. Orders and payments beyond `divide_above` bytes are
-    stored by month.
+    Without a batch id, every landed batch that no silver run has taken in is worked through, oldest
+    first, each with a manifest of its own; the run returned adds them up. With one, or with
+    `all_batches`, there is one pass over that batch, or over everything landed.
+
+    Entities run parents first. Only the batch's folder is read. Entities that were never landed
+    are skipped. Rows that were rejected only because their parent was unknown come back once it is
+    known: `rejected_count` is the change of the rows set aside, so landed rows are always
+    accepted plus rejected ones.
     """
+    if batch_id is None and not all_batches:
+        backlog = manifests.pending_batches(spark, paths.bronze, paths.silver)
+        if not backlog:
+            return Run(*manifests.newest_batch(spark, paths.bronze))
+        runs = [
+            _silver_pass(spark, paths, batch, day, entities, False, duplicate_scope, schemas)
+            for batch, day in backlog
+        ]
+        return _summed(runs)
     if not (batch_id and ingestion_date):
         newest = manifests.newest_batch(spark, paths.bronze)
         batch_id, ingestion_date = batch_id or newest[0], ingestion_date or newest[1]
+    return _silver_pass(
+        spark, paths, batch_id, ingestion_date, entities, all_batches, duplicate_scope, schemas
+    )
+
+
+def _summed(runs: list[Run]) -> Run:
+    """One run with the counts of several, under the id of the last."""
+    total: dict[str, TableRun] = {}
+    for table in (table for run in runs for table in run.tables):
+        before = total.get(table.table_name, TableRun(table.table_name, 0))
+        total[table.table_name] = TableRun(
+            table.table_name, before.row_count + table.row_count,
+            before.rejected_count + table.rejected_count, table.path,
+        )
+    return Run(runs[-1].batch_id, runs[-1].ingestion_date, list(total.values()))
+
+
+def _silver_pass(
+    spark: SparkSession,
+    paths: Paths,
+    batch_id: str,
+    ingestion_date: str,
+    entities: list[str] | None,
+    all_batches: bool,
+    duplicate_scope: str,
+    schemas: dict[str, StructType] | None,
+) -> Run:
     run = Run(batch_id, ingestion_date)
     wanted = [rules.name for rules in map(landing.rules_of, entities or ENTITIES)]
 
@@ -179,27 +227,47 @@ def run_silver(
         rows = landing.read_landed(
             spark, paths.bronze, rules, schema, None if all_batches else batch_id
         )
+        aside = paths.rejected(entity)
         with staging(spark, f"silver-{entity}") as folder:
+            returning = None
+            if not all_batches:
+                returning = parents_found(spark, rules, aside, paths.silver_table, folder)
+            if returning is not None:
+                again = returning.drop(REASON, PROCESSED_AT).withColumn(RETURNED, F.lit(True))
+                rows = rows.unionByName(again, allowMissingColumns=True)
             valid, rejected = check_rows(
                 spark, rows, entity, paths.silver_table, folder, duplicate_scope
             )
+            accepted = valid.count()
+            set_aside = rejected.count()
+            key = list(rules.identity)
+            if returning is not None:
+                back = valid.where(RETURNED)
+                released = back.count()
+                set_aside -= released + rejected.where(RETURNED).count()
+                # A row that comes back late must not undo what a newer batch has stored.
+                valid = latest_per_key(valid.drop(RETURNED), [rules.key])
+                rejected = rejected.where(F.col(RETURNED).isNull()).drop(RETURNED)
             if all_batches and duplicate_scope == "batch":
                 # Only then can a key be left more than once; otherwise its copies were rejected.
-                valid = latest_per_key(valid, list(rules.identity))
-            merged = snapshots.upsert(
+                valid = latest_per_key(valid, key)
+            snapshots.upsert(
                 valid,
                 paths.silver_table(entity),
                 [rules.key],
+                newer_by=LATEST_ORDER if returning is not None else (),
                 verify=False,
                 month_of=MONTH_OF.get(entity),
-                divide_above=divide_above,
-            )
-            aside = snapshots.append_rejected(
-                rejected, paths.rejected(entity), batch_id, ingestion_date
-            )
-            return TableRun(
-                entity, merged.rows, rejected.count() if aside else 0, paths.silver_table(entity)
+                settled=returning is None and not all_batches,
             )
+            # Only when they are stored; a run cut short here finds them once more.
+            if returning is not None:
+                snapshots.release_rejected(spark, aside, back, key)
+            if all_batches:
+                snapshots.replace_rejected(rejected, aside)
+            else:
+                snapshots.append_rejected(rejected, aside, batch_id, ingestion_date)
+            return TableRun(entity, accepted, set_aside, paths.silver_table(entity))
 
     for group in ENTITY_GROUPS:
         results = for_each_table(spark, refine, [name for name in group if name in wanted])
@@ -208,6 +276,37 @@ def run_silver(
     return run
 
 
+# Marks rows that come back from the rows set aside.
+RETURNED = "returned"
+# One or more reasons, none but orphan ones.
+_ORPHAN_ONLY = r"^orphan_[^|]*(\|orphan_[^|]*)*$"
+
+
+def parents_found(
+    spark: SparkSession,
+    rules: EntityRules,
+    rejected_path: str,
+    parent_path: Callable[[str], str],
+    folder: str,
+) -> DataFrame | None:
+    """Rows set aside for an unknown parent whose parents are all known by now, None without any."""
+    if not rules.foreign_keys or not snapshots.has_rejected(spark, rejected_path):
+        return None
+    rows = snapshots.read_rejected(spark, rejected_path).where(
+        F.col(REASON).rlike(_ORPHAN_ONLY)
+    )
+    for key in rules.foreign_keys:
+        path = parent_path(key.parent)
+        if snapshots.has_snapshot(spark, path):
+            parent = snapshots.read_snapshot(spark, path)
+            known = parent.select(
+                F.col(key.parent_column).cast(rows.schema[key.column].dataType).alias(key.column)
+            )
+            rows = rows.join(known, key.column, "left_semi")
+    found = written(rows, "returning", under=folder)
+    return None if found.isEmpty() else found
+
+
 def check_rows(
     spark: SparkSession,
     rows: DataFrame,
@@ -224,7 +323,7 @@ def check_rows(
     rules = ENTITIES[entity]
     clean = standardise(rows)
     annotated = annotate(
-        rows, rules, duplicate_scope, lambda keys: written(keys, "repeated", under=folder)
+        rows, rules, duplicate_scope, lambda keys: written(keys, "repeated", under=folder), folder
     )
     for key in rules.foreign_keys:
         path = parent_path(key.parent)
@@ -235,12 +334,13 @@ def check_rows(
                 snapshots.read_snapshot(spark, path),
                 key_source=clean,
                 settle=lambda keys: written(keys, "orphans", under=folder),
+                under=folder,
             )
     settled = written(
         annotated.withColumn("accepted", F.col(REASON).isNull()), "checked", ("accepted",), folder
     )
     return (
-        settled.where("accepted").drop("accepted"),
+        settled.where("accepted").drop("accepted", CORRUPT),
         settled.where("not accepted").drop("accepted"),
     )
 
@@ -357,11 +457,14 @@ def publish_table(
     shaped = upper_names(frame) if uppercase else frame
     if not spark.catalog.tableExists(table):
         shaped.limit(0).write.saveAsTable(table)
-    rows = shaped.count()
-    if rows:
+    rows = 0
+    if not shaped.isEmpty():
         order = [next(c for c in shaped.columns if c.lower() == t.lower())
                  for t in spark.table(table).columns]
-        shaped.select(*order).write.insertInto(table, overwrite=mode == "overwrite")
+        counter = Observation()
+        counted = shaped.select(*order).observe(counter, F.count(F.lit(1)).alias("rows"))
+        counted.write.insertInto(table, overwrite=mode == "overwrite")
+        rows = counter.get["rows"]
     return rows
 
 
@@ -404,25 +507,37 @@ def data_tests(curated: dict[str, DataFrame]) -> DataFrame:
 def run_reconcile(
     spark: SparkSession,
     paths: Paths,
-    source: dict[str, DataFrame],
+    source: dict[str, rec.Table],
     database: str | None = None,
     batch_id: str | None = None,
     report_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(layer counts, issues). No issues means the layers agree.
 
-    Bronze counts the newest batch. Silver and gold counts come from the newest manifests.
+    A source may be given as a function that opens it; one that cannot be opened or counted has
+    the status `error`. Bronze counts the newest batch. Silver and gold counts come from the newest
+    manifests. Compared are source with bronze, bronze with silver, the stored silver state with the
+    gold tables that have a row for each of its rows, and gold with the warehouse.
     """
     batch_id = batch_id or manifests.newest_batch(spark, paths.bronze)[0]
-    bronze = {}
-    for name in source:
+
+    def landed(name: str) -> DataFrame | None:
         rules = ENTITIES[name]
-        bronze[name] = (
-            landing.read_landed(spark, paths.bronze, rules, None, batch_id)
-            if landing.is_landed(spark, paths.bronze, rules)
-            else None
-        )
-    counts = rec.layer_counts("source", source).unionAll(rec.layer_counts("bronze", bronze))
+        if not landing.is_landed(spark, paths.bronze, rules):
+            return None
+        schema = entity_schema(name) if rules.file_format != "parquet" else None
+        return landing.read_landed(spark, paths.bronze, rules, schema, batch_id)
+
+    def stored(name: str) -> DataFrame | None:
+        path = paths.silver_table(name)
+        return snapshots.read_snapshot(spark, path) if snapshots.has_snapshot(spark, path) else None
+
+    def opener(function: Callable[[str], DataFrame | None], name: str) -> rec.Table:
+        return lambda: function(name)
+
+    counts = rec.layer_counts("source", source, spark).unionAll(
+        rec.layer_counts("bronze", {name: opener(landed, name) for name in source}, spark)
+    )
     rejected = None
     for layer, root in (("silver", paths.silver), ("gold", paths.gold)):
         if exists(spark, join(root, "_manifests")):
@@ -436,6 +551,14 @@ def run_reconcile(
     issues = rec.compare(counts, "source", "bronze").unionAll(rec.unreadable(counts))
     if rejected is not None:
         issues = issues.unionAll(rec.compare(counts, "bronze", "silver", rejected))
+    if exists(spark, join(paths.gold, "_manifests")):
+        state = rec.layer_counts(
+            "silver state",
+            {table: opener(stored, entity) for entity, table in GOLD_OF.items()}, spark,
+        )
+        issues = issues.unionAll(
+            rec.compare(counts.unionAll(state.where("status <> 'missing'")), "silver state", "gold")
+        )
     if database is None:
         counts = counts.unionAll(rec.unavailable(spark, "warehouse", "skipped", ""))
     else:
@@ -445,7 +568,7 @@ def run_reconcile(
             else None
             for name in TABLES
         }
-        counts = counts.unionAll(rec.layer_counts("warehouse", published))
+        counts = counts.unionAll(rec.layer_counts("warehouse", published, spark))
         issues = issues.unionAll(rec.compare(counts, "gold", "warehouse"))
     if report_path:
         rec.write_report(counts, issues, report_path)

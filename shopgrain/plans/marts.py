@@ -116,9 +116,11 @@ def product_totals(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFra
     """Quantities, revenue and order count per product key, for lines whose order exists.
 
     Lines are combined per (order, product) first. After that a product's order count is a
-    row count, and the orders join meets each (order, product) pair once.
+    row count, and the orders join meets each (order, product) pair once. One hashing of the lines
+    by order serves both.
     """
-    pairs = fct_order_items.groupBy("order_key", "product_key").agg(
+    lines = fct_order_items.select("order_key", "product_key", "quantity", "line_total")
+    pairs = lines.repartition("order_key").groupBy("order_key", "product_key").agg(
         F.sum("quantity").alias("__quantity"), F.sum("line_total").alias("__total")
     )
     orders = fct_orders.select("order_key", "is_completed")

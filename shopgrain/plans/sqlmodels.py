@@ -148,9 +148,12 @@ MARTS: dict[str, str] = {
         from totals
     """,
     "sql_mart_product_performance": f"""
-        with pairs as (
-            select order_key, product_key, sum(quantity) as quantity, sum(line_total) as total
+        with lines as (
+            select /*+ repartition(order_key) */ order_key, product_key, quantity, line_total
             from stg_fct_order_items
+        ), pairs as (
+            select order_key, product_key, sum(quantity) as quantity, sum(line_total) as total
+            from lines
             group by order_key, product_key
         ), totals as (
             select product_key, sum(quantity) as total_quantity_sold,

@@ -13,6 +13,8 @@ LINEAGE_COLUMNS = ("batch_id", "source_system", "source_file", "ingested_at", "i
 PROCESSED_AT = "processed_at"
 LOADED_AT = "gold_loaded_at"
 REASON = "rejection_reason"
+# Column with the text of a feed record that could not be parsed, and the reason it is rejected for.
+CORRUPT = "corrupt_record"
 REASON_SEPARATOR = "|"
 LATEST_ORDER = ("ingested_at", "batch_id")
 BATCH_PREFIX = "retail"
@@ -55,6 +57,10 @@ class EntityRules:
     bounds: tuple[Bounds, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
     dedupe_keys: tuple[str, ...] = ()
+    # CSV whose fields may hold line breaks: files are then read whole, not split.
+    multi_line: bool = False
+    # Shape of a JSON feed: "lines", "arrays", or "auto" to tell its files apart by a scan.
+    shape: str = "auto"
 
     @property
     def identity(self) -> tuple[str, ...]:
@@ -193,7 +199,12 @@ SOURCE_TABLES: dict[str, tuple[str, str | None]] = {
 
 # Entities whose stored state is divided by the month of a column, so that a day's changes rewrite
 # only the months they touch.
-MONTH_OF: dict[str, str] = {"orders": "order_date", "payments": "payment_date"}
+MONTH_OF: dict[str, str] = {
+    "orders": "order_date",
+    "order_items": "created_at",
+    "payments": "payment_date",
+    "website_events": "event_timestamp",
+}
 
 # Feed -> (source system, file pattern)
 SOURCE_FEEDS: dict[str, tuple[str, str]] = {
@@ -228,6 +239,15 @@ class TableContract:
     columns: tuple[str, ...]
 
 
+# Silver entity -> the gold table that has a row for each of its rows.
+GOLD_OF: dict[str, str] = {
+    "customers": "dim_customers",
+    "products": "dim_products",
+    "orders": "fct_orders",
+    "order_items": "fct_order_items",
+    "payments": "fct_payments",
+}
+
 # In publish order: dimensions, facts, marts.
 TABLES: dict[str, TableContract] = {
     "dim_date": TableContract(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from shopgrain.rules import CORRUPT
 from shopgrain.schemas import bind_by_name
 from shopgrain.sources.files import exists
 
@@ -24,22 +25,32 @@ def require_files(spark: SparkSession, folder: str, pattern: str) -> None:
 
 
 def read_csv(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", quote_escape: str = "\\"
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    quote_escape: str = "\\",
+    base: str | None = None,
+    lines: bool = False,
 ) -> DataFrame:
     """CSV files with a header, every column as text.
 
     The header of one file gives the columns. Each file's header is then checked against it,
-    since binding columns by position would silently mix them up.
+    since binding columns by position would silently mix them up. `lines` is for feeds whose quoted
+    fields hold line breaks; their files are not split. `base` is the folder below which partition
+    folders begin.
     """
-    base = (
+    reader = (
         spark.read.option("header", True)
         .option("pathGlobFilter", pattern)
         .option("quote", '"')
         .option("escape", quote_escape)
+        .option("multiLine", lines)
     )
-    columns = base.csv(folder).columns
+    if base is not None:
+        reader = reader.option("basePath", base)
+    columns = reader.csv(folder).columns
     text = StructType([StructField(name, StringType()) for name in columns])
-    return base.option("enforceSchema", False).schema(text).csv(folder)
+    return reader.option("enforceSchema", False).schema(text).csv(folder)
 
 
 def read_json(
@@ -55,11 +66,16 @@ def read_json(
     that spans lines can only be parsed as a whole file, so exactly those files are read that way.
     `shape` is "lines" or "arrays" for a feed known to hold only that, which saves a scan; "auto"
     tells the files apart.
+
+    A record that is no JSON object keeps its text in `CORRUPT`, a column the frame has besides
+    those of the schema; it is null everywhere else.
     """
     if shape not in ("auto", "lines", "arrays"):
         raise ValueError(f"unknown feed shape: {shape}")
     require_files(spark, folder, pattern)
-    reader = spark.read.schema(schema)
+    if CORRUPT not in schema.names:
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if shape != "auto":
         given = reader.option("pathGlobFilter", pattern).option("multiLine", shape == "arrays")
         return with_file_name(given.json(folder))
@@ -68,7 +84,7 @@ def read_json(
     if plain:
         parts.append(with_file_name(reader.json(plain)))
     if arrays:
-        whole = spark.read.schema(schema).option("multiLine", True)
+        whole = reader.option("multiLine", True)
         parts.append(with_file_name(whole.json(arrays)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(jvm_path)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a glob pattern."""
+    jvm_path, store = _path(spark, pattern)
+    return bool(store.globStatus(jvm_path))
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when it does not exist."""
     jvm_path, store = _path(spark, path)
@@ -23,6 +31,28 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in store.listStatus(jvm_path))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file that appears whole or not at all: written aside, then renamed."""
+    aside, store = _path(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    stream = store.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not store.rename(aside, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        store.delete(aside, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm_path, store = _path(spark, path)
+    stream = store.open(jvm_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm_path, store = _path(spark, path)
     store.delete(jvm_path, True)

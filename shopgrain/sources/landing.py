@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shopgrain.rules import BATCH_PREFIX, ENTITIES, LINEAGE_COLUMNS, SOURCE_TABLES, EntityRules
+from shopgrain.rules import BATCH_PREFIX, CORRUPT, ENTITIES, LINEAGE_COLUMNS, SOURCE_TABLES, EntityRules
 from shopgrain.schemas import bind_by_name
 from shopgrain.sources import feeds
-from shopgrain.sources.files import exists, join
+from shopgrain.sources.files import exists, join, matches
 
 _PARTITIONS = ("ingestion_date", "batch_id")
+# Names that a folder bears as they are.
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
 @dataclass(frozen=True)
@@ -87,35 +90,52 @@ def read_landed(
     schema: StructType | None = None,
     batch_id: str | None = None,
 ) -> DataFrame:
-    """Landed rows of every batch, or of one batch read through partition pruning.
+    """Landed rows of every batch, or of one batch, of which only its own folder is listed.
 
     Table batches are Parquet and bring their own types; `schema` overrides them. Feed batches
-    are text: CSV columns are bound by name, JSON is read with the schema of the feed.
+    are text: CSV columns are bound by name, JSON is read with the schema of the feed. Partition
+    values are text, whatever they look like.
     """
     path = entity_path(root, rules.source_type, rules.name)
+    where = path
+    if batch_id is not None and _PLAIN_NAME.fullmatch(batch_id):
+        where = join(path, "ingestion_date=*", f"batch_id={batch_id}")
+        if not matches(spark, where):
+            where = path  # no such batch: the filter below gives no rows
+    reader = spark.read.option("basePath", path)
     if rules.file_format == "parquet":
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(_with_lineage_fields(schema))
-        frame = reader.parquet(path)
+        if schema is None:
+            # A table of which only empty batches were landed has no file to tell its columns.
+            filled = matches(spark, join(where, "*.parquet") if where != path else join(
+                path, "ingestion_date=*", "batch_id=*", "*.parquet"
+            ))
+            schema = reader.parquet(where).schema if filled else StructType([])
+        full = _with_lineage_fields(schema)
+        frame = reader.schema(full).parquet(where)
     elif rules.file_format == "csv":
-        frame = feeds.read_csv(spark, path, quote_escape='"')
+        frame = feeds.read_csv(spark, where, quote_escape='"', base=path, lines=rules.multi_line)
         if schema is not None:
             frame = bind_by_name(frame, schema)
     elif rules.file_format == "json":
         if schema is None:
             raise ValueError("reading a JSON feed needs its schema")
-        frame = spark.read.schema(_with_lineage_fields(schema)).json(path)
+        if CORRUPT not in schema.names:
+            schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+        frame = reader.schema(_with_lineage_fields(schema)).json(where)
     else:
         raise ValueError(f"unsupported format: {rules.file_format}")
-    frame = frame.withColumns({name: F.col(name).cast("string") for name in _PARTITIONS})
     return frame if batch_id is None else frame.where(F.col("batch_id") == batch_id)
 
 
 def _with_lineage_fields(schema: StructType) -> StructType:
-    known = {field.name for field in schema.fields}
-    extra = [StructField(name, StringType()) for name in LINEAGE_COLUMNS if name not in known]
-    return StructType([*schema.fields, *extra])
+    """The schema with all lineage columns, partition values as text."""
+    known = [
+        StructField(field.name, StringType()) if field.name in _PARTITIONS else field
+        for field in schema.fields
+    ]
+    names = {field.name for field in known}
+    extra = [StructField(name, StringType()) for name in LINEAGE_COLUMNS if name not in names]
+    return StructType([*known, *extra])
 
 
 def changed_since(

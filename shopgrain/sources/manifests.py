@@ -87,6 +87,24 @@ def run_totals(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def pending_batches(spark: SparkSession, bronze: str, silver: str) -> list[tuple[str, str]]:
+    """(batch_id, ingestion_date) of landed batches that no silver run took in, oldest first.
+
+    One entry for each batch of the backlog.
+    """
+    if not exists(spark, _folder(bronze)):
+        return []
+    landed = read_manifests(spark, bronze).where(F.col("layer") == "bronze")
+    landed = landed.groupBy("batch_id").agg(
+        F.max("ingestion_date").alias("ingestion_date"), F.min("written_at").alias("written_at")
+    )
+    if exists(spark, _folder(silver)):
+        done = read_manifests(spark, silver).where(F.col("layer") == "silver").select("batch_id")
+        landed = landed.join(done, "batch_id", "left_anti")
+    found = landed.orderBy("written_at", "batch_id").select("batch_id", "ingestion_date")
+    return [tuple(row) for row in found.collect()]
+
+
 def newest_batch(spark: SparkSession, root: str) -> tuple[str, str]:
     """(batch_id, ingestion_date) of the newest landed batch."""
     if not exists(spark, _folder(root)):

@@ -1,36 +1,39 @@
 """Current-state tables: keyed upsert, overwrite and append on plain Parquet folders.
 
-A snapshot is one of two layouts:
+A snapshot is a folder of parts and a folder of versions. A version is a small file, written last,
+that lists the part folders of the state and its schema; the highest one is current. Parts are
+never changed, so readers of a version are not disturbed, and a write that stops half way leaves
+nothing but a folder that no version lists. Running it again completes it.
 
-* a folder of versions, of which the current one is the highest that carries the `_SUCCESS` marker the
-  write commits last. A new version is written beside the one it reads from, so a failed or
-  repeated write never damages the current state. It suits small and fully rebuilt tables.
-* a folder divided by month, for large tables that change a little every day. An upsert rewrites
-  the months it touches and leaves the others alone.
+A table's registry entry says whether it is divided by the month of a column: then an upsert
+writes new parts for the months it touches and goes on listing the others. All other tables are one
+part.
 
 Where the catalog has tables with row-level operations, `merge_into` uses those.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.runtime import planned_bytes, staging, written
-from shopgrain.sources.files import delete, exists, join, names
+from shopgrain.runtime import staging, written
+from shopgrain.sources.files import delete, join, matches, names, read_text, write_text
 
-
-# Partition column of a snapshot divided by month; not part of the table's own columns.
+# Folder column of a part; not part of the table's own columns.
 MONTH = "state_month"
 # The letter keeps partition discovery from reading the value as a date.
 MONTH_FORMAT = "'m'yyyy-MM"
+# The part name of tables that are not divided.
+WHOLE = "all"
 
-# Rewriting a table of this size for every batch is cheaper than keeping a folder per month.
-DIVIDE_ABOVE = 10 << 30
-
+# Partition columns of rejected rows.
+_REJECTED_BY = ("ingestion_date", "batch_id")
 
 # The current version and the one before it, which running readers may still use.
 KEPT_VERSIONS = 2
@@ -48,51 +51,91 @@ class Upserted:
     rows: int
 
 
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions, oldest first."""
-    return [
-        join(path, name)
-        for name in names(spark, path)
-        if name.startswith("v") and exists(spark, join(path, name, "_SUCCESS"))
-    ]
+@dataclass(frozen=True)
+class Version:
+    """One state: its number, schema and part folders relative to the snapshot."""
+
+    number: int
+    schema: StructType
+    parts: dict[str, str]
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of committed versions, oldest first."""
+    found = names(spark, join(path, "versions"))
+    return sorted(int(name[1:9]) for name in found if name.endswith(".json"))
+
+
+def _version(spark: SparkSession, path: str, number: int) -> Version:
+    entry = json.loads(read_text(spark, join(path, "versions", f"v{number:08d}.json")))
+    return Version(number, StructType.fromJson(entry["schema"]), entry["parts"])
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    committed = versions(spark, path)
+    return _version(spark, path, committed[-1]) if committed else None
 
 
 def months(spark: SparkSession, path: str) -> list[str]:
     """Month values of a snapshot that is divided by month."""
-    prefix = f"{MONTH}="
-    return [n.removeprefix(prefix) for n in names(spark, path) if n.startswith(prefix)]
+    version = current_version(spark, path)
+    return sorted(set(version.parts) - {WHOLE}) if version else []
 
 
 def has_snapshot(spark: SparkSession, path: str) -> bool:
-    return bool(versions(spark, path)) or bool(months(spark, path))
+    return bool(versions(spark, path))
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    complete = versions(spark, path)
-    if complete:
-        return spark.read.parquet(complete[-1])
-    if months(spark, path):
-        return spark.read.parquet(path).drop(MONTH)
-    raise FileNotFoundError(f"no snapshot at {path}")
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no snapshot at {path}")
+    return _read(spark, path, version, list(version.parts))
+
+
+def _read(spark: SparkSession, path: str, version: Version, parts: list[str]) -> DataFrame:
+    """Rows of some parts with the version's schema: a part written before a column was added has
+    nulls there."""
+    folders = [join(path, version.parts[part]) for part in parts]
+    reader = spark.read.schema(version.schema)
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], version.schema)
+
+
+def _next_number(spark: SparkSession, path: str) -> int:
+    """Above every version and every part folder, committed or not."""
+    parts = [int(name[1:]) for name in names(spark, join(path, "parts")) if name[1:].isdigit()]
+    return max([0, *versions(spark, path), *parts]) + 1
+
+
+def _commit(spark: SparkSession, path: str, version: Version) -> None:
+    entry = {"schema": version.schema.jsonValue(), "parts": version.parts}
+    target = join(path, "versions", f"v{version.number:08d}.json")
+    write_text(spark, target, json.dumps(entry, sort_keys=True))
+    committed = versions(spark, path)
+    kept = [_version(spark, path, n) for n in committed[-KEPT_VERSIONS:]]
+    listed = {folder for v in kept for folder in v.parts.values()}
+    for number in committed[:-KEPT_VERSIONS]:
+        old = _version(spark, path, number)
+        for folder in set(old.parts.values()) - listed:
+            delete(spark, join(path, folder))
+        delete(spark, join(path, "versions", f"v{number:08d}.json"))
 
 
 def overwrite(frame: DataFrame, path: str) -> DataFrame | None:
     """Write a new version and return the current state; rows of the old one are replaced.
 
-    A frame without rows changes nothing: its version is taken back after the write, which costs
+    A frame without rows changes nothing: its part is taken back after the write, which costs
     less than running the whole plan once more beforehand to see whether it yields anything.
-    Readers of the previous version are not disturbed.
     """
     spark = frame.sparkSession
-    taken = [int(name[1:]) for name in names(spark, path) if name[1:].isdigit()]
-    target = join(path, f"v{max(taken, default=0) + 1:08d}")
-    frame.write.mode("errorifexists").parquet(target)
-    state = spark.read.schema(frame.schema).parquet(target)
+    number = _next_number(spark, path)
+    part = f"parts/v{number:08d}"
+    frame.write.mode("errorifexists").parquet(join(path, part))
+    state = spark.read.schema(frame.schema).parquet(join(path, part))
     if state.isEmpty():
-        delete(spark, target)
+        delete(spark, join(path, part))
         return read_snapshot(spark, path) if has_snapshot(spark, path) else None
-    for old in versions(spark, path)[:-KEPT_VERSIONS]:
-        delete(spark, old)
+    _commit(spark, path, Version(number, frame.schema, {WHOLE: part}))
     return state
 
 
@@ -109,99 +152,94 @@ def upsert(
     newer_by: tuple[str, ...] = (),
     verify: bool = True,
     month_of: str | None = None,
-    divide_above: int = DIVIDE_ABOVE,
+    settled: bool = False,
 ) -> Upserted:
     """Update rows by key and insert new ones.
 
-    `month_of` names the date column that divides a table by month. The first load settles the
-    layout: a table is divided if its planned size exceeds `divide_above` bytes.
-    An empty source changes nothing. `newer_by` keeps a stored row that is newer than the incoming
-    one. `verify` refuses a source that repeats a key; skip it for a source that was
-    deduplicated on that key. A merge reads the source more than once, so the source is written
-    once first.
+    `month_of` names the date column that divides the table by month; it must stay the same for a
+    table. An empty source changes nothing. `newer_by` keeps a stored row that is newer than the
+    incoming one. `verify` refuses a source that repeats a key; skip it for a source that was
+    deduplicated on that key. A merge reads the source more than once, so it is written once first,
+    unless it is `settled`: read from files as it is.
     """
-    if newer_by and month_of is not None:
-        raise ValueError("newer_by is for snapshots that are not divided by month")
     spark = source.sparkSession
-    stored = bool(versions(spark, path))
-    divided = month_of is not None and _is_divided(source, path, divide_above)
+    before = current_version(spark, path)
+    if before is not None and (WHOLE in before.parts) == (month_of is not None):
+        raise ValueError(f"{path}: divided by month or not must stay as it is")
     with staging(spark, "upsert") as folder:
-        if divided:
-            dated = F.coalesce(F.date_format(month_of, MONTH_FORMAT), F.lit("none"))
-            source = source.withColumn(MONTH, dated)
-        if stored or divided or verify:
+        if not settled:
             source = written(source, "source", under=folder)
         if verify and not repeated_rows(source, key).isEmpty():
             raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
-        if divided:
-            return _upsert_months(source, path, key)
-        if not stored:
-            state = overwrite(source, path)
-            return Upserted(state, 0 if state is None else state.count())
         rows = source.count()
-        current = read_snapshot(spark, path)
         if not rows:
-            return Upserted(current, 0)
-        if newer_by:
-            both = current.unionByName(source, allowMissingColumns=True)
-            return Upserted(overwrite(latest_per_key(both, key, newer_by), path), rows)
-        return Upserted(overwrite(merged(current, source, key), path), rows)
+            return Upserted(None if before is None else _state(spark, path, before), 0)
+        if month_of is None:
+            fresh = source
+            if before is not None:
+                fresh = _put(_read(spark, path, before, [WHOLE]), source, key, newer_by)
+            return Upserted(overwrite(fresh, path), rows)
+        return Upserted(_upsert_months(source, path, key, newer_by, month_of, before), rows)
 
 
-def _is_divided(source: DataFrame, path: str, divide_above: int) -> bool:
-    spark = source.sparkSession
-    if has_snapshot(spark, path):
-        return not versions(spark, path)
-    size = planned_bytes(source)
-    return size is None or size > divide_above
+def _state(spark: SparkSession, path: str, version: Version) -> DataFrame:
+    return _read(spark, path, version, list(version.parts))
+
 
+def _put(
+    target: DataFrame, source: DataFrame, key: list[str], newer_by: tuple[str, ...]
+) -> DataFrame:
+    if not newer_by:
+        return merged(target, source, key)
+    return latest_per_key(target.unionByName(source, allowMissingColumns=True), key, newer_by)
 
-def _upsert_months(incoming: DataFrame, path: str, key: list[str]) -> Upserted:
-    """Rewrite only the months that hold a changed row, or held it before its month changed.
 
-    Finding them reads two columns of the table; the months then read in full are pruned
-    partitions. The list of touched months is no longer than the folder listing. Months are
-    replaced one after another; running the same batch again completes a commit that was cut short.
+def month_column(frame: DataFrame, name: str) -> Column:
+    """The month a row belongs to; "none" without a date, or where `name` is not a column."""
+    if name not in frame.columns:
+        return F.lit("none")
+    moment = F.col(name).try_cast("timestamp")
+    return F.coalesce(F.date_format(moment, MONTH_FORMAT), F.lit("none"))
+
+
+def _upsert_months(
+    incoming: DataFrame,
+    path: str,
+    key: list[str],
+    newer_by: tuple[str, ...],
+    month_of: str,
+    before: Version | None,
+) -> DataFrame:
+    """Write new parts for the months that hold a changed row, or held it before its month changed.
+
+    Finding them reads the key and the date of the table. The months come to the driver; there are
+    no more of them than part folders. A month whose last rows moved away is no longer listed.
     """
     spark = incoming.sparkSession
-    rows = incoming.count()
-    stored = months(spark, path)
-    if not rows:
-        return Upserted(read_snapshot(spark, path) if stored else None, 0)
-    fresh, emptied = incoming, set()
-    if stored:
-        current = spark.read.parquet(path)
-        keys = incoming.select(*key)
-        left_behind = current.select(*key, MONTH).join(keys, key, "left_semi").select(MONTH)
-        held = {row[0] for row in left_behind.distinct().collect()}
-        given = {row[0] for row in incoming.select(MONTH).distinct().collect()}
-        touched = current.where(F.col(MONTH).isin(sorted(held | given)))
-        fresh = merged(touched, incoming, key)
-        emptied = held - given
+    parts: dict[str, str] = {} if before is None else dict(before.parts)
+    fresh = incoming
+    if before is not None:
+        current = _state(spark, path, before)
+        held = current.join(incoming.select(*key), key, "left_semi")
+        touched = held.select(month_column(held, month_of)).union(
+            incoming.select(month_column(incoming, month_of))
+        )
+        touched = {row[0] for row in touched.distinct().collect()}
+        old = _read(spark, path, before, sorted(touched & set(parts)))
+        fresh = _put(old, incoming, key, newer_by)
+        parts = {name: folder for name, folder in parts.items() if name not in touched}
+    number = _next_number(spark, path)
+    folder = f"parts/v{number:08d}"
     # Rebalancing gives each month files of even size and splits a month that holds most rows.
-    # The write goes to a staging folder first and replaces the months when it commits, so reading
-    # from them at the same time is safe.
-    (
-        fresh.hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
-    if emptied:
-        _drop_moved(spark, path, sorted(emptied), incoming, key)
-    return Upserted(read_snapshot(spark, path), rows)
-
-
-def _drop_moved(
-    spark: SparkSession, path: str, emptied: list[str], incoming: DataFrame, key: list[str]
-) -> None:
-    """Months whose last rows moved elsewhere were not written, so their old rows are still there."""
-    for month in emptied:
-        folder = join(path, f"{MONTH}={month}")
-        stale = spark.read.parquet(folder).join(incoming.select(*key), key, "left_semi")
-        if not stale.isEmpty():
-            delete(spark, folder)
+    dated = fresh.withColumn(MONTH, month_column(fresh, month_of)).hint("rebalance", MONTH)
+    dated.write.mode("errorifexists").partitionBy(MONTH).parquet(join(path, folder))
+    prefix = f"{MONTH}="
+    for name in names(spark, join(path, folder)):
+        if name.startswith(prefix):
+            parts[name.removeprefix(prefix)] = f"{folder}/{name}"
+    version = Version(number, fresh.schema, parts)
+    _commit(spark, path, version)
+    return _state(spark, path, version)
 
 
 def repeated_rows(frame: DataFrame, key: list[str]) -> DataFrame:
@@ -226,20 +264,58 @@ def merge_into(source: DataFrame, table: str, key: list[str]) -> None:
 
 
 def append_rejected(rejected: DataFrame, path: str, batch_id: str, ingestion_date: str) -> str:
-    """Add rejected rows under the partition of the run; returns "" when there are none.
+    """Add rejected rows under the partition of a batch; returns "" when there are none.
 
-    The run's own partition is replaced, so a repeated run does not add its rows twice.
+    The batch's own partition is replaced, also by nothing: a repeated run neither adds its rows
+    twice nor leaves rows there that are no longer rejected.
     """
+    spark = rejected.sparkSession
+    target = join(path, f"ingestion_date={ingestion_date}", f"batch_id={batch_id}")
     if rejected.isEmpty():
+        delete(spark, target)
         return ""
-    target = join(path, f"ingestion_date={ingestion_date}", f"batch_id={batch_id}")
-    rejected.drop("ingestion_date", "batch_id").write.mode("overwrite").parquet(target)
+    rejected.drop(*_REJECTED_BY).write.mode("overwrite").parquet(target)
     return target
 
 
+def replace_rejected(rejected: DataFrame, path: str) -> str:
+    """Rejected rows of all batches, each under its own batch; returns "" when there are none."""
+    spark = rejected.sparkSession
+    if rejected.isEmpty():
+        delete(spark, path)
+        return ""
+    (
+        rejected.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*_REJECTED_BY)
+        .parquet(path)
+    )
+    return path
+
+
+def release_rejected(spark: SparkSession, path: str, released: DataFrame, key: list[str]) -> None:
+    """Take rows out of the partitions of their batches; `released` holds `key` and the partition
+    columns. Each batch touched is written anew from a staged copy of the rows that stay."""
+    columns = [*key, *_REJECTED_BY]
+    # One entry for each batch that gives rows back.
+    touched = [tuple(row) for row in released.select(*_REJECTED_BY).distinct().collect()]
+    with staging(spark, "released") as folder:
+        gone = written(released.select(*columns).distinct(), "gone", under=folder)
+        for day, batch in touched:
+            mine = (F.col("ingestion_date") == day) & (F.col("batch_id") == batch)
+            stays = read_rejected(spark, path).where(mine).join(gone, columns, "left_anti")
+            append_rejected(written(stays, "stays", under=folder), path, batch, day)
+
+
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     """Rejected rows of every run, with the run's partition values as text."""
-    frame = spark.read.parquet(path)
-    return frame.withColumns(
-        {name: F.col(name).cast("string") for name in ("ingestion_date", "batch_id")}
-    )
+    found = spark.read.parquet(path).schema
+    text = [
+        StructField(f.name, StringType()) if f.name in _REJECTED_BY else f for f in found.fields
+    ]
+    return spark.read.schema(StructType(text)).parquet(path)
+
+
+def has_rejected(spark: SparkSession, path: str) -> bool:
+    """Whether any batch has rejected rows."""
+    return matches(spark, join(path, "ingestion_date=*", "batch_id=*", "*.parquet"))

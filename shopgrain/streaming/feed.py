@@ -1,42 +1,27 @@
 """Incremental intake of the event feed with Structured Streaming.
 
-The stream itself keeps no state: each micro-batch is compared with the events stored before. So no
-event is too late to be taken in, and state does not grow with the history.
+The stream itself keeps no state: each micro-batch is checked like a landed batch and upserted into
+the same silver table. So no event is too late to be taken in, and state does not grow with the
+history.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from shopgrain.operators.latest import latest_per_key
-from shopgrain.operators.quality import annotate, split
-from shopgrain.rules import EntityRules
+from shopgrain.operators.quality import annotate, mark_orphans, split
+from shopgrain.rules import CORRUPT, LINEAGE_COLUMNS, PROCESSED_AT, EntityRules
 from shopgrain.runtime import staging, written
-from shopgrain.sources.files import exists
+from shopgrain.sources import snapshots
 from shopgrain.sources.landing import Batch, with_lineage
-from shopgrain.sources.snapshots import MONTH, MONTH_FORMAT
-
 
-def first_deliveries(rows: DataFrame, key: str, event_time: str) -> DataFrame:
-    """One row per event of a micro-batch; rows without a key all stay, to be rejected."""
-    keyed = latest_per_key(rows.where(F.col(key).isNotNull()), [key], (event_time,))
-    return keyed.unionByName(rows.where(F.col(key).isNull()))
-
-
-def stored_keys(
-    spark: SparkSession, path: str, key: StructField, months: list[str], before: int
-) -> DataFrame | None:
-    """Keys stored by earlier micro-batches in the given months, read through partition pruning.
-
-    A repeated delivery has the time of the first one, so no other month can hold it.
-    """
-    if not exists(spark, path):
-        return None
-    schema = StructType([key, StructField("epoch", LongType()), StructField(MONTH, StringType())])
-    stored = spark.read.schema(schema).parquet(path)
-    return stored.where((F.col("epoch") < before) & F.col(MONTH).isin(months)).select(key.name)
+# Key of the rejected deliveries: a hash of what was delivered.
+DELIVERY = "delivery"
 
 
 def ingest_available(
@@ -47,34 +32,45 @@ def ingest_available(
     checkpoint: str,
     source_system: str,
     event_time: str = "event_timestamp",
+    parent_path: Callable[[str], str] | None = None,
 ) -> None:
     """Take in every file that arrived since the last run, then stop.
 
-    Each micro-batch goes through the same row rules as a batch run. It is written under its own
-    `epoch=` folder, which a retried micro-batch replaces, so each event is stored once.
+    Every delivery goes through the row rules of a batch run and, with `parent_path`, its foreign
+    keys are checked against the stored parents. Of the accepted deliveries of an event the one with
+    the latest time counts, ties settled by its other columns; it is upserted into the snapshot at
+    `accepted_path`, which is the silver table. Rejected deliveries are kept at `rejected_path`, each
+    different one once; a corrected delivery is accepted like any other. So both tables are the
+    same however the files are cut into micro-batches, and a micro-batch that runs twice changes
+    nothing.
+
+    A landed batch rejects all copies of a key, because a table extract must not hold any. A feed
+    may deliver an event again, so here copies are no fault.
     """
-    key = stream.schema[rules.key]
-    month = F.coalesce(F.date_format(event_time, MONTH_FORMAT), F.lit("none"))
 
     def store(rows: DataFrame, epoch: int) -> None:
         spark = rows.sparkSession
+        landed = with_lineage(rows, Batch.start(prefix=f"stream-{epoch}"), source_system, "stream")
         with staging(spark, "stream") as folder:
-            dated = first_deliveries(rows, rules.key, event_time).withColumn(MONTH, month)
-            arrived = written(dated, "arrived", under=folder)
-            months = [row[0] for row in arrived.select(MONTH).distinct().collect()]
-            for path in (accepted_path, rejected_path):
-                known = stored_keys(spark, path, key, months, epoch)
-                if known is not None:
-                    arrived = arrived.join(known, rules.key, "left_anti")
-            landed = with_lineage(arrived, Batch.start(), source_system, "stream")
-            checked = written(annotate(landed, rules), "checked", under=folder)
-            for part, path in zip(split(checked), (accepted_path, rejected_path)):
-                (
-                    part.write.mode("overwrite")
-                    .option("partitionOverwriteMode", "static")
-                    .partitionBy(MONTH)
-                    .parquet(f"{path}/epoch={epoch}")
-                )
+            checked = annotate(landed, rules, "none")
+            for key in rules.foreign_keys if parent_path else ():
+                path = parent_path(key.parent)
+                if snapshots.has_snapshot(spark, path):
+                    checked = mark_orphans(
+                        checked, key, snapshots.read_snapshot(spark, path), key_source=landed,
+                        settle=lambda keys: written(keys, "orphans", under=folder), under=folder,
+                    )
+            valid, rejected = split(written(checked, "checked", under=folder))
+            newest = latest_per_key(valid.drop(CORRUPT), [rules.key], (event_time,))
+            snapshots.upsert(
+                newest, accepted_path, [rules.key], newer_by=(event_time,), verify=False,
+                month_of=event_time,
+            )
+            given = [c for c in rejected.columns if c not in (*LINEAGE_COLUMNS, PROCESSED_AT)]
+            marked = rejected.withColumn(DELIVERY, F.xxhash64(F.to_json(F.struct(*given))))
+            snapshots.upsert(
+                latest_per_key(marked, [DELIVERY]), rejected_path, [DELIVERY], verify=False
+            )
 
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -177,8 +177,8 @@ def test_product_performance(spark, monkeypatch, broadcast):
     } == {k: [q, g, n, len(o)] for k, (q, g, n, o) in want.items()}
 
 
-@pytest.mark.parametrize("divide_above", [0, 1 << 60])
-def test_upserts_against_a_dict(spark, tmp_path, divide_above):
+@pytest.mark.parametrize("month_of", ["d", None])
+def test_upserts_against_a_dict(spark, tmp_path, month_of):
     rng, state, path = random.Random(5), {}, str(tmp_path / "t")
     for step in range(4):
         batch = {
@@ -187,10 +187,10 @@ def test_upserts_against_a_dict(spark, tmp_path, divide_above):
         state |= batch
         rows = [(k, *v) for k, v in batch.items()]
         source = written(spark.createDataFrame(rows, "k bigint, d string, v int"), "batch")
-        snapshots.upsert(source, path, ["k"], month_of="d", divide_above=divide_above)
+        snapshots.upsert(source, path, ["k"], month_of=month_of)
         stored = snapshots.read_snapshot(spark, path).select("k", "d", "v").collect()
         assert {r.k: (r.d, r.v) for r in stored} == state and len(stored) == len(state)
-    assert bool(snapshots.months(spark, path)) == (divide_above == 0)
+    assert bool(snapshots.months(spark, path)) == (month_of == "d")
 
 
 def test_null_and_hot_foreign_keys_in_pieces(spark, monkeypatch):

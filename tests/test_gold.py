@@ -12,45 +12,61 @@ from shopgrain.rules import LOADED_AT, TABLES
 
 @pytest.fixture(scope="module")
 def seed(spark):
+    """Three customers in two countries, one of them returning; two products; a refund, a
+    cancellation and an order without lines."""
     make = spark.createDataFrame
     customers = make(
         [
-            (1, "a@x.test", "A", "One", "US", "United States", "Austin", "standard", "2024-01-01", True),
-            (2, "b@x.test", "B", "Two", "GB", "United Kingdom", "Leeds", "premium", "2024-01-02", True),
+            (7, "ida@shop.test", "Ida", "Berg", "NO", "Norway", "Bergen", "premium", "2023-05-04", True),
+            (8, "ole@shop.test", "Ole", "Dahl", "NO", "Norway", "Oslo", "premium", "2023-06-01", False),
+            (9, "pia@shop.test", "Pia", "Holm", "DK", "Denmark", "Aarhus", "budget", "2023-07-30", True),
         ],
         "customer_id bigint, email string, first_name string, last_name string, "
         "country_code string, country_name string, city string, customer_segment string, "
         "signup_date string, is_active boolean",
     )
     products = make(
-        [(10, "SKU-10", "Lamp", "home", "light", "Lum", 99.99, 40.0, True)],
+        [
+            (31, "T-31", "Teapot", "kitchen", "tea", "Kanne", 24.5, 11.0, True),
+            (32, "C-32", "Cup", "kitchen", "tea", "Kanne", 6.0, 2.0, True),
+        ],
         "product_id bigint, sku string, product_name string, category string, subcategory string, "
         "brand string, unit_price double, unit_cost double, is_active boolean",
     )
     orders = make(
         [
-            (100, 1, "2024-03-01T10:00:00Z", "completed", "US", 90.0, 0.0, 2.8, 7.2, 100.0),
-            (101, 2, "2024-03-15T12:00:00Z", "cancelled", "GB", 45.0, 0.0, 1.4, 3.6, 50.0),
+            (1, 7, "2023-11-30T23:10:00Z", "completed", "NO", 55.0, 0.0, 5.0, 4.4, 64.4),
+            (2, 7, "2023-12-02T08:00:00Z", "completed", "NO", 24.5, 0.0, 5.0, 1.96, 31.46),
+            (3, 8, "2023-12-02T09:30:00Z", "refunded", "NO", 12.0, 0.0, 5.0, 0.96, 17.96),
+            (4, 9, "2023-12-05T12:00:00Z", "cancelled", "DK", 6.0, 0.0, 5.0, 0.48, 11.48),
+            (5, 9, "2023-12-05T13:00:00Z", "completed", "DK", 0.0, 0.0, 5.0, 0.0, 5.0),
         ],
         "order_id bigint, customer_id bigint, order_date string, order_status string, "
         "shipping_country string, subtotal_amount double, discount_amount double, "
         "shipping_amount double, tax_amount double, total_amount double",
     )
     items = make(
-        [(1000, 100, 10, 1, 99.99, 0.0, 99.99)],
+        [
+            (11, 1, 31, 2, 24.5, 0.0, 49.0), (12, 1, 32, 1, 6.0, 0.0, 6.0),
+            (21, 2, 31, 1, 24.5, 0.0, 24.5), (31, 3, 32, 2, 6.0, 0.0, 12.0),
+            (41, 4, 32, 1, 6.0, 0.0, 6.0),
+        ],
         "order_item_id bigint, order_id bigint, product_id bigint, quantity int, "
         "unit_price double, discount_pct double, line_total double",
     )
     payments = make(
         [
-            (500, 100, "2024-03-01T10:05:00Z", "credit_card", "succeeded", 100.0),
-            (501, 101, "2024-03-15T12:05:00Z", "paypal", "failed", 50.0),
+            (91, 1, "2023-11-30T23:20:00Z", "gift_card", "succeeded", 64.4),
+            (92, 2, "2023-12-02T08:05:00Z", "debit_card", "failed", 31.46),
+            (93, 2, "2023-12-02T08:09:00Z", "debit_card", "succeeded", 31.46),
+            (94, 3, "2023-12-02T09:31:00Z", "paypal", "refunded", 17.96),
+            (95, 4, "2023-12-05T12:01:00Z", "paypal", "failed", 11.48),
         ],
         "payment_id bigint, order_id bigint, payment_date string, payment_method string, "
         "payment_status string, amount double",
     )
     return {
-        "dim_date": dims.calendar(spark, "2024-01-01", "2024-03-31"),
+        "dim_date": dims.calendar(spark, "2023-11-01", "2023-12-31"),
         "dim_country": dims.dim_country(customers),
         "dim_customers": dims.dim_customers(customers),
         "dim_products": dims.dim_products(products),
@@ -79,7 +95,10 @@ def tables(seed):
 def values(frame, *order):
     plain = frame.drop(LOADED_AT)
     return [
-        tuple(str(v) if hasattr(v, "year") else float(v) if hasattr(v, "as_tuple") else v for v in r)
+        tuple(
+            str(v) if hasattr(v, "year") else float(v) if hasattr(v, "as_tuple")
+            else round(v, 6) if isinstance(v, float) else v for v in r
+        )
         for r in plain.orderBy(*order).collect()
     ]
 
@@ -89,41 +108,49 @@ def test_columns_and_counts(tables):
         name: contract.columns for name, contract in TABLES.items()
     }
     counts = {name: frame.count() for name, frame in tables.items()}
-    assert counts["dim_date"] == 91
-    assert sum(counts.values()) == 109
+    assert counts == {
+        "dim_date": 61, "dim_country": 2, "dim_customers": 3, "dim_products": 2, "fct_orders": 5,
+        "fct_order_items": 5, "fct_payments": 5, "mart_daily_sales": 3, "mart_monthly_revenue": 2,
+        "mart_customer_lifetime_value": 3, "mart_product_performance": 2, "mart_customer_segments": 2,
+    }
 
 
 def test_daily_sales(tables):
+    # Gross revenue counts completed and refunded orders alike, net revenue completed ones.
     assert values(tables["mart_daily_sales"], "sale_date") == [
-        ("2024-03-01", 100.0, 100.0, 1, 0, 0, 0, 1, 100.0, 0.0, 0.0),
-        ("2024-03-15", 0.0, 0.0, 1, 1, 0, 1, 1, 0.0, 1.0, 1.0),
+        ("2023-11-30", 64.4, 64.4, 1, 0, 0, 0, 1, 64.4, 0.0, 0.0),
+        ("2023-12-02", 49.42, 31.46, 2, 0, 1, 1, 3, 15.73, 0.333333, 0.0),
+        ("2023-12-05", 5.0, 5.0, 2, 1, 0, 1, 1, 2.5, 1.0, 0.5),
     ]
 
 
 def test_monthly_revenue(tables):
     assert values(tables["mart_monthly_revenue"], "year_month") == [
-        ("2024-03", 100.0, 100.0, 2, 2, 2, 0, 50.0)
+        ("2023-11", 64.4, 64.4, 1, 1, 1, 0, 64.4),
+        ("2023-12", 54.42, 36.46, 4, 3, 2, 1, 9.115),
     ]
 
 
 def test_lifetime_value(tables):
     shown = tables["mart_customer_lifetime_value"].drop("first_order_date", "last_order_date")
     assert values(shown, "customer_key") == [
-        (1, 1, 100.0, 100.0, 100.0, 0.0),
-        (2, 1, 0.0, 0.0, 0.0, 0.0),
+        (7, 2, 95.86, 95.86, 47.93, 1.0),
+        (8, 1, 17.96, 0.0, 0.0, 0.0),
+        (9, 2, 5.0, 5.0, 2.5, 1.0),
     ]
 
 
 def test_product_performance(tables):
     assert values(tables["mart_product_performance"], "product_id") == [
-        (10, "home", "light", "Lamp", 1, 99.99, 99.99, 1, 99.99)
+        (31, "kitchen", "tea", "Teapot", 3, 73.5, 73.5, 2, 24.5),
+        (32, "kitchen", "tea", "Cup", 4, 24.0, 6.0, 3, 1.5),
     ]
 
 
 def test_segments(tables):
     assert values(tables["mart_customer_segments"], "customer_segment") == [
-        ("premium", "GB", "United Kingdom", 1, 0.0, 0.0, 1, 1, 1, 0, 1, 0.0, 0.0, 1.0),
-        ("standard", "US", "United States", 1, 100.0, 100.0, 1, 0, 1, 0, 1, 100.0, 0.0, 0.0),
+        ("budget", "DK", "Denmark", 1, 5.0, 5.0, 2, 1, 1, 1, 1, 2.5, 1.0, 0.5),
+        ("premium", "NO", "Norway", 2, 113.82, 95.86, 3, 0, 2, 1, 2, 31.953333, 0.5, 0.0),
     ]
 
 

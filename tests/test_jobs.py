@@ -109,7 +109,7 @@ def test_orders_stored_by_month(spark, lake, tmp_path):
     orders = lake["tables"]["orders"]
     run = jobs.run_ingest(spark, paths, {"orders": orders})
     for _ in range(2):
-        jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date, divide_above=0)
+        jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date)
     path = paths.silver_table("orders")
     assert len(snapshots.months(spark, path)) > 12
     valid = orders.where("subtotal_amount >= 0").select("order_id", "order_status")
@@ -181,34 +181,186 @@ def test_parity_sees_both_sides(rows):
     assert checks.difference("x", a, a).first().violations == 0
 
 
-def test_stream_stores_each_event_once(spark, tmp_path):
-    events = Inputs(spark, FOLDER).website_events().withColumn(
-        "event_timestamp", F.try_to_timestamp("event_timestamp")
-    )
-    folder = str(tmp_path / "in")
+def deliveries(spark, tmp_path, name, *parts):
+    """A stream over the given frames, one file each; `at_once` files make a micro-batch."""
+    folder = str(tmp_path / f"in-{name}")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
 
-    def run():
-        stream = feed.file_stream(spark, folder, events.schema, "*.parquet", "parquet")
+    def run(at_once, base, parent_path=None):
+        stream = feed.file_stream(
+            spark, folder, parts[0].schema, "*.parquet", "parquet", files_at_once=at_once
+        )
         feed.ingest_available(
-            stream, WEBSITE_EVENTS, f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/state", "web"
+            stream, WEBSITE_EVENTS, f"{base}/ok", f"{base}/bad", f"{base}/state", "web",
+            parent_path=parent_path,
         )
+        shown = ["event_id", "event_type", "event_timestamp"]
+        found = []
+        for table in ("ok", "bad"):
+            if snapshots.has_snapshot(spark, f"{base}/{table}"):
+                state = snapshots.read_snapshot(spark, f"{base}/{table}")
+                found += [(table, *map(str, r)) for r in state.select(*shown, REASON).collect()]
+        return sorted(found)
 
-    def stored():
-        parts = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("ok", "bad")]
-        return parts[0].unionByName(parts[1])
+    return run
 
-    events.coalesce(2).write.parquet(folder)
-    run()
-    # Delivered again, with one event far older than all others and two without a key.
-    late = events.limit(1).withColumns(
-        {"event_id": F.lit("late"), "event_timestamp": F.lit("1999-01-01").cast("timestamp")}
+
+def test_stream_stores_each_event_once(spark, tmp_path):
+    events = Inputs(spark, FOLDER).website_events()
+    some = events.limit(40).cache()
+    late = some.limit(1).withColumns(
+        {"event_id": F.lit("late"), "event_timestamp": F.lit("1999-01-01 00:00:00")}
+    )
+    nameless = some.limit(1).withColumn("event_id", F.lit(None).cast("string"))
+    retimed = some.withColumn("event_timestamp", F.lit("2031-05-05 00:00:00"))
+    wrong = some.withColumn("event_type", F.lit("unheard_of"))
+    run = deliveries(spark, tmp_path, "a", events, events, late, nameless, wrong, retimed)
+    one_by_one = run(1, tmp_path / "one")
+    assert one_by_one == run(10, tmp_path / "all")
+    assert run(1, tmp_path / "one") == one_by_one
+    accepted = [r for r in one_by_one if r[0] == "ok"]
+    assert len({r[1] for r in accepted}) == len(accepted)
+    assert sum(r[3].startswith("2031") for r in accepted) == len(
+        {r.event_id for r in some.where("event_type <> 'error'").collect()}
     )
-    nameless = events.limit(2).withColumn("event_id", F.lit(None).cast("string"))
-    again = events.unionByName(late).unionByName(nameless)
-    again.coalesce(1).write.mode("append").parquet(folder)
-    run()
-    run()
-    assert stored().count() == events.count() + 3
-    assert stored().where("event_id = 'late'").count() == 1
-    reasons = stored().where("event_id is null").select(REASON).collect()
-    assert len(reasons) == 2 and all("null_event_id" in r[REASON] for r in reasons)
+    (nameless,) = [r[4] for r in one_by_one if r[1] == "None"]
+    assert nameless.startswith("null_event_id")
+
+
+def test_stream_checks_customers(spark, tmp_path):
+    inputs = Inputs(spark, FOLDER)
+    parents = str(tmp_path / "customers")
+    snapshots.overwrite(inputs.customers().where("is_active"), parents)
+    run = deliveries(spark, tmp_path, "b", inputs.website_events())
+    found = run(1, tmp_path / "out", lambda name: parents)
+    known = inputs.website_events().join(
+        inputs.customers().where("is_active"), "customer_id", "left_semi"
+    )
+    assert sum(r[0] == "ok" for r in found) == known.where("event_type <> 'error'").count()
+    assert any(r[4].startswith("orphan_customer_id") for r in found)
+
+
+def small_lake(spark, tmp_path, name):
+    paths = jobs.Paths.under(str(tmp_path / name))
+    inputs = Inputs(spark, FOLDER)
+    customers = inputs.customers().where("customer_id < 40")
+    orders = inputs.orders().where("order_id < 400 and customer_id < 80")
+    return paths, customers, orders
+
+
+def ids(frame, name="order_id"):
+    return sorted(r[0] for r in frame.select(name).collect())
+
+
+def test_silver_takes_in_every_landed_batch(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "backlog")
+    first = jobs.run_ingest(spark, paths, {"customers": customers, "orders": orders.where("order_id < 200")},
+                            watermarks={})
+    second = jobs.run_ingest(spark, paths, {"orders": orders.where("order_id >= 200")}, watermarks={})
+    assert [b for b, _ in manifests.pending_batches(spark, paths.bronze, paths.silver)] == [
+        first.batch_id, second.batch_id]
+    run = jobs.run_silver(spark, paths)
+    assert run.batch_id == second.batch_id
+    assert run.total_rows + run.total_rejected == first.total_rows + second.total_rows
+    stored = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    aside = snapshots.read_rejected(spark, paths.rejected("orders"))
+    assert sorted(ids(stored) + ids(aside)) == ids(orders)
+    assert jobs.run_silver(spark, paths).tables == []
+    assert ids(snapshots.read_snapshot(spark, paths.silver_table("orders"))) == ids(stored)
+
+
+def test_orphans_come_back_when_their_parent_does(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "late")
+    known = customers.where("customer_id < 20")
+    jobs.run_ingest(spark, paths, {"customers": known, "orders": orders}, watermarks={})
+    first = jobs.run_silver(spark, paths)
+    jobs.run_ingest(
+        spark, paths, {"customers": customers, "orders": orders.limit(0)}, watermarks={}
+    )
+    second = jobs.run_silver(spark, paths)
+    now = {t.table_name: t for t in second.tables}["orders"]
+    assert now.row_count > 0 and now.rejected_count == -now.row_count
+    stored = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    aside = snapshots.read_rejected(spark, paths.rejected("orders"))
+    landed = [t.row_count + t.rejected_count for t in first.tables + second.tables
+              if t.table_name == "orders"]
+    assert stored.count() + aside.count() == orders.count() == sum(landed)
+    assert sorted(ids(stored) + ids(aside)) == ids(orders)
+    assert aside.join(customers, "customer_id").where(
+        F.col(REASON).startswith("orphan_")).isEmpty()
+    assert aside.where(F.col(REASON).startswith("orphan_")).count() == orders.where(
+        "customer_id >= 40").where("subtotal_amount >= 0").count()
+
+
+def test_a_late_orphan_does_not_undo_newer_rows(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "stale")
+    one = orders.limit(1)
+    owner = customers.limit(1).withColumn(
+        "customer_id", F.lit(one.first().customer_id).cast("bigint")
+    )
+    jobs.run_ingest(spark, paths, {"customers": owner.limit(0), "orders": one}, watermarks={},
+                    batch=Batch("b1", "2024-01-01", "2024-01-01T00:00:00"))
+    jobs.run_ingest(spark, paths, {"customers": customers.where("customer_id < 0").unionByName(
+        owner.withColumn("customer_id", F.lit(-5).cast("bigint")))}, watermarks={},
+        batch=Batch("b2", "2024-01-02", "2024-01-02T00:00:00"))
+    jobs.run_silver(spark, paths)
+    # Owner and a newer version of the order in the same batch as the way back of the old one.
+    newer = one.withColumn("order_status", F.lit("refunded"))
+    jobs.run_ingest(spark, paths, {"customers": owner, "orders": newer}, watermarks={},
+                    batch=Batch("b3", "2024-01-03", "2024-01-03T00:00:00"))
+    jobs.run_silver(spark, paths)
+    (row,) = snapshots.read_snapshot(spark, paths.silver_table("orders")).collect()
+    assert (row.order_status, row.batch_id) == ("refunded", "b3")
+
+
+def test_rerun_clears_its_rejected_rows(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "rerun")
+    batch = Batch("007", "2024-01-01", "2024-01-01T00:00:00")
+    bad = orders.withColumn("order_status", F.lit("odd"))
+    jobs.run_ingest(spark, paths, {"customers": customers, "orders": bad}, batch=batch, watermarks={})
+    assert jobs.run_silver(spark, paths, "007", "2024-01-01").total_rejected == orders.count()
+    good = orders.join(customers, "customer_id", "left_semi").where("subtotal_amount >= 0")
+    jobs.run_ingest(spark, paths, {"customers": customers, "orders": good}, batch=batch, watermarks={})
+    assert jobs.run_silver(spark, paths, "007", "2024-01-01").total_rejected == 0
+    assert not snapshots.has_rejected(spark, paths.rejected("orders"))
+    kept = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    assert kept.count() == good.count() and kept.first().batch_id == "007"
+
+
+def test_all_batches_keep_their_own_ids_in_quarantine(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "own")
+    for name in ("b1", "b2"):
+        jobs.run_ingest(spark, paths, {"customers": customers, "orders": orders}, watermarks={},
+                        batch=Batch(name, "2024-01-01", name))
+    jobs.run_silver(spark, paths, all_batches=True)
+    aside = snapshots.read_rejected(spark, paths.rejected("orders"))
+    assert {r.batch_id for r in aside.select("batch_id").distinct().collect()} == {"b1", "b2"}
+
+
+def test_unreadable_tables_and_empty_manifests(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "errors")
+    run = jobs.run_ingest(spark, paths, {"customers": customers, "orders": orders.limit(0)}, watermarks={})
+    jobs.run_silver(spark, paths)
+    sources = {"customers": lambda: spark.read.parquet(str(tmp_path / "nowhere")), "orders": orders.limit(0)}
+    counts, issues = jobs.run_reconcile(spark, paths, sources, batch_id=run.batch_id)
+    status = {(r.layer, r.entity): r.status for r in counts.collect()}
+    assert status[("source", "customers")] == "error" and status[("source", "orders")] == "empty"
+    assert status[("silver", "customers")] == "ok" and status[("silver", "orders")] == "empty"
+    assert any("error" in r.issue for r in issues.where("entity = 'customers'").collect())
+
+
+def test_gold_behind_silver_is_an_issue(spark, lake, tmp_path):
+    inputs, paths = lake["inputs"], jobs.Paths.under(str(tmp_path))
+    tables = dict(lake["tables"])
+    tables["customers"] = inputs.customers().where("customer_id < 50")
+    jobs.run_ingest(spark, paths, tables, watermarks={})
+    jobs.run_silver(spark, paths)
+    jobs.run_gold(spark, paths, rules=YEARS)
+    assert jobs.run_reconcile(spark, paths, tables)[1].isEmpty()
+    tables["customers"] = inputs.customers()
+    jobs.run_ingest(spark, paths, {"customers": tables["customers"]}, watermarks={})
+    jobs.run_silver(spark, paths)
+    _, issues = jobs.run_reconcile(spark, paths, {"customers": tables["customers"]})
+    found = {r.entity: r.issue for r in issues.collect()}
+    assert found["dim_customers"].startswith("dim_customers: silver state=")
