@@ -39,13 +39,16 @@ def read_table(
     entity: str,
     schema: str = "retail",
     watermark: object | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
     **properties: str,
 ) -> DataFrame:
     """A source table, read in parallel key ranges; incremental tables only past the watermark.
 
-    The key range is one aggregate the database answers from its primary-key index.
+    The key range is one aggregate the database answers from its primary-key index. Without a
+    number of `partitions` there are as many as the session's default parallelism.
     """
+    if partitions is None:
+        partitions = spark.sparkContext.defaultParallelism
     table, key = f"{schema}.{entity}", ENTITIES[entity].key
     source = spark.read.format("jdbc")
     bounds = None

@@ -39,6 +39,16 @@ def test_heavy_keys_are_found(skewed):
     assert all(row["__pieces"] > 1 for row in found)
 
 
+def test_thousands_of_heavy_keys_are_all_found(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        rows = spark.range(0, 40000, numPartitions=4).select((F.col("id") % 5000).alias("k"))
+        assert heavy_keys(rows, ["k"]).count() == 5000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_hot_key_is_cut_into_pieces(spark, skewed, names):
     # Without AQE the partition of a row is that of its join key, so the split shows.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
