@@ -27,8 +27,9 @@ CLASSES = 1001
 LEAST_CLASS = 100
 FILTER_BYTES, FILTER_FEATURES, HASHES = 256, 160, 5
 FILTER_BITS = FILTER_BYTES * 8
-# Texts without a feature give their windows of this many bytes instead.
-SHORT = 8
+# Texts of fewer bytes than this have too few features to tell how much of them is left: their
+# windows of SHORT bytes are features as well, as are those of texts without any other.
+FEW_BYTES, SHORT = 512, 5
 # Overlap counts from this share of the way between chance and the most there can be.
 CUTOFF = 0.3
 STEP_BYTES = 4 << 20
@@ -116,7 +117,8 @@ def features(
     if texts:
         have[texts[0]] = True
     rolling = RollingHash(7)
-    for i in np.flatnonzero(~have & (np.diff(offsets) > 0)):
+    size = np.diff(offsets)
+    for i in np.flatnonzero((size > 0) & (~have | (size < FEW_BYTES))):
         text = data[offsets[i]:offsets[i + 1]]
         got = rolling.windows(text, min(SHORT, len(text)))
         got = got[np.sort(np.unique(got, return_index=True)[1])]

@@ -20,17 +20,18 @@ def slow_class(window):
 
 def slow_features(text, ranks):
     """Windows by popularity, one text at a time, without numpy tricks."""
-    n = len(text) - 63
+    n, chosen = len(text) - 63, []
     if n > 0:
         rank = [int(ranks[slow_class(text[i:i + 64])]) for i in range(n)]
         votes = Counter()
         for q in range(n - 63):
             votes[min(range(q, q + 64), key=lambda i: (rank[i], i))] += 1
         chosen = sorted(p for p, v in votes.items() if v >= 16 and rank[p] < digests.CLASSES)
-        if chosen:
-            return [text[p:p + 64] for p in chosen]
-    width = min(8, len(text))
-    return list(dict.fromkeys(text[i:i + width] for i in range(len(text) - width + 1))) if text else []
+    found = [text[p:p + 64] for p in chosen]
+    if text and (not found or len(text) < 512):
+        width = min(5, len(text))
+        found += dict.fromkeys(text[i:i + width] for i in range(len(text) - width + 1))
+    return found
 
 
 def slow_digest(text, ranks):
@@ -141,6 +142,19 @@ def test_one_row_and_none(spark):
     assert digests.fingerprints(spark.createDataFrame([], COLUMNS)).collect() == []
 
 
+def test_short_texts_tell_how_much_is_left():
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(400)]
+    for size in (6, 12, 20, 40, 90):
+        one, two, three = (" ".join(rng.choices(words, k=size)).encode() for _ in range(3))
+        new = digests.edited(one, two)
+        ranks = digests.rarity_ranks(np.bincount(digests.entropy_classes(
+            np.frombuffer(one + two + three, np.uint8)), minlength=1001))
+        made = [digests.Digests.of(*digests._buffer([t]), ranks) for t in (one, new, three)]
+        assert digests.likeness(made[0], 0, made[1], 0) > 0.25
+        assert digests.likeness(made[0], 0, made[2], 0) < 0.1
+
+
 def test_long_text_has_chained_filters():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 123, 60_000).astype(np.uint8)
