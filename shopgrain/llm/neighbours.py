@@ -3,8 +3,8 @@
 A neighbour graph starts from a few random-projection orders and is refined: the neighbours of
 a node, forward and reverse, are compared with each other, and every node keeps the best. Only
 pairs with a new entry are compared. A list whose entries all reach the threshold is saturated
-and may hold more; beyond `cap_limit` entries the node lies in a dense group, whose links are
-then counted exactly in blocks. Recall is audited against brute force, and more orders are added while
+and may hold more; beyond `cap_limit` entries the node lies in a dense group. Links among the points
+of all dense groups are then counted exactly in blocks, which also joins groups. Recall is audited against brute force, and more orders are added while
 it is too low. Equal vectors are one point with a number of copies.
 """
 
@@ -19,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.common import components, staged, table
+from shopgrain.llm.common import components, local_forest, staged, table
 
 # Bytes per component in the graph phase lose about 0.002 of a cosine; links are checked in doubles.
 SLACK = 0.02
 BLOCK = 128
 CELL = 512
+PART_BYTES = 8 << 20  # vectors of a part; two parts are compared in one go
+PART_BLOCK = 64  # parts whose centres are compared in one go
+MARGIN = 1e-6  # for rounding, in angles
 
 
 class Settings(NamedTuple):
@@ -355,44 +358,162 @@ def _exact(threshold: float):
     return run
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of at most CELL points of one group: ids, copies and vectors side by side."""
-    for batch in batches:
-        root = batch.column(0).to_numpy(zero_copy_only=False)
-        bounds = np.flatnonzero(np.r_[True, root[1:] != root[:-1], True])
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            for at in range(a, b, CELL):
-                part = batch.slice(at, min(CELL, b - at))
-                ids = part.column(1).to_numpy(zero_copy_only=False)
-                yield table({
-                    "root": root[at:at + 1], "cell": ids[:1],
-                    "ids": pa.array([ids.tobytes()], pa.binary()),
-                    "copies": pa.array(
-                        [part.column(2).to_numpy(zero_copy_only=False).tobytes()], pa.binary()
-                    ),
-                    "raws": pa.array([b"".join(part.column(3).to_pylist())], pa.binary()),
-                })
-
-
-def _cell_links(threshold: float):
+def _cells(dim: int):
+    """Rows by group: blocks of at most CELL points of one group, with ids, roots, copies and vectors
+    side by side, a centre and the largest angle to it; and parts, runs of such blocks."""
+    most = max(PART_BYTES // (8 * dim), 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                a, b = (np.frombuffer(row[k], np.int64) for k in ("ids", "ids2"))
-                ca, cb = (np.frombuffer(row[k], np.int64) for k in ("copies", "copies2"))
-                x, y = (
-                    np.frombuffer(row[k], np.float64).reshape(n, -1)
-                    for k, n in (("raws", len(a)), ("raws2", len(b)))
-                )
-                near = x @ y.T >= threshold
-                near &= a[:, None] != b[None, :]
-                yield table({"node": a, "links": near @ cb})
-                if row["cell"] != row["cell2"]:
-                    yield table({"node": b, "links": near.T @ ca})
+            group, ids, roots, copies = (
+                batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)
+            )
+            bounds = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+            part, held = None, 0
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                for at in range(a, b, CELL):
+                    stop = min(at + CELL, b)
+                    raws = b"".join(batch.column(4).slice(at, stop - at).to_pylist())
+                    x = np.frombuffer(raws, np.float64).reshape(stop - at, dim)
+                    centre = x.mean(0)
+                    length = np.linalg.norm(centre)
+                    # Without a direction in common any will do, as no angle is larger than pi.
+                    centre = centre / length if length > 1e-6 else x[0]
+                    if part is None or held + stop - at > most:
+                        part, held = ids[at], 0
+                    held += stop - at
+                    yield table({
+                        "part": [part], "cell": ids[at:at + 1],
+                        **{name: pa.array([v[at:stop].tobytes()], pa.binary())
+                           for name, v in (("ids", ids), ("roots", roots), ("copies", copies))},
+                        "raws": pa.array([raws], pa.binary()),
+                        "centre": pa.array([centre.tobytes()], pa.binary()),
+                        "radius": [float(np.arccos(np.clip(x @ centre, -1, 1)).max())],
+                    })
 
     return run
 
 
+CELLS = (
+    "part long, cell long, ids binary, roots binary, copies binary, raws binary, centre binary, "
+    "radius double"
+)
+
+
+def _least_angles(x, rx, y, ry) -> np.ndarray:
+    """Angles between points of cells are at least this; x, y: centres, rx, ry: radii."""
+    return np.arccos(np.clip(x @ y.T, -1, 1)) - rx[:, None] - ry[None, :]
+
+
+def _near_parts(threshold: float):
+    """Rows of two blocks of parts: the pairs of parts that may hold a link."""
+    limit = math.acos(max(min(threshold, 1.0), -1.0)) + MARGIN
+
+    def side(row, end):
+        cells = row["cells" + end]
+        part = np.array([c["part"] for c in cells], np.int64)
+        order = np.argsort(part, kind="stable")
+        centre = np.stack([np.frombuffer(cells[i]["centre"], np.float64) for i in order])
+        return part[order], centre, np.array([cells[i]["radius"] for i in order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                (pa_, x, rx), (pb, y, ry) = side(row, ""), side(row, "2")
+                bounds = np.flatnonzero(np.r_[True, pa_[1:] != pa_[:-1], True])
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    near = (_least_angles(x[a:b], rx[a:b], y, ry) <= limit).any(0)
+                    other = np.unique(pb[near])
+                    if row["block"] == row["block2"]:
+                        other = other[other >= pa_[a]]
+                    low, high = np.minimum(other, pa_[a]), np.maximum(other, pa_[a])
+                    yield table({"part": low, "part2": high})
+
+    return run
+
+
+def _part_links(threshold: float, dim: int):
+    """The cells of two parts, or of one: links of their points, and roots that links join."""
+    limit = math.acos(max(min(threshold, 1.0), -1.0))
+
+    def run(rows: pa.Table) -> pa.Table:
+        cells = [
+            {k: np.frombuffer(r[k], np.int64) for k in ("ids", "roots", "copies")} | {
+                "x": np.frombuffer(r["raws"], np.float64).reshape(-1, dim), "side": r["side"],
+                "links": np.zeros(len(r["ids"]) // 8, np.int64),
+            }
+            for r in rows.to_pylist()
+        ]
+        centre = np.stack([np.frombuffer(c, np.float64) for c in rows["centre"].to_pylist()])
+        radius = rows["radius"].to_numpy()
+        least = _least_angles(centre, radius, centre, radius)
+        two = any(c["side"] for c in cells)
+        joined = []
+        for i, one in enumerate(cells):
+            for j in range(i, len(cells)):
+                other = cells[j]
+                if (two and one["side"] == other["side"]) or least[i, j] > limit + MARGIN:
+                    continue
+                near = one["x"] @ other["x"].T >= threshold
+                if i == j:
+                    np.fill_diagonal(near, False)
+                one["links"] += near @ other["copies"]
+                if i != j:
+                    other["links"] += near.T @ one["copies"]
+                if (one["roots"] != one["roots"][0]).any() or (other["roots"] != one["roots"][0]).any():
+                    a, b = np.nonzero(near)
+                    a, b = one["roots"][a], other["roots"][b]
+                    joined.append(local_forest(a[a != b], b[a != b]))
+        a, b = (np.concatenate(x) for x in zip(*joined)) if joined else (np.zeros(0, np.int64),) * 2
+        a, b = local_forest(a, b)
+        node = np.concatenate([c["ids"] for c in cells])
+        return pa.table({
+            "a": np.concatenate([node, a]),
+            "links": pa.array(np.concatenate([c["links"] for c in cells]).tolist() + [None] * len(a), pa.int64()),
+            "b": pa.array([None] * len(node) + b.tolist(), pa.int64()),
+        })
+
+    return run
+
+
+def _block_links(inside: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """All links among the points (group, node, root, copies, raw), whatever their roots: rows
+    (a: node, links) to be summed, and rows (a, b) of roots that links join, where links is null.
+
+    Cells are of one group. Pairs of parts are tasks of their own; the angle between centres rules
+    out pairs of cells, and all others are compared in doubles.
+    """
+    cells = staged(
+        inside.repartitionByRange("group", "node").sortWithinPartitions("group", "node").mapInArrow(
+            _cells(dim), CELLS
+        ),
+        "neighbour-cells",
+    )
+    blocks = cells.select(F.countDistinct("part")).first()[0] // PART_BLOCK + 1
+    outline = staged(
+        cells.groupBy(F.pmod(F.xxhash64("part"), F.lit(blocks)).alias("block")).agg(
+            F.collect_list(F.struct("part", "centre", "radius")).alias("cells")
+        ),
+        "neighbour-outline",
+    )
+    pairs = staged(
+        outline.crossJoin(
+            outline.select(F.col("block").alias("block2"), F.col("cells").alias("cells2"))
+        ).where("block <= block2").mapInArrow(_near_parts(threshold), "part long, part2 long"),
+        "neighbour-parts",
+    )
+    one = cells.join(pairs, "part").withColumn("side", F.lit(0))
+    two = cells.withColumnRenamed("part", "part2").join(pairs.where("part < part2"), "part2")
+    both = one.unionByName(two.withColumn("side", F.lit(1)))
+    return staged(
+        both.groupBy("part", "part2").applyInArrow(
+            _part_links(threshold, dim), "a long, links long, b long"
+        ),
+        "neighbour-counts",
+    )
+
+
 def _linked(base: DataFrame, dim: int, threshold: float, settings: Settings) -> DataFrame:
     """(node, links, root): links to other points of each node, copies counted, and its group."""
     points = base
@@ -409,25 +530,33 @@ def _linked(base: DataFrame, dim: int, threshold: float, settings: Settings) ->
         "neighbour-edges",
     )
     roots = staged(components(edges, "neighbour-groups"), "neighbour-roots")
-    # Groups with a list that was full to the limit: all their pairs, block by block.
-    dense = graph.where(
+    # Groups with a list that was full to the limit: all pairs of their points, within a group and
+    # across, as two points with full lists may be linked without being in each other's list.
+    full = graph.where(
         (F.size("nbrs") >= settings.cap_limit) & (F.col("worst") >= threshold - SLACK)
-    ).join(roots, "node").select("root").distinct()
-    dense = staged(dense, "neighbour-dense")
-    inside = roots.join(dense, "root").join(points, "node").select("root", "node", "copies", "raw")
-    cells = staged(
-        inside.repartitionByRange("root", "node").sortWithinPartitions("root", "node").mapInArrow(
-            _cells, "root long, cell long, ids binary, copies binary, raws binary"
-        ),
-        "neighbour-cells",
-    )
-    other = cells.select(
-        "root", *[F.col(c).alias(f"{c}2") for c in ("cell", "ids", "copies", "raws")]
-    )
-    counted = cells.join(other, "root").where("cell <= cell2").mapInArrow(
-        _cell_links(threshold), "node long, links long"
-    )
-    sparse = edges.join(roots.withColumnRenamed("node", "a"), "a").join(dense, "root", "left_anti")
+    ).select("node")
+    # A full list need not hold a link: its entries are near the threshold only.
+    full = full.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"))
+    dense = staged(full.distinct(), "neighbour-dense")
+    if dense.head(1):
+        known = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = _block_links(
+            known.join(dense, "root").select(
+                F.col("root").alias("group"), "node", "root", "copies", "raw"
+            ),
+            dim, threshold,
+        )
+        merged = staged(
+            components(found.where("links is null").select("a", "b"), "neighbour-merged"),
+            "neighbour-joined",
+        )
+        sparse = edges.join(roots.withColumnRenamed("node", "a"), "a").join(dense, "root", "left_anti")
+        counted = found.where("links is not null").select(F.col("a").alias("node"), "links")
+        roots = known.select("node", "root").join(
+            merged.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left"
+        ).select("node", F.coalesce("over", "root").alias("root"))
+    else:
+        sparse, counted = edges, edges.select(F.col("a").alias("node"), F.col("nb").alias("links")).limit(0)
     counted = counted.union(sparse.select("a", "nb")).union(sparse.select("b", "na"))
     links = counted.groupBy("node").agg(F.sum("links").alias("links"))
     return points.select("node", "first_id", "copies").join(roots, "node", "left").join(

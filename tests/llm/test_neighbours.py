@@ -73,6 +73,25 @@ def test_cells_of_a_large_group(spark, monkeypatch):
     checked(spark, rows, Settings(k=8, cap_limit=16))
 
 
+def tight_groups(rng, cosines, size, dim=64, spread=0.004):
+    """Groups of close vectors; the cosine of each group's centre with the first one's."""
+    axes = np.linalg.qr(rng.standard_normal((dim, len(cosines))))[0].T
+    rows = []
+    for axis, cosine in zip(axes, cosines):
+        centre = cosine * axes[0] + math.sqrt(1 - cosine * cosine) * (axis if cosine < 1 else 0)
+        rows += list(centre + spread * rng.standard_normal((size, dim)))
+    return [(i, [float(np.float32(x)) for x in rows[k]]) for i, k in enumerate(rng.permutation(len(rows)))]
+
+
+@pytest.mark.parametrize("part_bytes", [8 << 20, 40 * 8 * 64])
+def test_links_between_dense_groups(spark, monkeypatch, part_bytes):
+    # Linked with the first: the second group. Not linked with any: the last.
+    rows = tight_groups(np.random.default_rng(6), (1, 0.96, 0.5), 200)
+    monkeypatch.setattr(neighbours, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(neighbours, "PART_BLOCK", 2)
+    checked(spark, rows)
+
+
 def test_odd_vectors_copies_and_ids(spark):
     rows = [(i, v) for i, v in enumerate(planted(3, 60, 8, (3, 4)))]
     rows += [(900 + i, rows[5][1]) for i in range(40)] + [(5, rows[5][1]), (5, rows[6][1]), (None, rows[5][1])]
