@@ -5,11 +5,12 @@ a node, forward and reverse, are compared with each other, and every node keeps
 pairs with a new entry are compared. A list whose entries all reach the threshold is saturated
 and may hold more; beyond `cap_limit` entries the node lies in a dense group. Links among the points
 of all dense groups are then counted exactly in blocks, which also joins groups. Recall is audited against brute force, and more orders are added while
-it is too low. Equal vectors are one point with a number of copies.
+it is too low; if that does not help, all points are compared in blocks. Equal vectors are one point with a number of copies.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -28,17 +29,24 @@ CELL = 512
 PART_BYTES = 8 << 20  # vectors of a part; two parts are compared in one go
 PART_BLOCK = 64  # parts whose centres are compared in one go
 MARGIN = 1e-6  # for rounding, in angles
+MOST_STARTS = 128  # for low thresholds, where orders help little; the audit decides
+AUDIT_BYTES = 32 << 20  # vectors of audited points on the driver
+
+
+logger = logging.getLogger(__name__)
 
 
 class Settings(NamedTuple):
     k: int = 16  # length of a neighbour list
     cap_limit: int = 64  # length up to which a saturated list is enlarged
-    orders: int = 8  # random-projection orders to start from
+    orders: int = 8  # random-projection orders to start from, at least; and to add at once
     rounds: int = 6  # refinements at most
     near: float = 0.1  # refine until no entry this close to the threshold, or closer, is new
-    audit: int = 256  # points compared with all others
+    audit: int = 256  # points compared with all others, at first
     recall: float = 0.99  # wanted in the audit
-    repeats: int = 3  # further orders at most
+    repeats: int = 3  # further orders at most; then all points are compared
+    audit_links: int = 500  # links to be seen in the audit, by taking more points
+    audit_most: int = 8192  # points compared with all others, at most
 
 
 def _matrix(column: pa.Array, dtype) -> np.ndarray:
@@ -67,8 +75,23 @@ def _directions(q: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def _orders(settings: Settings, dim: int, rows: int, seed: int):
-    depth = min(max(math.ceil(math.log2(max(rows, 2) / BLOCK)) + 1, 1), 40)
+def _depth(rows: int) -> int:
+    return min(max(math.ceil(math.log2(max(rows, 2) / BLOCK)) + 1, 1), 40)
+
+
+def starts(rows: int, threshold: float, settings: Settings) -> int:
+    """Orders to start from: codes get longer with the number of rows, so more are needed to put two
+    points at the threshold under one code, in one of them at least, as often as recall asks."""
+    together = (1 - math.acos(max(min(threshold, 1.0), -1.0)) / math.pi) ** _depth(rows)
+    if together >= 1:
+        return settings.orders
+    missed = max(1 - settings.recall, 0.001)
+    enough = math.ceil(math.log(missed) / math.log1p(-together)) if together > 0 else MOST_STARTS
+    return max(min(enough, MOST_STARTS), settings.orders)
+
+
+def _orders(settings: Settings, dim: int, rows: int, seed: tuple[int, int]):
+    depth = _depth(rows)
     planes = np.random.default_rng(seed).standard_normal((settings.orders, depth + 1, dim))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,39 +322,95 @@ def _refined(points: DataFrame, graph: DataFrame, settings: Settings, threshold:
     )
 
 
-def audit_recall(
-    points: DataFrame, graph: DataFrame, settings: Settings, threshold: float
-) -> float:
-    """Share of the links of some points that the graph holds; dense groups are left out, as
-    their links are counted exactly. At most `settings.audit` points reach the driver."""
-    asked = points.select("node", "raw").orderBy(F.xxhash64("node")).limit(settings.audit).collect()
+def _audited(points, graph, settings, threshold, number) -> tuple[int, int, int]:
+    """Points compared with all others, the links they have, and how many of these are found."""
+    asked = points.select("node", "raw").orderBy(F.xxhash64("node")).limit(number).collect()
     if not asked:
-        return 1.0
+        return 0, 0, 0
     ids = np.array([r["node"] for r in asked], np.int64)
     x = np.stack([np.frombuffer(r["raw"], np.float64) for r in asked])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            who = batch.column(0).to_numpy(zero_copy_only=False)
-            y = _matrix(batch.column(1), np.float64)
-            a, b = np.nonzero((x @ y.T >= threshold) & (ids[:, None] != who[None, :]))
-            yield table({"node": ids[a], "nbr": who[b]})
+            for at in range(0, batch.num_rows, CELL):
+                part = batch.slice(at, CELL)
+                who = part.column(0).to_numpy(zero_copy_only=False)
+                y = _matrix(part.column(1), np.float64)
+                a, b = np.nonzero((x @ y.T >= threshold) & (ids[:, None] != who[None, :]))
+                yield table({"node": ids[a], "nbr": who[b]})
 
     true = points.select("node", "raw").mapInArrow(run, "node long, nbr long")
-    held = graph.where(F.size("nbrs") < settings.cap_limit).select("node", "nbrs")
-    row = true.join(held, "node").agg(
+    # Links of two points with full lists are counted exactly; any other is in the list that is not full.
+    full = F.size("nbrs") >= settings.cap_limit
+    if "worst" in graph.columns:
+        full = full & (F.col("worst") >= threshold - SLACK)
+    held = graph.select("node", "nbrs", full.alias("full"))
+    other = held.select(F.col("node").alias("nbr"), F.col("nbrs").alias("nbrs2"), F.col("full").alias("full2"))
+    row = true.join(held, "node", "left").join(other, "nbr", "left").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.array_contains("nbrs", F.col("nbr")).cast("int")).alias("hits"),
+        F.sum(F.coalesce(F.array_contains("nbrs", F.col("nbr")) | (
+            F.col("full") & (F.col("full2") | F.array_contains("nbrs2", F.col("node")))
+        ), F.lit(False)).cast("int")).alias("hits"),
     ).first()
-    return (row["hits"] or 0) / row["n"] if row["n"] else 1.0
+    return len(asked), row["n"], row["hits"] or 0
+
+
+def audit(
+    points: DataFrame, graph: DataFrame, settings: Settings, threshold: float
+) -> tuple[float, bool]:
+    """Share of the links of some points that are found, and whether enough links were seen to tell.
+
+    More points are taken until `settings.audit_links` links were seen, or all points, or
+    `settings.audit_most`; only the latter may see too few links.
+    """
+    first = points.select("raw").head(1)
+    most = min(settings.audit_most, AUDIT_BYTES // max(len(first[0]["raw"]), 1)) if first else 1
+    number = min(settings.audit, most)
+    while True:
+        asked, seen, hits = _audited(points, graph, settings, threshold, number)
+        recall = hits / seen if seen else 1.0
+        if asked < number or seen >= settings.audit_links:
+            return recall, True
+        if number >= most:
+            return recall, points.count() <= asked
+        number = min(4 * number, most)
+
+
+def audit_recall(
+    points: DataFrame, graph: DataFrame, settings: Settings, threshold: float
+) -> float:
+    """Share of the links of audited points that are found."""
+    return audit(points, graph, settings, threshold)[0]
+
+
+def _known(fresh: DataFrame, graph: DataFrame, settings: Settings, threshold: float) -> float:
+    """Share of the links in lists from fresh orders that the graph holds already: fresh orders see
+    a share of all links whatever the number of rows, also where links are rare."""
+    found = fresh.select("node", F.explode(F.arrays_zip("nbrs", "sims")).alias("e")).where(
+        F.col("e.sims") >= threshold
+    )
+    held = graph.select("node", F.col("nbrs").alias("held"))
+    row = found.join(held, "node").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((
+            F.array_contains("held", F.col("e.nbrs")) | (F.size("held") >= settings.cap_limit)
+        ).cast("int")).alias("hits"),
+    ).first()
+    return row["hits"] / row["n"] if row["n"] else 1.0
 
 
 def neighbour_graph(
     points: DataFrame, dim: int, threshold: float, settings: Settings
 ) -> tuple[DataFrame, float]:
-    """The refined graph (node, nbrs, sims, ...) of points (node, raw, q) and its audited recall."""
+    """The refined graph (node, nbrs, sims, ...) of points (node, raw, q) and its recall, below
+    `settings.recall` only if further orders did not help."""
     rows = points.count()
-    graph = _from_orders(points, settings, threshold, dim, rows, 1)
+    number = starts(rows, threshold, settings)
+    runs = math.ceil(number / (2 * settings.orders))
+    graph = None
+    for run in range(runs):
+        some = settings._replace(orders=math.ceil(number / runs))
+        graph = _from_orders(points, some, threshold, dim, rows, (1, run), graph)
     for again in range(settings.repeats + 1):
         for _ in range(settings.rounds):
             graph = _refined(points, graph, settings, threshold)
@@ -342,10 +421,15 @@ def neighbour_graph(
             )
             if not graph.where(fresh).head(1):
                 break
-        recall = audit_recall(points, graph, settings, threshold)
-        if recall >= settings.recall or again == settings.repeats:
+        recall, told = audit(points, graph, settings, threshold)
+        if told and (recall >= settings.recall or again == settings.repeats):
+            return graph, recall
+        more = _from_orders(points, settings, threshold, dim, rows, (2, again))
+        if not told:
+            recall = min(recall, _known(more, graph, settings, threshold))
+        graph = _merged(more, graph, settings, threshold)
+        if not told and (recall >= settings.recall or again == settings.repeats):
             return graph, recall
-        graph = _from_orders(points, settings, threshold, dim, rows, again + 2, graph)
 
 
 def _exact(threshold: float):
@@ -517,7 +601,10 @@ def _block_links(inside: DataFrame, dim: int, threshold: float) -> DataFrame:
 def _linked(base: DataFrame, dim: int, threshold: float, settings: Settings) -> DataFrame:
     """(node, links, root): links to other points of each node, copies counted, and its group."""
     points = base
-    graph, _ = neighbour_graph(points, dim, threshold, settings)
+    graph, recall = neighbour_graph(points, dim, threshold, settings)
+    whole = recall < settings.recall  # then the lists do not suffice, and all points are compared
+    if whole:
+        logger.warning("recall %.4f is below %.4f: all points are compared", recall, settings.recall)
     pairs = graph.select("node", F.explode(F.arrays_zip("nbrs", "sims")).alias("e")).where(
         F.col("e.sims") >= threshold - SLACK
     ).select(F.least("node", "e.nbrs").alias("a"), F.greatest("node", "e.nbrs").alias("b")).distinct()
@@ -532,7 +619,7 @@ def _linked(base: DataFrame, dim: int, threshold: float, settings: Settings) ->
     roots = staged(components(edges, "neighbour-groups"), "neighbour-roots")
     # Groups with a list that was full to the limit: all pairs of their points, within a group and
     # across, as two points with full lists may be linked without being in each other's list.
-    full = graph.where(
+    full = points.select("node") if whole else graph.where(
         (F.size("nbrs") >= settings.cap_limit) & (F.col("worst") >= threshold - SLACK)
     ).select("node")
     # A full list need not hold a link: its entries are near the threshold only.
@@ -542,7 +629,8 @@ def _linked(base: DataFrame, dim: int, threshold: float, settings: Settings) ->
         known = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         found = _block_links(
             known.join(dense, "root").select(
-                F.col("root").alias("group"), "node", "root", "copies", "raw"
+                (F.lit(0).cast("long") if whole else F.col("root")).alias("group"), "node", "root",
+                "copies", "raw",
             ),
             dim, threshold,
         )

@@ -120,3 +120,32 @@ def test_audit_sees_missing_links(spark):
     assert neighbours.audit_recall(points, graph, settings, 0.95) == 1.0
     half = graph.withColumn("nbrs", F.slice("nbrs", 1, 3))
     assert neighbours.audit_recall(points, half, settings, 0.95) == pytest.approx(3 / 9)
+
+
+def test_missing_links_are_found_where_links_are_rare(spark):
+    # One order and no refinement lose links; the audit must see it and act.
+    rows = list(enumerate(planted(8, 3000, 32, (2,) * 12)))
+    checked(spark, rows, Settings(orders=1, rounds=0, repeats=0, recall=1.0))
+
+
+def test_too_few_audited_links_are_told(spark):
+    base = [(i, bytearray(np.eye(16)[i % 16].tobytes())) for i in range(18)]
+    points = spark.createDataFrame(base, "node long, raw binary")
+    graph = spark.createDataFrame([(i, [], []) for i in range(18)], "node long, nbrs array<long>, sims array<float>")
+    assert neighbours.audit(points, graph, Settings(audit=1), 0.95) == (0.0, True)
+    assert not neighbours.audit(points, graph, Settings(audit=1, audit_most=3), 0.95)[1]
+    fresh = spark.createDataFrame([(0, [16], [1.0]), (1, [2], [0.5])], graph.schema)
+    assert neighbours._known(fresh, graph, Settings(), 0.95) == 0.0
+    assert neighbours._known(fresh, fresh, Settings(), 0.95) == 1.0
+
+
+def test_rare_links_are_judged_by_fresh_orders(spark):
+    rows = list(enumerate(planted(9, 800, 32, (2, 3, 4))))
+    checked(spark, rows, Settings(audit=4, audit_most=8))
+
+
+@pytest.mark.parametrize("rows", [10 ** 4, 10 ** 6, 10 ** 8])
+def test_start_orders_grow_with_the_rows(rows):
+    depth = neighbours._depth(rows)
+    together = (1 - math.acos(0.95) / math.pi) ** depth
+    assert 1 - (1 - together) ** neighbours.starts(rows, 0.95, Settings()) >= 0.99
