@@ -170,37 +170,41 @@ def _first_lists(k: int):
 
 
 def _local_joins(most: int):
-    """Rows by centre: compares the members of each, in blocks; improvements come out."""
+    """Rows by centre and task: compares the members of each; improvements come out.
+
+    A task holds all members of a centre, or those of two blocks of a hub, one or two by `second`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = _Out(), None
         for batch in _with_end(batches):
             if batch is not None:
-                now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-                now.append(_directions(_matrix(batch.column(4), np.int8)))
+                now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+                now.append(_directions(_matrix(batch.column(6), np.int8)))
                 if held is not None:
                     now = [np.concatenate(x) for x in zip(held, now)]
-                cut = int(np.searchsorted(now[0], now[0][-1], "left"))
+                last = (now[0] == now[0][-1]) & (now[1] == now[1][-1])
+                cut = len(last) - int(last.sum())
             elif held is None:
                 break
             else:
                 now, cut = held, len(held[0])
-            centre, member, fresh, worst, x = now
+            centre, task, second, member, fresh, worst, x = now
             bounds = [0]
             if cut:
-                bounds = np.flatnonzero(np.r_[True, centre[1:cut] != centre[:cut - 1], True])
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                for at in range(a, b, 2 * BLOCK):
-                    stop = min(at + 2 * BLOCK, b)
-                    if stop - at < 2:
-                        continue
-                    who, new, part = member[at:stop], fresh[at:stop], x[at:stop]
-                    if not new.any():
-                        continue
-                    sims = part @ part.T
-                    keep = (new[:, None] | new[None, :]) & (who[:, None] != who[None, :])
-                    keep &= sims > worst[at:stop, None]
-                    out.add(who, sims, keep, most)
+                bounds = np.flatnonzero(np.r_[
+                    True, (centre[1:cut] != centre[:cut - 1]) | (task[1:cut] != task[:cut - 1]), True
+                ])
+            for a, stop in zip(bounds[:-1], bounds[1:]):
+                who, new, part = member[a:stop], fresh[a:stop], x[a:stop]
+                if stop - a < 2 or not new.any():
+                    continue
+                sims = part @ part.T
+                keep = (new[:, None] | new[None, :]) & (who[:, None] != who[None, :])
+                if second[a:stop].any():  # within a block is a task of its own
+                    keep &= second[a:stop, None] != second[None, a:stop]
+                keep &= sims > worst[a:stop, None]
+                out.add(who, sims, keep, most)
                 if out.held > 200_000:
                     yield out.batch()
             held = [v[cut:] for v in now] if batch is not None else None
@@ -306,6 +310,22 @@ def _from_orders(points, settings, threshold, dim, rows, seed, graph=None) -> Da
     return _merged(ordered.mapInArrow(_first_lists(settings.k), ENTRIES), graph, settings, threshold)
 
 
+def _tasks(members: DataFrame) -> DataFrame:
+    """`members` (centre, node, fresh) with the task they are compared in. Members of a hub are dealt
+    to blocks of about 2 * BLOCK, and every pair of blocks is a task of its own."""
+    hubs = members.groupBy("centre").count().where(F.col("count") > 2 * BLOCK).select(
+        "centre", F.ceil(F.col("count") / (2 * BLOCK)).cast("int").alias("blocks")
+    )
+    dealt = members.join(hubs, "centre", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return spread.select(
+        "centre", "node", "fresh",
+        (F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")).alias("task"),
+        (F.col("own") > F.col("other")).alias("second"),
+    )
+
+
 def _refined(points: DataFrame, graph: DataFrame, settings: Settings, threshold: float):
     """One round: neighbours of neighbours."""
     flat = graph.select("node", F.explode(F.arrays_zip("nbrs", "fresh")).alias("e")).select(
@@ -314,9 +334,10 @@ def _refined(points: DataFrame, graph: DataFrame, settings: Settings, threshold:
     members = flat.select(F.col("node").alias("centre"), F.col("nbr").alias("node"), "fresh").union(
         flat.select("nbr", "node", "fresh")
     ).union(graph.select("node", "node", F.lit(False)))
-    nodes = points.select("node", "q").join(graph.select("node", "worst"), "node")
-    found = members.join(nodes, "node").select("centre", "node", "fresh", "worst", "q")
-    found = found.repartitionByRange("centre", "node").sortWithinPartitions("centre", "node")
+    found = _tasks(members).join(
+        points.select("node", "q").join(graph.select("node", "worst"), "node"), "node"
+    ).select("centre", "task", "second", "node", "fresh", "worst", "q")
+    found = found.repartition("centre", "task").sortWithinPartitions("centre", "task", "node")
     return _merged(
         found.mapInArrow(_local_joins(settings.k), ENTRIES), graph, settings, threshold
     )

@@ -149,3 +149,21 @@ def test_start_orders_grow_with_the_rows(rows):
     depth = neighbours._depth(rows)
     together = (1 - math.acos(0.95) / math.pi) ** depth
     assert 1 - (1 - together) ** neighbours.starts(rows, 0.95, Settings()) >= 0.99
+
+
+def test_all_members_of_a_hub_are_compared(spark):
+    rng = np.random.default_rng(4)
+    n = 900
+    raw = rng.integers(-127, 128, (n, 16)).astype(np.int8)
+    # Two equal vectors that only meet at the hub 0, with node ids far apart.
+    raw[1] = raw[n - 1]
+    x = raw / np.linalg.norm(raw.astype(float), axis=1, keepdims=True)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -2)
+    points = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(raw)], "node long, q binary")
+    graph = spark.createDataFrame(
+        [(0, [], [], [], 4, -1.0)] + [(i, [0], [float(sims[i, 0])], [True], 4, -1.0) for i in range(1, n)], neighbours.GRAPH
+    )
+    found = neighbours._refined(points, graph, Settings(k=4), 0.95).where("node > 0").collect()
+    best = sims.argmax(1)
+    assert {r["node"]: r["nbrs"][0] for r in found} == {i: best[i] for i in range(1, n)}
