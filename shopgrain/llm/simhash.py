@@ -264,12 +264,20 @@ def _through_neighbours(hot: DataFrame) -> DataFrame:
     ).where("a <> b")
 
 
+def _one_bit(hot: DataFrame) -> DataFrame:
+    """Edges between the given distinct fingerprints that are one bit apart."""
+    near = hot.mapInArrow(_flips, "key long, fp long").where("key <> fp")
+    return near.join(hot.select(F.col("fp").alias("key")), "key").select(
+        F.col("fp").alias("a"), F.col("key").alias("b")
+    )
+
+
 def linked(values: DataFrame, distance: int = 2, pairwise: int = PAIRWISE) -> DataFrame:
     """(node, root) for all distinct fingerprints `fp` that link with another.
 
-    Buckets of more than `pairwise` fingerprints are not compared pair by pair but connected
-    through values one bit away, which is exact up to a distance of 2; for larger distances they
-    are compared like the others.
+    Buckets of more than `pairwise` fingerprints are not compared pair by pair: at a distance of 2
+    they are connected through values one bit away, at 1 each is joined with the values one bit
+    away, both exact; for larger distances they are compared like the others.
     """
     rows = values.count()
     if rows < 2:
@@ -289,7 +297,7 @@ def linked(values: DataFrame, distance: int = 2, pairwise: int = PAIRWISE) -> Da
     lookups = values.mapInArrow(_lookups(parts), "part int, key long, fp long, own boolean")
     bucket = ["part", "key"]
     extra = None
-    if distance <= 2:
+    if distance in (1, 2):
         lookups = staged(lookups, "simhash-lookups")
         full = staged(
             lookups.groupBy(*bucket).count().where(F.col("count") > pairwise).select(*bucket),
@@ -297,7 +305,7 @@ def linked(values: DataFrame, distance: int = 2, pairwise: int = PAIRWISE) -> Da
         )
         if full.head(1):
             hot = lookups.join(full, bucket, "left_semi").select("fp").distinct()
-            extra = _through_neighbours(hot)
+            extra = _through_neighbours(hot) if distance == 2 else _one_bit(hot)
             lookups = lookups.join(full, bucket, "left_anti")
     found = lookups.repartition(*bucket).sortWithinPartitions(*bucket).mapInArrow(
         _verify(distance), "a long, b long"

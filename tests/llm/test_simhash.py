@@ -128,3 +128,11 @@ def test_components_of_chains_and_stars(spark):
     frame = spark.createDataFrame(edges, "a long, b long").repartition(16)
     found = {r["node"]: r["root"] for r in components(frame).collect()}
     assert found == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_distance_of_one_in_full_buckets(spark):
+    rng = random.Random(11)
+    signed = sorted({int(np.uint64(v).astype(np.int64)) for v in crowded(rng, 300)})
+    frame = spark.createDataFrame([(v,) for v in signed], "fp long")
+    found = {r["node"]: r["root"] for r in simhash.linked(frame, 1, 2).collect()}
+    assert {s: found.get(s, s) for s in signed} == slow_groups([(s, s % 2 ** 64) for s in signed], 1)
