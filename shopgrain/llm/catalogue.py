@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
+    alignment,
     attribution,
     digests,
     linecrf,
     mixing,
     neighbours,
+    packing,
+    periods,
     pieces,
     recurrent,
     simhash,
@@ -51,6 +54,14 @@ def rank_file() -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def byte_tokenizer() -> bytes:
+    """The public byte-level tokenizer's JSON."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        return file.read()
+
+
 @query
 def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors with links at a cosine of 0.95 or more."""
@@ -224,3 +235,106 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(
         _table(spark, folder, "documents"), piece_model(), with_ids=False, digests=True
     )
+
+
+@query
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in windows of 1024 tokens, each with the sources' shares of the corpus."""
+    return packing.pack(_table(spark, folder, "documents"), byte_tokenizer(), size=1024, end_id=0)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by crc32 of the id, the words from some place
+    on repeat those at its front."""
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", code.alias("h"), F.when(
+        code % 10 == 0, words
+    ).alias("w")).withColumn("g", F.expr("h div 10")).withColumn("n", F.expr("size(w)"))
+    placed = cut.withColumn("a", F.expr("if(n > 0, g % n, 0L)")).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)")
+    )
+    repeated = F.expr(
+        "array_join(transform(w, (x, i) -> if(i < a, x, w[cast(a + (i - a) % p as int)])), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(
+        F.col("text")
+    ).alias("text"))
+
+
+@query
+def op12_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    return periods.periodic_runs(
+        with_repeats(_table(spark, folder, "documents")), least_length=6, least_periods=4
+    ).drop("n_words")
+
+
+ORACLES["op12_periods"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_reduce(
+            [4294967295] || list_transform(
+                string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+            lambda c, b: list_reduce(
+                [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)
+        ) AS c
+    FROM documents
+),
+e AS (
+    SELECT doc_id, w, len(w) AS n, xor(c, 4294967295) AS h, xor(c, 4294967295) // 10 AS g FROM d
+),
+cut AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM e),
+placed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+numbered AS (SELECT doc_id, n, w, a, p, unnest(range(n)) AS i FROM placed),
+words AS (
+    SELECT doc_id, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS word
+    FROM numbered
+),
+pairs AS (
+    SELECT s.doc_id, s.i, t.i - s.i AS q FROM words s
+    JOIN words t ON s.doc_id = t.doc_id AND s.word = t.word AND t.i > s.i
+    WHERE 4 * (t.i - s.i) <= s.n
+),
+islands AS (
+    SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+    FROM pairs
+),
+stretches AS (
+    SELECT doc_id, min(i) AS start, count(*) + q AS length, q AS period
+    FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (
+    SELECT * FROM stretches r WHERE NOT EXISTS (
+        SELECT 1 FROM stretches o WHERE o.doc_id = r.doc_id AND o.period < r.period
+        AND o.start <= r.start AND o.start + o.length >= r.start + r.length)
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(
+        start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+        first({'s': start, 'n': length, 'q': period}
+            ORDER BY length / period DESC, start, period) AS best
+    FROM runs GROUP BY doc_id
+),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words w WHERE NOT EXISTS (
+        SELECT 1 FROM runs r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period
+        AND w.i < r.start + r.length)
+    GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start,
+    best.n::BIGINT AS length, best.q::BIGINT AS period,
+    (1000 * best.n // best.q)::BIGINT AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, linked where they end together."""
+    documents, _ = alignment.align(
+        _table(spark, folder, "documents"), byte_tokenizer(), piece_model()
+    )
+    return documents

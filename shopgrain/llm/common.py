@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from shopgrain.runtime import work_folder
 
@@ -51,14 +52,15 @@ def unique_ids(
     """`docs` with a unique, non-null long `uid` in the order of (id, text), null ids last; and
     whether it is other than the id.
 
-    Only where ids repeat or are null are the rows sorted once by range and numbered; rows equal
-    in id and text are then numbered in any order.
+    Only where ids repeat, are null or are no integers are the rows sorted once by range and
+    numbered; rows equal in id and text are then numbered in any order.
     """
-    found = docs.agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct(F.col(id_col)).alias("ids")
-    ).first()
-    if found["n"] == found["ids"]:
-        return docs.withColumn(uid, F.col(id_col).cast("long")), False
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        found = docs.agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct(F.col(id_col)).alias("ids")
+        ).first()
+        if found["n"] == found["ids"]:
+            return docs.withColumn(uid, F.col(id_col).cast("long")), False
     order = [F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last()]
     ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     return staged(ranged.withColumn(uid, F.monotonically_increasing_id()), "numbered"), True
