@@ -832,6 +832,27 @@ ORACLES["backlog_run"] = sql(f"""
                as batch_id, {_OUTCOME} as outcome
     from e_orders
 """)
+_OWNED = f"(select * from e_orders where subtotal_amount >= 0 and customer_id in {_KNOWN})"
+_OWNED_ITEMS = f"""(select * from
+    (select *, count(*) over (partition by order_item_id) as copies from e_items)
+    where copies = 1 and order_id in (select order_id from {_OWNED} k))"""
+ORACLES["partial_silver"] = sql(f"""
+    select 'customers' as entity, {_ACTIVE} as accepted_rows, cast(0 as bigint) as rejected_rows
+    union all select 'products', (select count(*) from part), 0
+    union all select 'orders', (select count(*) from {_OWNED} k),
+        {_ALL_ORDERS} - (select count(*) from {_OWNED} k)
+    union all select 'order_items', (select count(*) from {_OWNED_ITEMS} k),
+        (select count(*) from lineitem) - (select count(*) from {_OWNED_ITEMS} k)
+    union all select 'payments', (select count(*) from {_OWNED} k),
+        {_ALL_ORDERS} - (select count(*) from {_OWNED} k)
+""")
+ORACLES["replayed_batch"] = sql("""
+    select order_id, case when order_id % 3 = 0 then 'retail_second' else 'retail_first' end
+               as batch_id,
+           cast(total_amount + case when order_id % 3 = 0 then 1 else 0 end as double)
+               as total_amount
+    from e_orders where subtotal_amount >= 0
+""")
 ORACLES["late_parent"] = sql(
     f"select order_id, 'retail_first' as batch_id, {_OUTCOME} as outcome from e_orders"
 )

@@ -942,6 +942,45 @@ def backlog_run(inputs: Inputs) -> DataFrame:
     return _accepted_and_rejected(inputs, paths, "orders", "order_id")
 
 
+@query
+def partial_silver(inputs: Inputs) -> DataFrame:
+    """One batch of all five tables: a silver run over the orders, one over the lines, then one over
+    the rest. Orders and lines wait for their parents, and none is lost."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    tables = _source_tables(inputs)
+    tables["customers"] = inputs.customers().where("is_active")
+    jobs.run_ingest(spark, paths, tables, watermarks={}, batch=FIRST)
+    taken = []
+    for entities in (["customers"], ["orders"], ["order_items"], None, None):
+        taken += jobs.run_silver(spark, paths, entities=entities).tables
+    sums: dict[str, list[int]] = {}
+    for table in taken:
+        held = sums.setdefault(table.table_name, [0, 0])
+        held[0] += table.row_count
+        held[1] += table.rejected_count
+    return spark.createDataFrame(
+        [(name, *held) for name, held in sums.items()],
+        "entity string, accepted_rows bigint, rejected_rows bigint",
+    )
+
+
+@query
+def replayed_batch(inputs: Inputs) -> DataFrame:
+    """An older batch worked on again after a newer one: the newer rows stay, and so do those that
+    only the older batch has."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    raised = inputs.orders().where("order_id % 3 = 0").withColumn(
+        "total_amount", (F.col("total_amount") + 1).cast(MONEY)
+    )
+    first = _source_tables(inputs)
+    jobs.run_ingest(spark, paths, first, watermarks={}, batch=FIRST)
+    jobs.run_ingest(spark, paths, {"orders": raised}, watermarks={}, batch=SECOND)
+    jobs.run_silver(spark, paths)
+    jobs.run_silver(spark, paths, FIRST.batch_id, FIRST.ingestion_date)
+    stored = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    return edge(stored.select("order_id", "batch_id", "total_amount"))
+
+
 def _accepted_and_rejected(
     inputs: Inputs, paths: jobs.Paths, entity: str, key: str
 ) -> DataFrame:

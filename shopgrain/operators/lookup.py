@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from shopgrain.runtime import fits_broadcast, written
 
-# Keys are dealt to at most this many groups, each with a sketch of its own.
-GROUPS = 512
+# Keys are dealt to groups, each with a sketch of its own. A task holds a sketch for each group it
+# meets; beyond 128 a hash aggregate of objects falls back to sorting, so there are more groups
+# only where a sketch would otherwise outgrow `MOST_ITEMS`.
+GROUPS, MOST_ITEMS = 96, 1 << 16
 
 _HASH, _PIECES, _PIECE = "__key_hash", "__pieces", "__piece"
 
@@ -52,21 +54,38 @@ def lookup_join(
     return _join_in_pieces(rows, lookup, on, how, F.broadcast(heavy))
 
 
+def sketch_sizes(tasks: int) -> tuple[int, int, int]:
+    """(groups, keys asked of a group, items of its sketch) for a number of shuffle partitions.
+
+    Fewer than `tasks` keys are heavy. Dealt to groups by hash they spread evenly, with room for
+    the square root of that above the mean; a sketch keeps four times what is asked. From the
+    counts' point of view a group holds about its share of all rows, or one hot key more, and an
+    item is wrong by at most the group's rows over its size.
+    """
+    groups = min(GROUPS, max(tasks, 1))
+    while 8 * tasks // groups > MOST_ITEMS:
+        groups *= 2
+    mean = -(-tasks // groups)
+    asked = mean + 8 * int(mean ** 0.5 + 1)
+    items = 1 << max(4 * asked, 64).bit_length()
+    return groups, asked, items
+
+
 def heavy_keys(rows: DataFrame, on: list[str], under: str | None = None) -> DataFrame:
     """Key hashes that hold more rows than a task's even share, with the pieces to cut them into.
 
-    There are fewer of them than shuffle partitions, and a sketch keeps a multiple of that number,
-    so it finds them all. Every task sums up its rows in a sketch for each group of keys; sketches
-    of a group meet in one task, so no task gets a sketch from every other for all keys. The counts
-    are estimates; they decide only where rows travel, never which rows are in the result.
+    There are fewer of them than shuffle partitions, and the sketches together keep a multiple of
+    that number. Every task sums up its rows in a sketch for each group of keys; sketches of a group
+    meet in one task, so no task gets a sketch from every other for all keys. The counts are
+    estimates; they decide only where rows travel, never which rows are in the result.
     """
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    items = 1 << max(4 * tasks, 64).bit_length()
+    groups, asked, items = sketch_sizes(tasks)
     hashed = rows.select(F.xxhash64(*on).alias(_HASH))
-    group = F.pmod(F.col(_HASH), F.lit(min(GROUPS, tasks))).alias("g")
+    group = F.pmod(F.col(_HASH), F.lit(groups)).alias("g")
     sketches = hashed.groupBy(group).agg(
-        F.expr(f"approx_top_k({_HASH}, {tasks}, {items})").alias("top"),
+        F.expr(f"approx_top_k({_HASH}, {asked}, {items})").alias("top"),
         F.count(F.lit(1)).alias("rows"),
     )
     summary = written(sketches, "sketches", under=under)

@@ -166,22 +166,30 @@ def run_silver(
 ) -> Run:
     """Check the landed rows, set rejected ones aside and upsert the rest by key.
 
-    Without a batch id, every landed batch that no silver run has taken in is worked through, oldest
-    first, each with a manifest of its own; the run returned adds them up. With one, or with
-    `all_batches`, there is one pass over that batch, or over everything landed.
-
+    Without a batch id, everything landed that no silver run has taken in is worked through, batch
+    by batch, oldest first, each with a manifest of its own; the run returned adds them up. What is
+    left is known per batch and entity: a run over some `entities` leaves the others for later, and
+    an entity is entered in the ledger as soon as it is stored, so a run cut short goes on there.
+    With a batch id, or with `all_batches`, there is one pass over that batch, or over everything
+    landed, whether it was taken in before or not.
+
+    Of the rows of a key the one ingested last is kept, in whatever order batches are worked on.
     Entities run parents first. Only the batch's folder is read. Entities that were never landed
     are skipped. Rows that were rejected only because their parent was unknown come back once it is
-    known: `rejected_count` is the change of the rows set aside, so landed rows are always
-    accepted plus rejected ones.
+    known, also when only the parent is taken in: `rejected_count` is the change of the rows set
+    aside, so landed rows are always accepted plus rejected ones.
     """
     if batch_id is None and not all_batches:
-        backlog = manifests.pending_batches(spark, paths.bronze, paths.silver)
+        wanted = None if entities is None else [landing.rules_of(name).name for name in entities]
+        backlog = manifests.pending_batches(spark, paths.bronze, paths.silver, wanted)
         if not backlog:
             return Run(*manifests.newest_batch(spark, paths.bronze))
         runs = [
-            _silver_pass(spark, paths, batch, day, entities, False, duplicate_scope, schemas)
-            for batch, day in backlog
+            _silver_pass(
+                spark, paths, left.batch_id, left.ingestion_date, list(left.entities), False,
+                duplicate_scope, schemas,
+            )
+            for left in backlog
         ]
         return _summed(runs)
     if not (batch_id and ingestion_date):
@@ -216,61 +224,91 @@ def _silver_pass(
 ) -> Run:
     run = Run(batch_id, ingestion_date)
     wanted = [rules.name for rules in map(landing.rules_of, entities or ENTITIES)]
+    reached = manifests.newest_intake(spark, paths.silver)
+    taken: list[tuple[str, str, str]] = [("", batch_id, ingestion_date)]
+    if all_batches:
+        # One entry for each landed batch and entity.
+        taken = [tuple(row) for row in manifests.landed_entities(spark, paths.bronze).select(
+            "entity", "batch_id", "ingestion_date").collect()]
+    parents_changed: set[str] = set()
 
     def refine(entity: str) -> TableRun | None:
         rules = ENTITIES[entity]
-        if not landing.is_landed(spark, paths.bronze, rules):
+        landed = entity in wanted and landing.is_landed(spark, paths.bronze, rules)
+        if not landed and not any(key.parent in parents_changed for key in rules.foreign_keys):
             return None
-        schema = (schemas or {}).get(entity)
-        if schema is None and rules.source_type == "file":
-            schema = entity_schema(entity)
-        rows = landing.read_landed(
-            spark, paths.bronze, rules, schema, None if all_batches else batch_id
-        )
-        aside = paths.rejected(entity)
+        aside, state = paths.rejected(entity), paths.silver_table(entity)
+        key = list(rules.identity)
         with staging(spark, f"silver-{entity}") as folder:
             returning = None
             if not all_batches:
-                returning = parents_found(spark, rules, aside, paths.silver_table, folder)
+                returning = parents_found(
+                    spark, rules, aside, paths.silver_table, folder, batch_id if landed else None
+                )
             if returning is not None:
-                again = returning.drop(REASON, PROCESSED_AT).withColumn(RETURNED, F.lit(True))
-                rows = rows.unionByName(again, allowMissingColumns=True)
-            valid, rejected = check_rows(
+                returning = returning.drop(REASON, PROCESSED_AT).withColumn(RETURNED, F.lit(True))
+            if landed:
+                schema = (schemas or {}).get(entity)
+                if schema is None and rules.source_type == "file":
+                    schema = entity_schema(entity)
+                rows = landing.read_landed(
+                    spark, paths.bronze, rules, schema, None if all_batches else batch_id
+                )
+                if returning is not None:
+                    rows = rows.unionByName(returning, allowMissingColumns=True)
+            elif returning is not None:
+                rows = returning
+            else:
+                return None
+            checked = check_rows(
                 spark, rows, entity, paths.silver_table, folder, duplicate_scope
             )
-            accepted = valid.count()
-            set_aside = rejected.count()
-            key = list(rules.identity)
+            valid, rejected = checked.valid, checked.rejected
+            known = reached.get(entity)
+            # Nothing stored can be newer than what is newer than all that was taken in.
+            later = snapshots.has_snapshot(spark, state) and not (
+                returning is None and not all_batches
+                and known is not None and checked.newest is not None and known < checked.newest
+            )
             if returning is not None:
                 back = valid.where(RETURNED)
-                released = back.count()
-                set_aside -= released + rejected.where(RETURNED).count()
-                # A row that comes back late must not undo what a newer batch has stored.
+                # A row that comes back may meet a newer one of its key in the same pass.
                 valid = latest_per_key(valid.drop(RETURNED), [rules.key])
                 rejected = rejected.where(F.col(RETURNED).isNull()).drop(RETURNED)
             if all_batches and duplicate_scope == "batch":
                 # Only then can a key be left more than once; otherwise its copies were rejected.
                 valid = latest_per_key(valid, key)
+            plain = returning is None and not all_batches
             snapshots.upsert(
                 valid,
-                paths.silver_table(entity),
+                state,
                 [rules.key],
-                newer_by=LATEST_ORDER if returning is not None else (),
+                newer_by=(*LATEST_ORDER, PROCESSED_AT) if later else (),
                 verify=False,
                 month_of=MONTH_OF.get(entity),
-                settled=returning is None and not all_batches,
+                settled=plain,
+                rows=checked.accepted if plain else None,
             )
             # Only when they are stored; a run cut short here finds them once more.
             if returning is not None:
                 snapshots.release_rejected(spark, aside, back, key)
             if all_batches:
                 snapshots.replace_rejected(rejected, aside)
-            else:
-                snapshots.append_rejected(rejected, aside, batch_id, ingestion_date)
-            return TableRun(entity, accepted, set_aside, paths.silver_table(entity))
+            elif landed:
+                snapshots.append_rejected(
+                    rejected, aside, batch_id, ingestion_date, checked.rejections - checked.again
+                )
+            if landed:
+                mine = [(b, day) for name, b, day in taken if name in ("", entity)]
+                manifests.record_intake(spark, paths.silver, entity, mine, checked.newest)
+            if checked.accepted:
+                parents_changed.add(entity)
+            # Rows that came back are no longer rejected.
+            turned = checked.rejections - checked.again - checked.released
+            return TableRun(entity, checked.accepted, turned, state)
 
     for group in ENTITY_GROUPS:
-        results = for_each_table(spark, refine, [name for name in group if name in wanted])
+        results = for_each_table(spark, refine, group)
         run.tables += [result for result in results if result is not None]
     manifests.write_manifest(spark, paths.silver, "silver", batch_id, ingestion_date, run.tables)
     return run
@@ -288,13 +326,19 @@ def parents_found(
     rejected_path: str,
     parent_path: Callable[[str], str],
     folder: str,
+    but_batch: str | None = None,
 ) -> DataFrame | None:
-    """Rows set aside for an unknown parent whose parents are all known by now, None without any."""
+    """Rows set aside for an unknown parent whose parents are all known by now, None without any.
+
+    Those of `but_batch` are left out: the batch is checked anew as a whole.
+    """
     if not rules.foreign_keys or not snapshots.has_rejected(spark, rejected_path):
         return None
     rows = snapshots.read_rejected(spark, rejected_path).where(
         F.col(REASON).rlike(_ORPHAN_ONLY)
     )
+    if but_batch is not None:
+        rows = rows.where(F.col("batch_id") != but_batch)
     for key in rules.foreign_keys:
         path = parent_path(key.parent)
         if snapshots.has_snapshot(spark, path):
@@ -307,6 +351,23 @@ def parents_found(
     return None if found.isEmpty() else found
 
 
+@dataclass(frozen=True)
+class Checked:
+    """Rows of one entity after the checks, both parts read back from one write.
+
+    `accepted` and `rejections` count them; `released` and `again` are those among them that had
+    come back from the rows set aside; `newest` is their latest ingest time.
+    """
+
+    valid: DataFrame
+    rejected: DataFrame
+    accepted: int
+    rejections: int
+    released: int
+    again: int
+    newest: str | None
+
+
 def check_rows(
     spark: SparkSession,
     rows: DataFrame,
@@ -314,8 +375,8 @@ def check_rows(
     parent_path: Callable[[str], str],
     folder: str,
     duplicate_scope: str = "batch",
-) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows of one entity, both read back from one write below `folder`.
+) -> Checked:
+    """Valid and rejected rows of one entity, from one write below `folder` that counts them too.
 
     Foreign keys are checked against the stored state of the parents, which earlier entities of the
     same run have already updated; a parent without any state is not checked.
@@ -336,12 +397,22 @@ def check_rows(
                 settle=lambda keys: written(keys, "orphans", under=folder),
                 under=folder,
             )
+    good = F.col("accepted")
+    back = F.col(RETURNED) if RETURNED in annotated.columns else F.lit(False)
+    ingested = F.col(LATEST_ORDER[0]) if LATEST_ORDER[0] in annotated.columns else F.lit(None)
+    counter = Observation()
     settled = written(
-        annotated.withColumn("accepted", F.col(REASON).isNull()), "checked", ("accepted",), folder
+        annotated.withColumn("accepted", F.col(REASON).isNull()).observe(
+            counter,
+            F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejections"),
+            F.count_if(good & back).alias("released"), F.count_if(~good & back).alias("again"),
+            F.max(ingested.cast("string")).alias("newest"),
+        ), "checked", ("accepted",), folder,
     )
-    return (
+    return Checked(
         settled.where("accepted").drop("accepted", CORRUPT),
         settled.where("not accepted").drop("accepted"),
+        **counter.get,
     )
 
 

@@ -112,7 +112,9 @@ def mart_customer_lifetime_value(fct_orders: DataFrame) -> DataFrame:
     )
 
 
-def product_totals(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFrame:
+def product_totals(
+    fct_order_items: DataFrame, fct_orders: DataFrame, under: str | None = None
+) -> DataFrame:
     """Quantities, revenue and order count per product key, for lines whose order exists.
 
     Lines are combined per (order, product) first. After that a product's order count is a
@@ -125,7 +127,7 @@ def product_totals(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFra
     )
     orders = fct_orders.select("order_key", "is_completed")
     return (
-        lookup_join(pairs, orders, ["order_key"], key_source=fct_order_items)
+        lookup_join(pairs, orders, ["order_key"], key_source=fct_order_items, under=under)
         .groupBy("product_key")
         .agg(
             F.sum("__quantity").alias("total_quantity_sold"),
@@ -139,15 +141,17 @@ def product_totals(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFra
 
 
 def mart_product_performance(
-    fct_order_items: DataFrame, dim_products: DataFrame, fct_orders: DataFrame
+    fct_order_items: DataFrame, dim_products: DataFrame, fct_orders: DataFrame,
+    under: str | None = None,
 ) -> DataFrame:
-    """Sales per product. Gross revenue adds the lines of orders of every status."""
+    """Sales per product. Gross revenue adds the lines of orders of every status. What is staged
+    goes below `under`, where given."""
     products = dim_products.select(
         "product_key", "product_id", "category", "subcategory", "product_name"
     )
     return _finish(
         "mart_product_performance",
-        product_totals(fct_order_items, fct_orders).join(products, "product_key"),
+        product_totals(fct_order_items, fct_orders, under).join(products, "product_key"),
         avg_unit_revenue=ratio(F.col("net_revenue"), F.col("total_quantity_sold")),
     )
 

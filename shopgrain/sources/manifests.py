@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopgrain.runtime import literal_rows
-from shopgrain.sources.files import exists, join
+from shopgrain.sources.files import exists, join, write_text
 
 RUN_DDL = (
     "layer string, batch_id string, ingestion_date string, written_at string, total_rows bigint"
@@ -87,22 +90,87 @@ def run_totals(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def pending_batches(spark: SparkSession, bronze: str, silver: str) -> list[tuple[str, str]]:
-    """(batch_id, ingestion_date) of landed batches that no silver run took in, oldest first.
+LEDGER_DDL = "entity string, batch_id string, ingestion_date string, newest string, taken_at string"
 
-    One entry for each batch of the backlog.
+
+@dataclass(frozen=True)
+class Pending:
+    """A landed batch with the entities of it that are not taken in yet."""
+
+    batch_id: str
+    ingestion_date: str
+    entities: tuple[str, ...]
+
+
+def record_intake(
+    spark: SparkSession, silver: str, entity: str, batches: list[tuple[str, str]], newest: str | None
+) -> None:
+    """Enter in the ledger that the entity's rows of (batch, day) are in the silver state.
+
+    `newest` is the latest ingest time among the rows taken in.
+    """
+    now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    names = StructType.fromDDL(LEDGER_DDL).names
+    rows = [dict(zip(names, (entity, batch, day, newest, now))) for batch, day in batches]
+    # A file of its own: tables that run side by side enter themselves at the same time.
+    target = join(_ledger(silver), f"{entity}-{uuid.uuid4().hex[:12]}.json")
+    write_text(spark, target, "\n".join(json.dumps(row) for row in rows))
+
+
+def intake(spark: SparkSession, silver: str) -> DataFrame:
+    """The ledger: a row for each entity of a batch that was taken in."""
+    if not exists(spark, _ledger(silver)):
+        return literal_rows(spark, [], LEDGER_DDL)
+    return spark.read.schema(LEDGER_DDL).json(_ledger(silver))
+
+
+def landed_entities(spark: SparkSession, bronze: str) -> DataFrame:
+    """(entity, batch_id, ingestion_date, written_at) of everything that was landed."""
+    landed = read_manifests(spark, bronze).where(F.col("layer") == "bronze")
+    return landed.select("batch_id", "ingestion_date", "written_at", F.inline("tables")).groupBy(
+        F.col("table_name").alias("entity"), "batch_id"
+    ).agg(F.max("ingestion_date").alias("ingestion_date"), F.min("written_at").alias("written_at"))
+
+
+def pending_batches(
+    spark: SparkSession, bronze: str, silver: str, entities: list[str] | None = None
+) -> list[Pending]:
+    """Landed batches with the entities that no silver run took in, oldest first.
+
+    What counts is the pair of batch and entity: a run over some entities leaves the others
+    pending. `entities` limits what is looked at. One entry for each batch of the backlog.
     """
     if not exists(spark, _folder(bronze)):
         return []
-    landed = read_manifests(spark, bronze).where(F.col("layer") == "bronze")
-    landed = landed.groupBy("batch_id").agg(
-        F.max("ingestion_date").alias("ingestion_date"), F.min("written_at").alias("written_at")
+    ledger = intake(spark, silver).select("entity", "batch_id")
+    left = landed_entities(spark, bronze).join(ledger, ["entity", "batch_id"], "left_anti")
+    if exists(spark, _folder(silver)):  # batches from before there was a ledger
+        done = read_manifests(spark, silver).where(F.col("layer") == "silver").join(
+            ledger, "batch_id", "left_anti"
+        )
+        left = left.join(
+            done.select("batch_id", F.inline("tables")).select(
+                "batch_id", F.col("table_name").alias("entity")
+            ), ["entity", "batch_id"], "left_anti",
+        )
+    if entities is not None:
+        left = left.where(F.col("entity").isin(entities))
+    found = left.groupBy("batch_id").agg(
+        F.max("ingestion_date").alias("ingestion_date"), F.min("written_at").alias("written_at"),
+        F.array_sort(F.collect_set("entity")).alias("entities"),
+    )
+    return [
+        Pending(row.batch_id, row.ingestion_date, tuple(row.entities))
+        for row in found.orderBy("written_at", "batch_id").collect()
+    ]
+
+
+def newest_intake(spark: SparkSession, silver: str) -> dict[str, str]:
+    """The latest ingest time among the rows each entity took in; a handful of entries."""
+    rows = intake(spark, silver).where(F.col("newest").isNotNull()).groupBy("entity").agg(
+        F.max("newest").alias("newest")
     )
-    if exists(spark, _folder(silver)):
-        done = read_manifests(spark, silver).where(F.col("layer") == "silver").select("batch_id")
-        landed = landed.join(done, "batch_id", "left_anti")
-    found = landed.orderBy("written_at", "batch_id").select("batch_id", "ingestion_date")
-    return [tuple(row) for row in found.collect()]
+    return {row.entity: row.newest for row in rows.collect()}
 
 
 def newest_batch(spark: SparkSession, root: str) -> tuple[str, str]:
@@ -132,3 +200,7 @@ def stored_watermarks(spark: SparkSession, root: str) -> dict[str, str]:
 
 def _folder(root: str) -> str:
     return join(root, "_manifests")
+
+
+def _ledger(root: str) -> str:
+    return join(root, "_intake")

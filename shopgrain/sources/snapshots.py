@@ -153,6 +153,7 @@ def upsert(
     verify: bool = True,
     month_of: str | None = None,
     settled: bool = False,
+    rows: int | None = None,
 ) -> Upserted:
     """Update rows by key and insert new ones.
 
@@ -160,7 +161,7 @@ def upsert(
     table. An empty source changes nothing. `newer_by` keeps a stored row that is newer than the
     incoming one. `verify` refuses a source that repeats a key; skip it for a source that was
     deduplicated on that key. A merge reads the source more than once, so it is written once first,
-    unless it is `settled`: read from files as it is.
+    unless it is `settled`: read from files as it is. `rows` is how many there are, where known.
     """
     spark = source.sparkSession
     before = current_version(spark, path)
@@ -171,7 +172,7 @@ def upsert(
             source = written(source, "source", under=folder)
         if verify and not repeated_rows(source, key).isEmpty():
             raise DuplicateKeys(f"{path}: source repeats {', '.join(key)}")
-        rows = source.count()
+        rows = source.count() if rows is None else rows
         if not rows:
             return Upserted(None if before is None else _state(spark, path, before), 0)
         if month_of is None:
@@ -263,15 +264,18 @@ def merge_into(source: DataFrame, table: str, key: list[str]) -> None:
     )
 
 
-def append_rejected(rejected: DataFrame, path: str, batch_id: str, ingestion_date: str) -> str:
-    """Add rejected rows under the partition of a batch; returns "" when there are none.
+def append_rejected(
+    rejected: DataFrame, path: str, batch_id: str, ingestion_date: str, rows: int | None = None
+) -> str:
+    """Add rejected rows under the partition of a batch; returns "" when there are none. `rows` is
+    how many there are, where known.
 
     The batch's own partition is replaced, also by nothing: a repeated run neither adds its rows
     twice nor leaves rows there that are no longer rejected.
     """
     spark = rejected.sparkSession
     target = join(path, f"ingestion_date={ingestion_date}", f"batch_id={batch_id}")
-    if rejected.isEmpty():
+    if rejected.isEmpty() if rows is None else not rows:
         delete(spark, target)
         return ""
     rejected.drop(*_REJECTED_BY).write.mode("overwrite").parquet(target)
@@ -295,16 +299,31 @@ def replace_rejected(rejected: DataFrame, path: str) -> str:
 
 def release_rejected(spark: SparkSession, path: str, released: DataFrame, key: list[str]) -> None:
     """Take rows out of the partitions of their batches; `released` holds `key` and the partition
-    columns. Each batch touched is written anew from a staged copy of the rows that stay."""
+    columns.
+
+    The batches touched are read once and written once, all together, from a staged copy of the
+    rows that stay; one that gives all its rows back loses its folder.
+    """
     columns = [*key, *_REJECTED_BY]
-    # One entry for each batch that gives rows back.
-    touched = [tuple(row) for row in released.select(*_REJECTED_BY).distinct().collect()]
     with staging(spark, "released") as folder:
         gone = written(released.select(*columns).distinct(), "gone", under=folder)
-        for day, batch in touched:
-            mine = (F.col("ingestion_date") == day) & (F.col("batch_id") == batch)
-            stays = read_rejected(spark, path).where(mine).join(gone, columns, "left_anti")
-            append_rejected(written(stays, "stays", under=folder), path, batch, day)
+        # One entry for each batch that gives rows back.
+        touched = {tuple(row) for row in gone.select(*_REJECTED_BY).distinct().collect()}
+        rows = read_rejected(spark, path)
+        days, batches = ([pair[k] for pair in touched] for k in (0, 1))
+        mine = rows.where(F.col("ingestion_date").isin(days) & F.col("batch_id").isin(batches))
+        stays = written(
+            mine.join(gone.select(*_REJECTED_BY).distinct(), [*_REJECTED_BY], "left_semi").join(
+                gone, columns, "left_anti"
+            ), "stays", under=folder,
+        )
+        left = {tuple(row) for row in stays.select(*_REJECTED_BY).distinct().collect()}
+        if left:
+            stays.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                *_REJECTED_BY
+            ).parquet(path)
+        for day, batch in touched - left:
+            delete(spark, join(path, f"ingestion_date={day}", f"batch_id={batch}"))
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:

@@ -258,7 +258,7 @@ def test_silver_takes_in_every_landed_batch(spark, tmp_path):
     first = jobs.run_ingest(spark, paths, {"customers": customers, "orders": orders.where("order_id < 200")},
                             watermarks={})
     second = jobs.run_ingest(spark, paths, {"orders": orders.where("order_id >= 200")}, watermarks={})
-    assert [b for b, _ in manifests.pending_batches(spark, paths.bronze, paths.silver)] == [
+    assert [p.batch_id for p in manifests.pending_batches(spark, paths.bronze, paths.silver)] == [
         first.batch_id, second.batch_id]
     run = jobs.run_silver(spark, paths)
     assert run.batch_id == second.batch_id
@@ -270,6 +270,48 @@ def test_silver_takes_in_every_landed_batch(spark, tmp_path):
     assert ids(snapshots.read_snapshot(spark, paths.silver_table("orders"))) == ids(stored)
 
 
+def test_a_run_over_some_entities_leaves_the_others_pending(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "partial")
+    known = customers.where("customer_id < 20")
+    run = jobs.run_ingest(spark, paths, {"customers": known, "orders": orders}, watermarks={})
+    first = jobs.run_silver(spark, paths, entities=["orders"])
+    assert [t.table_name for t in first.tables] == ["orders"]
+    (left,) = manifests.pending_batches(spark, paths.bronze, paths.silver)
+    assert (left.batch_id, left.entities) == (run.batch_id, ("customers",))
+    rest = jobs.run_silver(spark, paths)
+    assert {t.table_name for t in rest.tables} == {"customers"}
+    assert not manifests.pending_batches(spark, paths.bronze, paths.silver)
+    # Only customers are landed; their orders come back, other rows stay aside.
+    jobs.run_ingest(spark, paths, {"customers": customers}, watermarks={})
+    jobs.run_silver(spark, paths)
+    landed = {}
+    for table in manifests.read_manifests(spark, paths.silver).select(F.inline("tables")).collect():
+        landed[table.table_name] = landed.get(table.table_name, 0) + table.row_count + table.rejected_count
+    assert landed["orders"] == orders.count()
+    stored = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    assert stored.where("customer_id >= 40").isEmpty() or first.total_rejected == 0
+
+
+def test_an_older_batch_never_undoes_a_newer_one(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "replay")
+    own = orders.join(customers, "customer_id", "left_semi").where("subtotal_amount >= 0")
+    batches = [Batch(f"b{n}", f"2024-01-0{n}", f"2024-01-0{n}T00:00:00") for n in (1, 2)]
+    for batch, status in zip(batches, ("completed", "refunded")):
+        jobs.run_ingest(spark, paths, {"customers": customers, "orders": own.withColumn(
+            "order_status", F.lit(status))}, watermarks={}, batch=batch)
+    jobs.run_silver(spark, paths)
+    for batch in batches:
+        jobs.run_silver(spark, paths, batch.batch_id, batch.ingestion_date)
+        state = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+        assert {(r.order_status, r.batch_id) for r in state.collect()} == {("refunded", "b2")}
+    # The newest batch landed again, corrected, replaces its own rows.
+    jobs.run_ingest(spark, paths, {"orders": own.withColumn("order_status", F.lit("failed"))},
+                    watermarks={}, batch=batches[1])
+    jobs.run_silver(spark, paths, "b2", "2024-01-02")
+    state = snapshots.read_snapshot(spark, paths.silver_table("orders"))
+    assert {r.order_status for r in state.collect()} == {"failed"}
+
+
 def test_orphans_come_back_when_their_parent_does(spark, tmp_path):
     paths, customers, orders = small_lake(spark, tmp_path, "late")
     known = customers.where("customer_id < 20")

@@ -110,3 +110,24 @@ def test_orphans_without_broadcast(monkeypatch, skewed, names):
         F.col("rejection_reason").isNull() != (F.coalesce(F.col("k"), F.lit(-1)).between(0, 899))
     )
     assert marked.count() == skewed.count() and wrong.isEmpty()
+
+
+@pytest.mark.parametrize("tasks", [1, 8, 200, 131_072, 1_000_000])
+def test_sketches_fit_any_number_of_partitions(spark, tasks):
+    groups, asked, items = sketch_sizes(tasks)
+    assert groups * asked >= tasks and asked <= items <= 1_000_000
+    assert groups <= 128 or tasks > 100_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    hot = 5 if tasks == 1 else 1000
+    frame = spark.range(4000).select(F.when(F.col("id") % 4 < 3, F.lit(hot)).otherwise(
+        F.col("id")).alias("k"))
+    wanted = spark.range(1).select(F.xxhash64(F.lit(hot).cast("bigint")).alias("h")).first().h
+    frame = frame.select(F.col("k").cast("bigint"))
+    try:
+        found = frame.select(F.xxhash64("k").alias("h"))
+        top = found.groupBy(F.pmod("h", F.lit(groups)).alias("g")).agg(
+            F.expr(f"approx_top_k(h, {asked}, {items})").alias("top")
+        ).select(F.inline("top"))
+        assert max(top.collect(), key=lambda r: r["count"])["item"] == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
