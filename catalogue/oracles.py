@@ -503,6 +503,15 @@ ORACLES["upsert_by_month"] = sql("""
            case when order_status='refunded' then 'closed' else order_status end as order_status
     from e_orders
 """)
+ORACLES["upsert_by_directory"] = sql("""
+    select order_id, customer_id,
+           case when customer_id = 4 then order_date + interval 1 day
+                when order_status='refunded' and month(order_date)=12
+                then order_date + interval 40 days else order_date end as order_date,
+           case when customer_id = 4 then 'held'
+                when order_status='refunded' then 'closed' else order_status end as order_status
+    from e_orders
+""")
 ORACLES["upsert_newest_only"] = sql("""
     select order_id, case when order_status='completed' then order_status else 'restored' end
                as order_status,

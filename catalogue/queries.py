@@ -456,6 +456,29 @@ def upsert_by_month(inputs: Inputs) -> DataFrame:
     return snapshots.upsert(refunded, path, ["order_id"], **by_month).state
 
 
+@query
+def upsert_by_directory(inputs: Inputs) -> DataFrame:
+    """Refunds, some of which move to another month, then changes to the orders of one customer: the
+    months they touch come from the key directory."""
+    path = work_folder(inputs.spark, "upsert-directory")
+    orders = inputs.orders().select("order_id", "customer_id", "order_date", "order_status")
+    by_month = {"month_of": "order_date", "key_buckets": 8}
+    snapshots.upsert(orders, path, ["order_id"], verify=False, **by_month)
+    refunded = orders.where("order_status = 'refunded'").withColumns(
+        {
+            "order_status": F.lit("closed"),
+            "order_date": F.when(
+                F.month("order_date") == 12, F.col("order_date") + F.expr("interval 40 days")
+            ).otherwise(F.col("order_date")),
+        }
+    )
+    snapshots.upsert(refunded, path, ["order_id"], **by_month)
+    own = orders.where("customer_id = 4").withColumns(
+        {"order_status": F.lit("held"), "order_date": F.col("order_date") + F.expr("interval 1 day")}
+    )
+    return snapshots.upsert(own, path, ["order_id"], **by_month).state
+
+
 @query
 def upsert_newest_only(inputs: Inputs) -> DataFrame:
     """An older delivery does not overwrite newer rows."""

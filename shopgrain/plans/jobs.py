@@ -163,6 +163,7 @@ def run_silver(
     all_batches: bool = False,
     duplicate_scope: str = "batch",
     schemas: dict[str, StructType] | None = None,
+    key_buckets: int = 0,
 ) -> Run:
     """Check the landed rows, set rejected ones aside and upsert the rest by key.
 
@@ -177,7 +178,9 @@ def run_silver(
     Entities run parents first. Only the batch's folder is read. Entities that were never landed
     are skipped. Rows that were rejected only because their parent was unknown come back once it is
     known, also when only the parent is taken in: `rejected_count` is the change of the rows set
-    aside, so landed rows are always accepted plus rejected ones.
+    aside, so landed rows are always accepted plus rejected ones. With `key_buckets`, tables divided
+    by month keep a directory of their keys in that many hash buckets; choose it so that a bucket's
+    keys fit a task.
     """
     if batch_id is None and not all_batches:
         wanted = None if entities is None else [landing.rules_of(name).name for name in entities]
@@ -187,7 +190,7 @@ def run_silver(
         runs = [
             _silver_pass(
                 spark, paths, left.batch_id, left.ingestion_date, list(left.entities), False,
-                duplicate_scope, schemas,
+                duplicate_scope, schemas, key_buckets,
             )
             for left in backlog
         ]
@@ -196,7 +199,8 @@ def run_silver(
         newest = manifests.newest_batch(spark, paths.bronze)
         batch_id, ingestion_date = batch_id or newest[0], ingestion_date or newest[1]
     return _silver_pass(
-        spark, paths, batch_id, ingestion_date, entities, all_batches, duplicate_scope, schemas
+        spark, paths, batch_id, ingestion_date, entities, all_batches, duplicate_scope, schemas,
+        key_buckets,
     )
 
 
@@ -221,6 +225,7 @@ def _silver_pass(
     all_batches: bool,
     duplicate_scope: str,
     schemas: dict[str, StructType] | None,
+    key_buckets: int,
 ) -> Run:
     run = Run(batch_id, ingestion_date)
     wanted = [rules.name for rules in map(landing.rules_of, entities or ENTITIES)]
@@ -288,6 +293,7 @@ def _silver_pass(
                 month_of=MONTH_OF.get(entity),
                 settled=plain,
                 rows=checked.accepted if plain else None,
+                key_buckets=key_buckets if entity in MONTH_OF else 0,
             )
             # Only when they are stored; a run cut short here finds them once more.
             if returning is not None:

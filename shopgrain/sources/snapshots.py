@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shopgrain.operators.latest import latest_per_key
 from shopgrain.runtime import staging, written
+from shopgrain.sources.directory import KeyDirectory
 from shopgrain.sources.files import delete, join, matches, names, read_text, write_text
 
 # Folder column of a part; not part of the table's own columns.
@@ -154,6 +155,7 @@ def upsert(
     month_of: str | None = None,
     settled: bool = False,
     rows: int | None = None,
+    key_buckets: int = 0,
 ) -> Upserted:
     """Update rows by key and insert new ones.
 
@@ -162,6 +164,8 @@ def upsert(
     incoming one. `verify` refuses a source that repeats a key; skip it for a source that was
     deduplicated on that key. A merge reads the source more than once, so it is written once first,
     unless it is `settled`: read from files as it is. `rows` is how many there are, where known.
+    With `key_buckets`, a table divided by month and with one key column keeps a directory of its keys
+    in that many buckets, and an upsert finds the months it touches there instead of in the table.
     """
     spark = source.sparkSession
     before = current_version(spark, path)
@@ -180,7 +184,8 @@ def upsert(
             if before is not None:
                 fresh = _put(_read(spark, path, before, [WHOLE]), source, key, newer_by)
             return Upserted(overwrite(fresh, path), rows)
-        return Upserted(_upsert_months(source, path, key, newer_by, month_of, before), rows)
+        state = _upsert_months(source, path, key, newer_by, month_of, before, key_buckets)
+        return Upserted(state, rows)
 
 
 def _state(spark: SparkSession, path: str, version: Version) -> DataFrame:
@@ -210,21 +215,32 @@ def _upsert_months(
     newer_by: tuple[str, ...],
     month_of: str,
     before: Version | None,
+    key_buckets: int,
 ) -> DataFrame:
     """Write new parts for the months that hold a changed row, or held it before its month changed.
 
-    Finding them reads the key and the date of the table. The months come to the driver; there are
-    no more of them than part folders. A month whose last rows moved away is no longer listed.
+    Finding them reads the key directory or, without one, the key and the date of the table. The
+    months come to the driver; there are no more of them than part folders. A month whose last
+    rows moved away is no longer listed.
     """
     spark = incoming.sparkSession
     parts: dict[str, str] = {} if before is None else dict(before.parts)
     fresh = incoming
+    directory = None
+    if key_buckets:
+        (name,) = key
+        directory = KeyDirectory(spark, join(path, "keys"), key_buckets)
+        if before is not None and not directory.exists():
+            current = _state(spark, path, before)
+            directory.build(current.select(name, month_column(current, month_of)))
     if before is not None:
-        current = _state(spark, path, before)
-        held = current.join(incoming.select(*key), key, "left_semi")
-        touched = held.select(month_column(held, month_of)).union(
-            incoming.select(month_column(incoming, month_of))
-        )
+        if directory is None:
+            current = _state(spark, path, before)
+            held = current.join(incoming.select(*key), key, "left_semi")
+            holding = held.select(month_column(held, month_of))
+        else:
+            holding = directory.months(incoming.select(*key))
+        touched = holding.union(incoming.select(month_column(incoming, month_of)))
         touched = {row[0] for row in touched.distinct().collect()}
         old = _read(spark, path, before, sorted(touched & set(parts)))
         fresh = _put(old, incoming, key, newer_by)
@@ -238,6 +254,8 @@ def _upsert_months(
     for name in names(spark, join(path, folder)):
         if name.startswith(prefix):
             parts[name.removeprefix(prefix)] = f"{folder}/{name}"
+    if directory is not None:
+        directory.add(incoming.select(*key, month_column(incoming, month_of)))
     version = Version(number, fresh.schema, parts)
     _commit(spark, path, version)
     return _state(spark, path, version)

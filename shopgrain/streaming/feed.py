@@ -33,6 +33,7 @@ def ingest_available(
     source_system: str,
     event_time: str = "event_timestamp",
     parent_path: Callable[[str], str] | None = None,
+    key_buckets: int = 0,
 ) -> None:
     """Take in every file that arrived since the last run, then stop.
 
@@ -45,7 +46,8 @@ def ingest_available(
     nothing.
 
     A landed batch rejects all copies of a key, because a table extract must not hold any. A feed
-    may deliver an event again, so here copies are no fault.
+    may deliver an event again, so here copies are no fault. With `key_buckets` the months of events
+    delivered before come from a key directory instead of the table (see `snapshots.upsert`).
     """
 
     def store(rows: DataFrame, epoch: int) -> None:
@@ -64,7 +66,7 @@ def ingest_available(
             newest = latest_per_key(valid.drop(CORRUPT), [rules.key], (event_time,))
             snapshots.upsert(
                 newest, accepted_path, [rules.key], newer_by=(event_time,), verify=False,
-                month_of=event_time,
+                month_of=event_time, key_buckets=key_buckets,
             )
             given = [c for c in rejected.columns if c not in (*LINEAGE_COLUMNS, PROCESSED_AT)]
             marked = rejected.withColumn(DELIVERY, F.xxhash64(F.to_json(F.struct(*given))))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.operators import lookup as lk
 from shopgrain.operators import quality
-from shopgrain.operators.lookup import heavy_keys, lookup_join
+from shopgrain.operators.lookup import heavy_keys, lookup_join, sketch_sizes
 
 
 @pytest.fixture(scope="module")
