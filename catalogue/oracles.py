@@ -819,6 +819,57 @@ ORACLES["daily_run_counts"] = sql(" union all ".join(
     f"cast(({rejected}) as bigint) as rejected_count"
     for (layer, table), (rows, rejected) in _RUN_COUNTS.items()
 ))
+_LATE = "order_date >= date '1995-03-01' and order_date < date '1995-05-01'"
+_CHANGED = f"""(
+    select order_id, total_amount,
+        case when {_LATE} and order_id % 3 = 0 then 1 else customer_id end as customer_id,
+        case when {_LATE} and day(order_date) = 15 then order_date + interval 20 days
+             else order_date end as order_date,
+        case when {_LATE} and order_id % 2 = 0 then 'refunded' else order_status end as order_status
+    from {_KEPT} k)"""
+ORACLES["incremental_marts"] = sql(f"""
+    select m.mart, m.item, cast(m.gross as double) as gross_revenue,
+           cast(m.net as double) as net_revenue, cast(m.n as bigint) as order_count,
+           cast(m.more as bigint) as measure
+    from (
+        with o as (
+            select *, case when order_status in ('completed', 'refunded') then total_amount else 0 end
+                       as gross,
+                   case when order_status = 'completed' then total_amount else 0 end as net,
+                   strftime(order_date, '%Y-%m') as month
+            from {_CHANGED} c
+        ),
+        debut as (select customer_id, min(month) as month from o group by 1),
+        fails as (
+            select cast(p.payment_date as date) as d, count(*) filter (
+                where p.payment_status = 'failed'
+                   or (p.payment_date < date '1995-06-01' and p.payment_id % 11 = 0)) as n
+            from e_payments p where p.order_id in (select order_id from {_KEPT} k) group by 1
+        ),
+        own as (
+            select customer_id, count(*) as n, sum(gross) as gross, sum(net) as net from o group by 1
+        )
+        select 'mart_daily_sales' as mart, cast(cast(order_date as date) as varchar) as item,
+               sum(gross) as gross, sum(net) as net, count(*) as n,
+               coalesce(max(fails.n), 0) as more
+        from o left join fails on fails.d = cast(order_date as date) group by 2
+        union all
+        select 'mart_monthly_revenue', month, sum(gross), sum(net), count(*),
+               (select count(*) from debut where debut.month = o.month) from o group by month
+        union all
+        select 'mart_customer_lifetime_value', cast(customer_id as varchar), gross, net, n,
+               case when n > 1 then 1 else 0 end from own
+        union all
+        select 'mart_product_performance', cast(product_id as varchar), sum(line_total),
+               sum(case when order_status = 'completed' then line_total else 0 end),
+               count(distinct i.order_id), sum(quantity)
+        from {_KEPT_ITEMS} i join o on o.order_id = i.order_id group by product_id
+        union all
+        select 'mart_customer_segments', customer_segment || '/' || country_code, sum(gross),
+               sum(net), sum(n), count(*) filter (where n > 1)
+        from own join e_customers using (customer_id) group by customer_segment, country_code
+    ) m
+""")
 ORACLES["daily_run_issues"] = f"""
     select 'customers' as entity,
            'customers: source=' || {_ALL_CUSTOMERS} || ' bronze=' || {_ACTIVE} as issue

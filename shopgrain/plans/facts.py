@@ -24,8 +24,11 @@ _HEADER_AMOUNTS = (
 )
 
 
-def fct_orders(orders: DataFrame, rules: BusinessRules = BusinessRules()) -> DataFrame:
-    """One row per order. A refunded order counts in gross revenue but not in net revenue."""
+def fct_orders(
+    orders: DataFrame, rules: BusinessRules = BusinessRules(), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per order. A refunded order counts in gross revenue but not in net revenue. `keep`
+    names further columns to go along."""
     placed, status = moment(orders, "order_date"), F.col("order_status")
     total = F.col("total_amount").cast(MONEY)
     completed = status_in(status, rules.completed)
@@ -44,10 +47,11 @@ def fct_orders(orders: DataFrame, rules: BusinessRules = BusinessRules()) -> Dat
         money_if(completed | refunded, total).alias("gross_revenue"),
         money_if(completed, total).alias("net_revenue"),
         loaded_now().alias(LOADED_AT),
+        *keep,
     )
 
 
-def fct_order_items(order_items: DataFrame) -> DataFrame:
+def fct_order_items(order_items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     renamed = order_items.withColumnsRenamed(
         {"order_item_id": "order_item_key", "order_id": "order_key", "product_id": "product_key"}
     )
@@ -58,10 +62,12 @@ def fct_order_items(order_items: DataFrame) -> DataFrame:
             LOADED_AT: loaded_now(),
         }
     )
-    return typed.select(*TABLES["fct_order_items"].columns)
+    return typed.select(*TABLES["fct_order_items"].columns, *keep)
 
 
-def fct_payments(payments: DataFrame, rules: BusinessRules = BusinessRules()) -> DataFrame:
+def fct_payments(
+    payments: DataFrame, rules: BusinessRules = BusinessRules(), keep: tuple[str, ...] = ()
+) -> DataFrame:
     paid, status = moment(payments, "payment_date"), F.col("payment_status")
     return payments.select(
         F.col("payment_id").alias("payment_key"),
@@ -74,4 +80,5 @@ def fct_payments(payments: DataFrame, rules: BusinessRules = BusinessRules()) ->
         status_in(status, rules.payment_succeeded).alias("is_successful"),
         status_in(status, rules.payment_failed).alias("is_failed"),
         loaded_now().alias(LOADED_AT),
+        *keep,
     )

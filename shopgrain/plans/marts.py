@@ -88,6 +88,11 @@ def mart_monthly_revenue(fct_orders: DataFrame) -> DataFrame:
             count_where(known & ~debut).alias("returning_customers"),
         )
     )
+    return months_of(months)
+
+
+def months_of(months: DataFrame) -> DataFrame:
+    """The mart from one row per month number: revenue, order count and customer counts."""
     return _finish(
         "mart_monthly_revenue",
         months,
@@ -98,15 +103,22 @@ def mart_monthly_revenue(fct_orders: DataFrame) -> DataFrame:
 
 def mart_customer_lifetime_value(fct_orders: DataFrame) -> DataFrame:
     customers = fct_orders.groupBy("customer_key").agg(
-        F.count("order_key").alias("total_orders"),
-        F.sum("gross_revenue").alias("total_revenue"),
-        F.sum("net_revenue").alias("net_revenue"),
+        F.count("order_key").alias("order_count"),
+        *_revenue(),
         F.min("order_timestamp").alias("first_order_date"),
         F.max("order_timestamp").alias("last_order_date"),
     )
+    return lifetime_of(customers)
+
+
+def lifetime_of(customers: DataFrame) -> DataFrame:
+    """The mart from one row per customer: order count, revenue, first and last order."""
+    named = customers.withColumnsRenamed(
+        {"order_count": "total_orders", "gross_revenue": "total_revenue"}
+    )
     return _finish(
         "mart_customer_lifetime_value",
-        customers,
+        named,
         avg_order_value=ratio(F.col("net_revenue"), F.col("total_orders")),
         repeat_purchase_rate=(F.col("total_orders") > 1).cast("int").cast("double"),
     )
@@ -149,9 +161,14 @@ def mart_product_performance(
     products = dim_products.select(
         "product_key", "product_id", "category", "subcategory", "product_name"
     )
+    return products_of(product_totals(fct_order_items, fct_orders, under), products)
+
+
+def products_of(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """The mart from one row of totals per product key."""
     return _finish(
         "mart_product_performance",
-        product_totals(fct_order_items, fct_orders, under).join(products, "product_key"),
+        totals.join(products, "product_key"),
         avg_unit_revenue=ratio(F.col("net_revenue"), F.col("total_quantity_sold")),
     )
 
@@ -174,12 +191,16 @@ def mart_customer_segments(fct_orders: DataFrame, dim_customers: DataFrame) -> D
     Orders are added up per customer before the customers join. Repeat counts belong to (segment,
     country code); a code with two names shows the same repeat counts under both.
     """
+    return segments_of(customer_totals(fct_orders), dim_customers)
+
+
+def segments_of(totals: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """The mart from one row of totals per customer."""
     customers = dim_customers.select(
         "customer_key", "customer_segment", "country_code", "country_name"
     )
     groups = (
-        customer_totals(fct_orders)
-        .join(customers, "customer_key")
+        totals.join(customers, "customer_key")
         .groupBy("customer_segment", "country_code", "country_name")
         .agg(
             F.count(F.lit(1)).alias("customer_count"),

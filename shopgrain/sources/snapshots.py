@@ -83,6 +83,56 @@ def months(spark: SparkSession, path: str) -> list[str]:
     return sorted(set(version.parts) - {WHOLE}) if version else []
 
 
+def month_parts(spark: SparkSession, path: str) -> dict[str, str]:
+    """The part folder of each month; a month that was written anew has a new one."""
+    version = current_version(spark, path)
+    return {} if version is None else {m: f for m, f in version.parts.items() if m != WHOLE}
+
+
+def read_months(spark: SparkSession, path: str, wanted: set[str]) -> DataFrame:
+    """Rows of some months, with their month in the column `MONTH`."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no snapshot at {path}")
+    rows = None
+    # Months written together lie below one folder and are read as one table.
+    below: dict[str, list[str]] = {}
+    for month in sorted(wanted & set(version.parts)):
+        below.setdefault(version.parts[month].rsplit("/", 1)[0], []).append(version.parts[month])
+    schema = StructType([*version.schema.fields, StructField(MONTH, StringType())])
+    for base, folders in below.items():
+        part = spark.read.schema(schema).option("basePath", join(path, base)).parquet(
+            *[join(path, folder) for folder in folders]
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
+def replace_months(frame: DataFrame, path: str, touched: set[str]) -> DataFrame:
+    """Put the rows of `frame`, which has the column `MONTH`, in place of the months `touched`.
+
+    All its months must be among those. One without rows is no longer listed. A table that was
+    not divided before is replaced as a whole.
+    """
+    spark = frame.sparkSession
+    before = current_version(spark, path)
+    parts = {} if before is None else {
+        m: f for m, f in before.parts.items() if m != WHOLE and m not in touched
+    }
+    number = _next_number(spark, path)
+    folder = f"parts/v{number:08d}"
+    frame.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).parquet(
+        join(path, folder)
+    )
+    prefix = f"{MONTH}="
+    for name in names(spark, join(path, folder)):
+        if name.startswith(prefix):
+            parts[name.removeprefix(prefix)] = f"{folder}/{name}"
+    version = Version(number, frame.drop(MONTH).schema, parts)
+    _commit(spark, path, version)
+    return _state(spark, path, version)
+
+
 def has_snapshot(spark: SparkSession, path: str) -> bool:
     return bool(versions(spark, path))
 
