@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from shopgrain.llm.common import text_steps
 
 RULES = ("start", "most", "share")
+# Characters the library encodes at once.
+WHOLE = 50_000
 
 
 def token_bytes(ranks_file: bytes) -> dict[bytes, int]:
@@ -37,6 +40,7 @@ class Encoder:
 
     def __init__(self, ranks_file: bytes, pattern: str):
         ranks = token_bytes(ranks_file)
+        self.pattern = regex.compile(pattern)
         self.encoding = tiktoken.Encoding(
             "given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
@@ -45,9 +49,19 @@ class Encoder:
             self.length[number] = len(token)
 
     def ends(self, text: str) -> np.ndarray:
-        """Where each token ends, in bytes."""
-        ids = np.asarray(self.encoding.encode_ordinary(text), np.int64)
-        return np.cumsum(self.length[ids])
+        """Where each token ends, in bytes.
+
+        Long texts are cut by the pattern first and each piece is encoded by itself, as the
+        library does; its own pattern engine has no room for a long run of one class.
+        """
+        if len(text) <= WHOLE:
+            ids = self.encoding.encode_ordinary(text)
+        else:
+            ids = [
+                i for piece in self.pattern.finditer(text)
+                for i in self.encoding._encode_single_piece(piece.group())
+            ]
+        return np.cumsum(self.length[np.asarray(ids, np.int64)])
 
 
 def allocate(

@@ -103,3 +103,44 @@ def test_rules_and_empty_table(spark):
     assert A.token_counts(empty, ranks, pattern).collect() == []
     with pytest.raises(ValueError):
         A.token_counts(empty, ranks, pattern, rule="none")
+
+
+def test_long_texts_are_cut_as_the_library_cuts_them(encoder, monkeypatch):
+    rng = random.Random(8)
+    parts = list("ab é中😀\n\t 1.'!") + ["'re", "  ", " \n", "word", " the"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(3000)]
+    whole = [encoder.ends(text).tolist() for text in texts]
+    monkeypatch.setattr(A, "WHOLE", 0)
+    assert [encoder.ends(text).tolist() for text in texts] == whole
+
+
+@pytest.mark.parametrize("run", [" ", "a", "é", "!", "\n"])
+def test_runs_of_millions_of_characters(spark, encoder, run):
+    text = "begin\n" + run * 2_000_000 + "\nend"
+    ends = encoder.ends(text)
+    assert ends[-1] == len(text.encode()) and (np.diff(ends) > 0).all()
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ranks, pattern = rank_file()
+    found = A.token_counts(frame, ranks, pattern, rule="start").collect()
+    assert sum(r["n_tokens"] for r in found) == len(ends)
+
+
+def test_registered_query(spark, encoder):
+    from shopgrain.llm.catalogue import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    found = {}
+    for r in QUERIES["op6_token_counts"](spark, folder).collect():
+        found.setdefault(r["doc_id"], []).append((r["section"], r["start"], r["stop"], r["n_tokens"], r["n_crossing"]))
+    for doc, text in texts:
+        raw, at, sections = (text or "").encode(), 0, []
+        for line in raw.splitlines(keepends=True) if raw.count(b"\n") == len(raw.splitlines()) - (not raw.endswith(b"\n")) else [
+                x for x in raw.replace(b"\n", b"\n\x00").split(b"\x00") if x]:
+            sections.append((at, at + len(line)))
+            at += len(line)
+        if len(text or "") * len(sections) > 200_000:
+            continue  # the slow allocation is quadratic
+        tokens, crossing = slow(encoder.ends(text or "").tolist(), sections, "most")
+        assert sorted(found.get(doc, [])) == [
+            (s, a, b, t, c) for s, ((a, b), t, c) in enumerate(zip(sections, tokens, crossing))]
