@@ -1031,3 +1031,37 @@ ORACLES["event_stream_dedupe"] = sql("""
            case when event_type='error' then 'invalid_event_type' end as rejection_reason
     from e_events
 """)
+
+# --- rows that differ, active customers, late commits, publishing in one step -------------------
+
+ORACLES["differing_rows"] = sql("""
+    select order_id as order_key, case when order_id % 101 = 0 then 'left_only' else 'changed' end
+               as difference
+    from e_orders where order_id % 101 = 0 or order_id % 97 = 0
+    union all select -order_id - 1, 'right_only' from e_orders where order_id % 101 = 0
+""")
+ORACLES["active_customers_by_window"] = sql("""
+    select cast(d.day as date) as activity_date, c.customer_segment,
+           cast(w.n as integer) as window_days, count(distinct o.customer_id) as active_customers
+    from (select unnest(generate_series(min(order_date)::date, max(order_date)::date,
+                                        interval 1 day)) as day from e_orders) d
+    cross join (values (7), (30), (90)) w(n)
+    join e_orders o on cast(o.order_date as date) <= d.day
+        and cast(o.order_date as date) > d.day - to_days(w.n)
+    join e_customers c using (customer_id)
+    group by 1, 2, 3
+""")
+ORACLES["late_commits"] = sql("""
+    select order_id, case when order_id % 20 <> 0 then 'retail_first' else 'retail_second' end
+               as batch_id
+    from e_orders where order_id % 20 <> 0 or updated_at >
+        (select max(updated_at) - interval 60 days from e_orders where order_id % 20 <> 0)
+""")
+ORACLES["interrupted_publish"] = " union all ".join(
+    f"select '{name}' as table_name, true as stopped, cast(0 as bigint) as differing_rows"
+    for name in (
+        "dim_date", "dim_country", "dim_customers", "dim_products", "fct_orders",
+        "fct_order_items", "fct_payments", "mart_daily_sales", "mart_monthly_revenue",
+        "mart_customer_lifetime_value", "mart_product_performance", "mart_customer_segments",
+    )
+)

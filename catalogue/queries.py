@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -12,11 +13,11 @@ from pyspark.sql.types import DecimalType
 
 from catalogue.adapters import Inputs
 from shopgrain.functions.expressions import MONEY, status_in
-from shopgrain.operators import checks, reconcile
+from shopgrain.operators import checks, compare, reconcile
 from shopgrain.operators.amounts import order_amounts
 from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, mark_orphans, split
-from shopgrain.plans import dims, facts, jobs, marts, sqlmodels
+from shopgrain.plans import activity, dims, facts, jobs, marts, sqlmodels
 from shopgrain.rules import (
     CORRUPT,
     CUSTOMERS,
@@ -956,11 +957,7 @@ def daily_run_counts(inputs: Inputs) -> DataFrame:
 def daily_run_issues(inputs: Inputs) -> DataFrame:
     """Reconciliation after a run in which one landed customer table was cut short."""
     spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
-    landed = {
-        "customers": inputs.customers().where("is_active"),
-        "products": inputs.products(),
-        "orders": inputs.orders(),
-    }
+    landed = _source_tables(inputs) | {"customers": inputs.customers().where("is_active")}
     run = jobs.run_ingest(spark, paths, landed)
     jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date)
     _, issues = jobs.run_reconcile(
@@ -976,7 +973,7 @@ def daily_run_quarantine(inputs: Inputs) -> DataFrame:
     run = jobs.run_ingest(
         spark,
         paths,
-        {"customers": inputs.customers().where("is_active"), "orders": inputs.orders()},
+        _source_tables(inputs) | {"customers": inputs.customers().where("is_active")},
         batch=FIRST,
     )
     jobs.run_silver(spark, paths, run.batch_id, run.ingestion_date)
@@ -1007,7 +1004,7 @@ def backlog_run(inputs: Inputs) -> DataFrame:
     """Two batches of orders landed, then one silver run: where each order of both ended up."""
     spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
     odd = F.col("order_id") % 2 == 1
-    first = {"customers": inputs.customers(), "orders": inputs.orders().where(~odd)}
+    first = _source_tables(inputs) | {"orders": inputs.orders().where(~odd)}
     jobs.run_ingest(spark, paths, first, watermarks={}, batch=FIRST)
     jobs.run_ingest(spark, paths, {"orders": inputs.orders().where(odd)}, watermarks={}, batch=SECOND)
     jobs.run_silver(spark, paths)
@@ -1068,7 +1065,7 @@ def _accepted_and_rejected(
 def late_parent(inputs: Inputs) -> DataFrame:
     """Orders landed a day before some of their customers: they come back from the rows set aside."""
     spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
-    early = {"customers": inputs.customers().where("is_active"), "orders": inputs.orders()}
+    early = _source_tables(inputs) | {"customers": inputs.customers().where("is_active")}
     jobs.run_ingest(spark, paths, early, watermarks={}, batch=FIRST)
     jobs.run_silver(spark, paths)
     jobs.run_ingest(spark, paths, {"customers": inputs.customers()}, watermarks={}, batch=SECOND)
@@ -1335,3 +1332,73 @@ def event_stream_orphans(inputs: Inputs) -> DataFrame:
     parents = work_folder(inputs.spark, "stream-customers")
     snapshots.overwrite(inputs.customers().where("is_active"), parents)
     return _streamed(inputs, [inputs.website_events()], parents).drop("event_timestamp")
+
+
+# --- rows that differ, active customers, late commits, publishing in one step -------------------
+
+
+@query
+def differing_rows(inputs: Inputs) -> DataFrame:
+    """Orders against a copy with as many rows: some changed, some under another key."""
+    orders = facts.fct_orders(inputs.orders())
+    copy = orders.withColumns({
+        "order_key": F.when(F.col("order_key") % 101 == 0, -F.col("order_key") - 1).otherwise(
+            F.col("order_key")),
+        "shipping_country": F.when(F.col("order_key") % 97 == 0, F.lit(None)).otherwise(
+            F.col("shipping_country")),
+    })
+    return compare.differing_rows(orders, copy, ["order_key"], ignore=(LOADED_AT,))
+
+
+@query
+def active_customers_by_window(inputs: Inputs) -> DataFrame:
+    """Customers with an order in the last 7, 30 and 90 days, per day and segment."""
+    curated = Curated(inputs)
+    bitmaps = activity.daily_bitmaps(curated["fct_orders"], curated["dim_customers"])
+    return activity.active_customers(written(bitmaps, "bitmaps"), (7, 30, 90))
+
+
+@query
+def late_commits(inputs: Inputs) -> DataFrame:
+    """Orders that the source commits after later ones were landed: those within 60 days of the mark
+    are landed with the next batch, once, however often it looks back."""
+    spark, paths = inputs.spark, jobs.Paths.under(work_folder(inputs.spark, "lake"))
+    tables = _source_tables(inputs)
+    early = tables | {"orders": inputs.orders().where("order_id % 20 <> 0")}
+    jobs.run_ingest(spark, paths, early, watermarks={}, batch=FIRST)
+    jobs.run_ingest(spark, paths, tables, batch=SECOND, look_back="60 days")
+    third = replace(SECOND, batch_id="retail_third", ingestion_date="2024-01-03")
+    jobs.run_ingest(spark, paths, tables, batch=third, look_back="60 days")
+    landed = landing.read_landed(spark, paths.bronze, ORDERS)
+    return landed.select("order_id", "batch_id")
+
+
+@query
+def interrupted_publish(inputs: Inputs) -> DataFrame:
+    """Twelve tables published, then a second load that stops at its last table: all show the rows
+    of the first."""
+    spark, paths = inputs.spark, _daily_run(inputs)
+    database = f"switched_{uuid.uuid4().hex[:8]}"
+    jobs.run_publish(spark, paths, database, mode="switch")
+    before = {name: paths.gold_table(name) for name in TABLES}
+    kept = {name: written(snapshots.read_snapshot(spark, path), "published")
+            for name, path in before.items()}
+    for name in TABLES:
+        frame = snapshots.read_snapshot(spark, paths.gold_table(name))
+        # The last table lacks a column it must have.
+        fresh = frame.drop(MART_METRICS[name][0]) if name == list(TABLES)[-1] else frame.limit(1)
+        snapshots.overwrite(fresh, paths.gold_table(name))
+    try:
+        jobs.run_publish(spark, paths, database, mode="switch")
+        stopped = False
+    except Exception:  # the load of the last table
+        stopped = True
+    rows = []
+    for name in TABLES:
+        shown = spark.table(f"{database}.{name}")
+        shown = shown.toDF(*[c.lower() for c in shown.columns])
+        rows.append(compare.differing_rows(shown, kept[name], list(TABLES[name].key)).agg(
+            F.lit(name).alias("table_name"), F.lit(stopped).alias("stopped"),
+            F.count(F.lit(1)).alias("differing_rows"),
+        ))
+    return reduce(DataFrame.unionAll, rows)

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from shopgrain.functions.expressions import upper_names
 from shopgrain.operators import reconcile as rec
 from shopgrain.operators.checks import key_tests, nulls, orphans, report, unique
+from shopgrain.operators.compare import differing_rows
 from shopgrain.operators.latest import latest_per_key
 from shopgrain.operators.quality import annotate, mark_orphans, standardise
 from shopgrain.plans import dims, facts, increments, marts, sqlmodels
@@ -38,7 +39,7 @@ from shopgrain.rules import (
     BusinessRules,
     EntityRules,
 )
-from shopgrain.runtime import for_each_table, staging, written
+from shopgrain.runtime import for_each_table, literal_rows, staging, written
 from shopgrain.schemas import entity_schema
 from shopgrain.sources import feeds, landing, manifests, snapshots
 from shopgrain.sources.files import exists, join
@@ -92,12 +93,14 @@ def run_ingest(
     watermarks: dict[str, str] | None = None,
     batch: Batch | None = None,
     feed_shapes: dict[str, str] | None = None,
+    look_back: str | None = None,
 ) -> Run:
     """Land source tables and file feeds with lineage columns under one batch id.
 
     Incremental tables start at `watermarks`, or else at the marks earlier runs recorded. A JSON
     feed whose shape ("lines" or "arrays") its rules or `feed_shapes` give is not scanned to find
-    it out.
+    it out. `look_back`, an interval such as "2 days", also lands rows from before the mark that no
+    earlier batch has (see `landing.changed_since`).
     """
     batch = batch or Batch.start()
     run = Run(batch.batch_id, batch.ingestion_date)
@@ -107,7 +110,14 @@ def run_ingest(
     def land_one(entity: str) -> TableRun:
         rules = landing.rules_of(entity)
         if entity in tables:
-            changed = landing.changed_since(tables[entity], entity, marks.get(entity))
+            landed = None
+            if look_back is not None and landing.is_landed(spark, paths.bronze, rules):
+                landed = landing.read_landed(spark, paths.bronze, rules).where(
+                    F.col("batch_id") != batch.batch_id
+                )
+            changed = landing.changed_since(
+                tables[entity], entity, marks.get(entity), look_back, landed
+            )
             enriched = landing.with_lineage(changed, batch, TABLE_SOURCE_SYSTEM, entity)
         else:
             system, pattern = SOURCE_FEEDS[entity]
@@ -510,8 +520,13 @@ def run_publish(
     uppercase: bool = True,
     batch_id: str = "latest",
 ) -> Run:
-    """Load curated tables into a catalog database: dimensions, then facts, then marts."""
-    if mode not in ("overwrite", "append"):
+    """Load curated tables into a catalog database: dimensions, then facts, then marts.
+
+    `overwrite` and `append` load table by table, so a stop leaves some old and some new. `switch`
+    loads all of them beside the published ones, as a load of its own, and makes that load the
+    current one in a single step; tables are then views of their current load.
+    """
+    if mode not in ("overwrite", "append", "switch"):
         raise ValueError(f"unknown load mode: {mode}")
     wanted = None if tables is None else {name.lower() for name in tables}
     chosen = [name for name in TABLES if wanted is None or name in wanted]
@@ -520,15 +535,85 @@ def run_publish(
         raise FileNotFoundError(f"curated tables missing: {absent}")
     spark.sql(f"create database if not exists {database}")
     run = Run(batch_id, "")
-    for name in chosen:
-        frame = snapshots.read_snapshot(spark, paths.gold_table(name))
-        rows = publish_table(spark, frame, f"{database}.{name}", mode, uppercase)
-        run.tables.append(TableRun(name, rows, path=paths.gold_table(name)))
+    frames = {
+        name: snapshots.read_snapshot(spark, paths.gold_table(name)) for name in chosen
+    }
+    if mode == "switch":
+        counts = publish_load(spark, frames, database, uppercase)
+    else:
+        counts = {
+            name: publish_table(spark, frame, f"{database}.{name}", mode, uppercase)
+            for name, frame in frames.items()
+        }
+    run.tables = [
+        TableRun(name, rows, path=paths.gold_table(name)) for name, rows in counts.items()
+    ]
     if paths.warehouse:
         manifests.write_manifest(spark, paths.warehouse, "warehouse", batch_id, "", run.tables)
     return run
 
 
+# The table that lists complete loads, and what is added to the name of a table that holds them.
+LOADS, LOADS_OF = "published_loads", "_loads"
+
+
+def publish_load(
+    spark: SparkSession, frames: dict[str, DataFrame], database: str, uppercase: bool = True
+) -> dict[str, int]:
+    """Load all frames beside the published ones and switch to them together; rows per table.
+
+    Rows go to a partition of their own below the table of all loads. The row in the list of
+    loads, written last, makes them the ones the views show. A load that stops before it leaves
+    nothing but partitions that no view shows. Loads before the one replaced are dropped. A table
+    that is not among `frames` keeps what it shows: its own newest load that is complete.
+    """
+    loads = f"{database}.{LOADS}"
+    if not spark.catalog.tableExists(loads):
+        spark.sql(f"create table {loads} (load_id bigint, table_name string) using parquet")
+    complete = [row[0] for row in spark.table(loads).select("load_id").distinct().collect()]
+    number = max(complete, default=0) + 1
+
+    def load(name: str) -> int:
+        table, frame = f"{database}.{name}{LOADS_OF}", frames[name]
+        shaped = upper_names(frame) if uppercase else frame
+        if not spark.catalog.tableExists(table):
+            shaped.limit(0).withColumn("load_id", F.lit(0).cast("bigint")).write.partitionBy(
+                "load_id").saveAsTable(table)
+        by_name = {c.lower(): c for c in shaped.columns}
+        order = [by_name[c.lower()] for c in spark.table(table).columns if c != "load_id"]
+        counter = Observation()
+        counted = shaped.select(*order, F.lit(number).cast("bigint").alias("load_id")).observe(
+            counter, F.count(F.lit(1)).alias("rows")
+        )
+        # Also clears what a load of this number that stopped has left.
+        spark.sql(f"alter table {table} drop if exists partition (load_id = {number})")
+        counted.write.mode("append").insertInto(table)
+        rows = counter.get["rows"]
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            listed = ", ".join(f"`{c}`" for c in order)
+            spark.sql(
+                f"create view {database}.{name} as select {listed} from {table} where load_id = "
+                f"(select max(load_id) from {loads} where table_name = '{name}')"
+            )
+        return rows
+
+    counts = dict(zip(frames, for_each_table(spark, load, frames)))
+    # One file: either all of its rows are there or none.
+    literal_rows(spark, [(number, name) for name in frames], "load_id bigint, table_name string"
+                 ).coalesce(1).write.mode("append").insertInto(loads)
+    for name in frames:
+        shown = [row[0] for row in spark.table(loads).where(F.col("table_name") == name).select(
+            "load_id").distinct().orderBy(F.desc("load_id")).limit(KEPT_LOADS + 1).collect()]
+        for old in shown[KEPT_LOADS:]:
+            spark.sql(f"alter table {database}.{name}{LOADS_OF} drop if exists "
+                      f"partition (load_id = {old})")
+    return counts
+
+
+# Loads of a table that stay: the current one, and the one running readers may still use.
+KEPT_LOADS = 2
+
+
 def publish_table(
     spark: SparkSession,
     frame: DataFrame,
@@ -597,13 +682,15 @@ def run_reconcile(
     database: str | None = None,
     batch_id: str | None = None,
     report_path: str | None = None,
+    compare_rows: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(layer counts, issues). No issues means the layers agree.
 
     A source may be given as a function that opens it; one that cannot be opened or counted has
     the status `error`. Bronze counts the newest batch. Silver and gold counts come from the newest
     manifests. Compared are source with bronze, bronze with silver, the stored silver state with the
-    gold tables that have a row for each of its rows, and gold with the warehouse.
+    gold tables that have a row for each of its rows, and gold with the warehouse. With
+    `compare_rows` the rows of gold and warehouse are compared too, not just how many there are.
     """
     batch_id = batch_id or manifests.newest_batch(spark, paths.bronze)[0]
 
@@ -656,6 +743,31 @@ def run_reconcile(
         }
         counts = counts.unionAll(rec.layer_counts("warehouse", published, spark))
         issues = issues.unionAll(rec.compare(counts, "gold", "warehouse"))
+        if compare_rows:
+            issues = issues.unionAll(row_issues(spark, paths, published))
     if report_path:
         rec.write_report(counts, issues, report_path)
     return counts, issues
+
+
+def row_issues(
+    spark: SparkSession, paths: Paths, published: dict[str, DataFrame | None]
+) -> DataFrame:
+    """(entity, issue) of published tables whose rows are not those of the curated ones."""
+    tables = [
+        name for name, frame in published.items()
+        if frame is not None and snapshots.has_snapshot(spark, paths.gold_table(name))
+    ]
+
+    def differing(name: str) -> int:
+        there = published[name].toDF(*[c.lower() for c in published[name].columns])
+        here = snapshots.read_snapshot(spark, paths.gold_table(name))
+        with staging(spark, f"compare-{name}") as folder:
+            return differing_rows(here, there, list(TABLES[name].key), under=folder).count()
+
+    counts = zip(tables, for_each_table(spark, differing, tables))
+    return literal_rows(
+        spark,
+        [(name, f"{name}: {n} rows differ between gold and warehouse") for name, n in counts if n],
+        "entity string, issue string",
+    )

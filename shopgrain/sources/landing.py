@@ -139,16 +139,34 @@ def _with_lineage_fields(schema: StructType) -> StructType:
 
 
 def changed_since(
-    frame: DataFrame, entity: str, watermark: object | None = None
+    frame: DataFrame,
+    entity: str,
+    watermark: object | None = None,
+    look_back: str | None = None,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
     """Rows past the high-water mark, strictly; the whole frame for full loads.
 
     A plain comparison on the column reaches a Parquet scan or a JDBC source as a pushed filter.
+
+    A source may commit a row after others with later change times were extracted. With `look_back`,
+    an interval such as "2 days", rows that changed within it before the mark are looked at again,
+    and those `landed` does not have, by key and change time, are taken as well. Only the keys
+    and times of that stretch are read from `landed`.
     """
     mode, column = SOURCE_TABLES[entity]
     if mode != "incremental" or column is None or watermark is None:
         return frame
-    return frame.where(F.col(column) > F.lit(watermark))
+    if look_back is None or landed is None:
+        return frame.where(F.col(column) > F.lit(watermark))
+    mark = F.lit(watermark).cast(frame.schema[column].dataType)
+    since = F.col(column) > mark - F.expr(f"interval {look_back}")
+    key = [rules_of(entity).key, column]
+    known = landed.where(since).select(*[
+        F.col(name).cast(frame.schema[name].dataType).alias(name) for name in key
+    ])
+    late = frame.where(since & (F.col(column) <= mark)).join(known, key, "left_anti")
+    return frame.where(F.col(column) > mark).unionByName(late.select(*frame.columns))
 
 
 def rules_of(entity: str) -> EntityRules:
