@@ -45,6 +45,7 @@ from shopgrain.sources import feeds, landing, manifests, snapshots
 from shopgrain.sources.files import exists, join
 from shopgrain.sources.landing import Batch
 from shopgrain.sources.manifests import TableRun
+from shopgrain.sources.snapshots import REJECTED_BY
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,10 @@ class Paths:
     def rejected(self, entity: str) -> str:
         return join(self.silver, "quarantine", entity)
 
+    def waiting(self, entity: str) -> str:
+        """Keys of rejected rows that only wait for a parent, with the parent keys they name."""
+        return join(self.silver, "waiting", entity)
+
     def gold_table(self, table: str) -> str:
         return join(self.gold, TABLES[table].layer, table)
 
@@ -253,12 +258,14 @@ def _silver_pass(
         if not landed and not any(key.parent in parents_changed for key in rules.foreign_keys):
             return None
         aside, state = paths.rejected(entity), paths.silver_table(entity)
+        waiting = paths.waiting(entity)
         key = list(rules.identity)
         with staging(spark, f"silver-{entity}") as folder:
             returning = None
             if not all_batches:
                 returning = parents_found(
-                    spark, rules, aside, paths.silver_table, folder, batch_id if landed else None
+                    spark, rules, aside, paths.silver_table, folder, batch_id if landed else None,
+                    waiting,
                 )
             if returning is not None:
                 returning = returning.drop(REASON, PROCESSED_AT).withColumn(RETURNED, F.lit(True))
@@ -305,15 +312,25 @@ def _silver_pass(
                 rows=checked.accepted if plain else None,
                 key_buckets=key_buckets if entity in MONTH_OF else 0,
             )
-            # Only when they are stored; a run cut short here finds them once more.
-            if returning is not None:
-                snapshots.release_rejected(spark, aside, back, key)
+            # Only when they are stored; a run cut short here finds them once more. Waiting keys are
+            # entered before their rows and leave after them: one without its row does no harm.
+            orphans = waiting_keys(rejected, rules) if rules.foreign_keys else None
             if all_batches:
+                if orphans is not None:
+                    snapshots.replace_rejected(orphans, waiting)
                 snapshots.replace_rejected(rejected, aside)
             elif landed:
+                if orphans is not None:
+                    snapshots.append_rejected(
+                        orphans, waiting, batch_id, ingestion_date, checked.orphans
+                    )
                 snapshots.append_rejected(
                     rejected, aside, batch_id, ingestion_date, checked.rejections - checked.again
                 )
+            if returning is not None:
+                snapshots.release_rejected(spark, aside, back, key)
+                if snapshots.has_rejected(spark, waiting):
+                    snapshots.release_rejected(spark, waiting, back, key)
             if landed:
                 mine = [(b, day) for name, b, day in taken if name in ("", entity)]
                 manifests.record_intake(spark, paths.silver, entity, mine, checked.newest)
@@ -336,6 +353,14 @@ RETURNED = "returned"
 _ORPHAN_ONLY = r"^orphan_[^|]*(\|orphan_[^|]*)*$"
 
 
+def waiting_keys(rejected: DataFrame, rules: EntityRules) -> DataFrame:
+    """Identity, parent keys and batch of the rows that only wait for a parent."""
+    parents = [key.column for key in rules.foreign_keys if key.column in rejected.columns]
+    return rejected.where(F.col(REASON).rlike(_ORPHAN_ONLY)).select(
+        *dict.fromkeys([*rules.identity, *parents, *REJECTED_BY])
+    )
+
+
 def parents_found(
     spark: SparkSession,
     rules: EntityRules,
@@ -343,16 +368,29 @@ def parents_found(
     parent_path: Callable[[str], str],
     folder: str,
     but_batch: str | None = None,
+    waiting_path: str | None = None,
 ) -> DataFrame | None:
     """Rows set aside for an unknown parent whose parents are all known by now, None without any.
 
-    Those of `but_batch` are left out: the batch is checked anew as a whole.
+    Those of `but_batch` are left out: the batch is checked anew as a whole. With the keys of the
+    waiting rows kept at `waiting_path`, only these keys meet the parents, and of the rejected rows
+    only the batches of those that come back are read.
     """
     if not rules.foreign_keys or not snapshots.has_rejected(spark, rejected_path):
         return None
-    rows = snapshots.read_rejected(spark, rejected_path).where(
-        F.col(REASON).rlike(_ORPHAN_ONLY)
-    )
+    if waiting_path is not None and not exists(spark, waiting_path):
+        # Rows set aside before there was such a list.
+        old = snapshots.read_rejected(spark, rejected_path)
+        snapshots.replace_rejected(waiting_keys(old, rules), waiting_path)
+    kept = waiting_path is not None and snapshots.has_rejected(spark, waiting_path)
+    if waiting_path is not None and not kept:
+        return None
+    if kept:
+        rows = snapshots.read_rejected(spark, waiting_path)
+    else:
+        rows = snapshots.read_rejected(spark, rejected_path).where(
+            F.col(REASON).rlike(_ORPHAN_ONLY)
+        )
     if but_batch is not None:
         rows = rows.where(F.col("batch_id") != but_batch)
     for key in rules.foreign_keys:
@@ -364,7 +402,9 @@ def parents_found(
             )
             rows = rows.join(known, key.column, "left_semi")
     found = written(rows, "returning", under=folder)
-    return None if found.isEmpty() else found
+    if found.isEmpty():
+        return None
+    return snapshots.rejected_rows(spark, rejected_path, found, list(rules.identity)) if kept else found
 
 
 @dataclass(frozen=True)
@@ -372,7 +412,8 @@ class Checked:
     """Rows of one entity after the checks, both parts read back from one write.
 
     `accepted` and `rejections` count them; `released` and `again` are those among them that had
-    come back from the rows set aside; `newest` is their latest ingest time.
+    come back from the rows set aside; `orphans` are the other rejections for nothing but an
+    unknown parent; `newest` is their latest ingest time.
     """
 
     valid: DataFrame
@@ -381,6 +422,7 @@ class Checked:
     rejections: int
     released: int
     again: int
+    orphans: int
     newest: str | None
 
 
@@ -422,6 +464,8 @@ def check_rows(
             counter,
             F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejections"),
             F.count_if(good & back).alias("released"), F.count_if(~good & back).alias("again"),
+            F.count_if(F.col(REASON).rlike(_ORPHAN_ONLY) & ~F.coalesce(back, F.lit(False))).alias(
+                "orphans"),
             F.max(ingested.cast("string")).alias("newest"),
         ), "checked", ("accepted",), folder,
     )

@@ -34,7 +34,7 @@ MONTH_FORMAT = "'m'yyyy-MM"
 WHOLE = "all"
 
 # Partition columns of rejected rows.
-_REJECTED_BY = ("ingestion_date", "batch_id")
+REJECTED_BY = ("ingestion_date", "batch_id")
 
 # The current version and the one before it, which running readers may still use.
 KEPT_VERSIONS = 2
@@ -346,7 +346,7 @@ def append_rejected(
     if rejected.isEmpty() if rows is None else not rows:
         delete(spark, target)
         return ""
-    rejected.drop(*_REJECTED_BY).write.mode("overwrite").parquet(target)
+    rejected.drop(*REJECTED_BY).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -359,7 +359,7 @@ def replace_rejected(rejected: DataFrame, path: str) -> str:
     (
         rejected.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy(*_REJECTED_BY)
+        .partitionBy(*REJECTED_BY)
         .parquet(path)
     )
     return path
@@ -372,23 +372,23 @@ def release_rejected(spark: SparkSession, path: str, released: DataFrame, key: l
     The batches touched are read once and written once, all together, from a staged copy of the
     rows that stay; one that gives all its rows back loses its folder.
     """
-    columns = [*key, *_REJECTED_BY]
+    columns = [*key, *REJECTED_BY]
     with staging(spark, "released") as folder:
         gone = written(released.select(*columns).distinct(), "gone", under=folder)
         # One entry for each batch that gives rows back.
-        touched = {tuple(row) for row in gone.select(*_REJECTED_BY).distinct().collect()}
+        touched = {tuple(row) for row in gone.select(*REJECTED_BY).distinct().collect()}
         rows = read_rejected(spark, path)
         days, batches = ([pair[k] for pair in touched] for k in (0, 1))
         mine = rows.where(F.col("ingestion_date").isin(days) & F.col("batch_id").isin(batches))
         stays = written(
-            mine.join(gone.select(*_REJECTED_BY).distinct(), [*_REJECTED_BY], "left_semi").join(
+            mine.join(gone.select(*REJECTED_BY).distinct(), [*REJECTED_BY], "left_semi").join(
                 gone, columns, "left_anti"
             ), "stays", under=folder,
         )
-        left = {tuple(row) for row in stays.select(*_REJECTED_BY).distinct().collect()}
+        left = {tuple(row) for row in stays.select(*REJECTED_BY).distinct().collect()}
         if left:
             stays.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                *_REJECTED_BY
+                *REJECTED_BY
             ).parquet(path)
         for day, batch in touched - left:
             delete(spark, join(path, f"ingestion_date={day}", f"batch_id={batch}"))
@@ -398,11 +398,23 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     """Rejected rows of every run, with the run's partition values as text."""
     found = spark.read.parquet(path).schema
     text = [
-        StructField(f.name, StringType()) if f.name in _REJECTED_BY else f for f in found.fields
+        StructField(f.name, StringType()) if f.name in REJECTED_BY else f for f in found.fields
     ]
     return spark.read.schema(StructType(text)).parquet(path)
 
 
+def rejected_rows(spark: SparkSession, path: str, wanted: DataFrame, key: list[str]) -> DataFrame:
+    """The rejected rows `wanted` names by `key` and batch; only their batches' folders are read."""
+    # One entry for each batch that is named.
+    pairs = [tuple(row) for row in wanted.select(*REJECTED_BY).distinct().collect()]
+    days, batches = ([pair[k] for pair in pairs] for k in (0, 1))
+    rows = read_rejected(spark, path).where(
+        F.col("ingestion_date").isin(days) & F.col("batch_id").isin(batches)
+    )
+    columns = [*key, *REJECTED_BY]
+    return rows.join(wanted.select(*columns).distinct(), columns, "left_semi")
+
+
 def has_rejected(spark: SparkSession, path: str) -> bool:
     """Whether any batch has rejected rows."""
     return matches(spark, join(path, "ingestion_date=*", "batch_id=*", "*.parquet"))

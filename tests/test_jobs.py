@@ -335,6 +335,30 @@ def test_orphans_come_back_when_their_parent_does(spark, tmp_path):
         "customer_id >= 40").where("subtotal_amount >= 0").count()
 
 
+def test_waiting_rows_are_found_by_their_keys_alone(spark, tmp_path):
+    paths, customers, orders = small_lake(spark, tmp_path, "waiting")
+    whole = orders.where("subtotal_amount >= 0")
+    for n, share in enumerate(("order_id < 200", "order_id >= 200")):
+        jobs.run_ingest(spark, paths, {"customers": customers.where("customer_id < 10"), "orders": whole.where(share)},
+                        watermarks={}, batch=Batch(f"b{n}", f"2024-01-0{n + 1}", f"2024-01-0{n + 1}"))
+    jobs.run_silver(spark, paths)
+    held = snapshots.read_rejected(spark, paths.waiting("orders"))
+    assert set(held.columns) == {"order_id", "customer_id", "ingestion_date", "batch_id"}
+    assert ids(held) == ids(whole.where("customer_id >= 10"))
+    back = whole.where("customer_id >= 10 and customer_id < 20 and order_id < 200")
+    jobs.run_ingest(spark, paths, {"customers": customers.where("customer_id < 20")}, watermarks={},
+                    batch=Batch("b2", "2024-01-03", "2024-01-03"))
+    found = jobs.parents_found(
+        spark, jobs.ENTITIES["orders"], paths.rejected("orders"), lambda name: paths.silver_table(name),
+        str(tmp_path / "found"), None, paths.waiting("orders"))
+    assert found is None  # no customer is new yet
+    jobs.run_silver(spark, paths)
+    left = ids(whole.where("customer_id >= 20"))
+    assert ids(snapshots.read_rejected(spark, paths.waiting("orders"))) == left
+    assert ids(snapshots.read_rejected(spark, paths.rejected("orders"))) == left
+    assert set(ids(back)) <= set(ids(snapshots.read_snapshot(spark, paths.silver_table("orders"))))
+
+
 def test_a_late_orphan_does_not_undo_newer_rows(spark, tmp_path):
     paths, customers, orders = small_lake(spark, tmp_path, "stale")
     one = orders.limit(1)
