@@ -130,9 +130,9 @@ def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     def name(turn):
         return F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)
 
-    said = turns.where(F.col("role") != "assistant")
+    said = turns.where(~F.col("role").eqNullSafe("assistant"))
     calls = said.select(
-        name(F.col("turn")).alias("id"), F.col("turn").alias("seq"),
+        "conv_id", name(F.col("turn")).alias("id"), F.col("turn").alias("seq"),
         F.when(F.col("role") == "user", ASK).otherwise(SETUP).alias("name"),
         F.when(F.col("role") == "user", F.to_json(F.struct("turn", "text"))).otherwise(
             F.to_json(F.struct("text"))
@@ -140,11 +140,10 @@ def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("waits_for"),
     )
     results = turns.where(F.col("role") == "assistant").select(
-        name(F.col("turn") - 1).alias("id"), F.col("turn").alias("seq"),
+        "conv_id", name(F.col("turn") - 1).alias("id"), F.col("turn").alias("seq"),
         F.col("text").alias("content"),
     )
-    linked = toolcalls.link(calls, results, TOOLS)
-    return linked.withColumn("conv_id", F.split("id", "-")[1].cast("long"))
+    return toolcalls.link(calls, results, TOOLS, conversation="conv_id", unlinked=True)
 
 
 @query

@@ -153,44 +153,116 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("id", F.when(F.col("at").isNull(), F.col("depth")).alias("depth"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+def link(
+    calls: DataFrame, results: DataFrame, schemas: dict[str, dict], conversation: str | None = None,
+    unlinked: bool = False,
+) -> DataFrame:
     """Every call with its result.
 
     `calls` has id, seq, name, arguments (JSON text) and waits_for (an id or null); `results` id,
-    seq and content. Comes out: id, seq, name, depth, n_results, errors, status and json. Sorting
-    a conversation's calls by (depth, seq) puts each one behind the call it waits for.
+    seq and content. With `conversation`, a column of both, ids and waits_for hold within a
+    conversation only, and the column comes out too. Comes out: id, seq, name, depth, n_calls,
+    n_results, errors, status and json. Sorting a conversation's calls by (depth, seq) puts each one
+    behind the call it waits for.
 
     Of calls of one id the first by (seq, name, arguments) counts, of results the first by
-    (seq, content); n_calls and n_results say how many there were. Rows without an id are left
-    out, as nothing can refer to them; results without a call as well. A call that waits for an id
+    (seq, content); n_calls and n_results say how many there were. A call that waits for an id
     that no call has starts at depth 0 with status `dangling`. status is the first that holds of
     cycle, dangling, invalid (errors), open (no result), linked. Other columns are not looked at.
+
+    With `unlinked` no row of the input is missing: the other calls of an id come out with status
+    `duplicate`, its other results with `repeated result`, results of an id without a call with
+    `unmatched result`, and rows without an id, which nothing can refer to, with `nameless call` or
+    `nameless result`. They have no depth and counts of 0; without `unlinked` they are left out.
     """
-    first = calls.where("id is not null").groupBy("id").agg(
-        F.min(F.struct("seq", "name", "arguments", "waits_for")).alias("c"),
+    group = F.lit(None).cast("string") if conversation is None else F.col(conversation)
+
+    def keyed(name: str):
+        if conversation is None:
+            return F.col(name)
+        return F.when(
+            F.col(name).isNotNull(), F.to_json(F.struct(group.alias("c"), F.col(name).alias("i")))
+        )
+
+    asked = calls.select(
+        keyed("id").alias("key"), "id", group.alias("group"), "seq", "name", "arguments",
+        keyed("waits_for").alias("waits_for"),
+    )
+    given = results.select(keyed("id").alias("key"), "id", group.alias("group"), "seq", "content")
+    first = asked.where("key is not null").groupBy("key").agg(
+        F.min(F.struct("seq", "name", "arguments", "waits_for", "id", "group")).alias("c"),
         F.count(F.lit(1)).alias("n_calls"),
-    ).select("id", "c.*", "n_calls")
+    ).select("key", "c.*", "n_calls")
     first = staged(first, "calls")
-    answers = results.where("id is not null").groupBy("id").agg(
-        F.min(F.struct("seq", F.col("content"))).alias("r"), F.count(F.lit(1)).alias("n_results")
-    ).select("id", F.col("r.content").alias("result"), "n_results")
-    deep = depths(first.select("id", "waits_for"))
-    joined = first.join(deep, "id").join(answers, "id", "left").withColumn(
+    answers = given.where("key is not null").groupBy("key").agg(
+        F.min(F.struct("seq", "content")).alias("r"), F.count(F.lit(1)).alias("n_results")
+    ).select("key", F.col("r.seq").alias("result_seq"), F.col("r.content").alias("result"),
+             "n_results")
+    deep = depths(first.select(F.col("key").alias("id"), "waits_for")).withColumnRenamed("id", "key")
+    joined = first.join(deep, "key").join(answers.drop("result_seq"), "key", "left").withColumn(
         "n_results", F.coalesce("n_results", F.lit(0))
     ).withColumn(
         "dangling", F.col("waits_for").isNotNull() & (F.col("depth") == 0)
     ).select(
-        "id", "seq", "name", "arguments", "depth", "n_calls", "n_results", "result", "dangling"
+        "id", "group", "seq", "name", "arguments", "depth", "n_calls", "n_results", "result",
+        "dangling", F.lit(None).cast("string").alias("kind"),
     )
-    fields = ", ".join(f"{n} {t}" for n, t in joined.dtypes)
+    if unlinked:
+        joined = joined.unionByName(_unlinked(asked, given, first, answers, joined))
+    fields = ", ".join(f"`{n}` {t}" for n, t in joined.dtypes)
     checked = joined.mapInArrow(
         _checked(schemas), f"{fields}, errors array<string>, json string"
     )
     status = (
-        F.when(F.col("depth").isNull(), "cycle").when(F.col("dangling"), "dangling")
+        F.when(F.col("kind").isNotNull(), F.col("kind"))
+        .when(F.col("depth").isNull(), "cycle").when(F.col("dangling"), "dangling")
         .when(F.size("errors") > 0, "invalid").when(F.col("n_results") == 0, "open")
         .otherwise("linked")
     )
+    # A result has no arguments to check.
+    errors = F.when(F.col("kind").endswith("result"), F.array().cast("array<string>")).otherwise(
+        F.col("errors")
+    )
+    kept = [] if conversation is None else [F.col("group").alias(conversation)]
     return checked.select(
-        "id", "seq", "name", "depth", "n_calls", "n_results", "errors", status.alias("status"), "json"
+        "id", *kept, "seq", "name", "depth", "n_calls", "n_results", errors.alias("errors"),
+        status.alias("status"), "json",
+    )
+
+
+def _unlinked(
+    asked: DataFrame, given: DataFrame, first: DataFrame, answers: DataFrame, like: DataFrame
+) -> DataFrame:
+    """The rows of calls and results that no linked call stands for, with their `kind`.
+
+    Equal rows are counted before they are joined and come out as often as there were.
+    """
+    columns = ["id", "group", "seq", "name", "arguments", "waits_for"]
+    calls = asked.groupBy("key", *columns).agg(F.count(F.lit(1)).alias("n"))
+    chosen = first.select("key", *[F.col(c).alias(f"_{c}") for c in columns])
+    same = F.lit(True)
+    for name in columns:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    calls = calls.join(chosen, "key", "left").withColumn(
+        "n", F.col("n") - F.when(F.col("key").isNotNull() & same, 1).otherwise(0)
+    ).withColumn("kind", F.when(F.col("key").isNull(), "nameless call").otherwise("duplicate"))
+    replies = given.groupBy("key", "id", "group", "seq", "content").agg(
+        F.count(F.lit(1)).alias("n")
+    ).join(first.select("key", F.lit(True).alias("called")), "key", "left").join(
+        answers.select("key", "result_seq", "result"), "key", "left"
     )
+    taken = F.col("called") & F.col("seq").eqNullSafe(F.col("result_seq")) & F.col(
+        "content").eqNullSafe(F.col("result"))
+    replies = replies.withColumn("n", F.col("n") - F.when(taken, 1).otherwise(0)).withColumn(
+        "kind",
+        F.when(F.col("key").isNull(), "nameless result")
+        .when(F.col("called"), "repeated result").otherwise("unmatched result"),
+    ).select("id", "group", "seq", F.col("content").alias("result"), "n", "kind")
+    both = calls.select("id", "group", "seq", "name", "arguments", "n", "kind").unionByName(
+        replies, allowMissingColumns=True
+    ).where("n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    filled = {"depth": None, "n_calls": 0, "n_results": 0, "dangling": False}
+    return both.select(*[
+        (F.lit(filled[name]) if name in filled else F.col(name)).cast(kind).alias(name)
+        for name, kind in like.dtypes
+    ])

@@ -82,6 +82,26 @@ def test_linked_calls(spark):
     assert found["3"]["errors"] == ["arguments are not JSON"] and found["4"]["errors"] == ["unknown tool"]
 
 
+def test_no_row_is_missing(spark):
+    calls = [(1, "a", 1, "add", '{"a":1}', None), (1, "a", 1, "add", '{"a":1}', None), (1, "a", 3, "add", '{"a":2}', None),
+             (2, "a", 1, "add", '{"a":5}', "b"), (2, "b", 2, "add", '{"a":6}', None), (2, None, 4, "add", "{}", None),
+             (None, "a", 1, "other", None, None)]
+    results = [(1, "a", 2, "one"), (1, "a", 2, "one"), (1, "a", 5, "late"), (2, "b", 3, "two"), (2, "c", 3, "lost"),
+               (2, None, 9, "x"), (3, "b", 3, "elsewhere")]
+    frames = (spark.createDataFrame(calls, "conv_id long, " + CALLS), spark.createDataFrame(results, "conv_id long, " + RESULTS))
+    found = T.link(*frames, SCHEMAS, conversation="conv_id", unlinked=True).collect()
+    assert sorted(str((r["conv_id"], r["id"], r["seq"], r["status"])) for r in found) == sorted(map(str, [
+        (1, "a", 1, "linked"), (1, "a", 1, "duplicate"), (1, "a", 3, "duplicate"), (2, "a", 1, "open"),
+        (2, "b", 2, "linked"), (2, None, 4, "nameless call"), (None, "a", 1, "invalid"),
+        (1, "a", 2, "repeated result"), (1, "a", 5, "repeated result"), (2, "c", 3, "unmatched result"),
+        (2, None, 9, "nameless result"), (3, "b", 3, "unmatched result")]))
+    by = {(r["conv_id"], r["id"], r["status"]): r for r in found}
+    assert by[2, "a", "open"]["depth"] == 1 and by[2, "b", "linked"]["depth"] == 0
+    assert json.loads(by[3, "b", "unmatched result"]["json"])["result"] == "elsewhere"
+    linked = T.link(*frames, SCHEMAS, conversation="conv_id").collect()
+    assert len(linked) == 4
+
+
 def test_empty_tables(spark):
     calls, results = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
     assert T.link(calls, results, SCHEMAS).collect() == []
