@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from shopgrain.llm.common import staged
+from shopgrain.llm.common import staged, unique_ids
 from shopgrain.runtime import literal_rows
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -157,20 +157,23 @@ def mix(
     document of several sources counts in the size of each and is given once.
 
     Texts that are null or empty have size 0 and are taken 0 words. A null source, or an empty
-    array, is a source of its own. Rows with equal id in one source are chosen together. An empty
-    table gives empty results. The patterns come to the driver, which refuses more than
+    array, is a source of its own. Rows with null or repeated ids are documents of their own and are
+    chosen one by one. An empty table gives empty results. The patterns come to the driver, which refuses more than
     `max_patterns`; documents never do.
     """
     spark = docs.sparkSession
     many = isinstance(docs.schema[source_col].dataType, ArrayType)
-    members = F.array_sort(F.array_distinct(F.col(source_col))) if many else F.array(source_col)
+    docs, _ = unique_ids(docs.select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).alias("_source")
+    ), "_id", "_text", "_uid")
+    members = F.array_sort(F.array_distinct(F.col("_source"))) if many else F.array("_source")
     members = F.when(F.size(F.coalesce(members, F.array())) > 0, members).otherwise(
         F.array(F.lit(None).cast("string"))
     )
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col)), 64 - PLACE_BITS)
+    size = F.coalesce(F.regexp_count(F.col("_text"), F.lit(WORDS)), F.lit(0)).cast("long")
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("_uid")), 64 - PLACE_BITS)
     sized = staged(docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
+        "_id", "_source",
         members.cast("array<string>").alias("_members"), size.alias("size"),
         place.alias("place"),
     ), "mix-sizes")

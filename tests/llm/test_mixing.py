@@ -113,6 +113,18 @@ def test_empty_table_and_repeated_rows(spark):
     assert len(docs.collect()) == 6
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_rows_of_one_id_are_chosen_one_by_one(spark, key):
+    rows = [(key, "a b c", "x")] * 200 + [(key, "a b c", "y")] * 100
+    docs, sources = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    taken = {}
+    for d in docs.collect():
+        taken[d["source"]] = taken.get(d["source"], 0) + d["taken"]
+    targets = {r["source"]: r["target"] for r in sources.collect()}
+    assert targets == pytest.approx({"x": 300, "y": 600})
+    assert all(abs(taken[s] - targets[s]) <= 3 for s in targets)
+
+
 def test_too_many_patterns(spark):
     frame = spark.createDataFrame([(i, "a", str(i)) for i in range(5)], "doc_id long, text string, source string")
     with pytest.raises(ValueError):
