@@ -23,6 +23,7 @@ from shopgrain.llm import (
     toolcalls,
 )
 from shopgrain.llm.common import held_out
+from shopgrain.operators.lookup import lookup_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -223,8 +224,9 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3 by source, at most 3 times each."""
     documents, sources = mixing.mix(_table(spark, folder, "documents"), cycle=(1, 2, 3), epochs=3)
-    return documents.join(
-        F.broadcast(sources.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))
+    key = mixing.source_key(F.col("source")).alias("_key")
+    return lookup_join(
+        documents.select("*", key), sources.select(key, "source_size", "target"), ["_key"]
     ).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 

@@ -126,6 +126,52 @@ def test_rows_of_one_id_are_chosen_one_by_one(spark, key):
 
 
 def test_too_many_patterns(spark):
-    frame = spark.createDataFrame([(i, "a", str(i)) for i in range(5)], "doc_id long, text string, source string")
+    frame = spark.createDataFrame(
+        [(i, "a", ["all", str(i)]) for i in range(5)], "doc_id long, text string, source array<string>"
+    )
     with pytest.raises(ValueError):
         mixing.mix(frame, max_patterns=4)
+
+
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_any_number_of_sources_of_their_own(spark, limit):
+    frame = spark.range(30_000).selectExpr(
+        "id as doc_id", "repeat('w ', cast(1 + id % 50 as int)) as text",
+        "if(id % 3 = 0, 'hot', cast(id % 9000 as string)) as source",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        docs, sources = mixing.mix(frame, max_patterns=4)
+        docs, sources = docs.collect(), sources.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sources.sort(key=lambda r: r["source"])
+    wanted = mixing.quotas(
+        [r["source_size"] for r in sources], [(1, 2, 3)[k % 3] for k in range(len(sources))], 3
+    )
+    assert len(docs) == 30_000 and len(sources) > 4
+    assert [r["target"] for r in sources] == pytest.approx(wanted)
+    taken, largest = {}, {}
+    for d in docs:
+        assert d["taken"] == d["size"] * d["copies"] and 0 <= d["copies"] <= 3
+        taken[d["source"]] = taken.get(d["source"], 0) + d["taken"]
+        largest[d["source"]] = max(largest.get(d["source"], 0), d["size"])
+    assert all(abs(taken[r["source"]] - r["target"]) <= largest[r["source"]] for r in sources)
+
+
+def test_overlaps_beside_sources_of_their_own(spark):
+    """The flow sees the overlapping sources alone, and every source still gets its target."""
+    rows = [(i, "w " * (1 + i % 7), [f"own{i % 40}"]) for i in range(2000)]
+    rows += [(2000 + i, "w " * (1 + i % 5), ["p", "q"][: 1 + i % 2]) for i in range(400)]
+    rows += [(2400 + i, "w", ["q\x1f=p"]) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    docs, sources = mixing.mix(frame, max_patterns=2)
+    targets = {r["source"]: r["target"] for r in sources.collect()}
+    taken = {}
+    for d in docs.collect():
+        taken["+".join(d["source"])] = taken.get("+".join(d["source"]), 0) + d["taken"]
+    own = [s for s in targets if s not in ("p", "q")]
+    assert len(own) == 41
+    assert all(abs(taken.get(s, 0) - targets[s]) <= 7 for s in own)
+    assert abs(taken.get("p", 0) + taken.get("p+q", 0) - targets["p"] - targets["q"]) <= 10
