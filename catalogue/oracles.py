@@ -1057,6 +1057,17 @@ ORACLES["late_commits"] = sql("""
     from e_orders where order_id % 20 <> 0 or updated_at >
         (select max(updated_at) - interval 60 days from e_orders where order_id % 20 <> 0)
 """)
+ORACLES["duplicates_across_batches"] = sql("""
+    select order_id, 'retail_second' as batch_id, 'retail_first' as other_batch
+    from e_orders where order_id % 10 = 0
+    union all
+    select order_id, 'retail_first', 'retail_second' from e_orders where order_id % 20 = 0
+    union all
+    select order_id, 'retail_third', 'retail_first' from e_orders where order_id % 12 = 0
+    union all
+    select order_id, 'retail_third', 'retail_second'
+    from e_orders where order_id % 3 = 0 and (order_id % 2 = 1 or order_id % 10 = 0)
+""")
 ORACLES["interrupted_publish"] = " union all ".join(
     f"select '{name}' as table_name, true as stopped, cast(0 as bigint) as differing_rows"
     for name in (

@@ -39,6 +39,7 @@ from shopgrain.rules import (
 from shopgrain.runtime import work_folder, written
 from shopgrain.schemas import entity_schema
 from shopgrain.sources import feeds, landing, manifests, snapshots
+from shopgrain.sources.batchkeys import BatchKeys
 from shopgrain.sources.landing import Batch
 from shopgrain.sources.manifests import TableRun
 from shopgrain.streaming import feed
@@ -1373,6 +1374,25 @@ def late_commits(inputs: Inputs) -> DataFrame:
     return landed.select("order_id", "batch_id")
 
 
+@query
+def duplicates_across_batches(inputs: Inputs) -> DataFrame:
+    """Three batches of orders that share keys, the first landed again with fewer rows before the
+    third: the keys each batch shares with those there are when it arrives."""
+    spark, root = inputs.spark, work_folder(inputs.spark, "landed")
+    kept = BatchKeys(spark, root, ORDERS, work_folder(spark, "batch-keys"), 8)
+    third = replace(SECOND, batch_id="retail_third", ingestion_date="2024-01-03")
+    parts = []
+    for batch, which in (
+        (FIRST, "order_id % 2 = 0"), (SECOND, "order_id % 2 = 1 or order_id % 10 = 0"),
+        (FIRST, "order_id % 4 = 0"), (third, "order_id % 3 = 0"),
+    ):
+        rows = landing.with_lineage(inputs.orders().where(which), batch, "shop", "orders")
+        landing.land(rows, root, ORDERS)
+        parts.append(kept.repeated(batch.batch_id))
+    # The first batch is asked about twice, the second time against the second batch.
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def interrupted_publish(inputs: Inputs) -> DataFrame:
     """Twelve tables published, then a second load that stops at its last table: all show the rows

@@ -47,16 +47,18 @@ class KeyDirectory:
         entry = json.loads(read_text(self.spark, self._entry(number)))
         return self.spark.table(self._table(number, entry["type"], entry["buckets"]))
 
-    def months(self, keys: DataFrame) -> DataFrame:
-        """(month) that may hold any of `keys` (one column), each once."""
+    def of(self, keys: DataFrame) -> DataFrame:
+        """The pairs of `keys` (one column); a pair may be listed more than once."""
         column = keys.columns[0]
         few = [row[0] for row in keys.distinct().limit(FEW_KEYS + 1).collect()]
         pairs = self.pairs()
         if len(few) <= FEW_KEYS:
-            found = pairs.where(F.col(KEY).isin([k for k in few if k is not None]))
-        else:
-            found = pairs.join(keys.select(F.col(column).alias(KEY)), KEY, "left_semi")
-        return found.select(MONTH).distinct()
+            return pairs.where(F.col(KEY).isin([k for k in few if k is not None]))
+        return pairs.join(keys.select(F.col(column).alias(KEY)), KEY, "left_semi")
+
+    def months(self, keys: DataFrame) -> DataFrame:
+        """(month) that may hold any of `keys` (one column), each once."""
+        return self.of(keys).select(MONTH).distinct()
 
     def add(self, pairs: DataFrame) -> None:
         """Add (key, month) pairs of rows about to be committed; known ones are left out."""
