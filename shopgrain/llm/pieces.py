@@ -8,8 +8,10 @@ segment each distinct one once, and joins ids and decoded bytes back by position
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -34,30 +36,35 @@ def splits_at_marks(processor: sentencepiece.SentencePieceProcessor) -> bool:
 
 
 class ChunkTable:
-    """Ids and decoded text of chunks, each segmented once by the library."""
+    """Ids of chunks, each segmented once by the library; for digests also the ids as text and the
+    decoded text."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, digests: bool = True):
+        self.digests = digests
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.cut = splits_at_marks(self.processor)
-        self.rows: dict[str, tuple[list[int], bytes, bytes, int]] = {}
+        self.rows: dict[str, tuple[array, bytes, bytes, int]] = {}
 
-    def _row(self, chunk: str) -> tuple[list[int], bytes, bytes, int]:
+    def _row(self, chunk: str) -> tuple[array, bytes, bytes, int]:
         if chunk == MARK:  # a text's last space
             ids = [self.processor.piece_to_id(MARK)]
-            return ids, str(ids[0]).encode(), b"", 1
+            return array("i", ids), str(ids[0]).encode(), b"", 1
         # The library puts the first marker itself.
-        ids = self.processor.encode(chunk[1:].replace(MARK, " "))
+        ids, *digested = self._made(self.processor.encode(chunk[1:].replace(MARK, " ")))
+        return array("i", ids), *digested
+
+    def _made(self, ids: list[int]) -> tuple[list[int], bytes, bytes, int]:
+        if not self.digests:
+            return ids, b"", b"", len(ids)
         text = self.processor.decode(ids)
         return ids, ",".join(map(str, ids)).encode(), text.encode(), len(ids)
 
-    def chunks(self, text: str) -> list[tuple[list[int], bytes, bytes, int]]:
+    def chunks(self, text: str) -> list[tuple[array | list[int], bytes, bytes, int]]:
         """A row for each chunk, in order; the decoded texts belong together with a space."""
         if not text:
             return []
         if not self.cut:
-            ids = self.processor.encode(text)
-            return [(ids, ",".join(map(str, ids)).encode(),
-                     self.processor.decode(ids).encode(), len(ids))]
+            return [self._made(self.processor.encode(text))]
         rows = self.rows
         if len(rows) > TABLE_ROWS:
             rows.clear()
@@ -94,16 +101,17 @@ def encode(
     extra = ", ids array<int>" * with_ids + ", ids_sha256 string, decoded_sha256 string" * digests
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(model)
+        table = ChunkTable(model, digests)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                counts, ids, ids_sha, text_sha = [], [], [], []
+                counts, ids, ids_sha, text_sha = [], array("i"), [], []
                 for value in part.column(0):
                     rows = table.chunks(value.as_py() or "")
                     counts.append(sum(row[3] for row in rows))
                     if with_ids:
-                        ids.append([i for row in rows for i in row[0]])
+                        for row in rows:
+                            ids.extend(row[0])
                     if digests:
                         joined = b",".join(row[1] for row in rows if row[3])
                         ids_sha.append(hashlib.sha256(joined).hexdigest())
@@ -112,7 +120,10 @@ def encode(
                 columns = [*part.columns[1:], pa.array(counts, pa.int64())]
                 names = [*keep, "n_tokens"]
                 if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *counts], dtype=np.int64)
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32))
+                    ))
                     names.append("ids")
                 if digests:
                     columns += [pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
