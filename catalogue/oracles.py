@@ -1026,6 +1026,14 @@ ORACLES["event_stream_retimed"] = sql("""
            case when event_type = 'error' then 'invalid_event_type' end as rejection_reason
     from e_events
 """)
+ORACLES["event_stream_repeats"] = sql("""
+    select event_id, event_type,
+           case when event_type = 'purchase' then '2031' || substr(event_timestamp, 5)
+                else event_timestamp end as event_timestamp,
+           case when event_type = 'error' then 'invalid_event_type' end as rejection_reason,
+           event_type = 'purchase' as stored_again
+    from e_events
+""")
 ORACLES["event_stream_dedupe"] = sql("""
     select event_id, event_type,
            case when event_type='error' then 'invalid_event_type' end as rejection_reason

@@ -1335,6 +1335,32 @@ def event_stream_orphans(inputs: Inputs) -> DataFrame:
     return _streamed(inputs, [inputs.website_events()], parents).drop("event_timestamp")
 
 
+@query
+def event_stream_repeats(inputs: Inputs) -> DataFrame:
+    """All events delivered again, purchases with another time, through the state store and the key
+    directory: whether an event was stored from the second delivery. Only purchases were; the others
+    are dropped before they reach a table, and rejected ones stay as they were stored first."""
+    spark, base = inputs.spark, work_folder(inputs.spark, "stream")
+    events = inputs.website_events()
+    later = F.concat(F.lit("2031"), F.substring("event_timestamp", 5, 30))
+    again = events.withColumn(
+        "event_timestamp",
+        F.when(F.col("event_type") == "purchase", later).otherwise(F.col("event_timestamp")),
+    )
+    for part in (events, again):
+        feeds.write_json_lines(part, f"{base}/in")
+        feed.ingest_available(
+            feed.file_stream(spark, f"{base}/in", entity_schema("website_events"), "*.json"),
+            WEBSITE_EVENTS, f"{base}/valid", f"{base}/rejected", f"{base}/checkpoint",
+            "retail_web_analytics", key_buckets=4, repeats_within="1 day",
+        )
+    columns = ["event_id", "event_type", "event_timestamp", REASON]
+    shown = [*columns, (~F.col("batch_id").startswith("stream-0_")).alias("stored_again")]
+    return snapshots.read_snapshot(spark, f"{base}/valid").select(*shown).unionByName(
+        snapshots.read_snapshot(spark, f"{base}/rejected").select(*shown)
+    )
+
+
 # --- rows that differ, active customers, late commits, publishing in one step -------------------
 
 

@@ -32,6 +32,10 @@ MONTH = "state_month"
 MONTH_FORMAT = "'m'yyyy-MM"
 # The part name of tables that are not divided.
 WHOLE = "all"
+# Prefix of parts that were appended one by one and put together since.
+TOGETHER = "together-"
+# Appended parts that lie side by side before they are put together.
+APPENDED_PARTS = 64
 
 # Partition columns of rejected rows.
 REJECTED_BY = ("ingestion_date", "batch_id")
@@ -137,11 +141,39 @@ def has_snapshot(spark: SparkSession, path: str) -> bool:
     return bool(versions(spark, path))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """The current state; `without` leaves out the part of that name."""
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no snapshot at {path}")
-    return _read(spark, path, version, list(version.parts))
+    return _read(spark, path, version, [part for part in version.parts if part != without])
+
+
+def append(source: DataFrame, path: str, part: str, side_by_side: int = APPENDED_PARTS) -> None:
+    """Add rows as a part of their own, in place of an earlier part of that name.
+
+    No other part is read, but for once in `side_by_side` appends: then those that were appended since
+    become one, which is never written again.
+    """
+    spark = source.sparkSession
+    before = current_version(spark, path)
+    parts: dict[str, str] = {} if before is None else dict(before.parts)
+    schema = source.schema
+    number = _next_number(spark, path)
+    folder = f"parts/v{number:08d}"
+    source.write.mode("errorifexists").parquet(join(path, folder, "added"))
+    if before is not None:
+        later = [f for f in schema.fields if f.name not in before.schema.fieldNames()]
+        schema = StructType([*before.schema.fields, *later])
+        small = [name for name in parts if name != part and not name.startswith(TOGETHER)]
+        if len(small) >= side_by_side:
+            _read(spark, path, before, small).write.mode("errorifexists").parquet(
+                join(path, folder, "together")
+            )
+            parts = {name: at for name, at in parts.items() if name not in small}
+            parts[f"{TOGETHER}{number:08d}"] = f"{folder}/together"
+    parts[part] = f"{folder}/added"
+    _commit(spark, path, Version(number, schema, parts))
 
 
 def _read(spark: SparkSession, path: str, version: Version, parts: list[str]) -> DataFrame:

@@ -241,6 +241,94 @@ def test_stream_checks_customers(spark, tmp_path):
     assert any(r[4].startswith("orphan_customer_id") for r in found)
 
 
+def stream_once(spark, base, **options):
+    schema = Inputs(spark, FOLDER).website_events().schema
+    feed.ingest_available(
+        feed.file_stream(spark, f"{base}/in", schema, "*.parquet", "parquet"), WEBSITE_EVENTS,
+        f"{base}/ok", f"{base}/bad", f"{base}/state", "web", **options,
+    )
+    return {
+        table: sorted(
+            (str(r.event_id), r.event_type, r.batch_id.split("_")[0])
+            for r in snapshots.read_snapshot(spark, f"{base}/{table}").collect()
+        )
+        for table in ("ok", "bad") if snapshots.has_snapshot(spark, f"{base}/{table}")
+    }
+
+
+def deliver(frame, base):
+    frame.coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_stream_drops_repeats_and_adds_rejected(spark, tmp_path, buckets):
+    base = str(tmp_path)
+    options = {"repeats_within": "1 day", "key_buckets": buckets}
+    some = Inputs(spark, FOLDER).website_events().limit(60).cache()
+    odd = some.where("event_type <> 'error'").limit(3).withColumn("event_type", F.lit("odd"))
+    deliver(some.unionByName(odd), base)
+    first = stream_once(spark, base, **options)
+    assert sum(r[1] == "odd" for r in first["bad"]) == 3
+    parts = snapshots.month_parts(spark, f"{base}/bad")
+    deliver(some.unionByName(odd).unionByName(odd), base)
+    assert stream_once(spark, base, **options) == first  # also the batch each row came with
+    odder = odd.withColumn("event_type", F.lit("odder"))
+    deliver(odder.unionByName(odd), base)
+    last = stream_once(spark, base, **options)
+    assert last["ok"] == first["ok"]
+    assert [r for r in last["bad"] if r[1] != "odder"] == first["bad"]
+    assert sum(r[1] == "odder" for r in last["bad"]) == 3
+    # What was stored before is not written again.
+    assert parts.items() < snapshots.month_parts(spark, f"{base}/bad").items()
+    # A micro-batch that stopped before its end was noted runs again and changes nothing.
+    done = sorted((p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()),
+                  key=lambda p: int(p.name))
+    done[-1].unlink()
+    (done[-1].parent / f".{done[-1].name}.crc").unlink(missing_ok=True)
+    assert [[r[:2] for r in rows] for rows in stream_once(spark, base, **options).values()] == [
+        [r[:2] for r in rows] for rows in last.values()
+    ]
+    # Without its state the stream takes everything in again: the tables know what they hold.
+    again = str(tmp_path / "again")
+    options["repeats_within"] = None
+    feed.ingest_available(
+        feed.file_stream(spark, f"{base}/in", some.schema, "*.parquet", "parquet"), WEBSITE_EVENTS,
+        f"{base}/ok", f"{base}/bad", again, "web", **options,
+    )
+    stored = snapshots.read_snapshot(spark, f"{base}/bad")
+    assert sorted((str(r.event_id), r.event_type) for r in stored.collect()) == [r[:2] for r in last["bad"]]
+
+
+def test_stream_repeats_count_again_once_their_parent_is_known(spark, tmp_path):
+    base, inputs = str(tmp_path), Inputs(spark, FOLDER)
+    parents = str(tmp_path / "customers")
+    snapshots.overwrite(inputs.customers().where("is_active"), parents)
+    events = inputs.website_events().where("event_type <> 'error'").limit(200).cache()
+    options = {"repeats_within": "1 day", "parent_path": lambda name: parents}
+    deliver(events, base)
+    first = stream_once(spark, base, **options)
+    deliver(events, base)
+    assert stream_once(spark, base, **options) == first
+    snapshots.overwrite(inputs.customers(), parents)
+    deliver(events, base)
+    known = events.where("customer_id is null").count() + events.join(
+        inputs.customers(), "customer_id", "left_semi").count()
+    assert first["bad"] and len(first["ok"]) < known
+    assert len(stream_once(spark, base, **options)["ok"]) == known
+
+
+def test_appended_parts_are_put_together(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for k in range(8):
+        snapshots.append(rows("k int", (k,)), path, f"p{k}", side_by_side=3)
+    snapshots.append(rows("k int, more string", (7, "x")), path, "p7", side_by_side=3)
+    state = snapshots.read_snapshot(spark, path)
+    assert sorted((r.k, r.more) for r in state.collect()) == [*[(k, None) for k in range(7)], (7, "x")]
+    assert sorted(r.k for r in snapshots.read_snapshot(spark, path, without="p7").collect()) == list(range(7))
+    names = list(snapshots.month_parts(spark, path))
+    assert len(names) <= 5 and sum(n.startswith(snapshots.TOGETHER) for n in names) == 2
+
+
 def small_lake(spark, tmp_path, name):
     paths = jobs.Paths.under(str(tmp_path / name))
     inputs = Inputs(spark, FOLDER)
