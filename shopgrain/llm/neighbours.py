@@ -602,10 +602,17 @@ def _block_links(inside: DataFrame, dim: int, threshold: float) -> DataFrame:
         ),
         "neighbour-outline",
     )
+    # Each pair of blocks is a task's row: a block's outline goes to the pairs it is of.
+    last = F.lit(blocks - 1).cast("long")
+    low = outline.select("block", "cells", F.explode(F.sequence("block", last)).alias("block2"))
+    high = outline.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("block"),
+        F.col("block").alias("block2"), F.col("cells").alias("cells2"),
+    )
     pairs = staged(
-        outline.crossJoin(
-            outline.select(F.col("block").alias("block2"), F.col("cells").alias("cells2"))
-        ).where("block <= block2").mapInArrow(_near_parts(threshold), "part long, part2 long"),
+        low.join(high, ["block", "block2"]).mapInArrow(
+            _near_parts(threshold), "part long, part2 long"
+        ),
         "neighbour-parts",
     )
     one = cells.join(pairs, "part").withColumn("side", F.lit(0))
