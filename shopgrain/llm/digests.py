@@ -15,11 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgrain.llm.common import RollingHash, byte_view, staged, table, unique_ids
-from shopgrain.runtime import literal_rows
 
 WINDOW, NEIGHBOURS, POPULAR = 64, 64, 16
 CLASSES = 1001
@@ -369,7 +368,6 @@ def fingerprints(
     Texts are sorted by range once. Each partition needs one text of the following one; these few
     pairs (as many as partitions) are fetched afterwards by id.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     base, numbered = unique_ids(base, "_id", "text")
     ranks = rarity_ranks(entropy_counts(base))
@@ -380,29 +378,33 @@ def fingerprints(
         ),
         "digests",
     )
-    edges = sorted(
-        tuple(row) for row in
-        found.where("first or open").select("part", "first", "open", "uid").collect()
+    # A row for each partition: its last text, which is open, and the first of the next partition.
+    ends = found.where("first or open").groupBy("part").agg(
+        F.max(F.when(F.col("first"), F.col("uid"))).alias("head"),
+        F.max(F.when(F.col("open"), F.col("uid"))).alias("tail"),
+    )
+    by_part = Window.orderBy("part")
+    following = F.coalesce(
+        F.lead("head").over(by_part), F.first("head").over(by_part.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    asked = staged(
+        ends.select(F.col("tail").alias("slot"), following.alias("next")).select(
+            "slot", F.inline(F.array(
+                F.struct(F.col("slot").alias("uid"), F.lit(0).alias("side")),
+                F.struct(F.col("next").alias("uid"), F.lit(1).alias("side")),
+            ))
+        ),
+        "digests-asked",
     )
-    firsts = {part: uid for part, first, _, uid in edges if first}
-    lasts = {part: uid for part, _, open_, uid in edges if open_}
-    parts = sorted(lasts)
-    wanted = [
-        (lasts[part], firsts[parts[(k + 1) % len(parts)]]) for k, part in enumerate(parts)
-    ]
     columns = [c.split()[0] for c in RESULT.split(", ")]
-    done = found.where("not open").select("uid", *columns)
-    if wanted:
-        rows = [(a, u, side) for a, b in wanted for u, side in ((a, 0), (b, 1))]
-        asked = literal_rows(spark, rows, "slot long, uid long, side int")
-        texts = base.select("uid", "text").join(F.broadcast(asked), "uid")
-        both = texts.groupBy("slot").agg(
-            F.max(F.when(F.col("side") == 0, F.col("text"))).alias("one"),
-            F.max(F.when(F.col("side") == 1, F.col("text"))).alias("two"),
-        )
-        done = done.union(staged(
-            both.mapInArrow(_pairs(ranks), f"uid long, {RESULT}"), "digests-edges"
-        ))
+    texts = base.select("uid", "text").join(F.broadcast(asked), "uid")  # two rows a partition
+    both = texts.groupBy("slot").agg(
+        F.max(F.when(F.col("side") == 0, F.col("text"))).alias("one"),
+        F.max(F.when(F.col("side") == 1, F.col("text"))).alias("two"),
+    )
+    done = found.where("not open").select("uid", *columns).union(staged(
+        both.mapInArrow(_pairs(ranks), f"uid long, {RESULT}"), "digests-edges"
+    ))
     if numbered:
         done = base.select("_id", "uid").join(done, "uid")
     else:
