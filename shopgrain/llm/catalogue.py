@@ -144,7 +144,70 @@ def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", name(F.col("turn") - 1).alias("id"), F.col("turn").alias("seq"),
         F.col("text").alias("content"),
     )
-    return toolcalls.link(calls, results, TOOLS, conversation="conv_id", unlinked=True)
+    linked = toolcalls.link(calls, results, TOOLS, conversation="conv_id", unlinked=True)
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
+# Depth is a call's place in its stretch of calls two turns apart. What a turn says is taken for
+# text also where it would parse as JSON.
+ORACLES["op5_tool_calls"] = f"""
+    with calls as (
+        select *, 'call-' || conv_id || '-' || turn as id,
+            row_number() over (partition by conv_id, turn order by role = 'user' desc, text) as n,
+            count(*) over (partition by conv_id, turn) as n_calls
+        from conversations where role is distinct from 'assistant'
+    ), firsts as (
+        select *, lag(turn) over (partition by conv_id, turn % 2 order by turn) as before
+        from calls where n = 1
+    ), stretches as (
+        select *, sum(case when before = turn - 2 then 0 else 1 end)
+            over (partition by conv_id, turn % 2 order by turn) as stretch
+        from firsts
+    ), placed as (
+        select *, row_number() over (partition by conv_id, turn % 2, stretch order by turn) - 1 as depth
+        from stretches
+    ), results as (
+        select *, 'call-' || conv_id || '-' || (turn - 1) as id,
+            row_number() over (partition by conv_id, turn order by text) as n,
+            count(*) over (partition by conv_id, turn) as n_results
+        from conversations where role = 'assistant'
+    ), found as (
+        select c.id, c.conv_id, c.turn, c.role, c.text, p.depth, case when c.n = 1 then c.n_calls else 0 end as n_calls,
+            case when c.n = 1 then coalesce(r.n_results, 0) else 0 end as n_results,
+            case when c.n = 1 then r.text end as result,
+            case when c.n > 1 then 'duplicate'
+                 when c.turn >= 2 and p.depth = 0 then 'dangling' end as kind
+        from calls c
+        left join placed p on p.id = c.id and p.conv_id = c.conv_id and c.n = 1
+        left join results r on r.id = c.id and r.conv_id = c.conv_id and r.n = 1 and c.n = 1
+    ), named as (
+        select *, role is not distinct from 'user' as asks,
+            case when role is not distinct from 'user' then '{ASK}' else '{SETUP}' end as name
+        from found
+    ), checked as (
+        select *,
+            case when text is null then '$.text: missing'
+                 when asks and length(text) < 1 then '$.text: shorter than minLength'
+                 when asks and length(text) > 400 then '$.text: longer than maxLength'
+                 else '' end as errors,
+            '{{"arguments":{{' || concat_ws(',', '"text":' || cast(to_json(text) as varchar),
+                case when asks then '"turn":' || turn end)
+            || '}},"id":' || cast(to_json(id) as varchar) || ',"name":"' || name || '","result":'
+            || coalesce(cast(to_json(result) as varchar), 'null') || '}}' as json
+        from named
+    )
+    select id, conv_id, turn as seq, name, depth, n_calls, n_results, errors,
+        coalesce(kind, case when errors <> '' then 'invalid' when n_results = 0 then 'open'
+                       else 'linked' end) as status, json
+    from checked
+    union all
+    select r.id, r.conv_id, r.turn, null, null, 0, 0, '',
+        case when c.id is null then 'unmatched result' else 'repeated result' end,
+        '{{"arguments":null,"id":' || cast(to_json(r.id) as varchar) || ',"name":null,"result":'
+        || coalesce(cast(to_json(r.text) as varchar), 'null') || '}}'
+    from results r left join firsts c on c.id = r.id and c.conv_id = r.conv_id
+    where c.id is null or r.n > 1
+"""
 
 
 @query

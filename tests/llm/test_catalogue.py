@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import pytest
 import sentencepiece
 
@@ -25,6 +26,21 @@ def test_query_matches_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), connect(FOLDER), ORACLES[name]) == ""
 
 
+def test_calls_match_sql_with_faulty_turns(spark, tmp_path):
+    """Repeated, missing and odd turns, against the registered SQL."""
+    said = [
+        (1, 0, "system", "be \"brief\"\n\tor \\ not"), (1, 1, "user", "a"), (1, 2, "assistant", "b é"),
+        (1, 3, "user", "c"), (1, 5, "user", "d"), (1, 6, "assistant", "e"), (1, 6, "assistant", "f"),
+        (2, 0, "user", "x" * 401), (2, 2, "user", ""), (2, 4, "user", None), (2, 5, "assistant", None),
+        (2, 9, "assistant", "no call"), (3, 4, "user", "late"), (3, 6, None, "no role"), (3, 6, "user", "both"),
+    ]
+    frame = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    frame.write.parquet(f"{tmp_path}/conversations.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"create view conversations as from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert compare(QUERIES["op5_tool_calls"](spark, str(tmp_path)), connection, ORACLES["op5_tool_calls"]) == ""
+
+
 def test_edited_texts(spark, documents):
     found = {r["doc_id"]: r for r in QUERIES["op2_digests"](spark, FOLDER).collect()}
     rows = sorted(documents, reverse=True)
