@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -106,23 +106,41 @@ def held_out(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % 4 == 2
 
 
+# Bytes of text that a sample may bring to the driver.
+SAMPLE_BYTES = 256 << 20
+
+
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, most_chars: int = 1 << 20
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, most_chars: int = 1 << 20,
+    most_bytes: int = SAMPLE_BYTES,
 ) -> list[tuple[str, int]]:
     """(text, label) of at most `rows` documents that are not held out, by the order of a hash.
 
-    Texts of more than `most_chars` are passed over here, so the driver gets a bounded amount;
-    rows without a label, an id or a text are as well.
+    Texts of more than `most_chars` are passed over here, as are rows without a label, an id or a
+    text. The sample ends before the text that would take it over `most_bytes`, so the driver gets
+    no more than that.
     """
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(
         ~held_out(F.col("doc_id"))
     ).select("doc_id", F.col(label).cast("int").alias("_y")).orderBy(
         F.xxhash64("doc_id"), "doc_id", "_y"
     ).limit(rows)
-    found = docs.select("doc_id", "text").where(
-        F.col("text").isNotNull() & (F.length("text") <= most_chars)
-    ).join(F.broadcast(chosen), "doc_id")
-    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
+    found = staged(
+        docs.select("doc_id", "text").where(
+            F.col("text").isNotNull() & (F.length("text") <= most_chars)
+        ).join(F.broadcast(chosen), "doc_id").select(
+            "doc_id", "text", "_y", F.octet_length("text").cast("long").alias("_bytes"),
+            F.xxhash64("doc_id").alias("_hash"), F.xxhash64("text").alias("_text"),
+            F.monotonically_increasing_id().alias("_row"),
+        ),
+        "labelled",
+    )
+    # Sizes alone, of as many rows as the sample has (more where ids repeat).
+    order = ["_hash", "doc_id", "_text", "_row"]
+    first = found.select("_row", "_bytes", *order[:3]).orderBy(*order).limit(rows)
+    sums = F.sum("_bytes").over(Window.orderBy(*order))
+    kept = first.select("_row", sums.alias("_sum")).where(F.col("_sum") <= most_bytes)
+    got = found.join(F.broadcast(kept.select("_row")), "_row").orderBy(*order).collect()
     return [(r["text"], r["_y"]) for r in got]
 
 
