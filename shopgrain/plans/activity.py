@@ -2,13 +2,13 @@
 
 A day's customers are bits of bitmaps, one for each range of 32,768 customer numbers. Bitmaps of
 several days are combined by OR, so a customer who comes back counts once, and no order is read
-again for another period. Windows are built by doubling: the bitmaps of 2, 4, 8 ... days up to a
-day come from those of half as many, and two of them that overlap cover a window of any length.
+again for another period. The bitmaps of one segment and range meet once, in order of their days, and
+every window slides over them there: what moves is a bitmap for each day, whatever the windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgrain.operators.lookup import lookup_join
@@ -26,19 +26,15 @@ def daily_bitmaps(
     """
     days = fct_orders.select(
         "customer_key", F.col("order_timestamp").cast("date").alias("activity_date")
-    ).where("customer_key is not null and activity_date is not null").distinct()
+    ).where("customer_key is not null and activity_date is not null")
     known = dim_customers.select("customer_key", "customer_segment")
-    return lookup_join(days, known, ["customer_key"], under=under).groupBy(
-        "activity_date", "customer_segment",
-        F.bitmap_bucket_number("customer_key").alias("bucket"),
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("customer_key")).alias("customers"))
-
-
-def _with_earlier(bitmaps: DataFrame, days: int) -> DataFrame:
-    """The bitmaps of each day combined with those of `days` days before it."""
-    shifted = bitmaps.withColumn("activity_date", F.date_add("activity_date", days))
-    return bitmaps.unionByName(shifted).groupBy(*_GROUP).agg(
-        F.bitmap_or_agg("customers").alias("customers")
+    placed = lookup_join(days, known, ["customer_key"], under=under).withColumn(
+        "bucket", F.bitmap_bucket_number("customer_key")
+    )
+    # Orders are dealt by group first: a bitmap, 4 KB however few its bits, is built once and complete
+    # instead of once in every task that meets its group.
+    return placed.repartition(*_GROUP).groupBy(*_GROUP).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("customer_key")).alias("customers")
     )
 
 
@@ -48,20 +44,47 @@ def active_customers(bitmaps: DataFrame, windows: tuple[int, ...] = (7, 30, 90))
 
     Dates without any are left out; dates go on to the last day with an order.
     """
-    last = bitmaps.agg(F.max("activity_date").alias("last"))
-    out = None
-    doubled, length = bitmaps, 1
-    for window in sorted(set(windows)):
-        if window < 1:
-            raise ValueError("a window has at least one day")
-        while 2 * length <= window:
-            doubled, length = _with_earlier(doubled, length), 2 * length
-        covered = doubled if window == length else _with_earlier(doubled, window - length)
-        counted = covered.groupBy("activity_date", "customer_segment").agg(
-            F.sum(F.bitmap_count("customers")).alias("active_customers")
-        ).join(F.broadcast(last), F.col("activity_date") <= F.col("last")).select(
-            "activity_date", "customer_segment", F.lit(window).alias("window_days"),
-            "active_customers",
+    spans = sorted(set(windows))
+    if spans[0] < 1:
+        raise ValueError("a window has at least one day")
+    last = bitmaps.agg(F.unix_date(F.max("activity_date")).alias("last"))
+    group = Window.partitionBy("customer_segment", "bucket").orderBy("day")
+    after = F.lead("day").over(group)
+    # Days on which the group has no bitmap, as far as the longest window reaches into them.
+    until = F.least(F.col("after") - 1, F.col("day") + spans[-1] - 1, F.col("last"))
+    days = (
+        bitmaps.where(F.col("activity_date").isNotNull())
+        .select(F.unix_date("activity_date").alias("day"), *_GROUP[1:], "customers")
+        .withColumn("after", after)
+        .join(F.broadcast(last))
+        .select(
+            F.explode(F.sequence("day", F.greatest("day", until))).alias("at"), *_GROUP[1:],
+            F.col("day").alias("from_day"), "customers",
+            # Of several bitmaps of a day, one shows the day.
+            (~F.col("after").eqNullSafe(F.col("day"))).alias("shown"),
+        )
+        .select(
+            F.col("at").alias("day"), *_GROUP[1:], "shown",
+            F.when(F.col("at") == F.col("from_day"), F.col("customers")).alias("customers"),
         )
-        out = counted if out is None else out.unionByName(counted)
-    return out
+    )
+    active = {
+        span: F.bitmap_count(F.bitmap_or_agg("customers").over(group.rangeBetween(1 - span, 0)))
+        for span in spans
+    }
+    counted = days.select(
+        "day", "customer_segment", "shown",
+        F.array(*[
+            F.struct(F.lit(span).alias("window_days"), count.alias("active_customers"))
+            for span, count in active.items()
+        ]).alias("counts"),
+    ).where("shown")
+    return (
+        counted.select(
+            F.date_from_unix_date("day").alias("activity_date"), "customer_segment",
+            F.inline("counts"),
+        )
+        .where("active_customers > 0")
+        .groupBy("activity_date", "customer_segment", "window_days")
+        .agg(F.sum("active_customers").alias("active_customers"))
+    )
