@@ -32,3 +32,15 @@ def test_bitmaps_move_once_for_all_windows(spark, rows, capsys, tmp_path):
              for r in activity.active_customers(kept.union(kept), (1, 3)).collect()}
     assert found == {(1, 1): 1, (2, 1): 1, (10, 1): 1, (1, 3): 1, (2, 3): 2, (3, 3): 2, (4, 3): 1, (10, 3): 1}
     assert date(2024, 1, 10) in {r.activity_date for r in activity.active_customers(kept, (1,)).collect()}
+
+
+def test_new_keys_that_other_products_have(spark, rows, tmp_path):
+    """Product 3 becomes 3,000,000 as well, which there is already."""
+    rows("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+         (3, "large ring", "b", "t", 30, 10.0), (3000000, "small nut", "b", "t", 40, 20.0),
+         (4, "blue bolt", "b", "t", 1, 30.0)).write.parquet(str(tmp_path / "part.parquet"))
+    found = QUERIES["upsert_snapshot"](spark, str(tmp_path)).select("product_id", "sku", "unit_price")
+    assert sorted(map(tuple, found.collect())) == [
+        (3, "SKU-000003", 15.0), (4, "SKU-000004", 30.0), (3000000, "SKU-000003-NEW", 15.0),
+        (3000000, "SKU-3000000", 25.0), (3000000000000, "SKU-3000000-NEW", 25.0),
+    ]
