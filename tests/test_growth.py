@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 from catalogue.queries import QUERIES
 from shopgrain.plans import activity
+from shopgrain.sources import snapshots
 
 
 def plan_of(frame, capsys) -> str:
@@ -44,3 +45,18 @@ def test_new_keys_that_other_products_have(spark, rows, tmp_path):
         (3, "SKU-000003", 15.0), (4, "SKU-000004", 30.0), (3000000, "SKU-000003-NEW", 15.0),
         (3000000, "SKU-3000000", 25.0), (3000000000000, "SKU-3000000-NEW", 25.0),
     ]
+
+
+def test_rejected_rows_of_a_batch_do_not_meet_in_one_task(spark, rows, capsys):
+    ddl = "k long, ingestion_date string, batch_id string"
+    kept = rows(ddl, (1, "d", "a"), (2, "d", "a"), (3, "d", "b"), (1, "e", "a"))
+    stays = snapshots.staying(kept, rows(ddl, (1, "d", "a"), (9, "d", "a")), ["k"])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, stays.collect())) == [(2, "d", "a")]
+        plan = plan_of(stays.select("*"), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Only the distinct batches are dealt by batch.
+    assert plan.count("Exchange hashpartitioning(ingestion_date") == 1 and "BroadcastExchange" in plan
