@@ -3,7 +3,8 @@
 from datetime import date, datetime
 
 from catalogue.queries import QUERIES
-from shopgrain.plans import activity
+from shopgrain.plans import activity, marts
+from shopgrain.runtime import tasks_for
 from shopgrain.sources import snapshots
 
 
@@ -60,3 +61,20 @@ def test_rejected_rows_of_a_batch_do_not_meet_in_one_task(spark, rows, capsys):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     # Only the distinct batches are dealt by batch.
     assert plan.count("Exchange hashpartitioning(ingestion_date") == 1 and "BroadcastExchange" in plan
+
+
+def test_product_totals_get_more_tasks_with_more_lines(spark, capsys):
+    def totals(n):
+        lines = spark.range(n).selectExpr(
+            "id div 4 as order_key", "id % 7 as product_key", "1 as quantity",
+            "cast(2 as decimal(18,2)) as line_total")
+        orders = spark.range(n).selectExpr("id as order_key", "true as is_completed").limit(n)
+        return lines, marts.product_totals(lines, orders)
+
+    counts = []
+    for n in (28, 100_000_000, 200_000_000):
+        lines, built = totals(n)
+        counts.append(tasks_for(lines, marts.PAIR_BYTES))
+        assert f", {counts[-1]}), REPARTITION_BY_NUM" in plan_of(built, capsys)
+    assert counts[0] == 8 and counts[1] > 100 and 1.9 < counts[2] / counts[1] < 2.1
+    assert totals(28)[1].agg({"order_count": "sum", "total_quantity_sold": "sum"}).first()[:] == (28, 28)
