@@ -78,3 +78,14 @@ def test_product_totals_get_more_tasks_with_more_lines(spark, capsys):
         assert f", {counts[-1]}), REPARTITION_BY_NUM" in plan_of(built, capsys)
     assert counts[0] == 8 and counts[1] > 100 and 1.9 < counts[2] / counts[1] < 2.1
     assert totals(28)[1].agg({"order_count": "sum", "total_quantity_sold": "sum"}).first()[:] == (28, 28)
+
+
+def test_rows_of_one_month_are_not_dealt_by_month(spark, rows, tmp_path):
+    """Without the month's column, a task's rows stay where they are: a file for each task."""
+    path, few = str(tmp_path / "t"), spark.range(40).selectExpr("id as k").repartition(4)
+    snapshots.upsert(few, path, ["k"], month_of="d", settled=True, verify=False, rows=40)
+    (folder,) = snapshots.current_version(spark, path).parts.values()
+    assert len(list((tmp_path / "t" / folder).glob("*.parquet"))) == 4
+    assert snapshots.read_snapshot(spark, path).count() == 40
+    later = snapshots.upsert(rows("k long", (3,), (90,)), path, ["k"], month_of="d")
+    assert later.state.count() == 41 and snapshots.months(spark, path) == ["none"]
