@@ -3,7 +3,9 @@
 from datetime import date, datetime
 
 from catalogue.queries import QUERIES
+from shopgrain.operators.quality import mark_duplicates, mark_orphans
 from shopgrain.plans import activity, marts
+from shopgrain.rules import REASON, ForeignKey
 from shopgrain.runtime import tasks_for
 from shopgrain.sources import snapshots
 
@@ -89,3 +91,23 @@ def test_rows_of_one_month_are_not_dealt_by_month(spark, rows, tmp_path):
     assert snapshots.read_snapshot(spark, path).count() == 40
     later = snapshots.upsert(rows("k long", (3,), (90,)), path, ["k"], month_of="d")
     assert later.state.count() == 41 and snapshots.months(spark, path) == ["none"]
+
+
+def test_rows_are_not_sorted_to_find_their_marks(spark, rows, capsys):
+    """Lists of keys too long for a broadcast are held in hash tables, share by share."""
+    frame = rows("k long, b string, p long, rejection_reason string", (1, "x", 7, None), (1, "x", 8, None),
+                 (1, "y", 7, None), (None, "x", 7, None), (None, "x", None, None), (2, None, 9, None))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        copies = mark_duplicates(frame, ["k", "b"])
+        assert sorted(r["p"] or 0 for r in copies.where("__duplicate").collect()) == [0, 7, 7, 8]
+        orphans = mark_orphans(frame, ForeignKey("p", "parents", "p"), rows("p long", (7,), (9,)))
+        assert sorted(r["p"] or 0 for r in orphans.where(f"{REASON} is not null").collect()) == [0, 8]
+        for marked in (copies, orphans):
+            # Only the keys themselves may meet in a sort-merge join, never the rows.
+            joins = [line for line in plan_of(marked, capsys).splitlines() if "LeftOuter" in line]
+            assert any("ShuffledHashJoin" in line for line in joins)
+            assert not any("SortMergeJoin" in line for line in joins)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
