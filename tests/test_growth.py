@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 from catalogue.queries import QUERIES
+from shopgrain.operators import checks
 from shopgrain.operators.quality import mark_duplicates, mark_orphans
 from shopgrain.plans import activity, marts
 from shopgrain.rules import REASON, ForeignKey
@@ -111,3 +112,38 @@ def test_rows_are_not_sorted_to_find_their_marks(spark, rows, capsys):
             assert not any("SortMergeJoin" in line for line in joins)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_keys_of_a_table_get_more_tasks_with_more_rows(spark, rows, capsys):
+    """Keys travel uncounted, and no task's share of them depends on how many there are."""
+    counts = []
+    for n in (40, 200_000_000, 400_000_000):
+        keys = spark.range(n).withColumnRenamed("id", "k")
+        counts.append(tasks_for(keys, checks.KEY_BYTES))
+        plan = plan_of(checks.key_tests("t", keys, "k"), capsys)
+        assert f", {counts[-1]}), REPARTITION_BY_NUM" in plan
+        assert "partial_count" not in plan.split("REPARTITION_BY_NUM")[1].split("Range")[0]
+    assert counts[0] == 8 and counts[1] > 100 and 1.9 < counts[2] / counts[1] < 2.1
+    some = rows("k long", (1,), (1,), (1,), (2,), (None,), (3,), (3,), (None,))
+    for frame, found in ((some, (2, 2)), (some.where("k = 2"), (0, 0)), (some.where("false"), (0, 0))):
+        assert list(map(tuple, checks.key_tests("t", frame, "k").collect())) == [
+            ("unique_t_k", found[0]), ("not_null_t_k", found[1])]
+
+
+def test_orphans_are_counted_without_a_join(spark, rows, capsys):
+    """Neither side is sorted or held beside the other, however long the list of parents is."""
+    child = rows("k long", (1,), (1,), (2,), (2,), (2,), (None,), (None,))
+    parent = rows("p int", (1,), (1,), (5,), (None,))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for count_null, found in ((True, 5), (False, 3)):
+            frame = checks.orphans("x", child, "k", parent, "p", count_null)
+            assert frame.collect() == [("x", found)]
+            plan = plan_of(frame, capsys)
+            assert "Join" not in plan and "Sort" not in plan
+        assert checks.orphans("x", child, "k", parent.where("false"), "p").collect() == [("x", 7)]
+        assert checks.orphans("x", child.where("false"), "k", parent, "p").collect() == [("x", 0)]
+        assert checks.orphans("x", child.where("k = 1"), "k", parent, "p").collect() == [("x", 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
