@@ -4,10 +4,11 @@ from datetime import date, datetime
 
 from catalogue.queries import QUERIES
 from shopgrain.operators import checks
-from shopgrain.operators.quality import mark_duplicates, mark_orphans
+from shopgrain.operators.lookup import lookup_join
+from shopgrain.operators.quality import mark_duplicates, mark_orphans, orphan_keys
 from shopgrain.plans import activity, marts
 from shopgrain.rules import REASON, ForeignKey
-from shopgrain.runtime import tasks_for
+from shopgrain.runtime import fits_broadcast, tasks_for, too_long
 from shopgrain.sources import snapshots
 
 
@@ -147,3 +148,36 @@ def test_orphans_are_counted_without_a_join(spark, rows, capsys):
         assert checks.orphans("x", child.where("k = 1"), "k", parent, "p").collect() == [("x", 0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_long_lists_in_small_files_are_not_broadcast(spark, rows, tmp_path, capsys):
+    """Keys beside wide constant columns take next to nothing in files, but not on the driver."""
+    wide = [f"'{'x' * 20}' as c{n}" for n in range(30)]
+    spark.range(9000).selectExpr("id as p", *wide).write.parquet(str(tmp_path / "wide"))
+    parents, child = spark.read.parquet(str(tmp_path / "wide")), rows("p long", (1,), (1,), (None,), (9500,))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        keys = parents.select("p")
+        assert fits_broadcast(keys) and not too_long(keys, 4000) and too_long(keys, 9000)
+        assert "BroadcastHashJoin [p#" in plan_of(child.join(keys, "p"), capsys)
+        lost = orphan_keys(child, ForeignKey("p", "parents", "p"), parents)
+        ddl = "p long, ingestion_date string, batch_id string"
+        batch = "p", "'d' as ingestion_date", "'a' as batch_id"
+        parents.selectExpr(*batch, *wide).write.parquet(str(tmp_path / "gone"))
+        gone = spark.read.parquet(str(tmp_path / "gone")).selectExpr(*batch)
+        aside = rows(ddl, (1, "d", "a"), (9500, "d", "a"), (9500, "d", "b"))
+        found = [
+            (lost, [(9500,)]),
+            (lookup_join(child, keys, ["p"], "left_semi", lookup_rows=9000), [(1,), (1,)]),
+            (lookup_join(child, keys, ["p"], "left_anti", lookup_rows=9000, hashed=True), [(None,), (9500,)]),
+            (snapshots.staying(aside, gone, ["p"]), [(9500, "d", "a")]),
+            (snapshots.merged(child, keys, ["p"], 9000).where("p is null or p > 8998"), [(None,), (8999,), (9500,)]),
+        ]
+        for frame, expected in found:
+            assert sorted(map(tuple, frame.collect()), key=str) == sorted(expected, key=str)
+            # Batches and heavy keys may be; there are few of them.
+            assert "BroadcastHashJoin [p#" not in plan_of(frame.select("*"), capsys)
+        assert "BroadcastHashJoin [p#" in plan_of(lookup_join(child, keys, ["p"], lookup_rows=4000), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
