@@ -23,8 +23,10 @@ MARK = "▁"
 TABLE_ROWS = 400_000
 # Longer chunks are segmented where they stand and not kept.
 KEPT_CHARS = 200
+ID_BYTES = array("i").itemsize
 
-_chunk = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+# Texts are cut with a blank in place of each marker: strings of one byte a character stay such.
+_chunk = regex.compile(" *[^ ]+| +")
 
 
 def splits_at_marks(processor: sentencepiece.SentencePieceProcessor) -> bool:
@@ -36,51 +38,77 @@ def splits_at_marks(processor: sentencepiece.SentencePieceProcessor) -> bool:
 
 
 class ChunkTable:
-    """Ids of chunks, each segmented once by the library; for digests also the ids as text and the
-    decoded text."""
+    """Ids of chunks, each segmented once by the library, as bytes of 32-bit integers. For digests each
+    is decoded as well; its text is kept only where it is other than the chunk's own."""
 
     def __init__(self, model: bytes, digests: bool = True):
         self.digests = digests
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.cut = splits_at_marks(self.processor)
-        self.rows: dict[str, tuple[array, bytes, bytes, int]] = {}
-
-    def _row(self, chunk: str) -> tuple[array, bytes, bytes, int]:
-        if chunk == MARK:  # a text's last space
-            ids = [self.processor.piece_to_id(MARK)]
-            return array("i", ids), str(ids[0]).encode(), b"", 1
-        # The library puts the first marker itself.
-        ids, *digested = self._made(self.processor.encode(chunk[1:].replace(MARK, " ")))
-        return array("i", ids), *digested
-
-    def _made(self, ids: list[int]) -> tuple[list[int], bytes, bytes, int]:
-        if not self.digests:
-            return ids, b"", b"", len(ids)
-        text = self.processor.decode(ids)
-        return ids, ",".join(map(str, ids)).encode(), text.encode(), len(ids)
-
-    def chunks(self, text: str) -> list[tuple[array | list[int], bytes, bytes, int]]:
-        """A row for each chunk, in order; the decoded texts belong together with a space."""
-        if not text:
-            return []
-        if not self.cut:
-            return [self._made(self.processor.encode(text))]
+        self.rows: dict[str, bytes] = {}
+        self.others: dict[str, str] = {}
+        self.numbers = [str(i).encode() for i in range(self.processor.get_piece_size())]
+
+    def _row(self, text: str) -> tuple[bytes, str | None]:
+        ids = self.processor.encode(text)
+        decoded = self.processor.decode(ids) if self.digests else text
+        return array("i", ids).tobytes(), None if decoded == text else decoded
+
+    def _rows(self, text: str) -> tuple[list[str], list[bytes], dict[str, str]]:
+        """The chunks of a text that may be cut, the ids of each, and the decoded text of those that
+        decode to another and are not kept."""
         rows = self.rows
         if len(rows) > TABLE_ROWS:
             rows.clear()
-        words = _chunk.findall(MARK + text.replace(" ", MARK))
+            self.others.clear()
+        words = _chunk.findall(" " + text.replace(MARK, " "))
         try:
-            return [rows[word] for word in words]
+            return words, [rows[word] for word in words], {}
         except KeyError:
-            out = []
+            out, apart = [], {}
             for word in words:
                 row = rows.get(word)
                 if row is None:
-                    row = self._row(word)
-                    if len(word) <= KEPT_CHARS:
+                    if word == " ":  # a text's last space
+                        row, other = array("i", [self.processor.piece_to_id(MARK)]).tobytes(), None
+                    else:
+                        # The library puts the first marker itself.
+                        row, other = self._row(word[1:])
+                    kept = len(word) <= KEPT_CHARS
+                    if kept:
                         rows[word] = row
+                    if other is not None:
+                        (self.others if kept else apart)[word] = other
                 out.append(row)
-            return out
+            return words, out, apart
+
+    def encoded(self, text: str) -> tuple[bytes, str]:
+        """The ids of a text and, for digests, what they decode to."""
+        if not text:
+            return b"", ""
+        if not self.cut:
+            ids, other = self._row(text)
+            return ids, text if other is None else other
+        words, rows, apart = self._rows(text)
+        if not apart and self.others.keys().isdisjoint(words):
+            return b"".join(rows), text.replace(MARK, " ")
+        own = [self.others.get(word, word[1:]) for word in words]
+        if apart:
+            own = [apart.get(word, text) for word, text in zip(words, own)]
+        return b"".join(rows), " ".join(own)
+
+    def joined(self, ids: bytes) -> bytes:
+        """The ids as numbers with commas."""
+        return b",".join(map(self.numbers.__getitem__, memoryview(ids).cast("i")))
+
+    def chunks(self, text: str) -> list[tuple[list[int], str]]:
+        """Ids and text of each chunk, in order."""
+        if not text:
+            return []
+        if not self.cut:
+            return [(list(memoryview(self._row(text)[0]).cast("i")), text)]
+        words, rows, _ = self._rows(text)
+        return [(list(memoryview(row).cast("i")), word) for row, word in zip(rows, words)]
 
 
 def _fields(frame: DataFrame, keep: list[str]) -> str:
@@ -105,24 +133,22 @@ def encode(
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                counts, ids, ids_sha, text_sha = [], array("i"), [], []
+                counts, ids, ids_sha, text_sha = [], [], [], []
                 for value in part.column(0):
-                    rows = table.chunks(value.as_py() or "")
-                    counts.append(sum(row[3] for row in rows))
+                    found, decoded = table.encoded(value.as_py() or "")
+                    counts.append(len(found) // ID_BYTES)
                     if with_ids:
-                        for row in rows:
-                            ids.extend(row[0])
+                        ids.append(found)
                     if digests:
-                        joined = b",".join(row[1] for row in rows if row[3])
-                        ids_sha.append(hashlib.sha256(joined).hexdigest())
-                        decoded = b" ".join([row[2] for row in rows])
-                        text_sha.append(hashlib.sha256(decoded).hexdigest())
+                        ids_sha.append(hashlib.sha256(table.joined(found)).hexdigest())
+                        text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
                 columns = [*part.columns[1:], pa.array(counts, pa.int64())]
                 names = [*keep, "n_tokens"]
                 if with_ids:
                     ends = np.cumsum([0, *counts], dtype=np.int64)
                     columns.append(pa.ListArray.from_arrays(
-                        pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32))
+                        pa.array(ends, pa.int32()),
+                        pa.array(np.frombuffer(b"".join(ids), np.int32)),
                     ))
                     names.append("ids")
                 if digests:

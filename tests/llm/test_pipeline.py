@@ -1,5 +1,6 @@
 """The pipeline's stages against plain versions of their decisions."""
 
+import hashlib
 import random
 
 import pytest
@@ -90,6 +91,18 @@ def test_whole_run(spark):
     assert sorted((r["doc_id"], r["ids"]) for r in found) == expected
 
 
+def test_texts_are_encoded_and_decoded(spark):
+    library = sentencepiece.SentencePieceProcessor(model_proto=piece_model())
+    rows = [(1, "two  words ", "a"), (1, "zürich 北京 😀 a▁b", "b"), (None, None, "a"), (3, "", None), (4, " \n\t x" * 50, "a")]
+    found = P.encoding(spark, make(spark, rows), FOLDER).collect()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = []
+    for doc, text, source in rows:
+        ids = library.encode(text or "")
+        expected.append((doc, source, len(ids), ids, sha(",".join(map(str, ids))), sha(library.decode(ids))))
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in P.STAGES:
