@@ -26,6 +26,8 @@ GRAMS = (3, 4, 5)
 # Weight of the prior in a word's evidence, in documents.
 PRIOR = 10.0
 INPUTS = 5
+# Bytes of text scored at once: their words and n-grams take about 50 times that.
+STEP_BYTES = 2 << 20
 
 
 class Settings(NamedTuple):
@@ -376,7 +378,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = RollingHash()
         for batch in batches:
-            for part, data, offsets in text_steps(batch, 0):
+            for part, data, offsets in text_steps(batch, 0, STEP_BYTES):
                 got = scores(model, data, offsets, rolling)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(got)], names=[*keep, "score"]
